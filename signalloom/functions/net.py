@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from signalloom.functions.redact import SPACE
 from signalloom.functions.text import filled
 
-DOTTED_QUAD = r"\A[0-9]{1,3}(?:\.[0-9]{1,3}){3}\z"
+_OCTET = "(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]{1,2})"
+IPV4 = rf"\A{_OCTET}(?:\.{_OCTET}){{3}}\z"
 
 
 def _col(c: Column | str) -> Column:
@@ -52,12 +53,9 @@ def ipv4_to_long(c: Column | str) -> Column:
     """the address as a number, null unless four parts of 0 to 255."""
     c = _col(c)
     parts = [F.split_part(c, F.lit("."), F.lit(i)).cast("long") for i in range(1, 5)]
-    in_range = parts[0].between(0, 255)
-    for p in parts[1:]:
-        in_range = in_range & p.between(0, 255)
     total = parts[0] * (1 << 24) + parts[1] * (1 << 16) + parts[2] * (1 << 8) + parts[3]
-    # the cast must not see other text: under ANSI it would fail the job
-    return F.when(c.rlike(DOTTED_QUAD), F.when(in_range, total))
+    # the pattern also guards the casts, which fail on other text under ANSI
+    return F.when(c.rlike(IPV4), total)
 
 
 def network_of(address: Column, prefix: int) -> Column:

@@ -145,7 +145,7 @@ def redact_cards(c: Column | str) -> Column:
         gaps = F.split(text, CARD, -1)
         runs = F.regexp_extract_all(text, F.lit(CARD), F.lit(0))
         checked = F.transform(
-            runs, lambda d: F.when(F.luhn_check(d), F.lit(REDACTED_CARD)).otherwise(d)
+            runs, lambda d: F.when(F.call_function("luhn_check", d), F.lit(REDACTED_CARD)).otherwise(d)
         )
         return F.array_join(
             F.zip_with(gaps, checked, lambda g, d: F.concat(g, F.coalesce(d, F.lit("")))), ""
