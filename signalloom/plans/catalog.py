@@ -6,10 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from signalloom.plans import backup_queries, delivery_queries, event_queries, firewall_queries, redact_queries
+from signalloom.plans import (
+    backup_queries,
+    delivery_queries,
+    event_queries,
+    firewall_queries,
+    io_queries,
+    redact_queries,
+)
 from signalloom.plans.views import with_views
 
-MODULES = (firewall_queries, redact_queries, event_queries, delivery_queries, backup_queries)
+MODULES = (firewall_queries, redact_queries, event_queries, delivery_queries, backup_queries, io_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -109,12 +109,14 @@ select ts as fetched_at,
 from events where event_id % 500 = 250 or event_id % 1500 = 0
 """
 
-# a run per 20 events of a project: start, heartbeats, one final report
+# two runs at a time per project and 3,000 events: start, heartbeats, final reports
 RUNS = """
-select event_id, ts, user_id as project_id, concat(cast(user_id as string), '-', cast(floor(event_id / 3000) as string)) as run_id,
-  case when event_type = 'signup' then 'start' when event_type in ('click','view') then 'heartbeat' else 'final' end as kind,
-  case when event_type = 'signup' then case when event_id % 19 = 0 then 409 when event_id % 31 = 0 then 403 else 200 end end as status,
-  case when event_type = 'purchase' then 'UPLOADED' when event_type = 'error' then 'FAILED' end as outcome,
+select event_id, ts, user_id as project_id,
+  concat(cast(user_id as string), '-', cast(cast(floor(event_id / 3000) as bigint) as string), '-', cast(event_id % 2 as string)) as run_id,
+  case when event_id % 3000 < 1000 then 'start' when event_id % 3000 > 2000 and event_type in ('purchase', 'error') then 'final'
+       else 'heartbeat' end as kind,
+  case when event_id % 3000 < 1000 then case when event_id % 19 = 0 then 409 when event_id % 31 = 0 then 403 else 200 end end as status,
+  case when event_id % 3000 > 2000 then case event_type when 'purchase' then 'UPLOADED' when 'error' then 'FAILED' end end as outcome,
   case when event_type = 'purchase' then cast(event_id * 10 as bigint) end as size_bytes,
   case when event_type = 'purchase' then md5(cast(event_id as string)) end as checksum,
   case when event_type = 'error' then 'boom' end as error
