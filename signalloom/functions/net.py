@@ -89,7 +89,7 @@ def connection_properties(url: Column | str) -> Column:
 
     def part(name: str, key: str | None = None) -> Column:
         args = [url, F.lit(name)] + ([F.lit(key)] if key else [])
-        return F.when(url.isNotNull(), F.try_parse_url(*args))
+        return F.when(url.rlike(r"\A[A-Za-z][A-Za-z0-9+.-]*://"), F.try_parse_url(*args))
 
     def decoded(c: Column) -> Column:
         # percent-decoding only: a plus sign is not a space here

@@ -138,7 +138,7 @@ def _scrub_json_text(text: str | None) -> str | None:
     return json.dumps(_scrub_value(value, 0), separators=(",", ":"), ensure_ascii=False)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def scrub_json(texts: pd.Series) -> pd.Series:
     """R5 on JSON text of unknown shape."""
     return texts.map(_scrub_json_text)

@@ -59,6 +59,14 @@ def _key_table(spark: SparkSession, key_hex: str) -> DataFrame:
     )
 
 
+def _slices(batch: pa.RecordBatch, max_bytes: int) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of about ``max_bytes`` (one row at least), without copying."""
+    pieces = max(1, -(-batch.nbytes // max_bytes))
+    step = max(1, -(-batch.num_rows // pieces))
+    for at in range(0, batch.num_rows, step):
+        yield batch.slice(at, step)
+
+
 def build_artifacts(
     df: DataFrame, key_hex: str, snapshot_id: str, chunk_bytes: int = CHUNK_BYTES
 ) -> DataFrame:
@@ -87,13 +95,12 @@ def build_artifacts(
 
         size = 0
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            if held and size + batch.nbytes > chunk_bytes:
-                yield chunk()
-                held, size, number = [], 0, number + 1
-            held.append(batch)
-            size += batch.nbytes
+            for part_of in _slices(batch, chunk_bytes):
+                if held and size + part_of.nbytes > chunk_bytes:
+                    yield chunk()
+                    held, size, number = [], 0, number + 1
+                held.append(part_of)
+                size += part_of.nbytes
         if held:
             yield chunk()
 
@@ -196,7 +203,7 @@ def restore_artifacts(artifacts: DataFrame, key_hex: str, schema: T.StructType)
     return checked.mapInArrow(unpack, schema)
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def _plain_bytes(gz: pd.Series) -> pd.Series:
     def size(data: bytes | None) -> int | None:
         if data is None:

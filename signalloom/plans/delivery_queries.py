@@ -13,7 +13,10 @@ from signalloom.operators import timers as T
 from signalloom.plans.views import table, view
 
 NOW = "2024-01-30 12:00:00"
-_NOW = F.lit(NOW).cast("timestamp_ntz")
+
+
+def _now():
+    return F.lit(NOW).cast("timestamp_ntz")
 
 
 def _queue(s: SparkSession, d: str) -> DataFrame:
@@ -24,7 +27,7 @@ def requeued(s: SparkSession, d: str) -> DataFrame:
     rows = _queue(s, d).select("event_id", "user_id", "ts", "retries")
     failed = rows.filter(F.col("event_id") % 6 == 0)
     waiting = rows.filter(F.col("event_id") % 6 > 0)
-    return Q.requeue_front(waiting, failed, 40, "user_id", now=_NOW)
+    return Q.requeue_front(waiting, failed, 40, "user_id", now=_now())
 
 
 def delivered(s: SparkSession, d: str) -> DataFrame:
@@ -132,7 +135,7 @@ QUERIES = {
     "Q1_keep_latest_whole_queue": lambda s, d: Q.keep_latest(_queue(s, d)).select("event_id", "user_id"),
     "Q2_take_front": lambda s, d: Q.take_front(_queue(s, d), 10, "user_id").select("event_id", "user_id"),
     "Q3_requeue_front": requeued,
-    "Q4_drop_expired": lambda s, d: Q.drop_expired(_queue(s, d), _NOW, created="ts").select("event_id", "ts"),
+    "Q4_drop_expired": lambda s, d: Q.drop_expired(_queue(s, d), _now(), created="ts").select("event_id", "ts"),
     "Q5_persist_budget": lambda s, d: Q.persist_budget(
         _queue(s, d).withColumn("shard", F.col("user_id") % 3), "item_json", "shard"
     ).select("event_id", "shard"),

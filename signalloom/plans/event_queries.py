@@ -12,7 +12,11 @@ from signalloom.plans.redact_queries import sql_cut, sql_emails, sql_key_values,
 from signalloom.plans.views import table, view
 
 NOW = "2024-01-31 02:10:00"
-_NOW = F.lit(NOW).cast("timestamp_ntz")
+
+
+def _now():
+    return F.lit(NOW).cast("timestamp_ntz")
+
 _NOW_ISO = "2024-01-31T02:10:00.000Z"
 
 
@@ -27,7 +31,7 @@ def _kind(s: SparkSession, d: str, kind: str) -> DataFrame:
 
 def normalize_log(s: SparkSession, d: str) -> DataFrame:
     rows = _kind(s, d, "log").withColumn("level", F.when(F.col("event_id") % 7 == 0, "").otherwise(F.col("level")))
-    return E.normalize_log(rows, metadata="metadata_json", now=_NOW).select(
+    return E.normalize_log(rows, metadata="metadata_json", now=_now()).select(
         "event_id", "level", "source", "message", "timestamp", F.get_json_object("metadata_json", "$.k").alias("k")
     )
 
@@ -47,7 +51,7 @@ def _errors(s: SparkSession, d: str) -> DataFrame:
 
 
 def normalize_error(s: SparkSession, d: str) -> DataFrame:
-    out = E.normalize_error(_errors(s, d), "metadata_json", exception=F.col("event_id") % 4 == 0, now=_NOW)
+    out = E.normalize_error(_errors(s, d), "metadata_json", exception=F.col("event_id") % 4 == 0, now=_now())
     return out.select(
         "event_id", "error_type", "severity", "message", F.md5("stack").alias("stack_digest"), "metadata_json", "timestamp"
     )
@@ -55,7 +59,7 @@ def normalize_error(s: SparkSession, d: str) -> DataFrame:
 
 def normalize_debug(s: SparkSession, d: str) -> DataFrame:
     rows = _kind(s, d, "debug").withColumn("debug_type", F.when(F.col("event_id") % 2 == 0, F.col("source")))
-    return E.normalize_debug(rows, now=_NOW).select("event_id", "debug_type", "timestamp", "message")
+    return E.normalize_debug(rows, now=_now()).select("event_id", "debug_type", "timestamp", "message")
 
 
 def normalize_security(s: SparkSession, d: str) -> DataFrame:
@@ -76,7 +80,7 @@ def enriched(s: SparkSession, d: str) -> DataFrame:
         tags={"team": "a", "region": "eu"},
         global_context={"region": "us", "plan": "x"},
         hosts=hosts,
-        now=_NOW,
+        now=_now(),
     )
     m = F.col("_meta")
     return out.select(

@@ -33,7 +33,7 @@ def stream_pairs(
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = batch.select(F.col("client").cast("string").alias("client"), "name", "mark_id", "ts", "kind")
+        rows = batch.selectExpr("cast(client as string) client", "name", "cast(mark_id as bigint) mark_id", "ts", "kind")
         if batch_id > 0:
             rows = rows.unionByName(spark.read.schema(_OPEN).parquet(f"{state_path}/{(batch_id - 1) % 2}"))
         sink(pair_timers(rows, _KEYS, ("ts", "mark_id"), time_slice("ts", slice_unit)), batch_id)
