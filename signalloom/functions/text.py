@@ -132,6 +132,10 @@ def clamp_tags(c: Column | str) -> Column:
     place of the earlier key.
     """
     c = _col(c)
+    long = F.exists(
+        F.map_entries(c),
+        lambda e: (F.char_length(e["key"]) > MAX_TAG_CHARS) | (F.char_length(e["value"]) > MAX_TAG_CHARS),
+    )
     cut = F.transform(
         F.slice(F.map_entries(c), 1, MAX_TAGS),
         lambda e: F.struct(
@@ -140,19 +144,19 @@ def clamp_tags(c: Column | str) -> Column:
         ),
     )
 
-    def last_of(entries: Column) -> Column:
+    def rebuilt(entries: Column) -> Column:
         names = F.array_distinct(F.transform(entries, lambda e: e["key"]))
-        return F.map_from_entries(
-            F.transform(
-                names,
-                lambda k: F.struct(
-                    k.alias("key"),
-                    F.element_at(F.filter(entries, lambda e: e["key"] == k), -1)["value"].alias("value"),
-                ),
-            )
+        last = F.transform(
+            names,
+            lambda k: F.struct(
+                k.alias("key"),
+                F.element_at(F.filter(entries, lambda e: e["key"] == k), -1)["value"].alias("value"),
+            ),
         )
+        return F.map_from_entries(F.when(F.size(names) < F.size(entries), last).otherwise(entries))
 
-    return F.when(c.isNotNull(), F.transform(F.array(cut), last_of)[0])
+    # nearly all maps are small already and stay as they are
+    return F.when((F.size(c) <= MAX_TAGS) & ~long, c).when(c.isNotNull(), F.transform(F.array(cut), rebuilt)[0])
 
 
 def within_size(body: Column | str, mode: str = "fetch") -> Column:

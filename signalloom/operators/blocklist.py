@@ -23,7 +23,7 @@ from signalloom.functions.delay import next_poll
 from signalloom.functions.net import ipv4_to_long, network_of, normalize_ip
 from signalloom.limits import POLL_MS
 from signalloom.operators.ordered import number_rows, time_slice, with_last_known, with_previous
-from signalloom.operators.sizing import MAX_BROADCAST_ROWS, fits_broadcast, row_salt
+from signalloom.operators.sizing import MAX_BROADCAST_ROWS, fits_broadcast, row_salt, values_if_small
 from signalloom.sources.scratch import materialize
 
 EXACT = -1  # "prefix length" of entries that match as text
@@ -149,20 +149,27 @@ def match_blocklist(
     equal on both sides (a tenant, a list version).
     """
     at = (F.col(ts) if isinstance(ts, str) else ts).cast("timestamp_ntz")
-    if fits_broadcast(entries, max_broadcast_rows):
+    lengths = values_if_small(entries, _prefix_of_entry(), max_broadcast_rows)
+    if lengths is not None:
         # a list of proven size is prepared in one task, without a shuffle
-        return _match_small(requests, cover(entries.coalesce(1), by), ip, at, list(by))
+        covered = cover(entries.coalesce(1), by)
+        return _match_small(requests, covered, sorted(lengths - {None}), ip, at, list(by))
     covered = materialize(cover(entries, by), "cover")
     return _match_large(requests, covered, ip, at, list(by), max_broadcast_rows, salts)
 
 
+def _prefix_of_entry() -> Column:
+    return F.when(F.col("type") == "IP", F.lit(EXACT)).when(F.col("type") == "CIDR", cidr_parts("value")["prefix"])
+
+
 def _lengths(covered: DataFrame) -> list[int]:
     # at most 34 different values
     return sorted(r["prefix"] for r in covered.select("prefix").distinct().limit(34).collect())
 
 
-def _match_small(requests: DataFrame, covered: DataFrame, ip: str, at: Column, by: list[str]) -> DataFrame:
-    lengths = _lengths(covered)
+def _match_small(
+    requests: DataFrame, covered: DataFrame, lengths: list[int], ip: str, at: Column, by: list[str]
+) -> DataFrame:
     out = requests.select("*", at.alias("__at"), ipv4_to_long(ip).alias("__addr"))
     for n in lengths:
         side = F.broadcast(
@@ -423,7 +430,7 @@ def match_point_in_time(
     (and the columns ``by``).  Adds ``valid_from``, ``mode`` and the match.
     """
     by = list(by)
-    spans = snapshot_spans(snapshots, "fetched_at", by)
+    spans = materialize(snapshot_spans(snapshots, "fetched_at", by), "spans")
     versioned = as_of_snapshot(requests, spans, ts, by, bucket, max_broadcast_rows)
     heads = snapshots.select(
         *[F.col(b).alias(f"__b_{b}") for b in by],

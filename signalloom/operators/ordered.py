@@ -2,22 +2,26 @@
 
 A plain window over (key order by time) sorts every row of a key in one task,
 which is unusable when one key holds a third of the data.  Here time is cut
-into slices: the window runs inside (key, slice), one summary row per (key,
+into slices: the window runs inside (key, slice).  One summary row per (key,
 slice) is folded over the slices of the key, and what a slice inherits from
-the slices before it is joined back on (key, slice).  Results equal those of
-the plain window whenever the slice is a non-decreasing function of the order.
+the slices before it enters the window as a row of its own in front of the
+others, so that the rows themselves are shuffled once and joined with nothing.
+Results equal those of the plain window whenever the slice is a non-decreasing
+function of the order.
 
-The summaries are one row per slice of a key, so their window is small, and
-the join reuses the partitioning of the first window.
+The summaries are aggregated before they are shuffled, and their own windows
+see one row per slice of a key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from signalloom.operators.sizing import row_salt
+
 DEFAULT_SLICE = "hour"
 
 
@@ -29,21 +33,16 @@ def _keys(by: str | Sequence[str]) -> list[str]:
     return [by] if isinstance(by, str) else list(by)
 
 
-def _same_key(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
-    cond = None
-    for n in names:
-        one = left[n].eqNullSafe(right[f"__k_{n}"])
-        cond = one if cond is None else cond & one
-    return cond
+def _earlier_slices(keys: list[str]) -> WindowSpec:
+    return Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _attach(df: DataFrame, carried: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join of per-slice values; key columns of ``carried`` are dropped again."""
-    renamed = carried.select(
-        *[F.col(k).alias(f"__k_{k}") for k in keys],
-        *[c for c in carried.columns if c not in keys],
+def _with_carry(df: DataFrame, carried: DataFrame, parts: list[str], order: Sequence[str]) -> tuple[DataFrame, WindowSpec]:
+    """Rows and, in front of them in each (key, slice), the inherited row (``__own`` false)."""
+    both = df.withColumn("__own", F.lit(True)).unionByName(
+        carried.withColumn("__own", F.lit(False)), allowMissingColumns=True
     )
-    return df.join(renamed, _same_key(df, renamed, keys), "left").drop(*[f"__k_{k}" for k in keys])
+    return both, Window.partitionBy(*parts).orderBy("__own", *order)
 
 
 def number_rows(
@@ -55,20 +54,15 @@ def number_rows(
 ) -> DataFrame:
     """1-based position of each row in its key; ``order`` must be total."""
     keys = _keys(by)
-    parts = keys + ["__slice"]
+    parts = [*keys, "__slice"]
+    columns = df.columns
     df = df.withColumn("__slice", slice_by)
-    before = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        df.groupBy(*parts)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .select(*parts, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
-    )
-    local = df.withColumn("__rn", F.row_number().over(Window.partitionBy(*parts).orderBy(*order)))
-    return (
-        _attach(local, offsets, parts)
-        .withColumn(name, F.col("__rn") + F.col("__offset"))
-        .drop("__rn", "__offset", "__slice")
-    )
+    counts = df.groupBy(*parts).agg(F.count(F.lit(1)).alias("__n"))
+    carried = counts.select(*parts, F.coalesce(F.sum("__n").over(_earlier_slices(keys)), F.lit(0)).alias("__offset"))
+    both, w = _with_carry(df, carried, parts, order)
+    # the inherited row comes first, so the first own row has number 2
+    number = F.row_number().over(w) - 1 + F.first("__offset").over(w)
+    return both.withColumn(name, number).filter("__own").select(*columns, name)
 
 
 def with_previous(
@@ -80,22 +74,17 @@ def with_previous(
 ) -> DataFrame:
     """``lag``: adds, for each ``source: name``, the value in the previous row of the key."""
     keys = _keys(by)
-    parts = keys + ["__slice"]
-    df = df.withColumn("__slice", slice_by)
+    parts = [*keys, "__slice"]
+    kept = df.columns
     picked = F.struct(*[F.col(s).alias(n) for s, n in columns.items()])
-    ordering = F.struct(*order)
-    last = df.groupBy(*parts).agg(F.max_by(picked, ordering).alias("__last"))
+    df = df.withColumns({"__slice": slice_by, "__v": picked})
+    last = df.groupBy(*parts).agg(F.max_by("__v", F.struct(*order)).alias("__v"))
     carried = last.select(
-        *parts, F.lag("__last").over(Window.partitionBy(*keys).orderBy("__slice")).alias("__carried")
+        *parts, F.lag("__v").over(Window.partitionBy(*keys).orderBy("__slice")).alias("__v")
     )
-    w = Window.partitionBy(*parts).orderBy(*order)
-    local = df.withColumn("__rn", F.row_number().over(w)).withColumn("__lag", F.lag(picked).over(w))
-    joined = _attach(local, carried, parts).withColumn(
-        "__prev", F.when(F.col("__rn") == 1, F.col("__carried")).otherwise(F.col("__lag"))
-    )
-    for n in columns.values():
-        joined = joined.withColumn(n, F.col("__prev")[n])
-    return joined.drop("__rn", "__lag", "__carried", "__prev", "__slice")
+    both, w = _with_carry(df, carried, parts, order)
+    out = both.withColumn("__prev", F.lag("__v").over(w)).filter("__own")
+    return out.select(*kept, *[F.col("__prev")[n].alias(n) for n in columns.values()])
 
 
 def with_last_known(
@@ -107,42 +96,58 @@ def with_last_known(
 ) -> DataFrame:
     """Forward fill: per ``name: expr`` the last non-null ``expr`` up to and including the row."""
     keys = _keys(by)
-    parts = keys + ["__slice"]
-    names = list(known)
-    df = df.withColumn("__slice", slice_by)
-    for n, e in known.items():
-        df = df.withColumn(f"__v_{n}", e)
-    ordering = F.struct(*order)
+    parts = [*keys, "__slice"]
+    kept, names = df.columns, list(known)
+    df = df.withColumns({"__slice": slice_by, **{f"__v_{n}": e for n, e in known.items()}})
+    at = F.struct(*order)
     ends = df.groupBy(*parts).agg(
-        *[
-            F.max_by(f"__v_{n}", F.when(F.col(f"__v_{n}").isNotNull(), ordering)).alias(f"__e_{n}")
-            for n in names
-        ]
+        *[F.max_by(f"__v_{n}", F.when(F.col(f"__v_{n}").isNotNull(), at)).alias(f"__v_{n}") for n in names]
     )
-    before = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = ends.select(
-        *parts, *[F.last(f"__e_{n}", ignorenulls=True).over(before).alias(f"__c_{n}") for n in names]
+        *parts, *[F.last(f"__v_{n}", True).over(_earlier_slices(keys)).alias(f"__v_{n}") for n in names]
     )
-    w = Window.partitionBy(*parts).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = df.select("*", *[F.last(f"__v_{n}", ignorenulls=True).over(w).alias(f"__l_{n}") for n in names])
-    joined = _attach(local, carried, parts)
-    for n in names:
-        joined = joined.withColumn(n, F.coalesce(f"__l_{n}", f"__c_{n}"))
-    return joined.drop("__slice", *[f"__{p}_{n}" for n in names for p in "vlc"])
+    both, w = _with_carry(df, carried, parts, order)
+    w = w.rowsBetween(Window.unboundedPreceding, 0)
+    out = both.select("*", *[F.last(f"__v_{n}", True).over(w).alias(f"__l_{n}") for n in names])
+    return out.filter("__own").select(*kept, *[F.col(f"__l_{n}").alias(n) for n in names])
 
 
-def keep_first(df: DataFrame, n: int, by: Sequence[str], order: Sequence[Column], total: Sequence[str]) -> DataFrame:
-    """First ``n`` rows per key.
+def with_earlier_max(
+    df: DataFrame,
+    by: str | Sequence[str],
+    order: Sequence[str],
+    value: Column,
+    name: str,
+    slice_by: Column,
+) -> DataFrame:
+    """The greatest ``value`` in the rows of the key before the row (null for the first)."""
+    keys = _keys(by)
+    parts = [*keys, "__slice"]
+    kept = df.columns
+    df = df.withColumns({"__slice": slice_by, "__v": value})
+    tops = df.groupBy(*parts).agg(F.max("__v").alias("__v"))
+    carried = tops.select(*parts, F.max("__v").over(_earlier_slices(keys)).alias("__v"))
+    both, w = _with_carry(df, carried, parts, order)
+    top = F.max("__v").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    return both.withColumn(name, top).filter("__own").select(*kept, name)
+
+
+def keep_first(
+    df: DataFrame, n: int, by: Sequence[str], order: Sequence[Column], total: Sequence[str], salts: int = 32
+) -> DataFrame:
+    """First ``n`` rows per key (of the whole table without ``by``); ``total`` names the order's columns.
 
-    Up to the session's window group limit Spark itself cuts every map task
-    down to n rows per key before the shuffle.  Beyond it, rows are first cut
-    inside (key, salt) so that no task sees a whole hot key.
+    Rows are cut to ``n`` inside (key, salt) first, so the last step sees at
+    most ``salts * n`` rows of a key however many there are.  Where ``n`` is
+    within the session's window group limit, Spark cuts every map task down to
+    ``n`` rows per group before each of the two shuffles as well.
     """
-    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if n > threshold:
-        salt = F.pmod(F.xxhash64(*total), F.lit(64))
-        w = Window.partitionBy(*by, "__salt").orderBy(*order)
-        df = df.withColumn("__salt", salt).withColumn("__rn", F.row_number().over(w))
-        df = df.filter(F.col("__rn") <= n).drop("__rn", "__salt")
+    if salts > 1:
+        salted = df.withColumn("__salt", row_salt(df.select(*total), salts))
+        df = _first_of_group(salted, n, [*by, "__salt"], order).drop("__salt")
+    return _first_of_group(df, n, by, order) if by else df.orderBy(*order).limit(n)
+
+
+def _first_of_group(df: DataFrame, n: int, by: Sequence[str], order: Sequence[Column]) -> DataFrame:
     w = Window.partitionBy(*by).orderBy(*order)
     return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= n).drop("__rn")

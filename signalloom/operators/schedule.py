@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from signalloom.functions.hashing import jitter_minutes, key_fingerprint, valid_key
 from signalloom.limits import MIN_RETRY_MINUTES, WINDOW_MINUTES
+from signalloom.operators.ordered import time_slice, with_earlier_max
 
 # Columns a decision needs, beside the key.
 POLICY_COLUMNS = ("enabled", "interval_hours", "preferred_hour_utc", "run_now_at")
@@ -117,17 +118,11 @@ def state_from_ledger(ledger: DataFrame, by: str = "project_id") -> DataFrame:
     )
 
 
-def overlapping_runs(ledger: DataFrame, by: str = "project_id") -> DataFrame:
-    """Accepted runs of a project that started before an earlier one had ended.
-
-    The ledger has one row per run, so a project's window is short even where
-    its events are many.
-    """
+def overlapping_runs(ledger: DataFrame, by: str = "project_id", slice_unit: str = "week") -> DataFrame:
+    """Accepted runs of a project that started before an earlier one had ended."""
     end = F.coalesce("finished_at", F.lit("9999-12-31 00:00:00").cast("timestamp_ntz"))
-    earlier = Window.partitionBy(by).orderBy("started_at", "run_id").rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        ledger.filter(F.col("started_at").isNotNull())
-        .withColumn("__busy_until", F.max(end).over(earlier))
-        .filter(F.col("started_at") < F.col("__busy_until"))
-        .drop("__busy_until")
+    started = ledger.filter(F.col("started_at").isNotNull())
+    busy = with_earlier_max(
+        started, by, ("started_at", "run_id"), end, "__busy_until", time_slice("started_at", slice_unit)
     )
+    return busy.filter(F.col("started_at") < F.col("__busy_until")).drop("__busy_until")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from signalloom.functions.hashing import hmac_pads, hmac_with_pads
 from signalloom.limits import REPLAY_WINDOW_SECONDS
-from signalloom.operators.sizing import maybe_broadcast
+from signalloom.operators.sizing import fits_broadcast
 
 # Names of the fields that carry the signature inside a body.
 KEY_FIELD, TIME_FIELD, SIGNATURE_FIELD = "__key", "__ts", "__sig"
@@ -24,7 +24,9 @@ EMBEDDED = (
 
 def _with_pads(df: DataFrame, secrets: DataFrame, key: str) -> DataFrame:
     side = secrets.select(F.col("key_id").alias("__kid"), hmac_pads("secret").alias("__pads"))
-    return df.join(maybe_broadcast(side), F.col(key) == F.col("__kid"), "left")
+    if fits_broadcast(secrets):
+        side = F.broadcast(side)
+    return df.join(side, F.col(key) == F.col("__kid"), "left")
 
 
 def _signature(ts: Column, body: Column) -> Column:

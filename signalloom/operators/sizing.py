@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_ROWS = 100_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
@@ -15,20 +15,30 @@ def fits_broadcast(
     max_rows: int = MAX_BROADCAST_ROWS,
     max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> bool:
-    """True only if ``df`` is known to stay under both bounds.
+    """True only if ``df`` is known to stay under both bounds."""
+    return values_if_small(df, F.lit(0), max_rows, max_bytes) is not None
 
-    One small job: it stops reading after ``max_rows + 1`` rows and returns
-    two numbers.  The byte count is that of the rows as text.
+
+def values_if_small(
+    df: DataFrame,
+    value: Column,
+    max_rows: int = MAX_BROADCAST_ROWS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
+) -> set | None:
+    """The distinct values of ``value`` in a table that fits both bounds, else None.
+
+    The check fetches one small number per row and stops after ``max_rows + 1``
+    rows: Spark runs the last stage on one partition, then on a few more, only
+    until the limit is reached, so a table that does not fit costs little.  The
+    byte count is that of the rows as text.
     """
     if max_rows <= 0:
-        return False
-    row = (
-        df.limit(max_rows + 1)
-        .select(F.octet_length(F.to_json(F.struct(F.struct(*df.columns).alias("r")))).alias("b"))
-        .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("b"), F.lit(0)).alias("b"))
-        .first()
-    )
-    return row["n"] <= max_rows and row["b"] <= max_bytes
+        return None
+    size = F.octet_length(F.to_json(F.struct(F.struct(*df.columns).alias("r"))))
+    rows = df.select(size.alias("size"), value.alias("value")).limit(max_rows + 1).collect()
+    if len(rows) > max_rows or sum(r["size"] for r in rows) > max_bytes:
+        return None
+    return {r["value"] for r in rows}
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
@@ -49,3 +59,18 @@ def _holds_map(t: T.DataType) -> bool:
     if isinstance(t, T.ArrayType):
         return _holds_map(t.elementType)
     return isinstance(t, (T.MapType, T.VariantType))
+
+
+def spread(df: DataFrame, min_bytes: int = 1 << 20) -> DataFrame:
+    """Give CPU-heavy work on a few unsplittable files more tasks than files.
+
+    A scan that already has a partition per core passes unchanged, so this
+    does nothing for tables of any size; otherwise the raw rows are dealt out
+    once.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    plan = df._jdf.queryExecution()
+    if plan.toRdd().getNumPartitions() >= cores:
+        return df
+    size = int(str(plan.optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size >= min_bytes else df

@@ -29,6 +29,7 @@ from signalloom.functions.hashing import KEY_PATTERN
 from signalloom.limits import ARTIFACT_MAGIC, HEADER_BYTES, TAG_BYTES
 
 CHUNK_BYTES = 64 * 1024 * 1024
+GZIP_LEVEL = 6
 _KEY = re.compile(KEY_PATTERN.replace(r"\z", r"\Z"))
 _CHUNK = "snapshot_id string, key_id string, chunk_id string, n_rows long, raw_bytes long, gz binary"
 
@@ -88,7 +89,7 @@ def build_artifacts(
                     stream.write_batch(b)
             plain = raw.getvalue()
             n = sum(b.num_rows for b in held)
-            row = [snapshot_id, key_id, f"{part:06d}-{number:06d}", n, len(plain), gzip.compress(plain, mtime=0)]
+            row = [snapshot_id, key_id, f"{part:06d}-{number:06d}", n, len(plain), gzip.compress(plain, GZIP_LEVEL, mtime=0)]
             types = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.binary()]
             names = ["snapshot_id", "key_id", "chunk_id", "n_rows", "raw_bytes", "gz"]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names)

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from signalloom.operators.sizing import spread
+
 TELEMETRY = """
 select event_id, ts, user_id,
   case event_type when 'error' then 'error' when 'click' then 'debug'
@@ -140,7 +142,7 @@ VIEWS = {
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

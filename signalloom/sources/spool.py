@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from signalloom.limits import SPOOL_TTL_HOURS
 from signalloom.operators.delivery import drop_expired, persist_budget
 from signalloom.operators.nested import scrub_json
+from signalloom.sources.scratch import materialize
 
 
 def spool_rows(
@@ -19,7 +20,8 @@ def spool_rows(
     order: Sequence[str] = ("ts", "event_id"),
 ) -> DataFrame:
     """What may be stored: redacted items within the item and total limits."""
-    return persist_budget(df.withColumn(item, scrub_json(item)), item, by, order)
+    clean = materialize(df.withColumn(item, scrub_json(item)), "spool")
+    return persist_budget(clean, item, by, order)
 
 
 def write_spool(

@@ -18,7 +18,7 @@ def _match(spark, ips, entries, now=T0, **kw):
     return [r["matched_pos"] for r in rows]
 
 
-@pytest.mark.parametrize("limit", [200_000, 0])
+@pytest.mark.parametrize("limit", [100_000, 0])
 def test_vectors(spark, limit):
     entries = [
         (1, "ASN", "AS1", None),
@@ -44,7 +44,7 @@ def test_vectors(spark, limit):
     assert _match(spark, ips, entries, max_broadcast_rows=limit) == want
 
 
-@pytest.mark.parametrize("limit", [200_000, 0])
+@pytest.mark.parametrize("limit", [100_000, 0])
 def test_zero_prefix_matches_ipv4_only(spark, limit):
     entries = [(1, "CIDR", "0.0.0.0/0", None)]
     assert _match(spark, ["1.2.3.4", "::1", "1.2.3.256", "01.002.3.4"], entries, max_broadcast_rows=limit) == [1, None, None, 1]
@@ -54,7 +54,7 @@ def test_empty_list(spark):
     assert _match(spark, ["1.2.3.4"], [(1, "ASN", "x", None)]) == [None]
 
 
-@pytest.mark.parametrize("limit", [200_000, 0])
+@pytest.mark.parametrize("limit", [100_000, 0])
 def test_random_lists_against_the_definition(spark, limit):
     rnd = random.Random(3)
     entries = []
@@ -145,7 +145,7 @@ def test_events_carry_method_and_path(spark):
     assert row["metadata_json"] == '{"matchedValue":"1.0.0.0/8","method":"GET","path":"/u"}'
 
 
-@pytest.mark.parametrize("limit", [200_000, 0])
+@pytest.mark.parametrize("limit", [100_000, 0])
 def test_point_in_time_per_tenant(spark, limit):
     snap = "tenant string, fetched_at timestamp_ntz, mode string, entries array<struct<type:string,value:string,expires_at:timestamp_ntz>>"
     h = lambda n: T0 + dt.timedelta(hours=n)
