@@ -140,29 +140,36 @@ def assign_batches(
     )
 
 
+def batch_sizes(df: DataFrame, body: str = "body", batch: str = "batch_id") -> DataFrame:
+    """Q7: ``n_events`` and ``batch_bytes`` of every batch.
+
+    A batch is ``{"events":[...]}``, a single event travels bare.
+    """
+    n = F.col("n_events")
+    sums = df.groupBy(batch).agg(
+        F.count(F.lit(1)).alias("n_events"), F.sum(F.octet_length(body).cast("long")).alias("__bytes")
+    )
+    envelope = F.when(n == 1, 0).otherwise(F.lit(len('{"events":[]}')) + n - 1)
+    return sums.select(batch, "n_events", (F.col("__bytes") + envelope).alias("batch_bytes"))
+
+
 def batch_size_gate(
     df: DataFrame, body: str = "body", batch: str = "batch_id", split_oversized: bool = True
 ) -> DataFrame:
-    """Q7: adds ``batch_bytes`` and ``gate`` (send / split / failed) to every event.
+    """Q7: adds ``gate`` (send / split / failed) to every event.
 
-    A batch is ``{"events":[...]}``, a single event travels bare.  Oversized
-    batches are sent event by event; ``split_oversized=False`` fails them
-    without a retry.  An event that is too large alone always fails.
+    Oversized batches are sent event by event; ``split_oversized=False`` fails
+    them without a retry.  An event that is too large alone always fails.  Only
+    sizes are shuffled: the events are joined with the oversized batches,
+    which are few, and not with all totals.
     """
     limit = MAX_BODY_BYTES["fetch"]
-    size = F.octet_length(body).cast("long")
-    totals = df.groupBy(F.col(batch).alias("__batch")).agg(
-        F.sum(size).alias("__bytes"), F.count(F.lit(1)).alias("__n")
-    )
-    joined = df.join(totals, F.col(batch) == F.col("__batch"), "left")
-    envelope = F.lit(len('{"events":[]}')) + F.col("__n") - 1
-    joined = joined.withColumn(
-        "batch_bytes", F.when(F.col("__n") == 1, F.col("__bytes")).otherwise(F.col("__bytes") + envelope)
-    )
-    over = F.col("batch_bytes") > limit
-    alone = F.when((F.col("__n") > 1) & (size <= limit), "split").otherwise("failed")
-    gate = F.when(~over, "send").otherwise(alone if split_oversized else F.lit("failed"))
-    return joined.withColumn("gate", gate).drop("__batch", "__bytes", "__n")
+    over = batch_sizes(df, body, batch).filter(F.col("batch_bytes") > limit)
+    over = materialize(over.select(F.col(batch).alias("__batch"), F.col("n_events").alias("__n")), "oversized")
+    joined = df.join(maybe_broadcast(over), F.col(batch) == F.col("__batch"), "left")
+    alone = F.when((F.col("__n") > 1) & (F.octet_length(body) <= limit), "split").otherwise("failed")
+    gate = F.when(F.col("__n").isNull(), "send").otherwise(alone if split_oversized else F.lit("failed"))
+    return joined.withColumn("gate", gate).drop("__batch", "__n")
 
 
 def join_acks(events: DataFrame, acks: DataFrame, batch: str = "batch_id", pos: str = "pos") -> DataFrame:

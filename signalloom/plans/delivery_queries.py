@@ -142,7 +142,8 @@ QUERIES = {
     "Q6_assign_batches": lambda s, d: Q.assign_batches(_queue(s, d).drop("item_json"), "user_id").select(
         "event_id", "user_id", "batch_no", "pos"
     ),
-    "Q7_batch_size_gate": lambda s, d: Q.batch_size_gate(view(s, d, "sent")).select("event_id", "batch_bytes", "gate"),
+    "Q7_batch_size_gate": lambda s, d: Q.batch_size_gate(view(s, d, "sent")).select("event_id", "gate"),
+    "Q7_batch_sizes": lambda s, d: Q.batch_sizes(view(s, d, "sent")),
     "Q8_join_acks": lambda s, d: Q.join_acks(view(s, d, "sent").drop("body"), view(s, d, "acks")).select(
         "event_id", "success", "ack_id", "ack_type"
     ),
@@ -216,9 +217,11 @@ ORACLE = {
         from (select *, row_number() over (partition by user_id order by ts, event_id) as rn from $queue)""",
     "Q7_batch_size_gate": """with t as (select *, strlen(body) as b, sum(strlen(body)) over p as total, count(*) over p as n
           from $sent window p as (partition by batch_id))
-        select event_id, cast(case when n = 1 then total else total + 13 + n - 1 end as bigint) as batch_bytes,
-          case when (case when n = 1 then total else total + 13 + n - 1 end) <= 262144 then 'send'
+        select event_id, case when (case when n = 1 then total else total + 13 + n - 1 end) <= 262144 then 'send'
                when n > 1 and b <= 262144 then 'split' else 'failed' end as gate from t""",
+    "Q7_batch_sizes": """select batch_id, count(*) as n_events,
+          cast(sum(strlen(body)) + case when count(*) = 1 then 0 else 13 + count(*) - 1 end as bigint) as batch_bytes
+        from $sent group by batch_id""",
     "Q8_join_acks": """select s.event_id, s.status = 200 as success, case when s.status = 200 then a.ack_id end as ack_id,
           case when s.status = 200 then a.ack_type end as ack_type
         from $sent s left join $acks a using (batch_id, pos)""",

@@ -299,7 +299,7 @@ ORACLE = {
           case when event_id % 4 = 0 then 'MEDIUM' else coalesce(severity, 'MEDIUM') end as severity,
           {_clean('message')} as message,
           md5({_scrub_stack("case when event_id % 4 = 0 and stack is null then name || ': ' || message else stack end")}) as stack_digest,
-          case when event_id % 4 = 0 then '{{"name":"' || name || '"}}' else replace(metadata_json, ' ', '') end as metadata_json,
+          case when event_id % 4 = 0 then '{{"name":"' || name || '"}}' else metadata_json end as metadata_json,
           '{_NOW_ISO}' as timestamp from err""",
     "P3_normalize_debug": f"""select event_id, coalesce(case when event_id % 2 = 0 then source end, 'unknown') as debug_type,
           '{_NOW_ISO}' as timestamp, message from $telemetry where type = 'debug'""",

@@ -83,7 +83,7 @@ select event_id, user_id, cast(floor(event_id / 10) as bigint) as batch_id,
   case when floor(event_id / 10) % 17 = 0 then 400 when floor(event_id / 10) % 13 = 0 then 500
        when floor(event_id / 10) % 11 = 0 then 429 when floor(event_id / 10) % 7 = 0 then 404
        else 200 end as status,
-  concat('{"message":"', repeat('m', cast((event_id * 131) % 60000 as int)), '"}') as body
+  concat('{"message":"', repeat('m', cast((event_id * 131) % (case when floor(event_id / 10) % 12 = 0 then 60000 else 900 end) as int)), '"}') as body
 from events
 """
 

@@ -1,4 +1,5 @@
 import json
+import random
 from decimal import Decimal
 
 from hypothesis import given, settings
@@ -114,7 +115,28 @@ def test_scrub_json(spark):
     assert v["many"] == [*range(100), "[+30 more]"]
     assert v["t"] is True and v["none"] is None
     assert v["err"]["message"] == "pwd: [REDACTED]"
-    assert got[1:] == ["not json password=[REDACTED]", "[1,2]"]
+    assert got[1:] == ["not json password=[REDACTED]", "[1, 2]"]
+
+
+def test_json_that_skips_python_needs_no_redaction(spark):
+    from signalloom.operators.nested import _scrub_json_text, may_need_scrubbing
+
+    rnd = random.Random(4)
+    words = ["a", "pwd", "Token", "p\\u0061ssword", "x@y.zz", "4111111111111111", "email", "eyJa.b.c", "bearer q", "k: v", "SESSION", "n"]
+
+    def value(depth):
+        kind = rnd.random()
+        if kind < 0.3 and depth < 7:
+            return "{" + ",".join(f'"{rnd.choice(words)}{i}":{value(depth + 1)}' for i in range(rnd.randint(0, 3))) + "}"
+        if kind < 0.5 and depth < 7:
+            return "[" + ",".join(value(depth + 1) for _ in range(rnd.choice([0, 1, 2, 101]) if depth < 1 else 1)) + "]"
+        return rnd.choice(["1", "true", "null", *[f'"{w}"' for w in words]])
+
+    texts = [value(0) for _ in range(3000)]
+    df = spark.createDataFrame([(t,) for t in texts], "s string").select("s", may_need_scrubbing(F.col("s")).alias("n"))
+    skipped = [r["s"] for r in df.filter("not n").collect()]
+    assert len(skipped) > 300
+    assert [json.loads(_scrub_json_text(t)) for t in skipped] == [json.loads(t) for t in skipped]
 
 
 def test_scrub_struct_from_schema(spark):
@@ -165,8 +187,6 @@ def test_python_form_is_stable(text):
 
 
 def test_python_and_jvm_forms_agree(spark):
-    import random
-
     rnd = random.Random(7)
     pieces = ["token", "pwd", "=", ": ", " ", '"', "bob@example.com", "a@b.co_c@d.org", "4111111111111111", "é", " ",
               "Bearer ", "eyJa.b.c", "api_key", "secret", "x", "[REDACTED]", ",", "}", "12345678901234"]
