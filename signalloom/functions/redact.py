@@ -8,6 +8,8 @@ expressions.  The same patterns are compiled by Python's ``re`` in
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -128,12 +130,11 @@ def _replace_if(c: Column | str, marks: tuple[str, ...], pattern: str, by: str,
     hold none of the marks.
     """
 
+    def holds_mark(text: Column) -> Column:
+        return reduce(or_, [text.contains(m) for m in marks])
+
     def rule(text: Column) -> Column:
-        hit = None
-        folded = F.lower(text) if fold else text
-        for m in marks:
-            one = folded.contains(m)
-            hit = one if hit is None else hit | one
+        hit = bind(F.lower(text), holds_mark) if fold else holds_mark(text)
         return F.when(hit, F.regexp_replace(text, pattern, by)).otherwise(text)
 
     return bind(_col(c), rule)

@@ -9,8 +9,6 @@ with the same rules.
 from __future__ import annotations
 
 import json
-from functools import reduce
-from operator import or_
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -21,7 +19,6 @@ from signalloom.functions.redact import (
     MASKED_NAME,
     REDACTED,
     SECRET_NAME,
-    bind,
     mask_email,
     mask_text,
     masked_name,
@@ -29,7 +26,7 @@ from signalloom.functions.redact import (
     scrub_text,
     secret_name,
 )
-from signalloom.limits import MAX_ARRAY_ITEMS, MAX_NESTING, MAX_STRING_CHARS
+from signalloom.limits import MAX_ARRAY_ITEMS, MAX_NESTING
 
 TOO_DEEP = "[MaxDepth]"
 _NESTED = (T.StructType, T.ArrayType, T.MapType)
@@ -142,43 +139,11 @@ def _scrub_json_text(text: str | None) -> str | None:
 
 
 @F.pandas_udf(T.StringType())
-def _scrub_json_texts(texts: pd.Series) -> pd.Series:
+def scrub_json(texts: pd.Series) -> pd.Series:
+    """R5 on JSON text of unknown shape; text that is no JSON is redacted as a string."""
     return texts.map(_scrub_json_text)
 
 
-# Without one of these (lower case) no field name and no string can need redaction.
-_MARKS = ("passw", "pwd", "secret", "token", "auth", "api", "jwt", "cookie", "session", "signature", "email")
-_MARKS += ("@", "bearer", "eyj", "\\u")  # (escapes may spell any of them)
-
-
-def may_need_scrubbing(c: Column) -> Column:
-    """False only for JSON text that redaction would leave as it is.
-
-    Besides the marks: digit runs of card length, strings, arrays and nesting
-    that could be over their limits.
-    """
-    marked = bind(F.lower(c), lambda low: reduce(or_, [low.contains(m) for m in _MARKS]))
-    return (
-        marked
-        | (F.char_length(c) > MAX_STRING_CHARS)
-        | c.rlike("[0-9]{13}")
-        | (F.regexp_count(c, F.lit(",")) >= MAX_ARRAY_ITEMS)
-        | (F.regexp_count(c, F.lit(r"[\[{]")) > MAX_NESTING)
-    )
-
-
-def scrub_json(c: Column | str) -> Column:
-    """R5 on JSON text of unknown shape.
-
-    Text that needs no redaction stays byte for byte and is not sent to Python;
-    other text comes back in compact form.  Text that is no JSON is redacted
-    as a string.
-    """
-    c = F.col(c) if isinstance(c, str) else c
-    needs = may_need_scrubbing(c)
-    return F.when(needs, _scrub_json_texts(F.when(needs, c))).otherwise(c)
-
-
 def scrub_once_at_sink(df: DataFrame, json_columns: tuple[str, ...] = (), keep: tuple[str, ...] = ()) -> DataFrame:
     """The one redaction pass right before rows are stored or sent."""
     scrubbed = scrub_nested(df, keep=(*keep, *json_columns))
