@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,10 +54,23 @@ def fingerprint(key_hex: str) -> str:
     return hashlib.sha256(parse_key(key_hex)).hexdigest()[:16]
 
 
-def _key_table(spark: SparkSession, key_hex: str) -> DataFrame:
-    return F.broadcast(
-        spark.createDataFrame([(fingerprint(key_hex), bytearray(parse_key(key_hex)))], "__kid string, __key binary")
-    )
+def _with_key(df: DataFrame, key_hex: str, content: str) -> DataFrame:
+    """Adds the key as ``__key``, from a one-row table rather than as a literal.
+
+    The key id is named by an expression over the content: a constant would be
+    folded and turn the equi-join into a nested loop.
+    """
+    key_id = fingerprint(key_hex)
+    row = [(key_id, bytearray(parse_key(key_hex)))]
+    keys = F.broadcast(df.sparkSession.createDataFrame(row, "__kid string, __key binary"))
+    named = df.withColumn("__try", F.when(F.coalesce(F.octet_length(content), F.lit(0)) >= 0, F.lit(key_id)))
+    return named.join(keys, F.col("__try") == F.col("__kid"), "left").drop("__try", "__kid")
+
+
+def seal(df: DataFrame, key_hex: str, content: str = "gz") -> DataFrame:
+    """``content`` encrypted, as ``artifact`` in its place."""
+    sealed = F.concat(F.lit(bytearray(ARTIFACT_MAGIC)), F.aes_encrypt(content, "__key", F.lit("GCM")))
+    return _with_key(df, key_hex, content).withColumn("artifact", sealed).drop(content, "__key")
 
 
 def _slices(batch: pa.RecordBatch, max_bytes: int) -> Iterator[pa.RecordBatch]:
@@ -105,10 +118,7 @@ def build_artifacts(
         if held:
             yield chunk()
 
-    chunks = df.mapInArrow(pack, _CHUNK)
-    keyed = chunks.join(_key_table(df.sparkSession, key_hex), F.col("key_id") == F.col("__kid"))
-    sealed = F.concat(F.lit(bytearray(ARTIFACT_MAGIC)), F.aes_encrypt("gz", "__key", F.lit("GCM")))
-    return keyed.withColumn("artifact", sealed).drop("gz", "__kid", "__key")
+    return seal(df.mapInArrow(pack, _CHUNK), key_hex)
 
 
 def manifest_of(artifacts: DataFrame) -> DataFrame:
@@ -156,18 +166,12 @@ def open_artifacts(artifacts: DataFrame, key_hex: str) -> DataFrame:
     Every artifact is tried with the given key, whatever key id it names.
     """
     magic = len(ARTIFACT_MAGIC)
-    key_id = fingerprint(key_hex)
-    # the right key is named per row by an expression over the artifact, which
-    # keeps this an equi-join with the one-row key table
-    named = F.when(F.octet_length("artifact") >= 0, F.lit(key_id))
-    keyed = artifacts.withColumn("__try", named).join(
-        _key_table(artifacts.sparkSession, key_hex), F.col("__try") == F.col("__kid"), "left"
-    )
+    keyed = _with_key(artifacts, key_hex, "artifact")
     whole = F.octet_length("artifact") >= HEADER_BYTES + TAG_BYTES
     body = F.when(whole, F.substring("artifact", magic + 1, 2**31 - 1))
     opened = keyed.withColumn("opened", F.try_aes_decrypt(body, "__key", F.lit("GCM")))
     return opened.withColumn("artifact_status", artifact_status("artifact", F.col("opened"))).drop(
-        "__try", "__kid", "__key"
+        "__key"
     )
 
 

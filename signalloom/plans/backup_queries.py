@@ -11,7 +11,7 @@ from signalloom.operators import schedule as B
 from signalloom.operators import snapshots as A
 from signalloom.plans.views import table, view
 from signalloom.sources.artifacts import read_snapshot, write_encrypted_snapshot
-from signalloom.sources.scratch import scratch_path
+from signalloom.sources.scratch import materialize, scratch_path
 
 NOW = "2024-01-31 02:10:00"
 # a key for the test data, no secret
@@ -75,22 +75,20 @@ def verified(s: SparkSession, d: str) -> DataFrame:
 
 
 def statuses(s: SparkSession, d: str) -> DataFrame:
-    """One damaged artifact per document, the damage depending on its number."""
-    path, _run = snapshot(s, d, "nation")
-    artifacts, _manifest = read_snapshot(s, path, "nation")
-    good = artifacts.select(F.lit(1).alias("one"), "artifact").limit(1)
-    kind = F.col("doc_id") % 6
-    a = F.col("artifact")
-    # distinct per document, so that the work is not shared between rows
-    rows = table(s, d, "documents").select("doc_id", F.lit(1).cast("int").alias("one"), F.md5("text").alias("h"))
-    damaged = rows.join(F.broadcast(good), "one").select(
+    """An artifact per document, damaged in a way that depends on its number.
+
+    Written before it is read twice: sealing again would give other bytes.
+    """
+    texts = table(s, d, "documents").select("doc_id", F.encode("text", "UTF-8").alias("gz"))
+    sealed = materialize(A.seal(texts, KEY), "sealed")
+    kind, a = F.col("doc_id") % 6, F.col("artifact")
+    damaged = sealed.select(
         "doc_id",
-        F.col("doc_id").cast("string").alias("chunk_id"),
         F.when(kind == 0, a)
-        .when(kind == 1, F.concat(F.encode(F.lit("FOREIGN1"), "UTF-8"), F.substring(a, 9, 1 << 30)))
+        .when(kind == 1, F.concat(F.encode(F.lit("FOREIGN1"), "UTF-8"), F.expr("substring(artifact, 9)")))
         .when(kind == 2, F.substring(a, 1, 15))
         .when(kind == 3, F.substring(a, 1, 30))
-        .when(kind == 4, F.concat(F.substring(a, 1, 40), F.unhex("h"), F.substring(a, 57, 1 << 30)))
+        .when(kind == 4, F.concat(F.substring(a, 1, 24), F.unhex(F.md5(a)), F.expr("substring(artifact, 41)")))
         .when(kind == 5, F.expr("substring(artifact, 1, octet_length(artifact) - 3)"))
         .alias("artifact"),
     )
