@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from signalloom.functions.redact import SPACE
+from signalloom.functions.redact import SPACE, bind
 from signalloom.functions.text import filled
 
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]{1,2})"
@@ -52,10 +52,12 @@ def normalize_ip(c: Column | str) -> Column:
 def ipv4_to_long(c: Column | str) -> Column:
     """the address as a number, null unless four parts of 0 to 255."""
     c = _col(c)
-    parts = [F.split_part(c, F.lit("."), F.lit(i)).cast("long") for i in range(1, 5)]
-    total = parts[0] * (1 << 24) + parts[1] * (1 << 16) + parts[2] * (1 << 8) + parts[3]
+
+    def number(part: Column) -> Column:
+        return sum((part[i].cast("long") * (1 << 8 * (3 - i)) for i in range(1, 4)), part[0].cast("long") * (1 << 24))
+
     # the pattern also guards the casts, which fail on other text under ANSI
-    return F.when(c.rlike(IPV4), total)
+    return F.when(c.rlike(IPV4), bind(F.split(c, r"\."), number))
 
 
 def network_of(address: Column, prefix: int) -> Column:

@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 
 from signalloom.functions.delay import next_poll
 from signalloom.functions.net import ipv4_to_long, network_of, normalize_ip
+from signalloom.functions.redact import bind
 from signalloom.limits import POLL_MS
-from signalloom.operators.ordered import number_rows, time_slice, with_last_known, with_previous
+from signalloom.operators.ordered import HOT_ROWS, number_rows, time_slice, with_last_known, with_previous
 from signalloom.operators.sizing import MAX_BROADCAST_ROWS, fits_broadcast, row_salt, values_if_small
 from signalloom.sources.scratch import materialize
 
@@ -52,13 +53,17 @@ def cidr_parts(value: Column | str) -> Column:
     second slash is ignored.
     """
     value = F.col(value) if isinstance(value, str) else value
-    length = F.split_part(value, F.lit("/"), F.lit(2))
-    prefix = F.when(length.rlike(r"\A[0-9]{1,2}\z"), length.try_cast("int"))
-    network = ipv4_to_long(F.split_part(value, F.lit("/"), F.lit(1)))
-    return F.when(
-        value.contains("/") & prefix.between(0, 32) & network.isNotNull(),
-        F.struct(prefix.alias("prefix"), network.bitwiseAND(_mask(prefix)).alias("network")),
-    )
+
+    def numbers(part: Column) -> Column:
+        return F.struct(part[1].cast("int").alias("prefix"), ipv4_to_long(part[0]).alias("network"))
+
+    def masked(n: Column) -> Column:
+        network = n["network"].bitwiseAND(_mask(n["prefix"]))
+        usable = (n["prefix"] <= 32) & network.isNotNull()
+        return F.when(usable, F.struct(n["prefix"].alias("prefix"), network.alias("network")))
+
+    shaped = value.rlike(r"\A[0-9.]+/[0-9]{1,2}(?:/|\z)")
+    return F.when(shaped, bind(bind(F.split(value, "/"), numbers), masked))
 
 
 def ip_in_cidr(ip: Column | str, cidr: Column | str) -> Column:
@@ -457,6 +462,7 @@ def fold_polls(
     order: Sequence[str] = ("ts", "poll_id"),
     slice_unit: str = "day",
     base_ms: int = POLL_MS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """state of a poller after each poll.
 
@@ -468,10 +474,10 @@ def fold_polls(
     cut = time_slice(order[0], slice_unit)
     ok = F.coalesce(F.col("status").between(200, 299), F.lit(False))
     good = ok | F.coalesce(F.col("status") == 304, F.lit(False))
-    numbered = number_rows(polls, by, order, cut, "__no")
+    numbered = number_rows(polls, by, order, cut, "__no", hot_rows)
     state = F.when(ok, F.struct(F.col("mode"), F.col("etag"), F.col(order[0]).alias("at")))
     folded = with_last_known(
-        numbered, by, order, {"__state": state, "__good": F.when(good, F.col("__no"))}, cut
+        numbered, by, order, {"__state": state, "__good": F.when(good, F.col("__no"))}, cut, hot_rows
     )
     errors = (F.col("__no") - F.coalesce(F.col("__good"), F.lit(0))).cast("int")
     return (

@@ -18,7 +18,7 @@ from signalloom.limits import (
     SPOOL_TTL_HOURS,
 )
 from signalloom.operators.events import classify_status
-from signalloom.operators.ordered import keep_first, number_rows, time_slice
+from signalloom.operators.ordered import HOT_ROWS, keep_first, number_rows, time_slice
 from signalloom.operators.sizing import maybe_broadcast, row_salt
 from signalloom.sources.scratch import materialize
 
@@ -125,16 +125,17 @@ def assign_batches(
     size: int = CLIENT_BATCH,
     order: Sequence[str] = ORDER,
     slice_by: Column | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Q6: adds ``batch_no`` and ``pos`` (both from 0) in queue order per key.
 
-    ``slice_by`` cuts a key into pieces that are numbered independently (see
+    ``slice_by`` cuts a key of more than ``hot_rows`` rows into pieces (see
     ``operators.ordered``); default: the hour of the first order column.
     """
     cut = slice_by if slice_by is not None else time_slice(order[0])
     n = F.col("__no") - 1
     return (
-        number_rows(df, by, order, cut, "__no")
+        number_rows(df, by, order, cut, "__no", hot_rows)
         .withColumns({"batch_no": F.floor(n / size), "pos": (n % size).cast("int")})
         .drop("__no")
     )

@@ -1,16 +1,17 @@
-"""Ordered computations per key that do not put a whole key into one task.
+"""Ordered computations per key that do not put a hot key into one task.
 
 A plain window over (key order by time) sorts every row of a key in one task,
-which is unusable when one key holds a third of the data.  Here time is cut
-into slices: the window runs inside (key, slice).  One summary row per (key,
-slice) is folded over the slices of the key, and what a slice inherits from
-the slices before it enters the window as a row of its own in front of the
-others, so that the rows themselves are shuffled once and joined with nothing.
-Results equal those of the plain window whenever the slice is a non-decreasing
-function of the order.
-
-The summaries are aggregated before they are shuffled, and their own windows
-see one row per slice of a key.
+which is fine for most keys and unusable for one that holds a third of the
+data.  Keys with more than ``hot_rows`` rows are therefore cut into time
+slices: for them the window runs inside (key, slice).  One summary row per
+slice is folded over the slices of the key, and what a slice inherits from the
+slices before it enters the window as a row of its own in front of the others,
+so that the rows themselves are shuffled once and joined with nothing.  All
+other keys are one slice.  Results equal those of the plain window whenever
+the slice is a non-decreasing function of the order.
+
+Which keys are hot is counted first; that aggregation reads the key columns
+only and combines before it shuffles.
 """
 
 from __future__ import annotations
@@ -20,9 +21,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from signalloom.operators.sizing import row_salt
+from signalloom.operators.sizing import maybe_broadcast, row_salt
+from signalloom.sources.scratch import materialize
 
 DEFAULT_SLICE = "hour"
+HOT_ROWS = 2_000_000
 
 
 def time_slice(ts: str | Column, unit: str = DEFAULT_SLICE) -> Column:
@@ -33,16 +36,30 @@ def _keys(by: str | Sequence[str]) -> list[str]:
     return [by] if isinstance(by, str) else list(by)
 
 
+def _sliced(df: DataFrame, keys: list[str], slice_by: Column, hot_rows: int) -> tuple[DataFrame, DataFrame | None]:
+    """Rows with ``__slice`` (null for keys that are not hot), and the hot rows among them."""
+    counted = df.groupBy(*[F.col(k).alias(f"__k_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("__n"))
+    hot = materialize(counted.filter(F.col("__n") > hot_rows).drop("__n"), "hot-keys")
+    if hot.isEmpty():
+        return df.withColumn("__slice", F.lit(None).cast("string")), None
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
+    marked = df.join(maybe_broadcast(hot.withColumn("__hot", F.lit(True))), cond, "left")
+    sliced = marked.withColumn("__slice", F.when(F.col("__hot"), slice_by)).drop("__hot", *[f"__k_{k}" for k in keys])
+    return sliced, sliced.filter(F.col("__slice").isNotNull())
+
+
 def _earlier_slices(keys: list[str]) -> WindowSpec:
     return Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _with_carry(df: DataFrame, carried: DataFrame, parts: list[str], order: Sequence[str]) -> tuple[DataFrame, WindowSpec]:
-    """Rows and, in front of them in each (key, slice), the inherited row (``__own`` false)."""
-    both = df.withColumn("__own", F.lit(True)).unionByName(
-        carried.withColumn("__own", F.lit(False)), allowMissingColumns=True
-    )
-    return both, Window.partitionBy(*parts).orderBy("__own", *order)
+def _with_carry(df: DataFrame, carried: DataFrame | None, parts: list[str], order: Sequence[str]) -> tuple[DataFrame, WindowSpec]:
+    """Rows and, in front of them in each slice, the inherited row (``__own`` false)."""
+    rows = df.withColumn("__own", F.lit(True))
+    if carried is not None:
+        rows = rows.unionByName(carried.withColumn("__own", F.lit(False)), allowMissingColumns=True)
+    return rows, Window.partitionBy(*parts).orderBy("__own", *order)
 
 
 def number_rows(
@@ -51,17 +68,21 @@ def number_rows(
     order: Sequence[str],
     slice_by: Column,
     name: str = "row_no",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """1-based position of each row in its key; ``order`` must be total."""
     keys = _keys(by)
     parts = [*keys, "__slice"]
     columns = df.columns
-    df = df.withColumn("__slice", slice_by)
-    counts = df.groupBy(*parts).agg(F.count(F.lit(1)).alias("__n"))
+    rows, hot = _sliced(df, keys, slice_by, hot_rows)
+    if hot is None:
+        return rows.select(*columns, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long").alias(name))
+    counts = hot.groupBy(*parts).agg(F.count(F.lit(1)).alias("__n"))
     carried = counts.select(*parts, F.coalesce(F.sum("__n").over(_earlier_slices(keys)), F.lit(0)).alias("__offset"))
-    both, w = _with_carry(df, carried, parts, order)
-    # the inherited row comes first, so the first own row has number 2
-    number = F.row_number().over(w) - 1 + F.first("__offset").over(w)
+    both, w = _with_carry(rows, carried, parts, order)
+    # where there is an inherited row it has number 1
+    offset = F.first("__offset").over(w)
+    number = F.row_number().over(w) + F.coalesce(offset - 1, F.lit(0))
     return both.withColumn(name, number).filter("__own").select(*columns, name)
 
 
@@ -71,18 +92,20 @@ def with_previous(
     order: Sequence[str],
     columns: dict[str, str],
     slice_by: Column,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``lag``: adds, for each ``source: name``, the value in the previous row of the key."""
     keys = _keys(by)
     parts = [*keys, "__slice"]
     kept = df.columns
     picked = F.struct(*[F.col(s).alias(n) for s, n in columns.items()])
-    df = df.withColumns({"__slice": slice_by, "__v": picked})
-    last = df.groupBy(*parts).agg(F.max_by("__v", F.struct(*order)).alias("__v"))
-    carried = last.select(
-        *parts, F.lag("__v").over(Window.partitionBy(*keys).orderBy("__slice")).alias("__v")
-    )
-    both, w = _with_carry(df, carried, parts, order)
+    rows, hot = _sliced(df.withColumn("__v", picked), keys, slice_by, hot_rows)
+    carried = None
+    if hot is not None:
+        last = hot.groupBy(*parts).agg(F.max_by("__v", F.struct(*order)).alias("__v"))
+        lagged = F.lag("__v").over(Window.partitionBy(*keys).orderBy("__slice"))
+        carried = last.select(*parts, lagged.alias("__v"))
+    both, w = _with_carry(rows, carried, parts, order)
     out = both.withColumn("__prev", F.lag("__v").over(w)).filter("__own")
     return out.select(*kept, *[F.col("__prev")[n].alias(n) for n in columns.values()])
 
@@ -93,20 +116,23 @@ def with_last_known(
     order: Sequence[str],
     known: dict[str, Column],
     slice_by: Column,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Forward fill: per ``name: expr`` the last non-null ``expr`` up to and including the row."""
     keys = _keys(by)
     parts = [*keys, "__slice"]
     kept, names = df.columns, list(known)
-    df = df.withColumns({"__slice": slice_by, **{f"__v_{n}": e for n, e in known.items()}})
-    at = F.struct(*order)
-    ends = df.groupBy(*parts).agg(
-        *[F.max_by(f"__v_{n}", F.when(F.col(f"__v_{n}").isNotNull(), at)).alias(f"__v_{n}") for n in names]
-    )
-    carried = ends.select(
-        *parts, *[F.last(f"__v_{n}", True).over(_earlier_slices(keys)).alias(f"__v_{n}") for n in names]
-    )
-    both, w = _with_carry(df, carried, parts, order)
+    rows, hot = _sliced(df.withColumns({f"__v_{n}": e for n, e in known.items()}), keys, slice_by, hot_rows)
+    carried = None
+    if hot is not None:
+        at = F.struct(*order)
+        ends = hot.groupBy(*parts).agg(
+            *[F.max_by(f"__v_{n}", F.when(F.col(f"__v_{n}").isNotNull(), at)).alias(f"__v_{n}") for n in names]
+        )
+        carried = ends.select(
+            *parts, *[F.last(f"__v_{n}", True).over(_earlier_slices(keys)).alias(f"__v_{n}") for n in names]
+        )
+    both, w = _with_carry(rows, carried, parts, order)
     w = w.rowsBetween(Window.unboundedPreceding, 0)
     out = both.select("*", *[F.last(f"__v_{n}", True).over(w).alias(f"__l_{n}") for n in names])
     return out.filter("__own").select(*kept, *[F.col(f"__l_{n}").alias(n) for n in names])
@@ -119,15 +145,18 @@ def with_earlier_max(
     value: Column,
     name: str,
     slice_by: Column,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """The greatest ``value`` in the rows of the key before the row (null for the first)."""
     keys = _keys(by)
     parts = [*keys, "__slice"]
     kept = df.columns
-    df = df.withColumns({"__slice": slice_by, "__v": value})
-    tops = df.groupBy(*parts).agg(F.max("__v").alias("__v"))
-    carried = tops.select(*parts, F.max("__v").over(_earlier_slices(keys)).alias("__v"))
-    both, w = _with_carry(df, carried, parts, order)
+    rows, hot = _sliced(df.withColumn("__v", value), keys, slice_by, hot_rows)
+    carried = None
+    if hot is not None:
+        tops = hot.groupBy(*parts).agg(F.max("__v").alias("__v"))
+        carried = tops.select(*parts, F.max("__v").over(_earlier_slices(keys)).alias("__v"))
+    both, w = _with_carry(rows, carried, parts, order)
     top = F.max("__v").over(w.rowsBetween(Window.unboundedPreceding, -1))
     return both.withColumn(name, top).filter("__own").select(*kept, name)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from signalloom.functions.redact import scrub_string
 from signalloom.functions.text import truncate_text
-from signalloom.operators.ordered import time_slice, with_previous
+from signalloom.operators.ordered import HOT_ROWS, time_slice, with_previous
 
 
 def pair_timers(
@@ -17,6 +17,7 @@ def pair_timers(
     by: Sequence[str] = ("client", "name"),
     order: Sequence[str] = ("ts", "mark_id"),
     slice_by: Column | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """A stop closes the open start of its name; a later start replaces an open one.
 
@@ -26,7 +27,7 @@ def pair_timers(
     """
     ts = order[0]
     cut = slice_by if slice_by is not None else time_slice(ts)
-    rows = with_previous(marks, by, order, {"kind": "__kind", ts: "__start"}, cut)
+    rows = with_previous(marks, by, order, {"kind": "__kind", ts: "__start"}, cut, hot_rows)
     micros = F.timestamp_diff("MICROSECOND", F.col("__start"), F.col(ts))
     return rows.filter((F.col("kind") == "stop") & (F.col("__kind") == "start")).select(
         *by,

@@ -166,12 +166,13 @@ def test_point_in_time_per_tenant(spark, limit):
     assert out.filter("not (mode <=> want_mode) or not (matched_pos <=> want_pos)").collect() == []
 
 
-def test_polls(spark):
+@pytest.mark.parametrize("hot_rows", [0, 10**6])
+def test_polls(spark, hot_rows):
     h = lambda n: T0 + dt.timedelta(days=n)
     polls = [(1, "c", h(0), 500, None, None), (2, "c", h(1), 200, "ENFORCE", "e1"), (3, "c", h(2), None, None, None), (4, "c", h(3), 503, None, None),
              (5, "c", h(4), 304, None, None), (6, "c", h(5), 429, None, None), (7, "c", h(6), 200, "OFF", "e2")]
     df = spark.createDataFrame(polls, "poll_id int, client string, ts timestamp_ntz, status int, mode string, etag string")
-    rows = B.fold_polls(df).orderBy("poll_id").collect()
+    rows = B.fold_polls(df, hot_rows=hot_rows).orderBy("poll_id").collect()
     assert [r["errors_in_row"] for r in rows] == [1, 0, 1, 2, 0, 1, 0]
     assert [r["state_mode"] for r in rows] == [None, *["ENFORCE"] * 5, "OFF"]
     assert [r["next_poll_ms"] for r in rows] == [90000.0, 45000.0, 90000.0, 180000.0, 45000.0, 90000.0, 45000.0]

@@ -3,6 +3,7 @@ import hashlib
 import hmac
 import random
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -86,11 +87,12 @@ def test_budget_against_a_loop(spark):
     assert whole.agg(F.sum(F.length("item"))).first()[0] <= 300
 
 
-def test_batches(spark):
+@pytest.mark.parametrize("hot_rows", [0, 100, 10**6])
+def test_batches(spark, hot_rows):
     df, rows = _queue(spark)
-    got = {r["event_id"]: (r["batch_no"], r["pos"]) for r in Q.assign_batches(df, "key", 10).collect()}
+    got = Q.assign_batches(df, "key", 10, hot_rows=hot_rows).collect()
     want = {r[0]: divmod(i, 10) for g in _by_key(rows).values() for i, r in enumerate(g)}
-    assert got == want
+    assert {r["event_id"]: (r["batch_no"], r["pos"]) for r in got} == want
 
 
 def test_batch_gate(spark):
@@ -137,7 +139,8 @@ def test_inspection(spark):
 # --- ordered helpers against plain windows -----------------------------------
 
 
-def test_ordered_helpers_equal_plain_windows(spark):
+@pytest.mark.parametrize("hot", [0, 150, 10**6])
+def test_ordered_helpers_equal_plain_windows(spark, hot):
     from pyspark.sql import Window
 
     df, _ = _queue(spark, 500)
@@ -145,9 +148,10 @@ def test_ordered_helpers_equal_plain_windows(spark):
     w = Window.partitionBy("key").orderBy("ts", "event_id")
     cut = O.time_slice("ts")
     cases = [
-        (O.number_rows(df, "key", ("ts", "event_id"), cut, "x"), F.row_number().over(w).cast("long")),
-        (O.with_previous(df, "key", ("ts", "event_id"), {"event_id": "x"}, cut), F.lag("event_id").over(w)),
-        (O.with_last_known(df, "key", ("ts", "event_id"), {"x": F.col("v")}, cut), F.last("v", True).over(w.rowsBetween(Window.unboundedPreceding, 0))),
+        (O.number_rows(df, "key", ("ts", "event_id"), cut, "x", hot), F.row_number().over(w).cast("long")),
+        (O.with_previous(df, "key", ("ts", "event_id"), {"event_id": "x"}, cut, hot), F.lag("event_id").over(w)),
+        (O.with_last_known(df, "key", ("ts", "event_id"), {"x": F.col("v")}, cut, hot), F.last("v", True).over(w.rowsBetween(Window.unboundedPreceding, 0))),
+        (O.with_earlier_max(df, "key", ("ts", "event_id"), F.col("v"), "x", cut, hot), F.max("v").over(w.rowsBetween(Window.unboundedPreceding, -1))),
     ]
     for got, plain in cases:
         want = df.withColumn("x", plain).select("event_id", "x")
@@ -175,9 +179,10 @@ def random_marks(seed, n=400):
     return [(rnd.choice("ab"), rnd.choice(["x", "y"]), i, T0 + dt.timedelta(minutes=rnd.randint(0, 900)), rnd.choice(["start", "stop"])) for i in range(n)]
 
 
-def test_pairs(spark):
+@pytest.mark.parametrize("hot_rows", [0, 10**6])
+def test_pairs(spark, hot_rows):
     marks = random_marks(2)
-    got = pair_timers(spark.createDataFrame(marks, MARK)).collect()
+    got = pair_timers(spark.createDataFrame(marks, MARK), hot_rows=hot_rows).collect()
     assert {(r["client"], r["name"], r["mark_id"], r["start_ts"], r["end_ts"]) for r in got} == _pairs_by_hand(marks)
 
 
