@@ -224,11 +224,12 @@ def split_rejected_batches(df: DataFrame, batch: str = "batch_id", pos: str = "p
     """
     kind = classify_status("status", in_batch=True)
     ids = F.col(batch).cast("string")
+    message = F.coalesce(F.concat(F.lit("HTTP "), F.col("status").cast("string")), F.lit("no answer"))
     return df.select(
         "*",
         F.when(kind == "ok", "done").when(kind == "split", "resend_single").otherwise("failed").alias("next_step"),
         F.when(kind == "split", F.concat_ws("-", ids, F.col(pos).cast("string"))).otherwise(ids).alias("send_id"),
-        F.when(kind.isin("permanent", "retryable"), F.coalesce(F.concat(F.lit("HTTP "), F.col("status").cast("string")), F.lit("no answer"))).alias("error"),
+        F.when(kind.isin("permanent", "retryable"), message).alias("error"),
     )
 
 

@@ -58,7 +58,8 @@ def write_batches(
     """S3: one serialised request per batch: ``batch``, ``chunk``, ``n_events``, ``body``.
 
     No request carries more than ``size`` events: a longer batch becomes
-    several chunks, so the lists that are collected stay short.
+    several chunks, so the lists that are collected stay short.  ``pos`` counts
+    from 0 without repeats, as ``assign_batches`` gives it.
     """
     item = F.struct(F.col(pos).alias("p"), F.col(body).alias("b"))
     grouped = df.groupBy(batch, F.floor(F.col(pos) / size).alias("chunk")).agg(

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from signalloom.limits import SPOOL_TTL_HOURS
 from signalloom.operators.delivery import drop_expired, persist_budget
