@@ -77,8 +77,9 @@ BEARER = rf"(?i)bearer[{SPACE}]+[A-Z0-9._~+/-]+=*"
 _KV_HEAD = rf"(?i)(?=[apstj])({'|'.join(SECRET_WORDS)})([\"'{SPACE}:=]+)"
 _KV_VALUE = rf"[^\"'{SPACE},}}\]]+"
 # A value that an earlier pass (or an earlier rule) already replaced is left
-# alone; ``strict`` drops that guard.
-KEY_VALUE = rf"{_KV_HEAD}(?![\"'{SPACE}:=]*\[REDACTED){_KV_VALUE}"
+# alone; ``strict`` drops that guard.  (The first look-ahead keeps the second
+# from scanning a long run of separators again and again.)
+KEY_VALUE = rf"{_KV_HEAD}(?=[^\"'{SPACE},}}\]])(?![\"'{SPACE}:=]*\[REDACTED){_KV_VALUE}"
 KEY_VALUE_STRICT = _KV_HEAD + _KV_VALUE
 # A match may only start where a run of local-part characters starts (or where
 # the previous match ended): the same matches as without the look-behind, in

@@ -1,5 +1,6 @@
 import json
 import random
+import time
 from decimal import Decimal
 
 from hypothesis import given, settings
@@ -172,3 +173,16 @@ def test_python_and_jvm_forms_agree(spark):
     texts = ["".join(rnd.choice(pieces) for _ in range(rnd.randint(1, 12))) for _ in range(5000)]
     rows = spark.createDataFrame([(t,) for t in texts], "s string").select("s", R.scrub_string("s").alias("o")).collect()
     assert [r["o"] for r in rows] == [R.scrub_text(r["s"]) for r in rows]
+
+
+def test_hostile_texts_take_no_long_time(spark):
+    texts = ["x" * 8192, "eyJ" * 2730, "token" + " " * 8000, "token" + ":" * 8000 + ",", "1" * 8192, "@" * 8192, "a@" * 4000,
+             "a@" + "b." * 4000 + "1", "bearer" + " " * 8000, "password=[REDACTED] " * 400, "a.b@" + "c-" * 4000, "pwd" * 2700]
+    start = time.monotonic()
+    want = [R.scrub_text(t) for t in texts]
+    assert time.monotonic() - start < 5
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, s string").repartition(4)
+    start = time.monotonic()
+    got = [r["o"] for r in df.select("i", R.scrub_string("s").alias("o")).orderBy("i").collect()]
+    assert time.monotonic() - start < 20
+    assert got == want
