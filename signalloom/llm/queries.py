@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 
-from signalloom.llm import dac, fingerprint, packing, pii, radix_dedup, rules, secret_scan
+from signalloom.llm import dac, fingerprint, minhash, packing, pii, radix_dedup, rules, secret_scan, suffix_levels, word_table
 from signalloom.llm.common import read_table
 from signalloom.sources.scratch import scratch_path
 
@@ -18,10 +18,18 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.read_documents(spark, path)
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_digests(secret_scan.scan_secrets(read_table(spark, sf_dir, "documents")))
 
 
+def op4_word_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_table.encode_digests(read_table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = rules.train(docs, read_table(spark, sf_dir, "labels"))
@@ -29,6 +37,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", rules.is_held_out().alias("held_out"), "score", "predicted")
 
 
+def op6_suffix_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_levels.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return radix_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
 
@@ -47,8 +59,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
+    "op2_minhash": op2_minhash,
     "op3_secret_scan": op3_secret_scan,
+    "op4_word_table": op4_word_table,
     "op5_quality_rules": op5_quality_rules,
+    "op6_suffix_levels": op6_suffix_levels,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_personal_data": op8_personal_data,
     "op9_fingerprints": op9_fingerprints,

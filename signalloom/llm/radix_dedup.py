@@ -213,6 +213,20 @@ def exact_dedup(docs: DataFrame, keep_largest: bool = True, trie_bytes: int = TR
 
 
 def drop_duplicates(docs: DataFrame, keep_largest: bool = True) -> DataFrame:
-    """``docs`` without the documents whose doc_id does not stay, all columns as they are."""
-    stays = exact_groups(docs, keep_largest).select(F.col("keep_id").alias("_keep_id"))
-    return docs.join(stays, F.col("doc_id").eqNullSafe(F.col("_keep_id")), "left_semi")
+    """``docs`` with one row of each group of equal texts, all columns as they are.
+
+    Rows that are equal in doc_id and text, too, leave one; which of them is open.
+    """
+
+    @F.pandas_udf("string")
+    def digest(text):
+        return text.map(lambda t: hashlib.sha256(t.lower()).hexdigest())
+
+    def key(c: str):
+        return F.coalesce(F.col(c).cast("long"), F.lit(-(1 << 63)))
+
+    groups = exact_groups(docs, keep_largest)
+    stays = groups.select(key("keep_id").alias("_key"), F.col("text_sha256").alias("_digest"))
+    marked = docs.withColumn("_key", key("doc_id")).withColumn("_digest", digest(whole_text().cast("binary")))
+    kept = marked.join(stays, ["_key", "_digest"], "left_semi").dropDuplicates(["_key", "_digest"])
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -2,9 +2,11 @@
 
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
-from signalloom.llm import radix_dedup
+from signalloom.llm import minhash, radix_dedup, suffix_levels
+from signalloom.llm.components import connected_components
 from tests.llm import brute
 
 
@@ -42,3 +44,121 @@ def test_trie_splits_and_spills():
     got = dict(trie.drain())
     assert got == {b"romane": (0, 2), b"romanus": (1, 1), b"rom": (2, 2), b"": (3, 1), b"ruber": (4, 1), b"x": (7, 1)}
     assert trie.bytes == 0
+
+
+def test_near(case):
+    docs, pairs = case
+    got = {r["doc_id"]: r for r in minhash.near_duplicates(docs).collect()}
+    want = brute.near_components(pairs)
+    assert {d: (r["n_shingles"], r["component_id"]) for d, r in got.items()} == want
+    assert all(r["kept"] == (d == r["component_id"]) for d, r in got.items())
+
+
+def test_near_finds_members_their_hub_does_not_link(spark, rng):
+    """Chains and families whose hub is far from some members."""
+    words, rows, doc_id = [f"w{i}" for i in range(400)], [], 0
+    for family in range(6):
+        base = [f"f{family}"] + [rng.choice(words) for _ in range(180)]
+        for _ in range(25):
+            base = list(base)
+            for _ in range(2 if family % 2 else 4):
+                base[rng.randrange(len(base))] = f"e{rng.random()}"
+            rows.append((doc_id := doc_id + 1, " ".join(base)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.near_duplicates(docs).collect()}
+    assert got == brute.near_components(rows)
+
+
+def test_near_of_odd_ids(spark, empty_docs):
+    assert minhash.near_duplicates(empty_docs).count() == 0
+    rows = [(None, "a b c"), (5, "A b  c"), (5, "other words here"), (None, None), (7, None), (8, "")]
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r[0], r[1], r[2], r[3]) for r in got), key=str) == sorted(
+        [(None, 1, 5, False), (5, 1, 5, True), (5, 1, 5, True), (None, 0, None, True), (7, 0, 7, True), (8, 0, 8, True)],
+        key=str,
+    )
+
+
+def test_components_of_a_chain(spark):
+    n = 300
+    links = spark.createDataFrame([(f"{(i * 7) % n:04}", f"{(i * 7 + 7) % n:04}") for i in range(n - 1)], "a string, b string")
+    rows = connected_components(links).collect()
+    assert len(rows) == n and {r["label"] for r in rows} == {"0000"}
+
+
+@pytest.mark.parametrize("n", [1, 5, 40, 100, 128, 129, 400])
+def test_signatures_find_borderline_sets(n):
+    rng = np.random.default_rng(n)
+    missed = 0
+    for _ in range(200):
+        extra = max(1, n // 7)
+        shared = max(6 * extra, n - extra)
+        mine = rng.integers(0, 1 << 62, shared + 2 * extra).astype(np.uint64) * np.uint64(4)
+        a, b = np.unique(mine[: shared + extra]), np.unique(np.concatenate([mine[:shared], mine[shared + extra :]]))
+        assert minhash.similar(a, b)
+        missed += not set(minhash.band_keys(a)) & set(minhash.band_keys(b))
+    assert missed == 0
+
+
+def test_repeats(case):
+    docs, pairs = case
+    want = brute.repeated_bytes(pairs)
+    for r in suffix_levels.remove_repeats(docs).collect():
+        assert tuple(r)[1:] == want[r["doc_id"]], r["doc_id"]
+
+
+@pytest.mark.parametrize("batch_rows,slice_bytes,piece_bytes", [(40, 3000, 1 << 23), (7, 1 << 22, 700)])
+def test_repeats_over_many_batches(spark, rng, monkeypatch, batch_rows, slice_bytes, piece_bytes):
+    """Small batches, slices and pieces, so that levels meet and merge."""
+    alphabet = "ab \n"
+    shared = ["".join(rng.choice("abcdefgh ") for _ in range(n)) for n in (99, 100, 101, 180, 400)]
+    rows = []
+    for i in range(120):
+        parts = [rng.choice(shared) if rng.random() < 0.5 else "".join(rng.choice("xyzuvw ") for _ in range(rng.randrange(90))) for _ in range(6)]
+        rows.append((i, "".join(parts)))
+    rows += [(900 + i, "ab" * (80 + i) + "".join(rng.choice(alphabet) for _ in range(150))) for i in range(5)] + [(990, "q" * 3000), (991, "é" * 70)]
+    data = sorted(rows)
+    areas = {d: [] for d, _ in data}
+    monkeypatch.setattr(suffix_levels, "BATCH_ROWS", batch_rows)
+    monkeypatch.setattr(suffix_levels, "PIECE_BYTES", piece_bytes)
+    # the task functions in the order Spark runs them
+    pieces, held, size = [], [], 0
+    for d, t in data:
+        held.append((d, 0, t.encode()))
+        size += len(t)
+        if size > slice_bytes:
+            pieces.append(suffix_levels._scan_slice(held))
+            held, size = [], 0
+    pieces.append(suffix_levels._scan_slice(held))
+    rows_ = {k: np.concatenate([p[k] for p in pieces]) for k in ("hash", "d", "tie", "at")}
+    order = np.argsort(rows_["hash"], kind="stable")
+    met = suffix_levels.pa.Table.from_batches(list(suffix_levels._met([suffix_levels._batch({k: v[order] for k, v in rows_.items()})])))
+    by_doc = {}
+    for r in met.to_pylist():
+        by_doc.setdefault(r["d"], []).append(r)
+    pack = suffix_levels.zstandard.ZstdCompressor().compress
+    texts = dict(data)
+    batch = suffix_levels.pa.RecordBatch.from_pylist(
+        [
+            {"d": d, "tie": 0, "packed": pack(texts[d].encode()), "hashes": [r["hash"] for r in rs], "places": [r["at"] for r in rs]}
+            for d, rs in by_doc.items()
+        ]
+    )
+    cut = suffix_levels.pa.Table.from_batches(list(suffix_levels._cut([batch]))).sort_by([("d", "ascending"), ("at", "ascending")])
+    for out in suffix_levels._match(cut.to_batches(max_chunksize=50)):
+        for r in out.to_pylist():
+            areas[r["d"]].append(r["at"])
+    want = brute.repeated_bytes(rows)
+    for d, _ in data:
+        spans = suffix_levels.merge_areas(areas[d])
+        assert (sum(e - b for b, e in spans), len(spans)) == want[d][1:3], d
+
+
+def test_repeats_of_odd_ids(spark, empty_docs):
+    assert suffix_levels.remove_repeats(empty_docs).count() == 0
+    long = "".join(f"{i} " for i in range(60))
+    rows = [(4, long), (4, long), (None, "x" + long), (9, "short"), (9, None), (10, "y" + long + "z")]
+    got = suffix_levels.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), with_text=True).collect()
+    assert sorted(((r["doc_id"], r["n_bytes"], r["n_removed"]) for r in got), key=str) == sorted(
+        [(4, len(long), len(long))] * 2 + [(None, len(long) + 1, 0), (9, 5, 0), (9, 0, 0), (10, len(long) + 2, len(long))], key=str
+    )

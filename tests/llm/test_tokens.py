@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from signalloom.llm import dac, packing
+from signalloom.llm import dac, packing, word_table
 from signalloom.llm.encoding import WordCache, default_vocabulary, with_end
 from signalloom.sources.scratch import scratch_path
 from tests.llm import brute
@@ -120,3 +120,25 @@ def test_packing_of_nothing(empty_docs):
 def test_with_end_closes_empty_texts():
     flat, sizes = with_end(np.array([7, 8], np.uint32), np.array([0, 2, 0]), 1)
     assert flat.tolist() == [1, 7, 8, 1, 1] and sizes.tolist() == [1, 3, 1]
+
+
+@pytest.mark.parametrize("head_words,head_chars", [(word_table.HEAD_WORDS, word_table.HEAD_CHARS), (5, 1 << 20), (0, 0)])
+def test_word_table(case, head_words, head_chars):
+    docs, pairs = case
+    got = {r["doc_id"]: r for r in word_table.encode_digests(docs, None, head_words, head_chars).collect()}
+    assert len(got) == len(pairs)
+    for doc_id, text in pairs:
+        ids, r = brute.ids_of(text), got[doc_id]
+        assert r["n_tokens"] == len(ids)
+        assert r["ids_sha256"] == brute.hashlib.sha256(np.asarray(ids, "<u4").tobytes()).hexdigest()
+        assert r["decoded_sha256"] == brute.sha(brute.decoded(ids))
+
+
+def test_word_table_of_odd_rows(spark, empty_docs):
+    assert word_table.encode_documents(empty_docs).count() == 0
+    rows = [(4, "same rareword"), (4, "same rareword"), (4, "other"), (None, "no id rareword"), (1, None)]
+    got = word_table.encode_documents(spark.createDataFrame(rows, "doc_id long, text string"), head_words=0).collect()
+    assert sorted(((r["doc_id"], list(r["ids"])) for r in got), key=str) == sorted(
+        ((d, brute.ids_of(t)) for d, t in rows), key=str
+    )
+    assert all(r["decoded"] == brute.decoded(list(r["ids"])) for r in got)
