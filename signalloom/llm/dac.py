@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from signalloom.llm.common import small_batches, whole_text
 from signalloom.llm.encoding import default_vocabulary, with_end, word_cache
@@ -31,7 +33,7 @@ RANK_BITS = 512
 SHARD_TOKENS = 1 << 20
 END_ID = 2
 
-SHARD_SCHEMA = "part int, shard int, n_docs long, n_tokens long, data binary"
+SHARD_SCHEMA = "part int, part_tokens long, n_docs long, n_tokens long, data binary"
 
 
 def _pack(values: np.ndarray, width: int) -> np.ndarray:
@@ -141,16 +143,17 @@ def write_shards(
     gives an empty shard table.  Other columns are ignored.
     """
     vocabulary = vocabulary or default_vocabulary()
+    kinds = T.StructType.fromDDL(SHARD_SCHEMA)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, shard = TaskContext.get().partitionId(), 0
+        part, before = TaskContext.get().partitionId(), 0
         ids, lengths, names, held = [], [], [], 0
 
         def sealed() -> pa.RecordBatch:
             flat, sizes = np.concatenate(ids), np.concatenate(lengths)
             data = encode_shard(flat, names, sizes, widths)
-            row = {"part": part, "shard": shard, "n_docs": len(names), "n_tokens": len(flat), "data": data}
-            return pa.RecordBatch.from_pylist([row], pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("data", pa.binary())]))
+            row = {"part": part, "part_tokens": before, "n_docs": len(names), "n_tokens": len(flat), "data": data}
+            return pa.RecordBatch.from_pylist([row], to_arrow_schema(kinds))
 
         for whole in batches:
             for batch in small_batches(whole, "text", shard_tokens):
@@ -161,7 +164,7 @@ def write_shards(
                 held += len(flat)
                 if held >= shard_tokens:
                     yield sealed()
-                    shard += 1
+                    before += held
                     ids, lengths, names, held = [], [], [], 0
         if names:
             yield sealed()
@@ -178,16 +181,14 @@ def write_shards(
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """Per document from the shards: doc_id, start, n_tokens, ids_crc32.
 
-    Starts are running sums in two steps: over the shards inside each part of
-    the table, and over one row per part.
+    A shard knows how many tokens of its part came before it; what came
+    before the part is a running sum over one row per writing task, few enough
+    to be broadcast.
     """
     shards = spark.read.schema(SHARD_SCHEMA).parquet(path)
     parts = shards.groupBy("part").agg(F.sum("n_tokens").alias("tokens"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("part", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("part_start"))
-    inside = Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    starts = shards.select("part", "shard", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)).alias("shard_start"))
-    starts = starts.join(parts, "part").select("part", "shard", (F.col("part_start") + F.col("shard_start")).alias("base"))
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,7 +207,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                 )
 
     return (
-        shards.join(starts, ["part", "shard"])
-        .select("base", "data")
+        shards.join(F.broadcast(parts), "part")
+        .select((F.col("part_start") + F.col("part_tokens")).alias("base"), "data")
         .mapInArrow(digests, "doc_id long, start long, n_tokens long, ids_crc32 long")
     )

@@ -1,8 +1,9 @@
 """Token ids of the word-end BPE vocabulary, equal to the tokenizers library's.
 
 A text made only of characters whose treatment is plain (see ``_PLAIN``) is
-split here and each word looked up; a word seen for the first time in a worker
-goes through the library.  Any other text goes through the library whole.
+split at blanks, where no token can span, and each word looked up; a word seen
+for the first time in a worker goes through the library's model.  Any other
+text goes through the library whole.
 """
 
 from __future__ import annotations
@@ -16,9 +17,10 @@ import numpy as np
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 # Characters on which the vocabulary's normaliser only lower-cases
-# and joins blanks, and the vocabulary's word pattern restricted to them.
-_ODD = re.compile(r"[^\t\n\r\x20-\x7eÀ-ÖØ-öø-ÿ]|<\|")
-_WORDS = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
+# and joins blanks, its special marks, and its word pattern restricted to them.
+_PLAIN = re.compile(r"[\t\n\r\x20-\x7eÀ-ÖØ-öø-ÿ]*")
+_SPECIAL = "<|"
+_PARTS = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
 
 
 def default_vocabulary() -> str:
@@ -38,15 +40,37 @@ def library(path: str):
     return tokenizer
 
 
+@functools.lru_cache(maxsize=1)
+def _letters() -> dict[int, str]:
+    """How the vocabulary writes the bytes of each plain character."""
+    from tokenizers import pre_tokenizers
+
+    spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    plain = [c for c in map(chr, range(0x21, 0x100)) if _PLAIN.fullmatch(c)]
+    return {ord(c): "".join(part for part, _ in spell.pre_tokenize_str(c)) for c in plain}
+
+
 def split_words(text: str) -> list[str] | None:
-    """The words the vocabulary sees in ``text``; None if only the library can tell."""
-    if _ODD.search(text):
+    """The words of ``text``, lower-cased; None if only the library can treat it."""
+    if _SPECIAL in text or not _PLAIN.fullmatch(text):
+        return None
+    return text.lower().split()
+
+
+def split_parts(text: str) -> list[str] | None:
+    """The pieces of words that the vocabulary merges inside of; None as in ``split_words``."""
+    if _SPECIAL in text or not _PLAIN.fullmatch(text):
         return None
-    return _WORDS.findall(text.lower())
+    return _PARTS.findall(text.lower())
 
 
 def encode_words(words: list[str], path: str) -> list[list[int]]:
-    return [e.ids for e in library(path).encode_batch(words, add_special_tokens=False)]
+    """Ids of words from ``split_words`` or ``split_parts``."""
+    tokenize, letters, out = library(path).model.tokenize, _letters(), []
+    for word in words:
+        parts = (word,) if word.isalpha() else _PARTS.findall(word)
+        out.append([t.id for p in parts for t in tokenize(p if p.isascii() else p.translate(letters))])
+    return out
 
 
 def pieces(path: str) -> list[str]:
