@@ -14,16 +14,18 @@ left and ``LENGTH`` - d to the right; both are cuts in the lists of common
 prefix lengths, so all of it is exact.  Suffixes that brought something new
 become a level, and levels of like size are merged.
 
-The same scan inside each task comes first, so a passage that fills the corpus
-leaves a task once; anchors that no other task has are dropped before any text
-moves.
+Three things come first, so that little text moves.  The same scan inside each
+task lets a passage that fills the corpus leave the task once.  Anchors that no
+other task has are dropped.  Where all bytes around two anchors agree, by a
+64-bit hash of them, only the first goes on: long copies are settled by numbers
+alone, and suffixes are needed where copies begin and end.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
@@ -66,19 +68,23 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Anchors:
-    """Suffix positions: hash, place, and the first and last start of strings through them."""
+    """Suffix positions: hash, place, the first and last start of strings through them.
+
+    ``check`` hashes all bytes of these strings.
+    """
 
     hash: np.ndarray
     at: np.ndarray
     low: np.ndarray
     high: np.ndarray
+    check: np.ndarray
 
 
 def find_anchors(data: np.ndarray, ends: np.ndarray) -> Anchors:
     """Anchors of texts that lie behind one another in ``data`` and end at ``ends``."""
     if len(data) < LENGTH:
         none = np.empty(0, np.int64)
-        return Anchors(none.astype(np.uint64), none, none, none)
+        return Anchors(none.astype(np.uint64), none, none, none, none)
     hashes = gram_hashes(data)
     low_bits = np.uint64((1 << _PLACE_BITS) - 1)
     least = (hashes & ~low_bits) | np.arange(len(hashes), dtype=np.uint64)
@@ -97,8 +103,11 @@ def find_anchors(data: np.ndarray, ends: np.ndarray) -> Anchors:
     chosen = (least[starts] & low_bits).astype(np.int64)
     first = np.flatnonzero(np.diff(chosen, prepend=-1))
     last = np.append(first[1:], len(chosen)) - 1
-    at = chosen[first]
-    return Anchors(hashes[at], at, starts[first], starts[last])
+    at, low, high = chosen[first], starts[first], starts[last]
+    check, end = np.zeros(len(at), np.uint64), high + LENGTH - GRAM
+    for step in range(0, LENGTH + WINDOW, GRAM):
+        check = _mix(check + hashes[np.minimum(low + step, end)]) + (at - low).astype(np.uint64)
+    return Anchors(hashes[at], at, low, high, _mix(check + (high - low).astype(np.uint64)).view(np.int64))
 
 
 @dataclass
@@ -258,7 +267,7 @@ def _place(low: np.ndarray, at: np.ndarray, high: np.ndarray) -> np.ndarray:
 
 
 def _area(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """An area in one negative number."""
+    """An area of less than 16 MiB in one negative number."""
     return -1 - (begin << _PLACE_BITS | (end - begin))
 
 
@@ -272,7 +281,7 @@ def _pieces(text: bytes) -> Iterator[tuple[int, bytes]]:
 def _scan_slice(docs: list[tuple[int, int, bytes]]) -> dict[str, np.ndarray]:
     """Anchors that other tasks must hear of and areas that repeat inside the slice."""
     pieces = [(d, tie, start, p) for d, tie, text in docs for start, p in _pieces(text)]
-    out = {k: [] for k in ("hash", "d", "tie", "at")}
+    out = {k: [] for k in _NAMES}
     family = Family()
     group: list[tuple[int, int, int, bytes]] = []
     held = 0
@@ -286,20 +295,22 @@ def _scan_slice(docs: list[tuple[int, int, bytes]]) -> dict[str, np.ndarray]:
         offset = np.array([g[2] for g in group], np.int64) - np.concatenate([[0], ends[:-1]])
         keep = np.ones(len(anchors.at), bool)
         seen = [level.rows.hash for level in family.levels]
-        alike = np.flatnonzero(_shared(anchors.hash) | np.isin(anchors.hash, np.concatenate(seen)) if seen else _shared(anchors.hash))
+        alike = np.flatnonzero(_shared(anchors.hash) | np.isin(anchors.hash, np.concatenate([anchors.hash[:0], *seen])))
         if len(alike):
-            some = Anchors(anchors.hash[alike], anchors.at[alike], anchors.low[alike], anchors.high[alike])
+            some = Anchors(*(getattr(anchors, f.name)[alike] for f in fields(Anchors)))
             rows = cut_suffixes(data, some)
             found = family.add(rows)
             row, begin, end = _runs(found, some.at)
             who = owner[alike[row]]
             out["hash"].append(_mix((begin + d[who] * 31).astype(np.uint64)).view(np.int64))
+            out["check"].append(np.zeros(len(who), np.int64))
             out["d"].append(d[who])
             out["tie"].append(tie[who])
             out["at"].append(_area(begin + offset[who], end + offset[who]))
             keep[alike] = found.sum(axis=1) < rows.far - rows.near + 1
         who, move = owner[keep], offset[owner[keep]]
         out["hash"].append(anchors.hash[keep].view(np.int64))
+        out["check"].append(anchors.check[keep])
         out["d"].append(d[who])
         out["tie"].append(tie[who])
         out["at"].append(_place(anchors.low[keep] + move, anchors.at[keep] + move, anchors.high[keep] + move))
@@ -320,7 +331,9 @@ def _batch(columns: dict[str, np.ndarray], **more: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({k: pa.array(v, kinds.get(k, pa.int64())) for k, v in columns.items()} | more)
 
 
-_ROW = "hash long, d long, tie int, at long"
+_NAMES = ("hash", "check", "d", "tie", "at")
+_ROW = "hash long, check long, d long, tie int, at long"
+_MET = "hash long, d long, tie int, at long"
 
 
 def _numbers(batch: pa.RecordBatch, *names: str) -> dict[str, np.ndarray]:
@@ -336,45 +349,68 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by hash, the anchors that have company, and all areas."""
-    names, carry = ("hash", "d", "tie", "at"), None
+    """Of rows sorted by hash, check and document, what has to go on.
+
+    A row with the hash and check of the row before becomes an area.  The first
+    of each check goes on if its hash has another check, too.  Areas pass.
+    """
+    last: dict[str, np.ndarray] | None = None  # the row before
+    open_first: dict[str, np.ndarray] | None = None  # the last first of a check, and whether it went on
+    gone = False
     for batch in batches:
-        rows = _numbers(batch, *names)
-        if carry is not None:
-            rows = {k: np.concatenate([carry[k], rows[k]]) for k in names}
-        last = np.searchsorted(rows["hash"], rows["hash"][-1]) if len(rows["hash"]) else 0
-        if last:
-            yield _with_company({k: v[:last] for k, v in rows.items()})
-        carry = {k: v[last:] for k, v in rows.items()}
-        if len(carry["at"]) > BATCH_ROWS:  # one hash with very many rows: all of them have company
-            two = {k: v[:-2] for k, v in carry.items()}
-            yield _batch(two)
-            carry = {k: v[-2:] for k, v in carry.items()}
-    if carry is not None:
-        yield _with_company(carry)
-
-
-def _with_company(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
-    anchor = rows["at"] >= 0
-    keep = ~anchor
-    places = np.flatnonzero(anchor)
-    keep[places[_shared(rows["hash"][places])]] = True
-    return _batch({k: v[keep] for k, v in rows.items()})
+        rows = _numbers(batch, *_NAMES)
+        passing = rows["at"] < 0
+        if passing.any():
+            yield _batch({k: rows[k][passing] for k in ("hash", "d", "tie", "at")})
+        rows = {k: v[~passing] for k, v in rows.items()}
+        n = len(rows["at"])
+        if not n:
+            continue
+        before = {k: np.concatenate([last[k] if last else v[:1], v[:-1]]) for k, v in rows.items()}
+        same = {k: rows[k] == before[k] for k in _NAMES}
+        new = ~(same["hash"] & same["check"])
+        new[0] |= last is None
+        twice = ~new & same["d"] & same["tie"] & same["at"]
+        last = {k: v[-1:] for k, v in rows.items()}
+        copies = ~new & ~twice
+        if copies.any():
+            low = rows["at"][copies] >> 16
+            area = _area(low, low + (rows["at"][copies] & 255) + LENGTH)
+            yield _batch({k: rows[k][copies] for k in ("hash", "d", "tie")} | {"at": area})
+        firsts = {k: v[new] for k, v in rows.items()}
+        if open_first is not None:
+            firsts = {k: np.concatenate([open_first[k], v]) for k, v in firsts.items()}
+        alike = firsts["hash"][1:] == firsts["hash"][:-1]
+        on = np.concatenate([[False], alike]) | np.concatenate([alike, [False]])
+        fresh = on.copy()
+        if open_first is not None and gone:
+            on[0], fresh[0] = True, False
+        if fresh.any():
+            yield _batch({k: firsts[k][fresh] for k in ("hash", "d", "tie", "at")})
+        open_first, gone = {k: v[-1:] for k, v in firsts.items()}, bool(on[-1])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes around the anchors of each document; areas pass."""
+    """The bytes around the anchors of each document; its areas are merged and pass."""
     unpack = zstandard.ZstdDecompressor().decompress
     for whole in batches:
         for batch in small_batches(whole, "packed", 1 << 20):
             for k in range(len(batch)):
                 text = np.frombuffer(unpack(batch.column("packed")[k].as_py()), np.uint8)
                 hashes, at = (np.asarray(batch.column(c)[k].values) for c in ("hashes", "places"))
+                areas = [
+                    (start, min(start + PIECE_BYTES, end))
+                    for begin, end in merge_areas(at[at < 0].tolist())
+                    for start in range(begin, end, PIECE_BYTES)
+                ]
+                areas = np.array(areas, np.int64).reshape(-1, 2)
+                hashes = np.concatenate([hashes[at >= 0], _mix((areas[:, 0] + at.size).astype(np.uint64)).view(np.int64)])
+                at = np.concatenate([at[at >= 0], _area(areas[:, 0], areas[:, 1])])
                 low, span = at >> 16, (at & 255) + LENGTH
                 size = np.where(at >= 0, span, 0)
                 ends = np.cumsum(size)
                 begin = np.where(at >= 0, low, 0)
-                flat = text[np.repeat(begin - (ends - size), size) + np.arange(ends[-1])]
+                flat = text[np.repeat(begin - (ends - size), size) + np.arange(size.sum())]
                 offsets = np.concatenate([[0], ends]).astype(np.int32)
                 bytes_ = pa.BinaryArray.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(flat)])
                 yield _batch(
@@ -393,7 +429,7 @@ def _suffix_rows(hashes: np.ndarray, at: np.ndarray, around: pa.Array) -> tuple[
     low, far, spread = at >> 16, at >> 8 & 255, at & 255
     data = np.frombuffer(b"".join(around.to_pylist()), np.uint8)
     begin = np.concatenate([[0], np.cumsum(spread + LENGTH)])[:-1]
-    anchors = Anchors(hashes.view(np.uint64), begin + far, begin, begin + spread)
+    anchors = Anchors(hashes.view(np.uint64), begin + far, begin, begin + spread, hashes)
     return low + far, cut_suffixes(data, anchors)
 
 
@@ -452,7 +488,8 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     areas removed and the bytes kept.
     """
     text = whole_text()
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("d"), text.cast("binary").alias("text"), F.hash(text).alias("tie"))
+    doc_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID))
+    rows = docs.select(doc_id.alias("d"), text.cast("binary").alias("text"), F.hash(text).alias("tie"))
 
     def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3).compress
@@ -476,11 +513,11 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
                 arrays = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in schema.split(", ")])
 
-    met = rows.mapInArrow(_scan, _ROW).repartition("hash").sortWithinPartitions("hash").mapInArrow(_met, _ROW)
+    met = rows.mapInArrow(_scan, _ROW).repartition("hash").sortWithinPartitions(*_NAMES).mapInArrow(_met, _MET)
     by_text = met.groupBy("d", "tie").agg(F.collect_list(F.struct("hash", "at")).alias("rows"))
     by_text = by_text.select("d", "tie", F.col("rows.hash").alias("hashes"), F.col("rows.at").alias("places"))
     packed = rows.mapInArrow(shrink, "d long, tie int, packed binary")
-    around = packed.join(by_text, ["d", "tie"]).mapInArrow(_cut, _ROW + ", around binary")
+    around = packed.join(by_text, ["d", "tie"]).mapInArrow(_cut, _MET + ", around binary")
     areas = around.repartition("hash").sortWithinPartitions("d", "tie", "at").mapInArrow(_match, "d long, tie int, at long")
     areas = areas.groupBy("d", "tie").agg(F.collect_list("at").alias("areas"))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"

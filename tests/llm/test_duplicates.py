@@ -130,9 +130,10 @@ def test_repeats_over_many_batches(spark, rng, monkeypatch, batch_rows, slice_by
             pieces.append(suffix_levels._scan_slice(held))
             held, size = [], 0
     pieces.append(suffix_levels._scan_slice(held))
-    rows_ = {k: np.concatenate([p[k] for p in pieces]) for k in ("hash", "d", "tie", "at")}
-    order = np.argsort(rows_["hash"], kind="stable")
-    met = suffix_levels.pa.Table.from_batches(list(suffix_levels._met([suffix_levels._batch({k: v[order] for k, v in rows_.items()})])))
+    rows_ = {k: np.concatenate([p[k] for p in pieces]) for k in suffix_levels._NAMES}
+    order = np.lexsort([rows_[k] for k in reversed(suffix_levels._NAMES)])
+    table = suffix_levels.pa.Table.from_batches([suffix_levels._batch({k: v[order] for k, v in rows_.items()})])
+    met = suffix_levels.pa.Table.from_batches(list(suffix_levels._met(table.to_batches(max_chunksize=37))))
     by_doc = {}
     for r in met.to_pylist():
         by_doc.setdefault(r["d"], []).append(r)
