@@ -25,10 +25,11 @@ from signalloom.llm.common import small_batches, whole_text
 from signalloom.llm.encoding import default_vocabulary, encode_words, library, pieces, split_parts
 
 #: Bounds of what is broadcast: words, and characters of all of them.
-HEAD_WORDS = 200_000
-HEAD_CHARS = 4 << 20
+HEAD_WORDS = 400_000
+HEAD_CHARS = 8 << 20
 #: Distinct words counted in a task before their counts are handed on.
 COUNT_WORDS = 300_000
+_NO_ID = -(1 << 63)
 
 
 class _Numbers(dict):
@@ -39,10 +40,9 @@ class _Numbers(dict):
 
 
 def _rows(docs: DataFrame) -> DataFrame:
-    """Documents with the key that finds their words again; equal rows share it."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")).withColumn(
-        "tie", F.xxhash64("text")
-    )
+    """Documents with the key (d, tie) that finds their words again; equal rows share it."""
+    doc_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID))
+    return docs.select(doc_id.alias("d"), whole_text().alias("text")).withColumn("tie", F.xxhash64("text"))
 
 
 def head_of_table(docs: DataFrame, vocabulary: str, most: int = HEAD_WORDS, chars: int = HEAD_CHARS) -> list:
@@ -134,7 +134,7 @@ def _encoded(docs: DataFrame, vocabulary: str | None, head_words: int, head_char
                 yield pa.RecordBatch.from_pydict(
                     {
                         "word": pa.array(found, pa.string()),
-                        "doc_id": batch.column("doc_id").take(take),
+                        "d": batch.column("d").take(take),
                         "tie": batch.column("tie").take(take),
                         "place": pa.array(np.concatenate(places) if places else [], pa.int32()),
                     }
@@ -152,7 +152,7 @@ def _encoded(docs: DataFrame, vocabulary: str | None, head_words: int, head_char
             if words:
                 last, ids = words[-1], out[-1]
             yield pa.RecordBatch.from_pydict(
-                {c: batch.column(c) for c in ("doc_id", "tie", "place")} | {"ids": pa.array(out, pa.binary())}
+                {c: batch.column(c) for c in ("d", "tie", "place")} | {"ids": pa.array(out, pa.binary())}
             )
 
     def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,7 +161,7 @@ def _encoded(docs: DataFrame, vocabulary: str | None, head_words: int, head_char
             for batch in small_batches(whole, "text"):
                 packed = [pack(t) for t in batch.column("text").cast(pa.binary()).to_pylist()]
                 yield pa.RecordBatch.from_pydict(
-                    {c: batch.column(c) for c in ("doc_id", "tie")} | {"packed": pa.array(packed, pa.binary())}
+                    {c: batch.column(c) for c in ("d", "tie")} | {"packed": pa.array(packed, pa.binary())}
                 )
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,7 +169,8 @@ def _encoded(docs: DataFrame, vocabulary: str | None, head_words: int, head_char
         number, unpack, piece = numbers.__getitem__, zstandard.ZstdDecompressor().decompress, pieces(vocabulary)
         for whole in batches:
             for batch in small_batches(whole, "packed", 1 << 20):
-                doc_ids, ids_of = batch.column("doc_id"), []
+                doc_ids = pa.array([None if d == _NO_ID else d for d in batch.column("d").to_pylist()], pa.int64())
+                ids_of = []
                 columns = [batch.column(c).to_pylist() for c in ("packed", "places", "ids")]
                 for packed, places, fills in zip(*columns, strict=True):
                     text = unpack(packed).decode()
@@ -190,20 +191,18 @@ def _encoded(docs: DataFrame, vocabulary: str | None, head_words: int, head_char
                     result = {"ids": pa.array(ids_of, pa.list_(pa.int64())), "decoded": pa.array(texts, pa.string())}
                 yield pa.RecordBatch.from_pydict({"doc_id": doc_ids} | result)
 
-    occurrences = rows.mapInArrow(others, "word string, doc_id long, tie long, place int")
+    occurrences = rows.mapInArrow(others, "word string, d long, tie long, place int")
     encoded = occurrences.repartition("word").sortWithinPartitions("word")
-    encoded = encoded.mapInArrow(once_each, "doc_id long, tie long, place int, ids binary")
-    fills = encoded.groupBy("doc_id", "tie").agg(F.collect_list(F.struct("place", "ids")).alias("fills"))
-    fills = fills.select(
-        F.col("doc_id").alias("fill_id"), F.col("tie").alias("fill_tie"), "fills.place", "fills.ids"
-    ).withColumnRenamed("place", "places")
-    packed = rows.mapInArrow(shrink, "doc_id long, tie long, packed binary")
-    joined = packed.join(fills, (F.col("tie") == F.col("fill_tie")) & F.col("doc_id").eqNullSafe(F.col("fill_id")), "left")
+    encoded = encoded.mapInArrow(once_each, "d long, tie long, place int, ids binary")
+    fills = encoded.groupBy("d", "tie").agg(F.collect_list(F.struct("place", "ids")).alias("fills"))
+    fills = fills.select("d", "tie", F.col("fills.place").alias("places"), "fills.ids")
+    packed = rows.mapInArrow(shrink, "d long, tie long, packed binary")
+    joined = packed.join(fills, ["d", "tie"], "left")
     if digests:
         schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     else:
         schema = "doc_id long, ids array<long>, decoded string"
-    return joined.select("doc_id", "packed", "places", "ids").mapInArrow(finish, schema)
+    return joined.select("d", "packed", "places", "ids").mapInArrow(finish, schema)
 
 
 def _put_together(
