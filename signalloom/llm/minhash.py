@@ -9,9 +9,13 @@ buckets.
 
 A bucket gives star edges, each member to one hub, so pairs grow with members
 and not with their square.  Links are confirmed on the full shingle sets.  A
-member that its hub did not link may still belong to another member: buckets
-whose members are not all in one component yet get further hubs, four times
-as many each round, until every such member has met the others.
+member that its hub did not link may still belong to another member.  For the
+buckets whose members are not all in one component, the shingles that no other
+such text has are counted: a text links with nothing if more than a quarter of
+its own are, and with no text that its other shingles are too few for.  That
+settles copies edited too far.  What is left gets further hubs, those with the
+fewest shingles of their own first and many more each round, until
+every such member has met the others.
 
 Texts with equal shingle sets are one class from the start and meet as one row.
 """
@@ -37,7 +41,7 @@ BINS, ROWS = 128, 4
 #: Sets up to this size use permutations; sets above 0.75 of it use bins, too,
 #: so that two sets of a link always share one kind of signature.
 SMALL_SET = 128
-HUB_GROWTH = 4
+HUB_GROWTH = 16
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[32, 9, 10, 11, 12, 13]] = True
@@ -197,18 +201,59 @@ def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "a_packed", "b_packed").mapInArrow(check, "a binary, b binary")
 
 
+def _common_shingles(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """node and ``common``: how many of its shingles another of ``nodes`` has, too."""
+
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, unpack = _Hasher(), zstandard.ZstdDecompressor().decompress
+        for whole in batches:
+            for batch in small_batches(whole, "packed", 1 << 18):
+                sets = [shingle_set(w) for w in hasher.words([unpack(p) for p in batch.column("packed").to_pylist()])]
+                ids = [int.from_bytes(n[:8], "big", signed=True) for n in batch.column("node").to_pylist()]
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "id": pa.array(np.repeat(np.array(ids, np.int64), [len(x) for x in sets])),
+                        "shingle": pa.array(np.concatenate(sets).view(np.int64)),
+                    }
+                )
+
+    wanted = texts.join(nodes, "node", "left_semi").select("node", "packed")
+    # ids are cut digests: should two texts share one, both seem to have more in common
+    each = wanted.mapInArrow(hashes, "id long, shingle long")
+    own = each.groupBy("shingle").agg(F.count("*").alias("texts"), F.first("id").alias("id")).where("texts = 1")
+    own = own.groupBy("id").agg(F.count("*").alias("own"))
+    named = nodes.select("node", "n", F.conv(F.hex(F.substring("node", 1, 8)), 16, -10).cast("long").alias("id"))
+    return named.join(own, "id", "left").select("node", (F.col("n") - F.coalesce("own", F.lit(0))).alias("common"))
+
+
 def _star_pairs(members: DataFrame, above: int, up_to: int) -> DataFrame:
     """Pairs of hubs, by rank in their bucket, with the members after them in other components.
 
-    ``members``: key, node, n, label, rank.  Pairs whose sizes rule a link out
-    are left out.
+    ``members``: key, node, n, common, hub, label, rank.  Left out are pairs
+    with the first hub, which everyone has met, and pairs that sizes or common
+    shingles rule out as links.
     """
-    hubs = members.where((F.col("rank") > above) & (F.col("rank") <= up_to)).select(
-        "key", F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("label").alias("b_label"), F.col("rank").alias("b_rank")
+    hubs = members.where((F.col("rank") > above) & (F.col("rank") <= up_to) & (F.col("node") != F.col("hub"))).select(
+        "key", *[F.col(c).alias(f"b_{c}") for c in ("node", "n", "common", "label", "rank")]
     )
-    met = members.join(hubs, "key").where((F.col("rank") > F.col("b_rank")) & (F.col("label") != F.col("b_label")))
-    fits = (100 * F.col("n") >= PERCENT * F.col("b_n")) & (100 * F.col("b_n") >= PERCENT * F.col("n"))
-    return met.where(fits).select(F.col("node").alias("a"), "b").distinct()
+    needed = PERCENT * (F.col("n") + F.col("b_n"))
+    fits = (
+        (F.col("rank") > F.col("b_rank"))
+        & (F.col("label") != F.col("b_label"))
+        & (F.col("node") != F.col("hub"))
+        & (100 * F.col("n") >= PERCENT * F.col("b_n"))
+        & (100 * F.col("b_n") >= PERCENT * F.col("n"))
+        & ((100 + PERCENT) * F.least("common", "b_common") >= needed)
+    )
+    return members.join(hubs, "key").where(fits).select(F.col("node").alias("a"), F.col("b_node").alias("b")).distinct()
+
+
+def _not_in_one(members: DataFrame, labels: DataFrame, most_met: int) -> DataFrame:
+    """``members`` with their labels, of the buckets that span components and have hubs to come."""
+    labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    split = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"))
+    split = split.where((F.col("low") != F.col("high")) & (F.col("size") > most_met)).select("key")
+    return labelled.join(split, "key")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -234,24 +279,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     first = members.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
     links = materialize(_confirm(first, texts), "near-links")
     labels = connected_components(links)
-    met = 1
+    unsettled = materialize(_not_in_one(members, labels, 2).drop("label"), "unsettled")
+    common = _common_shingles(unsettled.select("node", "n").distinct(), texts)
+    unsettled = unsettled.join(common, "node").where(100 * F.col("common") >= PERCENT * F.col("n"))
+    unsettled = materialize(unsettled, "unsettled")
+    # a text with few shingles of its own is close to what its copies were made from
+    central_first = Window.partitionBy("key").orderBy(F.desc(F.col("common") / F.col("n")), "node")
+    met, up_to = 0, 1
     while True:
-        labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        split = labelled.groupBy("key").agg(
-            F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size")
-        )
-        split = split.where((F.col("low") != F.col("high")) & (F.col("size") > met + 1)).select("key")
-        by_node = Window.partitionBy("key").orderBy("node")
-        open_members = labelled.join(split, "key").withColumn("rank", F.row_number().over(by_node))
-        open_members = materialize(open_members.select("key", "node", "n", "label", "rank"), "open-members")
-        if open_members.limit(1).count() == 0:
+        ranked = _not_in_one(unsettled, labels, met + 1).withColumn("rank", F.row_number().over(central_first))
+        pairs = materialize(_star_pairs(ranked, met, up_to), "star-pairs")
+        if pairs.limit(1).count():
+            more = materialize(_confirm(pairs, texts), "near-links")
+            if more.limit(1).count():
+                links = links.union(more)
+                labels = connected_components(links)
+        met, up_to = up_to, up_to * HUB_GROWTH
+        if _not_in_one(unsettled, labels, met + 1).limit(1).count() == 0:
             break
-        up_to = met * HUB_GROWTH
-        more = materialize(_confirm(_star_pairs(open_members, met, up_to), texts), "near-links")
-        if more.limit(1).count():
-            links = links.union(more)
-            labels = connected_components(links)
-        met = up_to
 
     named = table.select("doc_id", "n_shingles", "node").join(labels, "node", "left")
     named = named.withColumn("label", F.coalesce("label", "node"))

@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from signalloom.llm import minhash, radix_dedup, suffix_levels
 from signalloom.llm.components import connected_components
@@ -163,3 +164,14 @@ def test_repeats_of_odd_ids(spark, empty_docs):
     assert sorted(((r["doc_id"], r["n_bytes"], r["n_removed"]) for r in got), key=str) == sorted(
         [(4, len(long), len(long))] * 2 + [(None, len(long) + 1, 0), (9, 5, 0), (9, 0, 0), (10, len(long) + 2, len(long))], key=str
     )
+
+
+def test_common_shingles_are_counted(spark, rng):
+    texts = [" ".join(f"w{rng.randrange(30)}" for _ in range(40)) for _ in range(30)] + ["only of its own kind here now"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    table = minhash.shingled(docs).select("doc_id", "node", F.col("n_shingles").alias("n"), "packed").cache()
+    got = {r["node"]: r["common"] for r in minhash._common_shingles(table.select("node", "n"), table).collect()}
+    sets = {r["node"]: brute.shingles(texts[r["doc_id"]]) for r in table.collect()}
+    for node, mine in sets.items():
+        others = set().union(*(s for k, s in sets.items() if k != node))
+        assert got[node] == len(mine & others)
