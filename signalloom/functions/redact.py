@@ -76,10 +76,13 @@ BEARER = rf"(?i)bearer[{SPACE}]+[A-Z0-9._~+/-]+=*"
 # (the look-ahead turns most positions away before the alternatives are tried)
 _KV_HEAD = rf"(?i)(?=[apstj])({'|'.join(SECRET_WORDS)})([\"'{SPACE}:=]+)"
 _KV_VALUE = rf"[^\"'{SPACE},}}\]]+"
+# A whole marker; text that goes on after it is a value like any other.
+_MARK = r"\[REDACTED(?:_CARD|_JWT|_BEARER)?\]"
+_MARKER = rf"{_MARK}(?![A-Za-z0-9])"
 # A value that an earlier pass (or an earlier rule) already replaced is left
 # alone; ``strict`` drops that guard.  (The first look-ahead keeps the second
 # from scanning a long run of separators again and again.)
-KEY_VALUE = rf"{_KV_HEAD}(?=[^\"'{SPACE},}}\]])(?![\"'{SPACE}:=]*\[REDACTED){_KV_VALUE}"
+KEY_VALUE = rf"{_KV_HEAD}(?=[^\"'{SPACE},}}\]])(?![\"'{SPACE}:=]*{_MARKER})(?:{_MARK})?{_KV_VALUE}"
 KEY_VALUE_STRICT = _KV_HEAD + _KV_VALUE
 # A match may only start where a run of local-part characters starts (or where
 # the previous match ended): the same matches as without the look-behind, in

@@ -30,6 +30,7 @@ from signalloom.sources.scratch import materialize
 EXACT = -1  # "prefix length" of entries that match as text
 BEGIN = "1000-01-01 00:00:00"
 END = "9999-12-31 00:00:00"
+LAST = "9999-12-30 23:59:59"
 
 
 def _bound(text: str) -> Column:
@@ -150,10 +151,12 @@ def match_blocklist(
 
     ``ip`` is used as given (apply F1 and F2 before); blank and ``unknown``
     match nothing.  ``ts`` is the time at which entries must be active: a
-    column, or a literal for one "now".  ``by`` names columns that must be
-    equal on both sides (a tenant, a list version).
+    column, or a literal for one "now"; at no time at all only entries that
+    never expire are.  ``by`` names columns that must be equal on both sides (a
+    tenant, a list version).
     """
     at = (F.col(ts) if isinstance(ts, str) else ts).cast("timestamp_ntz")
+    at = F.coalesce(at, F.lit(LAST).cast("timestamp_ntz"))
     lengths = values_if_small(entries, _prefix_of_entry(), max_broadcast_rows)
     if lengths is not None:
         # a list of proven size is prepared in one task, without a shuffle
@@ -432,9 +435,11 @@ def match_point_in_time(
 
     ``snapshots`` holds one row per fetch: ``fetched_at, mode, entries`` with
     ``entries`` an array of ``struct<type, value, expires_at>`` in list order
-    (and the columns ``by``).  Adds ``valid_from``, ``mode`` and the match.
+    (and the columns ``by``); of several with one time any is taken.  Adds ``valid_from``, ``mode`` and the match.
     """
     by = list(by)
+    # a fetch that was stored twice is one version
+    snapshots = snapshots.dropDuplicates([*by, "fetched_at"])
     spans = materialize(snapshot_spans(snapshots, "fetched_at", by), "spans")
     versioned = as_of_snapshot(requests, spans, ts, by, bucket, max_broadcast_rows)
     heads = snapshots.select(

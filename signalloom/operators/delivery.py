@@ -177,11 +177,16 @@ def join_acks(events: DataFrame, acks: DataFrame, batch: str = "batch_id", pos:
     """Q8: acknowledgement i of a batch belongs to its event i.
 
     Adds ``success``, ``ack_id`` and ``ack_type``.  An answered batch makes all
-    its events successes, also those without an acknowledgement.
+    its events successes, also those without an acknowledgement.  One that was
+    delivered twice counts once: of several the smallest id is taken.
     """
     ok = F.coalesce(F.col("status").between(200, 299), F.lit(False))
-    side = acks.select(
-        F.col(batch).alias("__b"), F.col(pos).alias("__p"), F.col("ack_id").alias("__id"), F.col("ack_type").alias("__ty")
+    once = acks.groupBy(batch, pos).agg(F.min(F.struct("ack_id", "ack_type")).alias("__ack"))
+    side = once.select(
+        F.col(batch).alias("__b"),
+        F.col(pos).alias("__p"),
+        F.col("__ack.ack_id").alias("__id"),
+        F.col("__ack.ack_type").alias("__ty"),
     )
     joined = events.join(side, (F.col(batch) == F.col("__b")) & (F.col(pos) == F.col("__p")), "left")
     named = ok & F.col("__id").isNotNull()

@@ -307,7 +307,7 @@ def crash_to_events(df: DataFrame, runtime: str, kind: str) -> DataFrame:
         meta = F.struct(scrub_string("filename").alias("filename"), "lineno", "colno", auto)
     else:
         text = filled("message", "Uncaught exception")
-        severity, meta = "CRITICAL", F.struct(F.col("name"), auto)
+        severity, meta = "CRITICAL", F.struct(scrub_string("name").alias("name"), auto)
     replaced = ("type", "error_type", "severity", "message", "stack", "metadata")
     return df.select(
         *[c for c in df.columns if c not in replaced],

@@ -32,25 +32,31 @@ TOO_DEEP = "[MaxDepth]"
 _NESTED = (T.StructType, T.ArrayType, T.MapType)
 
 
-def scrub_column(c: Column, t: T.DataType, depth: int = 0) -> Column:
+def scrub_column(c: Column, t: T.DataType, depth: int = 0, counted: bool = False) -> Column:
     """R5 for one column of type ``t``.
 
     Secret fields become the marker string whatever their type was, and
     nested values below the depth limit become ``[MaxDepth]``.  Arrays keep
-    their first 100 items; arrays of strings end with ``[+N more]``, other
-    arrays report N in a ``<field>_more`` field beside them (see
-    ``scrub_struct``).  Map values that cannot hold the marker become null.
+    their first 100 items where the rest can be told: arrays of strings end with
+    ``[+N more]``, other arrays that are fields report N in a ``<field>_more``
+    field beside them (``counted``, see ``scrub_struct``); arrays inside arrays
+    or maps keep all items.  Map values that cannot hold the marker become
+    null.  VARIANT is redacted as JSON of unknown shape.
     """
     if isinstance(t, _NESTED) and depth >= MAX_NESTING:
         return F.when(c.isNotNull(), F.lit(TOO_DEEP))
     if isinstance(t, T.StringType):
         return scrub_string(c)
+    if isinstance(t, T.VariantType):
+        return F.parse_json(scrub_json(F.to_json(c)))
     if isinstance(t, T.DecimalType) and t.scale == 0:
         return c.cast("string")
     if isinstance(t, T.StructType):
         return F.when(c.isNotNull(), F.struct(*scrub_struct({f.name: c[f.name] for f in t}, t, depth)))
     if isinstance(t, T.ArrayType):
-        head = F.transform(F.slice(c, 1, MAX_ARRAY_ITEMS), lambda x: scrub_column(x, t.elementType, depth + 1))
+        told = counted or isinstance(t.elementType, T.StringType)
+        kept = F.slice(c, 1, MAX_ARRAY_ITEMS) if told else c
+        head = F.transform(kept, lambda x: scrub_column(x, t.elementType, depth + 1))
         if isinstance(t.elementType, T.StringType):
             more = F.concat(F.lit("[+"), (F.size(c) - MAX_ARRAY_ITEMS).cast("string"), F.lit(" more]"))
             return F.when(F.size(c) > MAX_ARRAY_ITEMS, F.concat(head, F.array(more))).otherwise(head)
@@ -84,7 +90,7 @@ def scrub_struct(fields: dict[str, Column], t: T.StructType, depth: int = 0) ->
         elif is_error and f.name == "name":
             out.append(c.alias(f.name))
         else:
-            out.append(scrub_column(c, f.dataType, depth + 1).alias(f.name))
+            out.append(scrub_column(c, f.dataType, depth + 1, counted=True).alias(f.name))
             if isinstance(f.dataType, T.ArrayType) and not isinstance(f.dataType.elementType, T.StringType):
                 over = F.size(c) - MAX_ARRAY_ITEMS
                 out.append(F.when(over > 0, over).alias(f"{f.name}_more"))
@@ -133,8 +139,8 @@ def _scrub_json_text(text: str | None) -> str | None:
         return None
     try:
         value = json.loads(text)
-    except ValueError:
-        return scrub_text(text)  # not JSON: still never let it through raw
+    except (ValueError, RecursionError):
+        return scrub_text(text)  # not JSON, or nested without end: still never let it through raw
     return json.dumps(_scrub_value(value, 0), separators=(",", ":"), ensure_ascii=False)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from signalloom.functions.hashing import jitter_minutes, key_fingerprint, valid_key
 from signalloom.limits import MIN_RETRY_MINUTES, WINDOW_MINUTES
@@ -18,16 +19,27 @@ def _minutes(since: Column, now: Column) -> Column:
     return F.timestamp_diff("MICROSECOND", since, now) / 60_000_000
 
 
+def _readable(df: DataFrame, column: str) -> Column:
+    """A time column, or text where it holds a time."""
+    if isinstance(df.schema[column].dataType, T.StringType):
+        return F.try_to_timestamp(column).cast("timestamp_ntz")
+    return F.col(column).cast("timestamp_ntz")
+
+
 def backup_due(df: DataFrame, now: Column, seed: str = "api_key") -> DataFrame:
     """B1: adds ``run``, ``trigger`` and ``reason`` for each project.
 
-    ``df`` is policy joined with state (``join_state``).  A null ``enabled``
-    means there is no policy.  The window of a late preferred hour ends at
-    midnight.
+    ``df`` is policy joined with state (``join_state``); it must have all
+    columns of both.  A null ``enabled`` means there is no policy.  The window
+    of a late preferred hour ends at midnight.  A time that cannot be read is no
+    reason to wait: the backup runs.
     """
+    if missing := {*POLICY_COLUMNS, *STATE_COLUMNS, seed} - set(df.columns):
+        raise ValueError(f"columns missing for a decision: {sorted(missing)}")
     now = now.cast("timestamp_ntz")
-    state = {c: F.col(c) if c in df.columns else F.lit(None).cast("string") for c in STATE_COLUMNS}
-    since_success = _minutes(state["last_success_at"].cast("timestamp_ntz"), now)
+    state = {c: F.col(c) for c in STATE_COLUMNS}
+    times = {c: _readable(df, c) for c in ("last_success_at", "last_attempt_at")}
+    since_success = _minutes(times["last_success_at"], now)
     interval = F.col("interval_hours") * 60
     start = F.col("preferred_hour_utc") * 60 + jitter_minutes(seed)
     minute = F.hour(now) * 60 + F.minute(now)
@@ -37,7 +49,7 @@ def backup_due(df: DataFrame, now: Column, seed: str = "api_key") -> DataFrame:
     unseen = F.col("run_now_at").isNotNull() & (F.col("run_now_at") != "") & ~F.col("run_now_at").eqNullSafe(
         state["handled_run_now_at"]
     )
-    recent = _minutes(state["last_attempt_at"].cast("timestamp_ntz"), now) < MIN_RETRY_MINUTES
+    recent = _minutes(times["last_attempt_at"], now) < MIN_RETRY_MINUTES
     rule = (
         F.when(F.col("enabled").isNull(), "no policy")
         .when(~F.col("enabled"), "backups are off")

@@ -192,8 +192,27 @@ def artifact_status(artifact: Column | str, opened: Column) -> Column:
     )
 
 
-def restore_artifacts(artifacts: DataFrame, key_hex: str, schema: T.StructType) -> DataFrame:
-    """The rows of a snapshot.  One artifact that cannot be restored fails the job."""
+def _against_manifest(artifacts: DataFrame, manifest: DataFrame) -> DataFrame:
+    """``artifacts``, failing where a chunk of the manifest is missing or one is foreign to it."""
+    listed = manifest.select(F.col("chunk_id").alias("__listed")).distinct()
+    both = artifacts.join(listed, F.col("chunk_id") == F.col("__listed"), "full")
+    wrong = F.when(F.col("chunk_id").isNull(), F.concat(F.lit("missing chunk "), "__listed")).when(
+        F.col("__listed").isNull(), F.concat(F.lit("foreign chunk "), "chunk_id")
+    )
+    checked = F.when(wrong.isNotNull(), F.raise_error(wrong)).otherwise(F.col("artifact"))
+    return both.withColumn("artifact", checked).drop("__listed")
+
+
+def restore_artifacts(
+    artifacts: DataFrame, key_hex: str, schema: T.StructType, manifest: DataFrame | None = None
+) -> DataFrame:
+    """The rows of a snapshot.  One artifact that cannot be restored fails the job.
+
+    With its manifest a missing or foreign chunk does, too, so that a restore
+    is never partial.
+    """
+    if manifest is not None:
+        artifacts = _against_manifest(artifacts, manifest)
     reason = F.concat(F.lit("artifact "), F.coalesce("chunk_id", F.lit("?")), F.lit(": "), F.col("artifact_status"))
     checked = open_artifacts(artifacts, key_hex).select(
         F.when(F.col("artifact_status") == "ok", F.col("opened")).otherwise(F.raise_error(reason)).alias("gz")

@@ -62,8 +62,8 @@ def gated(s: SparkSession, d: str) -> DataFrame:
 
 def restored(s: SparkSession, d: str) -> DataFrame:
     path, _run = snapshot(s, d, "lineitem")
-    artifacts, _manifest = read_snapshot(s, path, "lineitem")
-    return A.restore_artifacts(artifacts, KEY, table(s, d, "lineitem").schema)
+    artifacts, manifest = read_snapshot(s, path, "lineitem")
+    return A.restore_artifacts(artifacts, KEY, table(s, d, "lineitem").schema, manifest)
 
 
 def verified(s: SparkSession, d: str) -> DataFrame:

@@ -149,7 +149,7 @@ def crashes(s: SparkSession, d: str) -> DataFrame:
     base = _errors(s, d).select(
         "event_id",
         F.when(F.col("event_id") % 3 == 0, F.lit("")).otherwise(F.col("message")).alias("message"),
-        F.substring("stack", 1, 60).alias("stack"),
+        F.col("stack"),
         "name",
         F.concat(F.lit("app"), F.col("user_id").cast("string"), F.lit(".js")).alias("filename"),
         (F.col("event_id") % 100).alias("lineno"),
@@ -330,11 +330,11 @@ ORACLE = {
           case turn % 5 when 0 then 'error' when 1 then 'warn' when 2 then 'log' when 3 then 'debug' else 'table' end || '"}}' as metadata
         from s6""",
     "P14_crash_events": f"""with {_ERR}, raw as (select event_id, user_id, name, event_id % 3 as r,
-            case when event_id % 3 = 0 then '' else message end as m, substr(stack, 1, 60) as st from err)
+            case when event_id % 3 = 0 then '' else message end as m, stack as st from err)
         select event_id, case r when 1 then 'CRITICAL' else 'HIGH' end as severity,
           case r when 0 then 'Uncaught error' when 1 then {_clean('m')}
             else 'Unhandled Promise Rejection: ' || {_clean('m')} end as message,
-          {sql_key_values("(case when r = 0 and st is null then 'app' || user_id || '.js:' || event_id % 100 || ':' || event_id % 7 else st end)")} as stack,
+          {_scrub_stack("(case when r = 0 and st is null then 'app' || user_id || '.js:' || event_id % 100 || ':' || event_id % 7 else st end)")} as stack,
           case r when 0 then '{{"filename":"app' || user_id || '.js","lineno":' || event_id % 100 || ',"colno":' || event_id % 7 || ',"autoCapture":true}}'
             when 1 then '{{"name":"' || name || '","autoCapture":true}}'
             else '{{"autoCapture":true,"type":"unhandledRejection"}}' end as metadata

@@ -130,8 +130,8 @@ def states(s: SparkSession, d: str) -> DataFrame:
     table(s, d, "customer").select(line.alias("value")).write.text(path)
     patch = table(s, d, "customer").filter("c_custkey % 3 = 0").select(
         F.concat(F.lit("p"), F.col("c_custkey").cast("string")).alias("project_id"),
-        F.when(F.col("c_custkey") % 9 > 0, F.lit("patched")).alias("lastSuccessAt"),
-        F.lit("r1").alias("handledRunNowAt"),
+        F.when(F.col("c_custkey") % 9 > 0, F.lit("patched")).alias("last_success_at"),
+        F.lit("r1").alias("handled_run_now_at"),
     )
     return backup_io.upsert_backup_state(backup_io.read_backup_state(s, path), patch)
 
@@ -252,10 +252,10 @@ ORACLE = {
     "S5_backup_policy": """select 'p' || user_id as project_id, max(event_id) % 3 > 0 as enabled,
           cast(max(event_id) % 48 as integer) as interval_hours, cast(max(event_id) % 24 as integer) as preferred_hour_utc,
           500 as max_size_mb from events group by user_id""",
-    "S6_backup_state": """select 'p' || c_custkey as project_id, 'a' as "lastAttemptAt",
+    "S6_backup_state": """select 'p' || c_custkey as project_id, 'a' as last_attempt_at,
           case when c_custkey % 3 = 0 and c_custkey % 9 > 0 then 'patched'
-               when c_custkey % 2 = 1 then 's' || c_custkey end as "lastSuccessAt",
-          case when c_custkey % 3 = 0 then 'r1' end as "handledRunNowAt" from customer""",
+               when c_custkey % 2 = 1 then 's' || c_custkey end as last_success_at,
+          case when c_custkey % 3 = 0 then 'r1' end as handled_run_now_at from customer""",
     "S7_database_table": "select o_orderkey, o_totalprice from orders",
     "S8_encrypted_snapshot": "select * from orders",
     "S9_read_artifacts": "select count(*) > 0 as found, true as has_bytes from lineitem",

@@ -64,7 +64,8 @@ select user_id as project_id, concat('key_', cast(user_id as string)) as api_key
   cast(user_id % 24 as int) as preferred_hour_utc,
   case when user_id % 17 = 0 then 'r1' else null end as run_now_at,
   case when user_id % 19 = 0 then null else max(ts) end as last_success_at,
-  case when user_id % 7 = 0 then max(ts) else null end as last_attempt_at
+  case when user_id % 7 = 0 then max(ts) else null end as last_attempt_at,
+  cast(null as string) as handled_run_now_at
 from events group by user_id
 """
 

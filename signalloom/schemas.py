@@ -72,4 +72,9 @@ BACKUP_POLICY = T.StructType(
         T.StructField("fetchedAt", _L),
     ]
 )
-BACKUP_STATE_FIELDS = ("lastSuccessAt", "lastAttemptAt", "handledRunNowAt")
+# members of a state file and the columns they become
+BACKUP_STATE_FIELDS = {
+    "lastSuccessAt": "last_success_at",
+    "lastAttemptAt": "last_attempt_at",
+    "handledRunNowAt": "handled_run_now_at",
+}

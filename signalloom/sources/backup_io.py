@@ -30,20 +30,23 @@ def _only_text(value: Column, name: str) -> Column:
 
 
 def read_backup_state(spark: SparkSession, path: str) -> DataFrame:
-    """State files ``{project_id, ...}``; unknown members are dropped and
-    any of the three that is not a string becomes null."""
+    """State files ``{project_id, ...}`` in the columns of ``backup_due``; unknown
+    members are dropped and any of the three that is not a string becomes null."""
     parsed = spark.read.text(path).select(F.try_parse_json("value").alias("v"))
     return parsed.select(
         F.try_variant_get("v", "$.project_id", "string").alias("project_id"),
-        *[_only_text(F.col("v"), n).alias(n) for n in BACKUP_STATE_FIELDS],
+        *[_only_text(F.col("v"), n).alias(c) for n, c in BACKUP_STATE_FIELDS.items()],
     ).filter(F.col("project_id").isNotNull())
 
 
 def upsert_backup_state(state: DataFrame, patch: DataFrame, key: str = "project_id") -> DataFrame:
     """Fields given by the patch replace the old ones, the rest stays.
 
-    A null in the patch is "not given"; projects that are new are added.
+    A null in the patch is "not given"; projects that are new are added.  A
+    column that the state does not have is an error.
     """
+    if unknown := set(patch.columns) - set(state.columns):
+        raise ValueError(f"the state has no {sorted(unknown)}")
     fields = [c for c in state.columns if c != key]
     side = patch.select(F.col(key).alias("__key"), *[F.col(c).alias(f"__p_{c}") for c in fields if c in patch.columns])
     joined = state.join(side, F.col(key) == F.col("__key"), "full")

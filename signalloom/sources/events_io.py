@@ -59,10 +59,11 @@ def write_batches(
 
     No request carries more than ``size`` events: a longer batch becomes
     several chunks, so the lists that are collected stay short.  ``pos`` counts
-    from 0 without repeats, as ``assign_batches`` gives it.
+    from 0 without repeats, as ``assign_batches`` gives it.  A row without a body
+    is not sent and not counted.
     """
     item = F.struct(F.col(pos).alias("p"), F.col(body).alias("b"))
-    grouped = df.groupBy(batch, F.floor(F.col(pos) / size).alias("chunk")).agg(
+    grouped = df.where(F.col(body).isNotNull()).groupBy(batch, F.floor(F.col(pos) / size).alias("chunk")).agg(
         F.array_sort(F.collect_list(item)).alias("__items")
     )
     texts = F.transform("__items", lambda i: i["b"])

@@ -177,9 +177,30 @@ def test_state_files(spark, tmp_path):
     )
     state = backup_io.read_backup_state(spark, str(tmp_path))
     assert {tuple(r) for r in state.collect()} == {("a", "2024", None, None), ("b", None, None, None)}
-    patch = spark.createDataFrame([("a", None, "now"), ("c", "s", None)], "project_id string, lastSuccessAt string, lastAttemptAt string")
+    patch = spark.createDataFrame([("a", None, "now"), ("c", "s", None)], "project_id string, last_success_at string, last_attempt_at string")
     out = {tuple(r) for r in backup_io.upsert_backup_state(state, patch).collect()}
     assert out == {("a", "2024", "now", None), ("b", None, None, None), ("c", "s", None, None)}
+    with pytest.raises(ValueError, match="lastSuccessAt"):
+        backup_io.upsert_backup_state(state, patch.withColumnRenamed("last_success_at", "lastSuccessAt"))
+
+
+def test_decision_from_stored_files(spark, tmp_path):
+    """Policies and states as stored; unreadable times let the backup run."""
+    (tmp_path / "p").mkdir()
+    (tmp_path / "s").mkdir()
+    policy = '{{"project_id":"{}","enabled":true,"intervalHours":6,"preferredHourUtc":3,"fetchedAt":1}}'
+    (tmp_path / "p" / "p.json").write_text("\n".join(policy.format(p) for p in "abcd"))
+    (tmp_path / "s" / "s.json").write_text(
+        '{"project_id":"a","lastSuccessAt":"2024-01-31T02:00:00Z"}\n'
+        '{"project_id":"b","lastSuccessAt":"garbage"}\n{"project_id":"c","lastSuccessAt":"2024-01-30T02:00:00Z","lastAttemptAt":"?"}\n'
+    )
+    rows = B.join_state(
+        backup_io.read_backup_policy(spark, str(tmp_path / "p")), backup_io.read_backup_state(spark, str(tmp_path / "s"))
+    ).withColumn("api_key", F.col("project_id"))
+    got = {r["project_id"]: r["reason"] for r in B.backup_due(rows, F.lit("2024-01-31 02:10:00")).collect()}
+    assert got == {"a": "interval not over", "b": "interval over", "c": "interval over", "d": "no copy yet"}
+    with pytest.raises(ValueError, match="last_success_at"):
+        B.backup_due(rows.drop("last_success_at"), F.lit("2024-01-31 02:10:00"))
 
 
 def test_policy_files(spark, tmp_path):

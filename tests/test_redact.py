@@ -3,13 +3,14 @@ import random
 import time
 from decimal import Decimal
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from signalloom.functions import redact as R
-from signalloom.operators.nested import scrub_json, scrub_nested, scrub_once_at_sink
+from signalloom.operators.nested import scrub_json, scrub_nested, scrub_object, scrub_once_at_sink
 
 JWT = "eyJhbGciOi.eyJzdWIi.c2ln-_A"
 CASES = [
@@ -186,3 +187,29 @@ def test_hostile_texts_take_no_long_time(spark):
     got = [r["o"] for r in df.select("i", R.scrub_string("s").alias("o")).orderBy("i").collect()]
     assert time.monotonic() - start < 20
     assert got == want
+
+
+@pytest.mark.parametrize("text", ["password=[REDACTEDhunter2", "token: [REDACTED]hunter2", "secret=[REDACTED_CARDhunter2"])
+def test_half_a_marker_hides_nothing(spark, text):
+    out = spark.createDataFrame([(text,)], "t string").select(R.scrub_string("t")).first()[0]
+    assert "hunter2" not in out and "hunter2" not in R.scrub_text(text)
+
+
+def test_whole_markers_stay(spark):
+    for text in ("token: [REDACTED]", "password=[REDACTED], x", "secret=[REDACTED_JWT]."):
+        assert spark.createDataFrame([(text,)], "t string").select(R.scrub_string("t")).first()[0] == text
+
+
+def test_hostile_json_and_variant(spark):
+    deep = "[" * 20000 + ' password=hunter2 ' + "]" * 20000
+    df = spark.createDataFrame([(deep, '{"password":"hunter2","a":1}')], "j string, v string")
+    row = df.select(scrub_json("j").alias("j"), F.parse_json("v").alias("v")).select(
+        "j", F.to_json(scrub_object("v", T.VariantType())).alias("v")
+    ).first()
+    assert "hunter2" not in row["j"] and "hunter2" not in row["v"] and '"a":1' in row["v"]
+
+
+def test_inner_arrays_keep_all_items(spark):
+    df = spark.createDataFrame([([[1] * 150], {"k": [2] * 150})], "a array<array<int>>, m map<string,array<int>>")
+    row = scrub_nested(df).first()
+    assert len(row["a"][0]) == 150 and len(row["m"]["k"]) == 150
