@@ -90,7 +90,7 @@ class _Numbers(dict):
 class WordCache:
     """Encodes batches of texts; remembers the ids of up to ``max_words`` words."""
 
-    def __init__(self, path: str, max_words: int = 400_000, max_chars: int = 16 << 20):
+    def __init__(self, path: str, max_words: int = 150_000, max_chars: int = 6 << 20):
         self.path, self.max_words, self.max_chars = path, max_words, max_chars
         self._clear()
 

@@ -163,7 +163,7 @@ def shingled(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, pack = _Hasher(), zstandard.ZstdCompressor(level=3).compress
         for whole in batches:
-            for batch in small_batches(whole, "text", 2 << 20):
+            for batch in small_batches(whole, "text", 1 << 20):
                 texts = [t.lower() for t in batch.column("text").to_pylist()]
                 sets = [shingle_set(w) for w in hasher.words(texts)]
                 yield pa.RecordBatch.from_pydict(
@@ -186,7 +186,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, unpack = _Hasher(), zstandard.ZstdDecompressor().decompress
         for whole in batches:
-            for batch in small_batches(whole, "a_packed", 1 << 20):
+            for batch in small_batches(whole, "a_packed", 1 << 18):
                 # pairs with one hub come in runs: its text is hashed once
                 left = batch.column("b_packed").to_pylist()
                 sets: dict[bytes, np.ndarray] = {}

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from signalloom.llm.common import small_batches, whole_text
 
-TRIE_BYTES = 48 << 20
+TRIE_BYTES = 24 << 20
 
 _NODE_BYTES = 300  # of a node besides its label, about
 
