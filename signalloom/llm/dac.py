@@ -30,7 +30,7 @@ from signalloom.llm.encoding import default_vocabulary, with_end, word_cache
 MAGIC = b"DACS0001"
 WIDTHS = (12, 4, 16)
 RANK_BITS = 512
-SHARD_TOKENS = 1 << 20
+SHARD_TOKENS = 1 << 18
 END_ID = 2
 
 SHARD_SCHEMA = "part int, part_tokens long, n_docs long, n_tokens long, data binary"
