@@ -24,6 +24,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +43,9 @@ BINS, ROWS = 128, 4
 #: Sets up to this size use permutations; sets above 0.75 of it use bins, too,
 #: so that two sets of a link always share one kind of signature.
 SMALL_SET = 128
-HUB_GROWTH = 16
+FIRST_HUBS, HUB_GROWTH = 16, 16
+#: 64 positions of an odd sketch each.
+SKETCH = [f"odd_{i}" for i in range(16)]
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[32, 9, 10, 11, 12, 13]] = True
@@ -157,6 +161,13 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * shared >= PERCENT * (len(a) + len(b) - shared)
 
 
+def odd_sketch(hashes: np.ndarray) -> np.ndarray:
+    """Words of a bitmap of the positions that an odd number of the hashes have."""
+    size = 64 * len(SKETCH)
+    odd = np.bincount((_mix(hashes) % np.uint64(size)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def shingled(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, node (digest of the shingle set), keys of its buckets, packed text."""
 
@@ -226,17 +237,35 @@ def _common_shingles(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     return named.join(own, "id", "left").select("node", (F.col("n") - F.coalesce("own", F.lit(0))).alias("common"))
 
 
+def _sketches(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """node and the words of the odd sketch of its shingle set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, unpack = _Hasher(), zstandard.ZstdDecompressor().decompress
+        for whole in batches:
+            for batch in small_batches(whole, "packed", 1 << 18):
+                words = hasher.words([unpack(p) for p in batch.column("packed").to_pylist()])
+                odd = np.array([odd_sketch(shingle_set(w)) for w in words]).reshape(-1, len(SKETCH))
+                columns = {c: pa.array(odd[:, i]) for i, c in enumerate(SKETCH)}
+                yield pa.RecordBatch.from_pydict({"node": batch.column("node")} | columns)
+
+    wanted = texts.join(nodes, "node", "left_semi").select("node", "packed")
+    return wanted.mapInArrow(run, ", ".join(["node binary", *[f"{c} long" for c in SKETCH]]))
+
+
 def _star_pairs(members: DataFrame, above: int, up_to: int) -> DataFrame:
     """Pairs of hubs, by rank in their bucket, with the members after them in other components.
 
-    ``members``: key, node, n, common, hub, label, rank.  Left out are pairs
-    with the first hub, which everyone has met, and pairs that sizes or common
-    shingles rule out as links.
+    ``members``: key, node, n, common, hub, label, rank and the sketch.  Left out
+    are pairs with the first hub, which everyone has met, and pairs that sizes,
+    common shingles or sketches rule out as links.
     """
     hubs = members.where((F.col("rank") > above) & (F.col("rank") <= up_to) & (F.col("node") != F.col("hub"))).select(
-        "key", *[F.col(c).alias(f"b_{c}") for c in ("node", "n", "common", "label", "rank")]
+        "key", *[F.col(c).alias(f"b_{c}") for c in ("node", "n", "common", "label", "rank", *SKETCH)]
     )
     needed = PERCENT * (F.col("n") + F.col("b_n"))
+    # shingles that one of the two texts has alone, at least
+    apart = reduce(add, [F.bit_count(F.col(c).bitwiseXOR(F.col(f"b_{c}"))) for c in SKETCH])
     fits = (
         (F.col("rank") > F.col("b_rank"))
         & (F.col("label") != F.col("b_label"))
@@ -244,6 +273,7 @@ def _star_pairs(members: DataFrame, above: int, up_to: int) -> DataFrame:
         & (100 * F.col("n") >= PERCENT * F.col("b_n"))
         & (100 * F.col("b_n") >= PERCENT * F.col("n"))
         & ((100 + PERCENT) * F.least("common", "b_common") >= needed)
+        & ((100 + PERCENT) * apart <= (100 - PERCENT) * (F.col("n") + F.col("b_n")))
     )
     return members.join(hubs, "key").where(fits).select(F.col("node").alias("a"), F.col("b_node").alias("b")).distinct()
 
@@ -283,12 +313,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     common = _common_shingles(unsettled.select("node", "n").distinct(), texts)
     unsettled = unsettled.join(common, "node").where(100 * F.col("common") >= PERCENT * F.col("n"))
     unsettled = materialize(unsettled, "unsettled")
+    sketches = materialize(_sketches(unsettled.select("node").distinct(), texts), "sketches")
     # a text with few shingles of its own is close to what its copies were made from
     central_first = Window.partitionBy("key").orderBy(F.desc(F.col("common") / F.col("n")), "node")
-    met, up_to = 0, 1
+    met, up_to = 0, FIRST_HUBS
     while True:
         ranked = _not_in_one(unsettled, labels, met + 1).withColumn("rank", F.row_number().over(central_first))
-        pairs = materialize(_star_pairs(ranked, met, up_to), "star-pairs")
+        pairs = materialize(_star_pairs(ranked.join(sketches, "node"), met, up_to), "star-pairs")
         if pairs.limit(1).count():
             more = materialize(_confirm(pairs, texts), "near-links")
             if more.limit(1).count():

@@ -70,6 +70,33 @@ def test_near_finds_members_their_hub_does_not_link(spark, rng):
     assert got == brute.near_components(rows)
 
 
+def test_sketches_never_exceed_the_difference():
+    rng = np.random.default_rng(5)
+    for n in (1, 30, 200, 3000):
+        for step in (1, 7, n):
+            both = rng.integers(0, 1 << 63, n + step).astype(np.uint64)
+            a, b = np.unique(both[:n]), np.unique(both[step:])
+            differing = minhash.odd_sketch(a) ^ minhash.odd_sketch(b)
+            apart = int(np.bitwise_count(differing.view(np.uint64)).sum())
+            assert apart <= len(np.setxor1d(a, b))
+            if step < 40:
+                assert apart >= 0.8 * len(np.setxor1d(a, b))
+
+
+def test_near_finds_links_of_a_family_without_its_base(spark, rng):
+    """Copies edited so far that pairs lie on both sides of the threshold and no hub meets all."""
+    words, rows = [f"w{i}" for i in range(300)], []
+    base = [rng.choice(words) for _ in range(150)]
+    for doc_id in range(160):
+        copy = list(base)
+        for _ in range(rng.randrange(1, 7)):
+            copy[rng.randrange(len(copy))] = f"e{rng.randrange(40)}"
+        rows.append((doc_id, " ".join(copy)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.near_duplicates(docs).collect()}
+    assert got == brute.near_components(rows)
+
+
 def test_near_of_odd_ids(spark, empty_docs):
     assert minhash.near_duplicates(empty_docs).count() == 0
     rows = [(None, "a b c"), (5, "A b  c"), (5, "other words here"), (None, None), (7, None), (8, "")]
