@@ -43,7 +43,7 @@ BINS, ROWS = 128, 4
 #: Sets up to this size use permutations; sets above 0.75 of it use bins, too,
 #: so that two sets of a link always share one kind of signature.
 SMALL_SET = 128
-FIRST_HUBS, HUB_GROWTH = 16, 16
+FIRST_HUBS, HUB_GROWTH = 32, 256
 #: 64 positions of an odd sketch each.
 SKETCH = [f"odd_{i}" for i in range(16)]
 
@@ -278,12 +278,20 @@ def _star_pairs(members: DataFrame, above: int, up_to: int) -> DataFrame:
     return members.join(hubs, "key").where(fits).select(F.col("node").alias("a"), F.col("b_node").alias("b")).distinct()
 
 
-def _not_in_one(members: DataFrame, labels: DataFrame, most_met: int) -> DataFrame:
-    """``members`` with their labels, of the buckets that span components and have hubs to come."""
-    labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    return members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def _split_keys(labelled: DataFrame, most_met: int) -> DataFrame:
+    """Keys of the buckets that span components and have hubs to come."""
     split = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"))
-    split = split.where((F.col("low") != F.col("high")) & (F.col("size") > most_met)).select("key")
-    return labelled.join(split, "key")
+    return split.where((F.col("low") != F.col("high")) & (F.col("size") > most_met)).select("key")
+
+
+def _not_in_one(members: DataFrame, labels: DataFrame, most_met: int) -> DataFrame:
+    """``members`` of those buckets, with their labels."""
+    labelled = _labelled(members, labels)
+    return labelled.join(_split_keys(labelled, most_met), "key")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -302,7 +310,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     exploded = materialize(classes.select("node", "n", F.explode("keys").alias("key")), "buckets")
     shared = exploded.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("hub")).where("size > 1")
     members = materialize(exploded.join(shared.select("key", "hub"), "key"), "members")
-    wanted = members.select("node").distinct()
+    wanted = materialize(members.select("node").distinct(), "wanted")
     once = some.join(wanted, "node").groupBy("node").agg(F.first("packed").alias("packed"))
     texts = materialize(once, "texts")
 
@@ -323,10 +331,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         if pairs.limit(1).count():
             more = materialize(_confirm(pairs, texts), "near-links")
             if more.limit(1).count():
-                links = links.union(more)
-                labels = connected_components(links)
+                # a star per component says as much as its links
+                stars = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
+                labels = connected_components(stars.union(more))
         met, up_to = up_to, up_to * HUB_GROWTH
-        if _not_in_one(unsettled, labels, met + 1).limit(1).count() == 0:
+        if _split_keys(_labelled(unsettled, labels), met + 1).limit(1).count() == 0:
             break
 
     named = table.select("doc_id", "n_shingles", "node").join(labels, "node", "left")
