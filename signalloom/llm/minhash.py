@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from signalloom.llm.common import small_batches, whole_text
 from signalloom.llm.components import connected_components
+from signalloom.operators.sizing import maybe_broadcast
 from signalloom.sources.scratch import materialize
 
 WORDS = 5
@@ -308,10 +309,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     some = table.where("n_shingles > 0")
     classes = some.groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("keys").alias("keys"))
     exploded = materialize(classes.select("node", "n", F.explode("keys").alias("key")), "buckets")
-    shared = exploded.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("hub")).where("size > 1")
-    members = materialize(exploded.join(shared.select("key", "hub"), "key"), "members")
+    # most keys are in one text only: they are found by keys and counts, without nodes
+    shared = exploded.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key")
+    together = materialize(exploded.join(shared, "key", "left_semi"), "together")
+    members = materialize(together.join(together.groupBy("key").agg(F.min("node").alias("hub")), "key"), "members")
     wanted = materialize(members.select("node").distinct(), "wanted")
-    once = some.join(wanted, "node").groupBy("node").agg(F.first("packed").alias("packed"))
+    once = some.join(maybe_broadcast(wanted), "node").groupBy("node").agg(F.first("packed").alias("packed"))
     texts = materialize(once, "texts")
 
     first = members.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
