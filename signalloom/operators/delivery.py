@@ -18,7 +18,7 @@ from signalloom.limits import (
     SPOOL_TTL_HOURS,
 )
 from signalloom.operators.events import classify_status
-from signalloom.operators.ordered import HOT_ROWS, keep_first, number_rows, time_slice
+from signalloom.operators.ordered import HOT_ROWS, default_slice, keep_first, number_rows
 from signalloom.operators.sizing import maybe_broadcast, row_salt
 from signalloom.sources.scratch import materialize
 
@@ -130,9 +130,10 @@ def assign_batches(
     """Q6: adds ``batch_no`` and ``pos`` (both from 0) in queue order per key.
 
     ``slice_by`` cuts a key of more than ``hot_rows`` rows into pieces (see
-    ``operators.ordered``); default: the hour of the first order column.
+    ``operators.ordered``); default: the hour of the first order
+    column, or runs of its numbers.  Rows without a place in the order come first.
     """
-    cut = slice_by if slice_by is not None else time_slice(order[0])
+    cut = slice_by if slice_by is not None else default_slice(df, order[0])
     n = F.col("__no") - 1
     return (
         number_rows(df, by, order, cut, "__no", hot_rows)

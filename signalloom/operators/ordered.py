@@ -20,33 +20,49 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from signalloom.operators.sizing import maybe_broadcast, row_salt
 from signalloom.sources.scratch import materialize
 
 DEFAULT_SLICE = "hour"
 HOT_ROWS = 2_000_000
+NUMBER_RUN = 100_000
 
 
 def time_slice(ts: str | Column, unit: str = DEFAULT_SLICE) -> Column:
     return F.date_trunc(unit, ts)
 
 
+def default_slice(df: DataFrame, column: str) -> Column:
+    """Pieces of an order column: hours of a time, runs of ``NUMBER_RUN`` of a whole or decimal number."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, (T.IntegralType, T.DecimalType)):
+        return F.floor(F.col(column) / NUMBER_RUN)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return time_slice(column)
+    raise ValueError(f"no slices for {column} of type {kind.simpleString()}: pass slice_by")
+
+
 def _keys(by: str | Sequence[str]) -> list[str]:
     return [by] if isinstance(by, str) else list(by)
 
 
 def _sliced(df: DataFrame, keys: list[str], slice_by: Column, hot_rows: int) -> tuple[DataFrame, DataFrame | None]:
-    """Rows with ``__slice`` (null for keys that are not hot), and the hot rows among them."""
+    """Rows with ``__slice`` (null for keys that are not hot), and the hot rows among them.
+
+    A slice is a struct, so that rows of a hot key whose ``slice_by`` is null are
+    a slice as well: the first, as nulls are first in the order.
+    """
     counted = df.groupBy(*[F.col(k).alias(f"__k_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("__n"))
     hot = materialize(counted.filter(F.col("__n") > hot_rows).drop("__n"), "hot-keys")
     if hot.isEmpty():
-        return df.withColumn("__slice", F.lit(None).cast("string")), None
+        return df.withColumn("__slice", F.lit(None)), None
     cond = F.lit(True)
     for k in keys:
         cond = cond & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
     marked = df.join(maybe_broadcast(hot.withColumn("__hot", F.lit(True))), cond, "left")
-    sliced = marked.withColumn("__slice", F.when(F.col("__hot"), slice_by)).drop("__hot", *[f"__k_{k}" for k in keys])
+    sliced = marked.withColumn("__slice", F.when(F.col("__hot"), F.struct(slice_by.alias("at")))).drop("__hot", *[f"__k_{k}" for k in keys])
     return sliced, sliced.filter(F.col("__slice").isNotNull())
 
 

@@ -95,6 +95,26 @@ def test_batches(spark, hot_rows):
     assert {r["event_id"]: (r["batch_no"], r["pos"]) for r in got} == want
 
 
+@pytest.mark.parametrize("order", [("ts", "event_id"), ("seq", "event_id")])
+@pytest.mark.parametrize("null_share", [2, 3, 10**9])
+def test_batches_of_a_hot_key_without_times(spark, order, null_share):
+    rows = [(i, "k" if i % 4 else "other", None if i % null_share == 0 else (i * 37) % 50) for i in range(120)]
+    df = spark.createDataFrame(rows, "event_id long, key string, n long")
+    df = df.withColumns({"ts": F.timestamp_seconds(F.col("n") * 1800), "seq": F.col("n") * 40_000})
+    plain, hot = (
+        {r["event_id"]: (r["batch_no"], r["pos"]) for r in Q.assign_batches(df, "key", 3, order=order, hot_rows=n).collect()}
+        for n in (10**6, 0)
+    )
+    ranked = sorted((r for r in rows if r[1] == "k"), key=lambda r: (r[2] is not None, r[2] or 0, r[0]))
+    assert {r[0]: divmod(i, 3) for i, r in enumerate(ranked)}.items() <= plain.items()
+    assert hot == plain and len(hot) == 120
+
+
+def test_batches_of_an_order_without_slices(spark):
+    with pytest.raises(ValueError, match="slice_by"):
+        Q.assign_batches(spark.createDataFrame([("a", "k")], "name string, key string"), "key", order=("name",))
+
+
 def test_batch_gate(spark):
     big, half = "x" * 262145, "y" * 131100
     rows = [(1, 0, "a"), (1, 1, "b"), (2, 0, half), (2, 1, half), (3, 0, big), (4, 0, big), (4, 1, "c"), (5, 0, "x" * 262144)]
