@@ -50,6 +50,25 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, "snapshots").select("fetched_at", "mode", entries.cast(entry).alias("entries"))
 
 
+def versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A list version for every event."""
+    entry = "array<struct<type:string,value:string,expires_at:timestamp_ntz>>"
+    entries = F.when(
+        F.col("version_id") % 4 < 2,
+        F.expr("array(named_struct('type','CIDR','value','45.198.224.0/24','expires_at',fetched_at + interval 2 days),"
+               "named_struct('type','IP','value','9.9.9.9','expires_at',cast(null as timestamp_ntz)))"),
+    ).otherwise(
+        F.expr("array(named_struct('type','CIDR','value','45.198.224.0/23','expires_at',cast(null as timestamp_ntz)))")
+    )
+    return view(spark, sf_dir, "versions").select("fetched_at", "mode", entries.cast(entry).alias("entries"))
+
+
+def later_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests some minutes after their event, so that other versions lie between."""
+    late = F.col("ts") + F.make_dt_interval(mins=(F.col("req_id") % 200).cast("int"))
+    return requests(spark, sf_dir).withColumn("ts", late)
+
+
 QUERIES = {
     "F1_client_ip": lambda s, d: view(s, d, "requests").select(
         "req_id", client_ip("xff", "x_real_ip", socket_addr="remote_addr").alias("client_ip")
@@ -84,6 +103,9 @@ QUERIES = {
     "F11_match_point_in_time": lambda s, d: B.match_point_in_time(requests(s, d), snapshots(s, d)).select(
         "req_id", "valid_from", "mode", "matched_value"
     ),
+    "F11_match_point_in_time_all": lambda s, d: B.match_point_in_time(later_requests(s, d), versions(s, d)).select(
+        "req_id", "valid_from", "mode", "matched_value"
+    ),
     "F12_fold_polls": lambda s, d: B.fold_polls(view(s, d, "polls")).select(
         "poll_id", "state_mode", "state_etag", "fetched_at", "errors_in_row", "next_poll_ms"
     ),
@@ -159,6 +181,16 @@ ORACLE = {
             when ip = '9.9.9.9' then '9.9.9.9' end
           when (addr >> 9) = ({_long("'45.198.224.0'")} >> 9) then '45.198.224.0/23' end as matched_value
         from placed""",
+    "F11_match_point_in_time_all": f"""with {_MATCH.split('lst as')[0].strip().rstrip(',')},
+        late as (select * replace (ts + to_minutes(req_id % 200) as ts) from req),
+        placed as (select r.*, v.fetched_at as valid_from, v.mode, v.version_id
+                   from late r asof left join $versions v on r.ts >= v.fetched_at)
+        select req_id, valid_from, mode, case
+          when version_id % 4 < 2 then case
+            when (addr >> 8) = ({_long("'45.198.224.0'")} >> 8) and ts < valid_from + interval 2 day then '45.198.224.0/24'
+            when ip = '9.9.9.9' then '9.9.9.9' end
+          when (addr >> 9) = ({_long("'45.198.224.0'")} >> 9) then '45.198.224.0/23' end as matched_value
+        from placed""",
     "F12_fold_polls": """with flagged as (select *, coalesce(status between 200 and 299, false) as ok,
           coalesce(status between 200 and 299 or status = 304, false) as good from $polls),
         grp as (select *, last_value(case when ok then mode end ignore nulls) over w as m0,

@@ -104,6 +104,26 @@ def blocklist_versions(s: SparkSession, d: str) -> DataFrame:
     return read.select("fetched_at", "mode", F.col("entries")[0]["value"].alias("value"), F.col("entries")[0]["expires_at"].alias("expires_at"))
 
 
+def all_blocklist_versions(s: SparkSession, d: str) -> DataFrame:
+    """A version per event written and read; those without mode or entries are not usable."""
+    path = scratch_path(s, "blocklist")
+    user, n = F.col("user_id"), F.col("event_id")
+    entry = F.struct(
+        F.lit("IP").alias("type"),
+        F.concat(F.lit("10.0.0."), (user % 256).cast("string")).alias("value"),
+        F.when(n % 2 == 0, F.lit("2024-02-01T00:00:00Z")).otherwise(F.lit("soon")).alias("expiresAt"),
+    )
+    rows = table(s, d, "events").select(
+        F.when(n % 3 > 0, F.lit("ENFORCE")).alias("mode"),
+        F.when(n % 7 > 0, F.array(entry)).alias("entries"),
+        (F.lit(1704067200000) + n).alias("fetchedAt"),
+    )
+    for half in (0, 1):
+        blocklist_io.append_blocklist_snapshot(rows.filter(F.col("fetchedAt") % 2 == half), path)
+    read = blocklist_io.read_blocklist_snapshots(s, path)
+    return read.select("fetched_at", "mode", F.col("entries")[0]["value"].alias("value"), F.col("entries")[0]["expires_at"].alias("expires_at"))
+
+
 def policies(s: SparkSession, d: str) -> DataFrame:
     path = scratch_path(s, "policies")
     table(s, d, "events").select(
@@ -220,6 +240,7 @@ QUERIES = {
     "S2_explode_batches": exploded,
     "S3_write_batches": lambda s, d: _envelopes(s, d),
     "S4_blocklist_snapshots": blocklist_versions,
+    "S4_blocklist_snapshots_all": all_blocklist_versions,
     "S5_backup_policy": policies,
     "S6_backup_state": states,
     "S7_database_table": dumped,
@@ -249,6 +270,10 @@ ORACLE = {
           'ENFORCE' as mode, '10.0.0.' || user_id % 256 as value,
           case when event_id % 200 = 0 then timestamp '2024-02-01 00:00:00' end as expires_at
         from events where event_id % 100 = 0 and event_id % 300 > 0 and event_id % 700 > 0""",
+    "S4_blocklist_snapshots_all": """select to_timestamp(0)::timestamp + to_milliseconds(1704067200000 + event_id) as fetched_at,
+          'ENFORCE' as mode, '10.0.0.' || user_id % 256 as value,
+          case when event_id % 2 = 0 then timestamp '2024-02-01 00:00:00' end as expires_at
+        from events where event_id % 3 > 0 and event_id % 7 > 0""",
     "S5_backup_policy": """select 'p' || user_id as project_id, max(event_id) % 3 > 0 as enabled,
           cast(max(event_id) % 48 as integer) as interval_hours, cast(max(event_id) % 24 as integer) as preferred_hour_utc,
           500 as max_size_mb from events group by user_id""",

@@ -112,6 +112,14 @@ select ts as fetched_at,
 from events where event_id % 500 = 250 or event_id % 1500 = 0
 """
 
+# a list version for every event
+VERSIONS = """
+select ts as fetched_at,
+  case when event_id % 3 = 0 then 'MONITOR' when event_id % 7 = 0 then 'OFF' else 'ENFORCE' end as mode,
+  event_id as version_id
+from events
+"""
+
 # two runs at a time per project and 3,000 events: start, heartbeats, final reports
 RUNS = """
 select event_id, ts, user_id as project_id,
@@ -137,6 +145,7 @@ VIEWS = {
     "acks": ACKS,
     "polls": POLLS,
     "snapshots": SNAPSHOTS,
+    "versions": VERSIONS,
     "runs": RUNS,
 }
 
