@@ -19,6 +19,11 @@ task lets a passage that fills the corpus leave the task once.  Anchors that no
 other task has are dropped.  Where all bytes around two anchors agree, by a
 64-bit hash of them, only the first goes on: long copies are settled by numbers
 alone, and suffixes are needed where copies begin and end.
+
+An anchor hash with more than ``HOT_ROWS`` such rows is not given to one task:
+a passage shared by different texts has one at each edge.  Its strings go on
+singly, by a 128-bit digest, and each task first drops those it has met before,
+so that a string all texts share comes from each task about once.
 """
 
 from __future__ import annotations
@@ -41,10 +46,16 @@ WINDOW = LENGTH - GRAM + 1
 #: Most bytes left of an anchor that a string through it can have.
 LEFT = WINDOW - 1
 BATCH_ROWS = 1 << 15
+#: Most rows of one anchor hash that meet as suffixes; a batch holds as many anyway.
+HOT_ROWS = BATCH_ROWS
+#: Strings of hot anchors that a task compares before it sends them on.
+HELD_STRINGS = 1 << 18
 SLICE_BYTES = 4 << 20
 #: Texts are scanned in pieces up to this size; a place takes 24 bits.
 PIECE_BYTES = 1 << 23
 _PLACE_BITS = 24
+#: Added to the place of a hot anchor, and to the start of one of its strings.
+_HOT = 1 << 62
 _NO_ID = -(1 << 63)
 
 _BYTE_CODES = np.random.default_rng(61).integers(1, 1 << 63, 256).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -348,20 +359,22 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _batch(_scan_slice([(*key, unique[key]) for key in sorted(unique)]))
 
 
-def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _met(batches: Iterator[pa.RecordBatch], hot_rows: int = HOT_ROWS) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by hash, check and document, what has to go on.
 
     A row with the hash and check of the row before becomes an area.  The first
-    of each check goes on if its hash has another check, too.  Areas pass.
+    of each check goes on if its hash has another check, too, and is marked if
+    its hash has more than ``hot_rows``.  Areas pass.
     """
+    names = ("hash", "d", "tie", "at")
     last: dict[str, np.ndarray] | None = None  # the row before
-    open_first: dict[str, np.ndarray] | None = None  # the last first of a check, and whether it went on
-    gone = False
+    held = {k: np.empty(0, np.int64) for k in names}  # firsts of the last hash, as long as it is not hot
+    hot: int | None = None  # the last hash, if it is
     for batch in batches:
         rows = _numbers(batch, *_NAMES)
         passing = rows["at"] < 0
         if passing.any():
-            yield _batch({k: rows[k][passing] for k in ("hash", "d", "tie", "at")})
+            yield _batch({k: rows[k][passing] for k in names})
         rows = {k: v[~passing] for k, v in rows.items()}
         n = len(rows["at"])
         if not n:
@@ -377,27 +390,84 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             low = rows["at"][copies] >> 16
             area = _area(low, low + (rows["at"][copies] & 255) + LENGTH)
             yield _batch({k: rows[k][copies] for k in ("hash", "d", "tie")} | {"at": area})
-        firsts = {k: v[new] for k, v in rows.items()}
-        if open_first is not None:
-            firsts = {k: np.concatenate([open_first[k], v]) for k, v in firsts.items()}
-        alike = firsts["hash"][1:] == firsts["hash"][:-1]
-        on = np.concatenate([[False], alike]) | np.concatenate([alike, [False]])
-        fresh = on.copy()
-        if open_first is not None and gone:
-            on[0], fresh[0] = True, False
-        if fresh.any():
-            yield _batch({k: firsts[k][fresh] for k in ("hash", "d", "tie", "at")})
-        open_first, gone = {k: v[-1:] for k, v in firsts.items()}, bool(on[-1])
+        firsts = {k: np.concatenate([held[k], rows[k][new]]) for k in names}
+        if not len(firsts["at"]):
+            continue
+        begin = np.flatnonzero(np.concatenate([[True], firsts["hash"][1:] != firsts["hash"][:-1]]))
+        size = np.diff(np.append(begin, len(firsts["at"])))
+        marked = (size > hot_rows) | ((firsts["hash"][begin] == hot) if hot is not None else False)
+        hot = int(firsts["hash"][-1]) if marked[-1] else None
+        on = marked | (size > 1)
+        on[-1] = marked[-1]
+        held = {k: v[len(v) if marked[-1] else begin[-1] :] for k, v in firsts.items()}
+        firsts["at"] = firsts["at"] + np.repeat(marked, size) * _HOT
+        on = np.repeat(on, size)
+        if on.any():
+            yield _batch({k: v[on] for k, v in firsts.items()})
+    if len(held["at"]) > 1:
+        yield _batch(held)
+
+
+class Strings:
+    """Strings of hot anchors, by digest; those that a task has met before end here."""
+
+    def __init__(self) -> None:
+        self.held: list[dict[str, np.ndarray]] = []
+        self.count = 0
+
+    def add(self, text: bytes, d: int, tie: int, at: np.ndarray) -> None:
+        """All strings through the anchors at ``at`` of a document."""
+        low, n = at >> 16, (at & 255) + 1
+        starts = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        digests = b"".join(hashlib.blake2b(text[s : s + LENGTH], digest_size=16).digest() for s in starts.tolist())
+        hash_, check = np.frombuffer(digests, "<i8").reshape(-1, 2).T
+        columns = {"hash": hash_, "check": check, "d": np.full(len(starts), d), "tie": np.full(len(starts), tie), "at": starts}
+        self.held.append(columns)
+        self.count += len(starts)
+
+    def settle(self) -> Iterator[pa.RecordBatch]:
+        """The first of each string goes on, others become areas."""
+        if not self.count:
+            return
+        rows = {k: np.concatenate([h[k] for h in self.held]) for k in _NAMES}
+        self.held, self.count = [], 0
+        order = np.lexsort([rows[k] for k in reversed(_NAMES)])
+        rows = {k: v[order] for k, v in rows.items()}
+        alike = {k: np.concatenate([[False], v[1:] == v[:-1]]) for k, v in rows.items()}
+        new = ~(alike["hash"] & alike["check"])
+        copies = ~new & ~(alike["d"] & alike["tie"] & alike["at"])
+        around = pa.array([c.tobytes() for c in rows["check"][new]], pa.binary())
+        yield _batch({k: rows[k][new] for k in ("hash", "d", "tie")} | {"at": rows["at"][new] + _HOT}, around=around)
+        d, tie, at = (rows[k][copies] for k in ("d", "tie", "at"))
+        order = np.lexsort([at, tie, d])
+        d, tie, at = d[order], tie[order], at[order]
+        joined = np.concatenate([[False], (np.diff(d) == 0) & (np.diff(tie) == 0) & (np.diff(at) == 1)])
+        first = np.flatnonzero(~joined)
+        end = at[np.append(first[1:], len(at)) - 1] if len(first) else at
+        for a in range(0, len(first), BATCH_ROWS):
+            some = first[a : a + BATCH_ROWS]
+            areas = {"d": d[some], "tie": tie[some], "at": _area(at[some], end[a : a + BATCH_ROWS] + LENGTH)}
+            hashes = _mix((areas["at"] + areas["d"] * 31).astype(np.uint64)).view(np.int64)
+            yield _batch({"hash": hashes} | areas, around=pa.array([b""] * len(some), pa.binary()))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes around the anchors of each document; its areas are merged and pass."""
+    """The bytes around the anchors of each document, or its strings where they are hot.
+
+    Areas of a document are merged and pass.
+    """
     unpack = zstandard.ZstdDecompressor().decompress
+    strings = Strings()
     for whole in batches:
         for batch in small_batches(whole, "packed", 1 << 20):
             for k in range(len(batch)):
-                text = np.frombuffer(unpack(batch.column("packed")[k].as_py()), np.uint8)
+                whole_bytes = unpack(batch.column("packed")[k].as_py())
+                text = np.frombuffer(whole_bytes, np.uint8)
                 hashes, at = (np.asarray(batch.column(c)[k].values) for c in ("hashes", "places"))
+                hot = at >= _HOT
+                if hot.any():
+                    strings.add(whole_bytes, batch.column("d")[k].as_py(), batch.column("tie")[k].as_py(), at[hot] - _HOT)
+                    hashes, at = hashes[~hot], at[~hot]
                 areas = [
                     (start, min(start + PIECE_BYTES, end))
                     for begin, end in merge_areas(at[at < 0].tolist())
@@ -422,6 +492,9 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     },
                     around=bytes_,
                 )
+                if strings.count >= HELD_STRINGS:
+                    yield from strings.settle()
+    yield from strings.settle()
 
 
 def _suffix_rows(hashes: np.ndarray, at: np.ndarray, around: pa.Array) -> tuple[np.ndarray, Suffixes]:
@@ -434,8 +507,13 @@ def _suffix_rows(hashes: np.ndarray, at: np.ndarray, around: pa.Array) -> tuple[
 
 
 def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Areas from the suffixes of a shard, which come in document order."""
+    """Areas from the suffixes of a shard, which come in document order.
+
+    Strings of hot anchors come among them in order of digest and document: all
+    but the first row of each are repeats.
+    """
     family, last = Family(), None
+    last_string: dict[str, np.ndarray] | None = None
     held: list[pa.RecordBatch] = []
 
     def settle(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
@@ -447,6 +525,18 @@ def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     count = 0
     for batch in batches:
+        string = batch.column("at").to_numpy(zero_copy_only=False) >= _HOT
+        if string.any():
+            hot = batch.filter(pa.array(string))
+            rows = _numbers(hot, "hash", "d", "tie", "at")
+            rows["check"] = np.frombuffer(b"".join(hot.column("around").to_pylist()), "<i8")
+            alike = {k: v == np.concatenate([last_string[k] if last_string else v[:1], v[:-1]]) for k, v in rows.items()}
+            again = alike["hash"] & alike["check"] & ~(alike["d"] & alike["tie"] & alike["at"])
+            again[0] &= last_string is not None
+            last_string = {k: v[-1:] for k, v in rows.items()}
+            start = rows["at"][again] - _HOT
+            yield _batch({"d": rows["d"][again], "tie": rows["tie"][again], "at": _area(start, start + LENGTH)})
+            batch = batch.filter(pa.array(~string))
         n = _numbers(batch, "d", "tie", "at")
         same = np.zeros(len(batch), bool)  # a row that came twice
         same[1:] = (n["d"][1:] == n["d"][:-1]) & (n["tie"][1:] == n["tie"][:-1]) & (n["at"][1:] == n["at"][:-1])
@@ -478,14 +568,14 @@ def merge_areas(areas: list[int] | None) -> list[tuple[int, int]]:
     return out
 
 
-def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, with_text: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, one row per document.
 
     Bytes are those of the UTF-8 text, a null text is empty.  Earlier is the
     smaller doc_id, then the earlier place; a null doc_id comes first.  Texts
     with the same doc_id are ordered by a hash; rows equal in doc_id and text
     count as one document, reported for each row.  ``with_text`` adds the
-    areas removed and the bytes kept.
+    areas removed and the bytes kept.  Results do not depend on ``hot_rows``.
     """
     text = whole_text()
     doc_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID))
@@ -513,12 +603,15 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
                 arrays = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in schema.split(", ")])
 
-    met = rows.mapInArrow(_scan, _ROW).repartition("hash").sortWithinPartitions(*_NAMES).mapInArrow(_met, _MET)
+    met = rows.mapInArrow(_scan, _ROW).repartition("hash").sortWithinPartitions(*_NAMES)
+    met = met.mapInArrow(lambda b: _met(b, hot_rows), _MET)
     by_text = met.groupBy("d", "tie").agg(F.collect_list(F.struct("hash", "at")).alias("rows"))
     by_text = by_text.select("d", "tie", F.col("rows.hash").alias("hashes"), F.col("rows.at").alias("places"))
     packed = rows.mapInArrow(shrink, "d long, tie int, packed binary")
     around = packed.join(by_text, ["d", "tie"]).mapInArrow(_cut, _MET + ", around binary")
-    areas = around.repartition("hash").sortWithinPartitions("d", "tie", "at").mapInArrow(_match, "d long, tie int, at long")
+    string = F.col("at") >= _HOT
+    in_order = (F.when(string, F.col("hash")).otherwise(F.col("d")), F.when(string, F.col("around")), "d", "tie", "at")
+    areas = around.repartition("hash").sortWithinPartitions(*in_order).mapInArrow(_match, "d long, tie int, at long")
     areas = areas.groupBy("d", "tie").agg(F.collect_list("at").alias("areas"))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     if with_text:

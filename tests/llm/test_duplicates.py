@@ -183,6 +183,67 @@ def test_repeats_over_many_batches(spark, rng, monkeypatch, batch_rows, slice_by
         assert (sum(e - b for b, e in spans), len(spans)) == want[d][1:3], d
 
 
+@pytest.mark.parametrize("hot_rows", [2, 40])
+def test_repeats_through_hot_anchors(spark, case, rng, hot_rows):
+    """A passage inside different texts, with every anchor or only its edges hot."""
+    docs, pairs = case
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(500))
+    noise = lambda: "".join(rng.choice("tuvwxyz ") for _ in range(rng.randrange(20, 160)))
+    more = [(100_000 + i, noise() + passage[i % 3 :] + noise()) for i in range(150)] + [(100_007, "x" + passage + "y")]
+    more = list(dict(more).items())
+    frame = docs.select("doc_id", "text").union(spark.createDataFrame(more, "doc_id long, text string").repartition(7))
+    frame = frame.union(spark.createDataFrame(more[:5], "doc_id long, text string"))  # rows equal in all count once
+    want = brute.repeated_bytes(pairs + more)
+    got = suffix_levels.remove_repeats(frame, hot_rows=hot_rows).collect()
+    assert len(got) == len(pairs) + len(more) + 5
+    for r in got:
+        assert tuple(r)[1:] == want[r["doc_id"]], r["doc_id"]
+
+
+def test_hot_anchors_are_not_held_together(rng, monkeypatch):
+    """No batch or level has more rows of one anchor hash than the bound."""
+    monkeypatch.setattr(suffix_levels, "BATCH_ROWS", 50)
+    largest, add = [0], suffix_levels.Family.add
+
+    def watched(family, rows):
+        found = add(family, rows)
+        kept = np.concatenate([rows.hash[:0], *(level.rows.hash for level in family.levels)])
+        largest.append(max((np.unique(h, return_counts=True)[1].max() for h in (rows.hash, kept) if len(h)), default=0))
+        return found
+
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(300)).encode()
+    noise = lambda: "".join(rng.choice("tuvwxyz ") for _ in range(120)).encode()
+    texts = [noise() + passage + noise() for _ in range(400)]
+    parts = [suffix_levels._scan_slice([(d, 0, t)]) for d, t in enumerate(texts)]
+    rows = {k: np.concatenate([p[k] for p in parts]) for k in suffix_levels._NAMES}
+    order = np.lexsort([rows[k] for k in reversed(suffix_levels._NAMES)])
+    bound = {"hot_rows": 100} if hasattr(suffix_levels, "HOT_ROWS") else {}
+    table = suffix_levels.pa.Table.from_batches([suffix_levels._batch({k: v[order] for k, v in rows.items()})])
+    by_doc = {}
+    for out in suffix_levels._met(table.to_batches(max_chunksize=37), **bound):
+        for r in out.to_pylist():
+            by_doc.setdefault(r["d"], []).append(r)
+    pack = suffix_levels.zstandard.ZstdCompressor().compress
+    batch = suffix_levels.pa.RecordBatch.from_pylist(
+        [
+            {"d": d, "tie": 0, "packed": pack(texts[d]), "hashes": [r["hash"] for r in rs], "places": [r["at"] for r in rs]}
+            for d, rs in by_doc.items()
+        ]
+    )
+    cut = [r for b in suffix_levels._cut([batch]) for r in b.to_pylist()]
+    cut.sort(key=lambda r: (r["hash"], r["around"], r["d"], r["at"]) if r["at"] >= 1 << 62 else (r["d"], b"", 0, r["at"]))
+    monkeypatch.setattr(suffix_levels.Family, "add", watched)
+    areas = {d: [] for d in range(len(texts))}
+    for out in suffix_levels._match(suffix_levels.pa.Table.from_pylist(cut).to_batches(max_chunksize=50)):
+        for r in out.to_pylist():
+            areas[r["d"]].append(r["at"])
+    want = brute.repeated_bytes([(d, t.decode()) for d, t in enumerate(texts)])
+    for d in areas:
+        spans = suffix_levels.merge_areas(areas[d])
+        assert (sum(e - b for b, e in spans), len(spans)) == want[d][1:3], d
+    assert max(largest) <= 100
+
+
 def test_repeats_of_odd_ids(spark, empty_docs):
     assert suffix_levels.remove_repeats(empty_docs).count() == 0
     long = "".join(f"{i} " for i in range(60))
