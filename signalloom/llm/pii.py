@@ -80,6 +80,27 @@ def mod97_valid(account: Column) -> Column:
     return let(turned, lambda s: rest(s) == 1)
 
 
+#: Length of account numbers by country; in print they stand in groups of four.
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _grouped() -> str:
+    """The printed form: of known countries so long as it must be, so that words behind it stay out."""
+    forms = []
+    for length, countries in _IBAN_LENGTHS.items():
+        fours, rest = divmod(length - 4, 4)
+        last = f" [A-Z0-9]{{{rest}}}" if rest else ""
+        forms.append(f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?: [A-Z0-9]{{4}}){{{fours}}}{last}")
+    known = "|".join(" ".join(_IBAN_LENGTHS.values()).split())
+    forms.append(f"(?!{known})[A-Z]{{2}}[0-9]{{2}}(?: [A-Z0-9]{{4}}){{2,7}}(?: [A-Z0-9]{{1,3}})?")
+    return "|".join(forms)
+
+
 def _between(low: int, high: int) -> Callable[[Column], Column]:
     return lambda m: F.length(digits_of(m)).between(low, high)
 
@@ -122,9 +143,9 @@ RULES = (
     ),
     Rule(
         "iban",
-        lambda t: t.rlike(r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11}"),
-        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])",
-        mod97_valid,
+        lambda t: t.rlike(r"[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11}| [A-Z0-9]{4} [A-Z0-9]{4} [A-Z0-9]{3})"),
+        rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:[A-Z]{{2}}[0-9]{{2}}[A-Z0-9]{{11,30}}|{_grouped()})(?![A-Za-z0-9])",
+        lambda m: mod97_valid(F.translate(m, " ", "")),
         0.8,
         r"(?i)(?:iban|account|bank|transfer)\W*$",
     ),

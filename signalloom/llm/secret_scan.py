@@ -33,10 +33,15 @@ _ASSIGN_WORDS = ("passw", "secret", "token", "api")
 MIN_ASSIGN, MIN_ACCESS = 12, 18
 
 _SIGNED = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
-_PEM = re.compile(r"-----BEGIN ([A-Z ]{0,30}PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
+_HEADERS = r"(?:\r?\n[A-Za-z][A-Za-z0-9-]*: [^\r\n]*(?:\r?\n[\x20\t][^\r\n]*)*)*"
+_PEM = re.compile(rf"-----BEGIN ([A-Z ]{{0,30}}PRIVATE KEY)-----({_HEADERS})([A-Za-z0-9+/=\s]+)-----END \1-----")
+_CIPHER = re.compile(r"\nDEK-Info: (?:DES|AES|CAMELLIA|RC2)[A-Z0-9-]*,((?:[0-9A-Fa-f]{16}){1,2})\s*(?:\n|\Z)")
+_MORE64 = re.compile(r"\r?\n([A-Za-z0-9+/]+={0,2})(?![A-Za-z0-9+/=])")
 _RUN64 = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{40,}={0,2}")
 _RUNHEX = re.compile(r"(?<![0-9A-Fa-f])(?:30|6[Ff])[0-9A-Fa-f]{62,}(?![0-9A-Fa-f])")
 _OPENSSH = b"openssh-key-v1\x00"
+#: Identifiers of password-based encryption (PKCS #5 and #12), as encoded.
+_ENCRYPTIONS = (bytes.fromhex("2a864886f70d0105"), bytes.fromhex("2a864886f70d010c01"))
 
 
 def from_base64(text: str, alphabet: str = "+/") -> bytes | None:
@@ -83,6 +88,16 @@ def is_der_key(data: bytes) -> bool:
     return numbers or wrapped or curve
 
 
+def is_encrypted_key(data: bytes) -> bool:
+    """A sequence of a password-based algorithm and the encrypted bytes."""
+    outer = tag_lengths(data)
+    inner = tag_lengths(outer[0][1]) if outer and len(outer) == 1 and outer[0][0] == 0x30 else None
+    if not inner or [tag for tag, _ in inner] != [0x30, 0x04] or not inner[1][1]:
+        return False
+    algorithm = tag_lengths(inner[0][1])
+    return bool(algorithm) and algorithm[0][0] == 0x06 and algorithm[0][1].startswith(_ENCRYPTIONS)
+
+
 def is_openssh_key(data: bytes) -> bool:
     """Length-prefixed strings after the magic: cipher, kdf, options, keys, private part."""
     if not data.startswith(_OPENSSH):
@@ -101,7 +116,31 @@ def is_openssh_key(data: bytes) -> bool:
 
 
 def is_key(data: bytes | None) -> bool:
-    return data is not None and (is_der_key(data) or is_openssh_key(data))
+    return data is not None and (is_der_key(data) or is_encrypted_key(data) or is_openssh_key(data))
+
+
+def is_pem_key(headers: str, body: str) -> bool:
+    """The body is a key, or whole blocks of the cipher that the headers name."""
+    data, cipher = from_base64(body), _CIPHER.search(headers)
+    if data and cipher and "ENCRYPTED" in headers:
+        return len(data) % (len(cipher[1]) // 2) == 0
+    return is_key(data)
+
+
+def wrapped_end(text: str, start: int, end: int) -> int | None:
+    """Where a key ends that begins with the line of base64 from ``start`` to ``end`` and goes on in further lines.
+
+    Lines are as long as the first, but for the last.
+    """
+    if not text.startswith(("M", "b3Bl"), start):
+        return None
+    ends, width = [], end - start
+    while not ends or ends[-1][1] == width:
+        more = _MORE64.match(text, ends[-1][0] if ends else end)
+        if not more or len(more[1]) > width:
+            break
+        ends.append((more.end(), len(more[1])))
+    return next((e for e, _ in reversed(ends[-2:]) if is_key(from_base64(text[start:e]))), None)
 
 
 def is_signed_token(text: str) -> bool:
@@ -128,8 +167,16 @@ def find_spans(text: str) -> list[tuple[int, int, int]]:
     if "eyJ" in text:
         found += [(m.start(), 3, m.end()) for m in _SIGNED.finditer(text) if is_signed_token(m[0])]
     if "PRIVATE KEY-----" in text:
-        found += [(m.start(), 4, m.end()) for m in _PEM.finditer(text) if is_key(from_base64(m[2]))]
-    found += [(m.start(), 5, m.end()) for m in _RUN64.finditer(text) if is_key(from_base64(m[0]))]
+        found += [(m.start(), 4, m.end()) for m in _PEM.finditer(text) if is_pem_key(m[2], m[3])]
+    blocks, after = [(a, b) for a, k, b in found if k == 4], 0
+    for m in _RUN64.finditer(text):
+        if m.start() < after:
+            continue
+        if is_key(from_base64(m[0])):
+            found.append((m.start(), 5, m.end()))
+        elif not any(a <= m.start() < b for a, b in blocks) and (end := wrapped_end(text, *m.span())):
+            found.append((m.start(), 5, end))
+            after = end
     found += [(m.start(), 6, m.end()) for m in _RUNHEX.finditer(text) if len(m[0]) % 2 == 0 and is_key(bytes.fromhex(m[0]))]
     return sorted(found)
 

@@ -55,6 +55,39 @@ def test_secrets_are_confirmed_by_structure():
     assert kinds("token=abcdefghijklmnop") == ["assign"] and kinds("ToKen : 'abc'") == []
 
 
+def test_secrets_in_other_wrappings():
+    kinds = lambda t: [secret_scan.KINDS[k] for _, k, _ in secret_scan.find_spans(t)]
+    wrap = lambda data, n=64: "\n".join(re.findall(f".{{1,{n}}}", base64.b64encode(data).decode()))
+    pem = lambda name, body: f"-----BEGIN {name}-----\n{body}\n-----END {name}-----"
+    pbes2 = der(0x06, bytes.fromhex("2a864886f70d01050d"))
+    locked = der(0x30, der(0x30, pbes2 + der(0x30, b"")) + der(0x04, bytes(range(96))))
+    assert kinds(pem("ENCRYPTED PRIVATE KEY", wrap(locked))) == ["pem"]
+    digest = der(0x30, der(0x30, der(0x06, bytes.fromhex("608648016503040201")) + der(0x05, b"")) + der(0x04, bytes(32)))
+    assert kinds(base64.b64encode(digest).decode()) == []
+    head = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC," + "0A" * 16 + "\n\n"
+    assert "pem" in kinds(pem("RSA PRIVATE KEY", head + wrap(bytes(range(160)))))
+    assert "pem" not in kinds(pem("RSA PRIVATE KEY", head + wrap(bytes(range(161)))))
+    assert kinds(pem("RSA PRIVATE KEY", "Comment: mine\n\n" + wrap(RSA))) == ["pem"]
+    for n in (64, 76):
+        text = f"key:\n{wrap(RSA, n)}\nend"
+        assert secret_scan.find_spans(text) == [(5, 5, len(text) - 4)]
+    assert kinds(base64.b64encode(RSA).decode() + "\nend") == ["key64"] and kinds(wrap(RSA)[:-30]) == []
+
+
+def test_account_numbers_in_groups(spark):
+    texts = [
+        "to DE89 3704 0044 0532 0130 00 PAID",
+        "ES91 2100 0418 4502 0005 1332 PAID NOW",
+        "DE89 3704 0044 0532 0130 01",
+        "NO93 8601 1117 947, BE68 5390 0754 7034",
+        "xDE89 3704 0044 0532 0130 00 and DE89370400440532013000",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: [s for s in r["spans"].split(",") if s.startswith("iban")] for r in pii.personal_digests(docs).collect()}
+    assert got == {0: ["iban:3:30"], 1: ["iban:0:29"], 2: [], 3: ["iban:0:18", "iban:20:39"], 4: ["iban:33:55"]}
+    assert pii.mask_personal(docs).where("doc_id = 0").first()["text"] == "to [IBAN] PAID"
+
+
 def test_personal(case):
     docs, pairs = case
     got = {r["doc_id"]: r for r in pii.personal_digests(docs).collect()}
