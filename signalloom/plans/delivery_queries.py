@@ -58,21 +58,21 @@ def backoff(s: SparkSession, d: str) -> DataFrame:
     )
 
 
-def marks(s: SparkSession, d: str) -> DataFrame:
-    return view(s, d, "marks").select(
+def marks(s: SparkSession, d: str, name: str = "marks") -> DataFrame:
+    return view(s, d, name).select(
         F.col("user_id").cast("string").alias("client"), "name", F.col("event_id").alias("mark_id"), "ts", "kind"
     )
 
 
-def timers(s: SparkSession, d: str) -> DataFrame:
+def timers(s: SparkSession, d: str, name: str = "marks") -> DataFrame:
     events = T.timer_events(
-        T.pair_timers(marks(s, d)).withColumn("extra", F.create_map(F.lit("client"), F.col("client"))), "extra"
+        T.pair_timers(marks(s, d, name)).withColumn("extra", F.create_map(F.lit("client"), F.col("client"))), "extra"
     )
     return events.select("mark_id", "type", "debug_type", "data", "performance.duration", "performance.startTime", "performance.endTime")
 
 
-def measured(s: SparkSession, d: str) -> DataFrame:
-    calls = T.pair_timers(marks(s, d)).withColumn(
+def measured(s: SparkSession, d: str, name: str = "marks") -> DataFrame:
+    calls = T.pair_timers(marks(s, d, name)).withColumn(
         "error_message", F.when(F.col("mark_id") % 3 == 0, F.concat(F.lit("token: t"), F.col("mark_id").cast("string")))
     )
     return T.measure_outcomes(calls).select("mark_id", "type", "event_type", "severity", "message", "duration")
@@ -156,6 +156,9 @@ QUERIES = {
     "Q12_queue_inspection": queue_inspection,
     "Q13_delivery_stats": lambda s, d: Q.delivery_stats(delivered(s, d)),
     "T1_pair_timers": lambda s, d: T.pair_timers(marks(s, d)),
+    "T1_pair_timers_all": lambda s, d: T.pair_timers(marks(s, d, "all_marks")),
+    "T2_timer_events_all": lambda s, d: timers(s, d, "all_marks"),
+    "T3_measure_outcomes_all": lambda s, d: measured(s, d, "all_marks"),
     "T2_timer_events": timers,
     "T3_measure_outcomes": measured,
     "H1_hmac_sha256": lambda s, d: table(s, d, "customer").select(
@@ -257,4 +260,7 @@ ORACLE = {
     "H4_verify_embedded": """select event_id, case when event_id % 11 = 0 then 'unsigned' when event_id % 5 = 0 then 'bad_signature'
           when abs(400 - event_id) > 300 then 'stale' else 'ok' end as signature_status from events""",
 }
-
+ORACLE |= {
+    f"{name}_all": ORACLE[name].replace("$marks", "$all_marks")
+    for name in ("T1_pair_timers", "T2_timer_events", "T3_measure_outcomes")
+}

@@ -213,9 +213,9 @@ def streamed_verdicts(s: SparkSession, d: str) -> DataFrame:
     return s.read.parquet(out).drop("batch")
 
 
-def streamed_pairs(s: SparkSession, d: str) -> DataFrame:
+def streamed_pairs(s: SparkSession, d: str, name: str = "marks") -> DataFrame:
     out, state = scratch_path(s, "pairs"), scratch_path(s, "open-marks")
-    marks = _stream_view(s, d, "marks").selectExpr(
+    marks = _stream_view(s, d, name).selectExpr(
         "cast(user_id as string) as client", "name", "event_id as mark_id", "ts", "kind"
     )
 
@@ -251,6 +251,7 @@ QUERIES = {
     "Q4_drop_expired_stream": streamed_expiry,
     "Q14_micro_batches": stream_events,
     "T1_pair_timers_stream": streamed_pairs,
+    "T1_pair_timers_stream_all": lambda s, d: streamed_pairs(s, d, "all_marks"),
 }
 
 _EVENTS_SQL = "select event_id, type, message from $telemetry where event_id % 50 <> 0"
@@ -294,4 +295,5 @@ ORACLE = {
     "Q4_drop_expired_stream": "select event_id, ts from events",
     "Q14_micro_batches": _EVENTS_SQL,
     "T1_pair_timers_stream": f"with {_PAIRS_SQL} select * from pairs",
+    "T1_pair_timers_stream_all": f"with {_PAIRS_SQL.replace('$marks', '$all_marks')} select * from pairs",
 }

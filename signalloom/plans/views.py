@@ -57,6 +57,14 @@ select event_id, user_id, ts,
 from events where event_type in ('click','view','purchase')
 """
 
+# every event is a mark
+ALL_MARKS = """
+select event_id, user_id, ts,
+  case when event_type in ('click','view','signup') then 'start' else 'stop' end as kind,
+  cast(user_id % 3 as string) as name
+from events
+"""
+
 POLICY = """
 select user_id as project_id, concat('key_', cast(user_id as string)) as api_key,
   user_id % 10 <> 0 as enabled,
@@ -139,6 +147,7 @@ VIEWS = {
     "requests": REQUESTS,
     "blocklist": BLOCKLIST,
     "marks": MARKS,
+    "all_marks": ALL_MARKS,
     "policy": POLICY,
     "queue": QUEUE,
     "sent": SENT,

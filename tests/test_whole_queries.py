@@ -17,3 +17,12 @@ def test_every_event_gives_a_list_version(spark):
     )
     n, versions, modes, values = matched.first()
     assert n == events.count() and versions > n / 2 and modes == 3 and values == 3
+
+
+def test_every_event_reaches_timer_pairing(spark):
+    queries = driver.queries()
+    events = spark.read.parquet(f"{SF_DIR}/events.parquet")
+    stops = queries["T1_pair_timers_all"](spark, SF_DIR).join(events, F.col("mark_id") == F.col("event_id"))
+    assert {r[0] for r in stops.select("event_type").distinct().collect()} == {"purchase", "error"}
+    starts = queries["T1_pair_timers_all"](spark, SF_DIR).join(events.withColumnRenamed("ts", "at"), F.col("start_ts") == F.col("at"))
+    assert {r[0] for r in starts.select("event_type").distinct().collect()} == {"click", "view", "signup"}
