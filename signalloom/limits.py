@@ -29,6 +29,7 @@ MAX_RETRIES = 3
 RETRY_BASE_MS = 1000
 RETRY_MAX_MS = 30_000
 FLUSH_INTERVAL = "5 seconds"
+FLUSH_MS = 5000
 POLL_MS = 45_000
 POLL_BACKOFF_MAX_MS = 300_000
 

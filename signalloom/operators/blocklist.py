@@ -23,7 +23,7 @@ from signalloom.functions.delay import next_poll
 from signalloom.functions.net import ipv4_to_long, network_of, normalize_ip
 from signalloom.functions.redact import bind
 from signalloom.limits import POLL_MS
-from signalloom.operators.ordered import HOT_ROWS, number_rows, time_slice, with_last_known, with_previous
+from signalloom.operators.ordered import HOT_ROWS, LastKnown, SinceReset, running, with_previous
 from signalloom.operators.sizing import MAX_BROADCAST_ROWS, fits_broadcast, row_salt, values_if_small
 from signalloom.sources.scratch import materialize
 
@@ -465,7 +465,6 @@ def fold_polls(
     polls: DataFrame,
     by: str = "client",
     order: Sequence[str] = ("ts", "poll_id"),
-    slice_unit: str = "day",
     base_ms: int = POLL_MS,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
@@ -476,22 +475,17 @@ def fold_polls(
     last 200), ``errors_in_row`` (since the last 200 or 304) and
     ``next_poll_ms``.
     """
-    cut = time_slice(order[0], slice_unit)
     ok = F.coalesce(F.col("status").between(200, 299), F.lit(False))
     good = ok | F.coalesce(F.col("status") == 304, F.lit(False))
-    numbered = number_rows(polls, by, order, cut, "__no", hot_rows)
     state = F.when(ok, F.struct(F.col("mode"), F.col("etag"), F.col(order[0]).alias("at")))
-    folded = with_last_known(
-        numbered, by, order, {"__state": state, "__good": F.when(good, F.col("__no"))}, cut, hot_rows
-    )
-    errors = (F.col("__no") - F.coalesce(F.col("__good"), F.lit(0))).cast("int")
+    folded = running(polls, by, order, {"__state": LastKnown(state), "__errors": SinceReset(good)}, hot_rows)
     return (
         folded.select(
             *polls.columns,
             F.col("__state.mode").alias("state_mode"),
             F.col("__state.etag").alias("state_etag"),
             F.col("__state.at").alias("fetched_at"),
-            errors.alias("errors_in_row"),
+            F.col("__errors").cast("int").alias("errors_in_row"),
         )
         .withColumn("next_poll_ms", next_poll("errors_in_row", base_ms))
     )

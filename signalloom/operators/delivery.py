@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from signalloom import __version__
 from signalloom.limits import (
     CLIENT_BATCH,
+    FLUSH_MS,
     MAX_BODY_BYTES,
     MAX_RETRIES,
     QUEUE_CAPACITY,
@@ -18,7 +19,7 @@ from signalloom.limits import (
     SPOOL_TTL_HOURS,
 )
 from signalloom.operators.events import classify_status
-from signalloom.operators.ordered import HOT_ROWS, default_slice, keep_first, number_rows
+from signalloom.operators.ordered import HOT_ROWS, Previous, SinceReset, Sum, keep_first, number_rows, running
 from signalloom.operators.sizing import maybe_broadcast, row_salt
 from signalloom.sources.scratch import materialize
 
@@ -129,19 +130,70 @@ def assign_batches(
 ) -> DataFrame:
     """Q6: adds ``batch_no`` and ``pos`` (both from 0) in queue order per key.
 
-    ``slice_by`` cuts a key of more than ``hot_rows`` rows into pieces (see
-    ``operators.ordered``); default: the hour of the first order
-    column, or runs of its numbers.  Rows without a place in the order come first.
+    ``slice_by`` cuts a key of more than ``hot_rows`` rows into pieces; default:
+    quantiles of the order (see ``operators.ordered``).  Rows without a place in
+    the order come first.
     """
-    cut = slice_by if slice_by is not None else default_slice(df, order[0])
     n = F.col("__no") - 1
     return (
-        number_rows(df, by, order, cut, "__no", hot_rows)
+        number_rows(df, by, order, slice_by, "__no", hot_rows)
         .withColumns({"batch_no": F.floor(n / size), "pos": (n % size).cast("int")})
         .drop("__no")
     )
 
 
+def flush_batches(
+    df: DataFrame,
+    by: str | Sequence[str],
+    order: Sequence[str] = ORDER,
+    urgent: Column | None = None,
+    size: int = CLIENT_BATCH,
+    interval_ms: int = FLUSH_MS,
+    hot_rows: int | None = None,
+) -> DataFrame:
+    """Q14 over a table: the batch every event of a key was sent in, and why.
+
+    Waiting events are sent when ``size`` of them are there (``reason`` full),
+    when an ``urgent`` one arrives, or at the next multiple of ``interval_ms``
+    (timer).  Every tick finds an empty queue after it, and every urgent event
+    leaves one, so events between two of those go in tens.  Adds ``batch_no``
+    (from 1), ``pos`` (from 0), ``reason`` and ``flushed_at``; ``order`` begins
+    with a time and is total.  Events without a time are sent by no tick: they
+    are the first, and go like those of one interval.
+    """
+    keys = _list(by)
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    at = F.col(order[0]).cast("timestamp_ntz")
+    tick = F.floor(F.timestamp_diff("MICROSECOND", epoch, at) / (interval_ms * 1000))
+    flag = F.coalesce(urgent, F.lit(False)) if urgent is not None else F.lit(False)
+    marked = df.withColumns({"__tick": tick, "__urgent": flag})
+    # a new part begins with a tick and after an urgent event
+    before = {"__before": Previous(F.struct("__tick", "__urgent"))}
+    parts = running(marked, keys, order, before, hot_rows)
+    begins = F.col("__before").isNull() | F.col("__before.__urgent") | ~F.col("__before.__tick").eqNullSafe(F.col("__tick"))
+    numbered = running(parts.withColumn("__begins", begins), keys, order, {"__in": SinceReset(F.col("__begins"))}, hot_rows)
+    pos = (F.col("__in") % size).cast("int")
+    tens = numbered.withColumns({"pos": pos, "__new": pos == 0})
+    counted = running(tens, keys, order, {"batch_no": Sum(F.col("__new").cast("long"))}, hot_rows)
+    batch = Window.partitionBy(*keys, "batch_no")
+    sent = counted.withColumns(
+        {
+            "__n": F.count(F.lit(1)).over(batch),
+            "__forced": F.bool_or("__urgent").over(batch),
+            "__last": F.max(at).over(batch),
+        }
+    )
+    full = F.col("__n") == size
+    ends = F.timestamp_add("MICROSECOND", (F.col("__tick") + 1) * interval_ms * 1000, epoch)
+    return sent.select(
+        *df.columns,
+        "batch_no",
+        "pos",
+        F.when(full, "full").when(F.col("__forced"), "urgent").otherwise("timer").alias("reason"),
+        F.when(full | F.col("__forced"), F.col("__last")).otherwise(ends).alias("flushed_at"),
+    )
+
+
 def batch_sizes(df: DataFrame, body: str = "body", batch: str = "batch_id") -> DataFrame:
     """Q7: ``n_events`` and ``batch_bytes`` of every batch.
 

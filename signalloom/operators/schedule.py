@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from signalloom.functions.hashing import jitter_minutes, key_fingerprint, valid_key
 from signalloom.limits import MIN_RETRY_MINUTES, WINDOW_MINUTES
-from signalloom.operators.ordered import HOT_ROWS, time_slice, with_earlier_max
+from signalloom.operators.ordered import HOT_ROWS, with_earlier_max
 
 # Columns a decision needs, beside the key.
 POLICY_COLUMNS = ("enabled", "interval_hours", "preferred_hour_utc", "run_now_at")
@@ -130,11 +130,9 @@ def state_from_ledger(ledger: DataFrame, by: str = "project_id") -> DataFrame:
     )
 
 
-def overlapping_runs(ledger: DataFrame, by: str = "project_id", slice_unit: str = "week", hot_rows: int = HOT_ROWS) -> DataFrame:
+def overlapping_runs(ledger: DataFrame, by: str = "project_id", hot_rows: int = HOT_ROWS) -> DataFrame:
     """Accepted runs of a project that started before an earlier one had ended."""
     end = F.coalesce("finished_at", F.lit("9999-12-31 00:00:00").cast("timestamp_ntz"))
     started = ledger.filter(F.col("started_at").isNotNull())
-    busy = with_earlier_max(
-        started, by, ("started_at", "run_id"), end, "__busy_until", time_slice("started_at", slice_unit), hot_rows
-    )
+    busy = with_earlier_max(started, by, ("started_at", "run_id"), end, "__busy_until", hot_rows=hot_rows)
     return busy.filter(F.col("started_at") < F.col("__busy_until")).drop("__busy_until")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from signalloom.functions.redact import scrub_string
 from signalloom.functions.text import truncate_text
-from signalloom.operators.ordered import HOT_ROWS, default_slice, with_previous
+from signalloom.operators.ordered import HOT_ROWS, with_previous
 
 
 def pair_timers(
@@ -26,8 +26,7 @@ def pair_timers(
     stop's order and ``duration_ms``.
     """
     ts = order[0]
-    cut = slice_by if slice_by is not None else default_slice(marks, ts)
-    rows = with_previous(marks, by, order, {"kind": "__kind", ts: "__start"}, cut, hot_rows)
+    rows = with_previous(marks, by, order, {"kind": "__kind", ts: "__start"}, slice_by, hot_rows)
     micros = F.timestamp_diff("MICROSECOND", F.col("__start"), F.col(ts))
     return rows.filter((F.col("kind") == "stop") & (F.col("__kind") == "start")).select(
         *by,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,11 +14,13 @@ from signalloom.plans.delivery_queries import _PAIRS_SQL, NOW as QUEUE_NOW
 from signalloom.plans.firewall_queries import _MATCH
 from signalloom.plans.redact_queries import sql_emails, sql_key_values
 from signalloom.plans.views import VIEWS, table, view
+from signalloom.operators.delivery import flush_batches
 from signalloom.operators.snapshots import restore_artifacts
 from signalloom.sources import artifacts as art
 from signalloom.sources import backup_io, blocklist_io, events_io, spool
 from signalloom.sources.scratch import scratch_path
 from signalloom.streaming.enforcement import stream_match
+from signalloom.streaming.flush import stream_flushes
 from signalloom.streaming.timers import stream_pairs
 from signalloom.streaming.triggers import available_now, drop_expired_stream, micro_batches
 
@@ -213,17 +217,49 @@ def streamed_verdicts(s: SparkSession, d: str) -> DataFrame:
     return s.read.parquet(out).drop("batch")
 
 
-def streamed_pairs(s: SparkSession, d: str, name: str = "marks") -> DataFrame:
-    out, state = scratch_path(s, "pairs"), scratch_path(s, "open-marks")
-    marks = _stream_view(s, d, name).selectExpr(
-        "cast(user_id as string) as client", "name", "event_id as mark_id", "ts", "kind"
-    )
+def _in_slices(
+    s: SparkSession, rows: DataFrame, ts: str, end: dict[str, Column], stateful: Callable[[DataFrame], DataFrame], slices: int = 2
+) -> DataFrame:
+    """``rows`` as a stream that arrives slice by slice of time and is stopped and started again after each.
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+    A last row, long after all others, moves the clock past every timer.
+    """
+    source, out, checkpoint = scratch_path(s, "arriving"), scratch_path(s, "streamed"), scratch_path(s, "checkpoint")
+    first, last = rows.agg(F.min(ts), F.max(ts)).first()
+    step = (last - first) / slices
+    at = F.col(ts)
+    bounds = [F.lit(first + step * i).cast("timestamp_ntz") for i in range(1, slices)]
+    parts = [rows.where(low & high) for low, high in zip([F.lit(True), *[at >= b for b in bounds]], [*[at < b for b in bounds], F.lit(True)])]
+    closing = s.range(1).select(*[end.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in rows.schema.fields])
+    for part in [*parts, closing]:
+        part.write.mode("append").parquet(source)
+        result = stateful(s.readStream.schema(rows.schema).parquet(source))
+        writer = available_now(micro_batches(result)).format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+        writer.start().awaitTermination()
+    return s.read.schema(result.schema).parquet(out)
 
-    _run(stream_pairs(marks, state, sink), s)
-    return s.read.parquet(out).drop("batch")
+
+def _after_all() -> Column:
+    return F.lit("2999-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def streamed_pairs(s: SparkSession, d: str, name: str = "marks", lifetime_ms: int | None = None) -> DataFrame:
+    marks = view(s, d, name).selectExpr("cast(user_id as string) as client", "name", "event_id as mark_id", "ts", "kind")
+    end = {"client": F.lit(""), "name": F.lit(""), "mark_id": F.lit(-1), "ts": _after_all(), "kind": F.lit("end")}
+    return _in_slices(s, marks, "ts", end, lambda rows: stream_pairs(rows, lifetime_ms))
+
+
+def streamed_flushes(s: SparkSession, d: str) -> DataFrame:
+    events = view(s, d, "arrivals")
+    end = {"client": F.lit(-1), "event_id": F.lit(-1), "ts": _after_all(), "urgent": F.lit(True)}
+    sent = _in_slices(s, events, "ts", end, lambda rows: stream_flushes(rows, ("client",), urgent=F.col("urgent")))
+    return sent.where("client >= 0")
+
+
+def flushed_batches(s: SparkSession, d: str) -> DataFrame:
+    """The batches that the same arrivals are sent in, from the table."""
+    sent = flush_batches(view(s, d, "arrivals"), "client", urgent=F.col("urgent"))
+    return sent.groupBy("client", "batch_no", "reason", "flushed_at").agg(F.count(F.lit(1)).alias("n"))
 
 
 def streamed_expiry(s: SparkSession, d: str) -> DataFrame:
@@ -249,11 +285,27 @@ QUERIES = {
     "S10_spool": spooled,
     "F13_stream_match": streamed_verdicts,
     "Q4_drop_expired_stream": streamed_expiry,
-    "Q14_micro_batches": stream_events,
+    "Q14_micro_batches": flushed_batches,
+    "Q14_flush_stream": streamed_flushes,
     "T1_pair_timers_stream": streamed_pairs,
+    "T1_expiring_pairs_stream": lambda s, d: streamed_pairs(s, d, "all_marks", MARK_LIFETIME_MS),
     "T1_pair_timers_stream_all": lambda s, d: streamed_pairs(s, d, "all_marks"),
 }
 
+_FLUSHES_SQL = """with e as (select *, epoch_us(ts) // 5000000 as tick from $arrivals),
+        parts as (select *, count(*) filter (urgent) over (partition by client, tick order by ts, event_id rows between unbounded preceding and 1 preceding) as part from e),
+        tens as (select *, (row_number() over (partition by client, tick, part order by ts, event_id) - 1) // 10 as ten from parts),
+        sized as (select *, count(*) over w as n, last_value(urgent) over (w order by ts, event_id rows between unbounded preceding and unbounded following) as ends_urgent,
+            last_value(ts) over (w order by ts, event_id rows between unbounded preceding and unbounded following) as last_ts,
+            row_number() over (w order by ts, event_id) - 1 as pos from tens window w as (partition by client, tick, part, ten)),
+        flushes as (select client, event_id, dense_rank() over (partition by client order by tick, part, ten) as batch_no, cast(pos as integer) as pos,
+          case when n = 10 then 'full' when ends_urgent then 'urgent' else 'timer' end as reason,
+          case when n = 10 or ends_urgent then last_ts else make_timestamp((tick + 1) * 5000000) end as flushed_at
+        from sized)"""
+
+#: Half of the marks of the test data are stopped later than this.
+MARK_LIFETIME_MS = 12 * 3600 * 1000
+
 _EVENTS_SQL = "select event_id, type, message from $telemetry where event_id % 50 <> 0"
 _REQUESTS_SQL = """req as (select event_id, case when batch_id % 7 = 0 then -event_id else batch_id end as batch_id,
     cast(case when batch_id % 7 = 0 then 0 else pos end as integer) as pos, status from $sent)"""
@@ -293,7 +345,12 @@ ORACLE = {
     "F13_stream_match": f"""with {_MATCH} select req_id, ip, matched_value,
           case when matched_pos is not null then 'block' else 'pass' end as action from matched""",
     "Q4_drop_expired_stream": "select event_id, ts from events",
-    "Q14_micro_batches": _EVENTS_SQL,
+    "Q14_micro_batches": f"""{_FLUSHES_SQL}
+        select client, batch_no, reason, flushed_at, count(*) as n from flushes group by all""",
+    "Q14_flush_stream": f"""{_FLUSHES_SQL}
+        select * from flushes""",
+    "T1_expiring_pairs_stream": f"""with {_PAIRS_SQL.replace('$marks', '$all_marks')}
+        select * from pairs where duration_ms <= {MARK_LIFETIME_MS}""",
     "T1_pair_timers_stream": f"with {_PAIRS_SQL} select * from pairs",
     "T1_pair_timers_stream_all": f"with {_PAIRS_SQL.replace('$marks', '$all_marks')} select * from pairs",
 }

@@ -65,6 +65,14 @@ select event_id, user_id, ts,
 from events
 """
 
+# all events in quick succession, about four in a second, not quite in order of their ids
+ARRIVALS = """
+select event_id, cast(user_id % 3 as bigint) as client,
+  timestamp '2024-01-01 00:00:00' + interval 1 millisecond * (event_id * 250 + user_id * 37 % 1000) as ts,
+  event_type = 'error' and event_id % 7 = 0 as urgent
+from events
+"""
+
 POLICY = """
 select user_id as project_id, concat('key_', cast(user_id as string)) as api_key,
   user_id % 10 <> 0 as enabled,
@@ -148,6 +156,7 @@ VIEWS = {
     "blocklist": BLOCKLIST,
     "marks": MARKS,
     "all_marks": ALL_MARKS,
+    "arrivals": ARRIVALS,
     "policy": POLICY,
     "queue": QUEUE,
     "sent": SENT,

@@ -2,45 +2,88 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Iterator, Sequence
+from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from signalloom.operators.ordered import time_slice
-from signalloom.operators.timers import pair_timers
-from signalloom.streaming.triggers import micro_batches
+from signalloom.streaming.state import AT, from_micros, milliseconds, with_clock
 
-_KEYS = ("client", "name")
-_OPEN = "client string, name string, mark_id long, ts timestamp_ntz, kind string"
+
+class OpenMarks(StatefulProcessor):
+    """The open start of a key: closed by its stop, replaced by a later start, dropped after its lifetime."""
+
+    def __init__(self, keys: Sequence[str], order: Sequence[str], lifetime: int | None):
+        self._keys, self._order, self._lifetime = tuple(keys), tuple(order), lifetime
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._open = handle.getValueState("open", "at long")
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:  # noqa: N802, N803
+        stored = self._open.get()[0] if self._open.exists() else None
+        start = stored
+        for row in sorted(rows, key=lambda r: tuple(r[c] for c in (AT, *self._order))):
+            if row["kind"] == "start":
+                start = row[AT]
+                continue
+            if row["kind"] == "stop" and start is not None and not self._is_over(start, row[AT]):
+                values = dict(zip(self._keys, key)) | {c: row[c] for c in self._order}
+                yield Row(**values, start_at=start, end_at=row[AT])
+            start = None
+        if start != stored:
+            self._keep(stored, start)
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:  # noqa: N802, N803
+        self._open.clear()
+        return iter(())
+
+    def _is_over(self, start: int, at: int) -> bool:
+        return self._lifetime is not None and at - start > self._lifetime
+
+    def _keep(self, stored: int | None, start: int | None) -> None:
+        if self._lifetime is not None and stored is not None:
+            self._handle.deleteTimer(milliseconds(stored + self._lifetime))
+        if start is None:
+            self._open.clear()
+            return
+        self._open.update((start,))
+        if self._lifetime is not None:
+            self._handle.registerTimer(milliseconds(start + self._lifetime))
 
 
 def stream_pairs(
     marks: DataFrame,
-    state_path: str,
-    sink: Callable[[DataFrame, int], None],
-    slice_unit: str = "hour",
-) -> DataStreamWriter:
-    """T1 over a stream of ``client, name, mark_id, ts, kind``.
-
-    Every micro-batch is paired by the batch operator together with the starts
-    that earlier batches left open, so a key with very many marks is spread
-    over tasks there too instead of passing through one state call.  Open
-    starts are kept in two alternating tables under ``state_path`` (a shared
-    folder): a repeated batch reads what its first try read and replaces what
-    it wrote.  ``sink`` must be idempotent for a batch id.
+    lifetime_ms: int | None = None,
+    by: Sequence[str] = ("client", "name"),
+    order: Sequence[str] = ("ts", "mark_id"),
+    delay: str = "1 minute",
+) -> DataFrame:
+    """T1 over a stream of ``*by, *order, kind``: the columns of ``pair_timers``, as each stop arrives.
+
+    The state is one start per key.  With ``lifetime_ms`` a stop that comes later
+    than that pairs with nothing, and the start leaves the state as soon as the
+    watermark has passed it: what a batch costs depends on the keys in it and on
+    the starts that expire, not on all that are open.  Without it starts stay
+    until they are closed.
+
+    Marks of a key must arrive in order from batch to batch; inside a batch they
+    are sorted, which holds the marks of one key and batch in one task, as many as
+    the source's limit per batch lets in.  Marks without a time, and those later
+    than ``delay``, are left out.  The key's columns must not be null.
     """
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = batch.selectExpr("cast(client as string) client", "name", "cast(mark_id as bigint) mark_id", "ts", "kind")
-        if batch_id > 0:
-            rows = rows.unionByName(spark.read.schema(_OPEN).parquet(f"{state_path}/{(batch_id - 1) % 2}"))
-        sink(pair_timers(rows, _KEYS, ("ts", "mark_id"), time_slice("ts", slice_unit)), batch_id)
-        last = rows.groupBy(*_KEYS).agg(
-            F.max_by(F.struct("mark_id", "ts", "kind"), F.struct("ts", "mark_id")).alias("m")
-        )
-        still_open = last.filter(F.col("m.kind") == "start").select(*_KEYS, "m.*")
-        still_open.write.mode("overwrite").parquet(f"{state_path}/{batch_id % 2}")
-
-    return micro_batches(marks).foreachBatch(handle)
+    ts, rest = order[0], list(order[1:])
+    timed = with_clock(marks, ts, delay)
+    fields = {f.name: f.dataType.simpleString() for f in timed.schema.fields}
+    out = ", ".join(f"`{c}` {fields[c]}" for c in (*by, *rest)) + ", start_at long, end_at long"
+    lifetime = None if lifetime_ms is None else lifetime_ms * 1000
+    paired = timed.groupBy(*by).transformWithState(OpenMarks(by, rest, lifetime), out, "Append", "EventTime")
+    return paired.select(
+        *by,
+        *rest,
+        from_micros("start_at").alias("start_ts"),
+        from_micros("end_at").alias("end_ts"),
+        ((F.col("end_at") - F.col("start_at")) / 1000.0).alias("duration_ms"),
+    )

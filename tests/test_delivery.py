@@ -110,9 +110,11 @@ def test_batches_of_a_hot_key_without_times(spark, order, null_share):
     assert hot == plain and len(hot) == 120
 
 
-def test_batches_of_an_order_without_slices(spark):
-    with pytest.raises(ValueError, match="slice_by"):
-        Q.assign_batches(spark.createDataFrame([("a", "k")], "name string, key string"), "key", order=("name",))
+@pytest.mark.parametrize("hot_rows", [0, 10**6])
+def test_batches_of_any_order(spark, hot_rows):
+    rows = [(f"n{(i * 7) % 90:02}", "k") for i in range(90)]
+    got = Q.assign_batches(spark.createDataFrame(rows, "name string, key string"), "key", 4, order=("name",), hot_rows=hot_rows).collect()
+    assert {r["name"]: (r["batch_no"], r["pos"]) for r in got} == {f"n{i:02}": divmod(i, 4) for i in range(90)}
 
 
 def test_batch_gate(spark):
@@ -173,12 +175,36 @@ def test_ordered_helpers_equal_plain_windows(spark, hot):
         (O.with_last_known(df, "key", ("ts", "event_id"), {"x": F.col("v")}, cut, hot), F.last("v", True).over(w.rowsBetween(Window.unboundedPreceding, 0))),
         (O.with_earlier_max(df, "key", ("ts", "event_id"), F.col("v"), "x", cut, hot), F.max("v").over(w.rowsBetween(Window.unboundedPreceding, -1))),
     ]
+    cases += [(O.running(df, "key", ("ts", "event_id"), {"x": fold}, hot), plain) for fold, plain in [
+        (O.count_rows(), F.row_number().over(w).cast("long")),
+        (O.Sum(F.col("event_id")), F.sum("event_id").over(w)),
+        (O.LastKnown(F.col("v")), F.last("v", True).over(w)),
+        (O.EarlierMax(F.col("v")), F.max("v").over(w.rowsBetween(Window.unboundedPreceding, -1))),
+    ]]
+    whole = Window.orderBy("ts", "event_id")
+    cases.append((O.running(df, [], ("ts", "event_id"), {"x": O.Sum(F.col("event_id"))}, hot), F.sum("event_id").over(whole)))
     for got, plain in cases:
         want = df.withColumn("x", plain).select("event_id", "x")
         assert got.select("event_id", F.col("x").cast("long")).exceptAll(want).count() == 0
         assert got.count() == 500
 
 
+def test_a_burst_is_cut(spark):
+    """All rows at one moment: slices go by the rest of the order; nulls and repeated rows too."""
+    rows = [(i // 2, "k", T0 if i % 5 else None, i % 9 == 0) for i in range(600)]
+    df = spark.createDataFrame(rows, "event_id long, key string, ts timestamp_ntz, good boolean")
+    order = ("ts", "event_id")
+    sliced, hot = O._sliced(df, ["key"], order, 100, None)
+    sizes = [r["count"] for r in hot.groupBy("__slice").count().collect()]
+    assert len(sizes) >= 16 and max(sizes) <= 150
+    for n in (0, 100, 10**6):
+        got = O.running(df.dropDuplicates(["event_id", "ts"]), "key", order, {"no": O.count_rows(), "since": O.SinceReset(F.col("good"))}, n).collect()
+        since = 0
+        for i, r in enumerate(sorted(got, key=lambda r: (r["ts"] is not None, r["event_id"])), 1):
+            since = 0 if r["good"] else since + 1
+            assert (r["no"], r["since"]) == (i, since)
+
+
 # --- timers ------------------------------------------------------------------
 
 MARK = "client string, name string, mark_id int, ts timestamp_ntz, kind string"

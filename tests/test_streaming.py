@@ -1,37 +1,105 @@
+import datetime as dt
+import random
 import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from signalloom.operators.delivery import flush_batches
 from signalloom.operators.timers import pair_timers
 from signalloom.sources.scratch import materialize, scratch_root
 from signalloom.streaming.enforcement import stream_match
+from signalloom.streaming.flush import stream_flushes
 from signalloom.streaming.timers import stream_pairs
 from signalloom.streaming.triggers import FlushListener, available_now, drop_expired_stream, micro_batches
-from tests.test_delivery import MARK, random_marks
+from tests.test_delivery import MARK, T0, random_marks
+
+EPOCH = dt.datetime(1970, 1, 1)
 
 
 def _run(writer, checkpoint):
     available_now(writer).option("checkpointLocation", str(checkpoint)).start().awaitTermination()
 
 
-def test_pairs_across_batches_and_restarts(spark, tmp_path):
+@pytest.mark.parametrize("lifetime_ms", [None, 60 * 60_000])
+def test_pairs_across_batches_and_restarts(spark, tmp_path, lifetime_ms):
     marks = sorted(random_marks(9, 300), key=lambda m: (m[3], m[2]))
-    src, out, state = tmp_path / "in", tmp_path / "out", tmp_path / "state"
-
-    def sink(batch, batch_id):
-        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-
-    for i in range(5):  # each run starts anew from its checkpoint
-        spark.createDataFrame(marks[i * 60 : (i + 1) * 60], MARK).coalesce(1).write.mode("append").parquet(str(src))
-        stream = spark.readStream.schema(MARK).option("maxFilesPerTrigger", 1).parquet(str(src))
-        _run(stream_pairs(stream, str(state), sink), tmp_path / "cp")
-    got = spark.read.parquet(str(out)).drop("batch")
+    src, out = tmp_path / "in", tmp_path / "out"
+    for i in range(4):  # each run starts anew from its checkpoint
+        spark.createDataFrame(marks[i * 75 : (i + 1) * 75], MARK).write.mode("append").parquet(str(src))
+        paired = stream_pairs(spark.readStream.schema(MARK).parquet(str(src)), lifetime_ms)
+        _run(micro_batches(paired).format("parquet").option("path", str(out)), tmp_path / "cp")
+    got = spark.read.schema(paired.schema).parquet(str(out))
     want = pair_timers(spark.createDataFrame(marks, MARK))
-    assert got.count() == want.count() > 20
+    if lifetime_ms:
+        assert 0 < want.where(f"duration_ms > {lifetime_ms}").count()
+        want = want.where(f"duration_ms <= {lifetime_ms}")
+    assert got.count() == want.count() > 10
     assert got.exceptAll(want.select(*got.columns)).count() == 0
 
 
+def test_expired_starts_leave_the_state(spark, tmp_path):
+    src, cp = str(tmp_path / "in"), str(tmp_path / "cp")
+    day = dt.timedelta(days=1)
+    parts = [[(c, "x", 1, T0, "start") for c in "abcdefgh"], [("z", "x", 2, T0 + day, "start")], [("z", "x", 3, T0 + 2 * day, "other"), ("a", "x", 4, T0 + 2 * day, "stop")]]
+    kept = []
+    for part in parts:
+        spark.createDataFrame(part, MARK).write.mode("append").parquet(src)
+        paired = stream_pairs(spark.readStream.schema(MARK).parquet(src), 3_600_000)
+        _run(micro_batches(paired).format("parquet").option("path", str(tmp_path / "out")), cp)
+        kept.append(spark.read.format("statestore").option("stateVarName", "open").load(cp).count())
+    assert kept == [8, 1, 0]
+    assert spark.read.schema(paired.schema).parquet(str(tmp_path / "out")).count() == 0
+
+
+ARRIVAL = "client string, ts timestamp_ntz, event_id int, urgent boolean, body string"
+
+
+def _flushes_by_hand(events, size, interval_ms):
+    out = {}
+    for client in {e[0] for e in events}:
+        held, number, tick = [], 0, None
+
+        def send(reason, at):
+            nonlocal held, number
+            number += 1
+            for pos, e in enumerate(held):
+                out[client, e[2]] = (number, pos, reason, at, e[4])
+            held = []
+
+        for e in sorted((e for e in events if e[0] == client), key=lambda e: (e[1], e[2])):
+            now = int((e[1] - EPOCH) / dt.timedelta(milliseconds=interval_ms))
+            if held and now > tick:
+                send("timer", EPOCH + dt.timedelta(milliseconds=(tick + 1) * interval_ms))
+            tick = now
+            held.append(e)
+            if len(held) == size or e[3]:
+                send("full" if len(held) == size else "urgent", e[1])
+        if held:
+            send("timer", EPOCH + dt.timedelta(milliseconds=(tick + 1) * interval_ms))
+    return out
+
+
+def test_flushes(spark, tmp_path):
+    """Full, urgent and timed batches across restarts; the batch form gives the same."""
+    rnd = random.Random(3)
+    events = [(rnd.choice("ab"), T0 + dt.timedelta(milliseconds=500 * rnd.randint(0, 150)), i, rnd.random() < 0.05, f"b{i}") for i in range(240)]
+    want = _flushes_by_hand(events, 4, 5000)
+    assert {v[2] for v in want.values()} == {"full", "urgent", "timer"}
+    batch = flush_batches(spark.createDataFrame(events, ARRIVAL), "client", urgent=F.col("urgent"), size=4)
+    assert {(r["client"], r["event_id"]): (r["batch_no"], r["pos"], r["reason"], r["flushed_at"], r["body"]) for r in batch.collect()} == want
+    events.sort(key=lambda e: (e[1], e[2]))
+    last = [("end", T0 + dt.timedelta(days=1), -1, True, None)]
+    src = str(tmp_path / "in")
+    for part in (events[:100], events[100:170], events[170:], last):
+        spark.createDataFrame(part, ARRIVAL).write.mode("append").parquet(src)
+        rows = spark.readStream.schema(ARRIVAL).parquet(src)
+        sent = stream_flushes(rows, ("client",), columns=("body",), urgent=F.col("urgent"), size=4)
+        _run(micro_batches(sent).format("parquet").option("path", str(tmp_path / "out")), tmp_path / "cp")
+    got = spark.read.schema(sent.schema).parquet(str(tmp_path / "out")).where("client <> 'end'").collect()
+    assert {(r["client"], r["event_id"]): (r["batch_no"], r["pos"], r["reason"], r["flushed_at"], r["body"]) for r in got} == want
+
+
 def test_refreshed_list_is_used_by_the_next_batch(spark, tmp_path):
     entry = "pos int, type string, value string, expires_at timestamp_ntz"
     lists = iter([[(1, "IP", "1.1.1.1", None)], [(1, "IP", "2.2.2.2", None)]])
