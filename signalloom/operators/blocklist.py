@@ -6,15 +6,14 @@ are rows keyed by their text.  The spans of one network never overlap, so a
 request finds at most one row per prefix length and no join fans out.
 
 Small lists: one broadcast hash join per prefix length that occurs in the list
-(at most 34), no shuffle of the requests at all.  Large lists: the distinct
-addresses of the requests are matched by shuffle joins, and the requests are
-joined with the matched addresses only.
+(at most 34), no shuffle of the requests at all.  Large lists: all entries are
+folded into one table of disjoint ranges of addresses, each with the entries
+that hold there, and requests are merged with it in order of their addresses.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,8 +22,8 @@ from signalloom.functions.delay import next_poll
 from signalloom.functions.net import ipv4_to_long, network_of, normalize_ip
 from signalloom.functions.redact import bind
 from signalloom.limits import POLL_MS
-from signalloom.operators.ordered import HOT_ROWS, LastKnown, SinceReset, running, with_previous
-from signalloom.operators.sizing import MAX_BROADCAST_ROWS, fits_broadcast, row_salt, values_if_small
+from signalloom.operators.ordered import HOT_ROWS, LastKnown, SinceReset, as_of, running
+from signalloom.operators.sizing import MAX_BROADCAST_ROWS, maybe_broadcast, values_if_small
 from signalloom.sources.scratch import materialize
 
 EXACT = -1  # "prefix length" of entries that match as text
@@ -145,7 +144,7 @@ def match_blocklist(
     ts: str | Column = "ts",
     by: Sequence[str] = (),
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-    salts: int = 16,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """adds ``matched_pos`` and ``matched_value`` of the first active entry.
 
@@ -159,22 +158,17 @@ def match_blocklist(
     at = F.coalesce(at, F.lit(LAST).cast("timestamp_ntz"))
     lengths = values_if_small(entries, _prefix_of_entry(), max_broadcast_rows)
     if lengths is not None:
-        # a list of proven size is prepared in one task, without a shuffle
-        covered = cover(entries.coalesce(1), by)
+        # a list of proven size is prepared in one task, without a shuffle, and read back for each length
+        covered = materialize(cover(entries.coalesce(1), by), "cover")
         return _match_small(requests, covered, sorted(lengths - {None}), ip, at, list(by))
-    covered = materialize(cover(entries, by), "cover")
-    return _match_large(requests, covered, ip, at, list(by), max_broadcast_rows, salts)
+    ranges = materialize(address_ranges(materialize(cover(entries, by), "cover"), by), "ranges")
+    return _match_ranges(requests, ranges, ip, at, list(by), hot_rows)
 
 
 def _prefix_of_entry() -> Column:
     return F.when(F.col("type") == "IP", F.lit(EXACT)).when(F.col("type") == "CIDR", cidr_parts("value")["prefix"])
 
 
-def _lengths(covered: DataFrame) -> list[int]:
-    # at most 34 different values
-    return sorted(r["prefix"] for r in covered.select("prefix").distinct().limit(34).collect())
-
-
 def _match_small(
     requests: DataFrame, covered: DataFrame, lengths: list[int], ip: str, at: Column, by: list[str]
 ) -> DataFrame:
@@ -212,86 +206,74 @@ def _match_small(
     )
 
 
-def _match_large(
-    requests: DataFrame,
-    covered: DataFrame,
-    ip: str,
-    at: Column,
-    by: list[str],
-    max_broadcast_rows: int,
-    salts: int,
-) -> DataFrame:
-    lengths = _lengths(covered)
-    # 1. addresses: a hot address is one row after the map-side part of distinct
-    addresses = (
-        requests.filter(~F.col(ip).isin("", "unknown")).select(*by, F.col(ip).alias("__ip")).distinct()
+_LOW, _END_OF_IPV4, _TEXT = "a", "b", "t"
+
+
+def _address_key(address: Column, text: Column) -> Column:
+    """Text whose order is that of addresses, then of how they are written; texts that are no IPv4 address come after."""
+    number = F.concat(F.lit(_LOW), F.lpad(F.lower(F.hex(address)), 8, "0"), text)
+    return F.when(address.isNotNull(), number).otherwise(F.concat(F.lit(_TEXT), text))
+
+
+def address_ranges(covered: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The list as disjoint ranges in order of addresses: ``*by, range_from, entries``.
+
+    A range ends where the next one of the same ``by`` begins.  ``entries`` are
+    those that hold in it, with the time in which each is the first of its
+    network: ``struct<pos, value, span_from, span_to>``.  Where a network or an
+    exact entry begins or ends a range begins; which networks hold there is
+    looked up by the prefix lengths in use, so that no two entries are compared.
+    """
+    address = F.when(F.col("prefix") == EXACT, ipv4_to_long("text")).otherwise(F.col("network"))
+    above = F.col("network") + F.call_function("shiftleft", F.lit(1).cast("long"), 32 - F.col("prefix"))
+    begin = F.when(F.col("prefix") == EXACT, _address_key(address, F.col("text"))).otherwise(_address_key(address, F.lit("")))
+    end = (
+        F.when(F.col("prefix") == EXACT, F.concat(begin, F.lit("\0")))
+        .when(above > 0xFFFFFFFF, F.lit(_END_OF_IPV4))
+        .otherwise(_address_key(above, F.lit("")))
+    )
+    points = F.array(
+        F.struct(begin.alias("range_from"), address.alias("address"), F.col("text").alias("text")),
+        # after an exact entry the networks around it go on; after a network the next address begins
+        F.struct(
+            end.alias("range_from"),
+            F.when(F.col("prefix") == EXACT, address).when(above <= 0xFFFFFFFF, above).alias("address"),
+            F.lit(None).cast("string").alias("text"),
+        ),
     )
-    addr = ipv4_to_long("__ip")
+    edges = covered.select(*by, F.explode(points).alias("__p")).select(*by, "__p.*")
+    edges = edges.groupBy(*by, "range_from").agg(F.max("address").alias("address"), F.max("text").alias("text"))
+    lengths = [r["prefix"] for r in covered.select("prefix").distinct().limit(34).collect()]  # at most 34 values
     probes = F.array(
         *[
             F.struct(
                 F.lit(n).alias("prefix"),
-                (F.lit(0).cast("long") if n == EXACT else network_of(addr, n)).alias("network"),
-                (F.col("__ip") if n == EXACT else F.lit("")).alias("text"),
+                (F.lit(0).cast("long") if n == EXACT else network_of(F.col("address"), n)).alias("network"),
+                (F.col("text") if n == EXACT else F.lit("")).alias("text"),
             )
-            for n in lengths
+            for n in sorted(lengths)
         ]
     )
-    keyed = addresses.select(*by, "__ip", F.explode(probes).alias("__p")).select(*by, "__ip", "__p.*")
-    # 2. which entries can concern an address, and when each is the first one
-    hits = keyed.join(covered, [*by, "prefix", "network", "text"]).select(
-        *by, "__ip", "pos", "value", F.col("span_from"), F.col("span_to")
-    )
-    spans = materialize(_merge_spans(materialize(hits, "hits"), [*by, "__ip"]), "spans")
-    # 3. back to the requests: broadcast if few addresses matched, else salted
-    side = spans.select(
-        *[F.col(b).alias(f"__b_{b}") for b in by],
-        "__ip",
-        F.col("span_from").alias("__f"),
-        F.col("span_to").alias("__t"),
-        F.col("pos").alias("matched_pos"),
-        F.col("value").alias("matched_value"),
-    )
-    out = requests.withColumn("__at", at)
-    cond = (F.col(ip) == F.col("__ip")) & (F.col("__at") >= F.col("__f")) & (F.col("__at") < F.col("__t"))
-    for b in by:
-        cond = cond & (F.col(b) == F.col(f"__b_{b}"))
-    if fits_broadcast(side, max_broadcast_rows):
-        side = F.broadcast(side)
-    elif salts > 1:
-        out = out.withColumn("__s", row_salt(requests, salts))
-        side = side.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        cond = cond & (F.col("__s") == F.col("__salt"))
-    drop = ["__at", "__ip", "__f", "__t", "__s", "__salt", *[f"__b_{b}" for b in by]]
-    return out.join(side, cond, "left").drop(*drop)
-
-
-def _merge_spans(hits: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Per address: cut its (at most 34 x spans) candidate spans into disjoint ones.
-
-    Every boundary starts a piece; a piece belongs to the lowest ``pos`` that
-    covers it.  An address has few candidates: repeats were reduced in ``cover``.
-    """
-    edges = (
-        hits.select(*key, F.explode(F.array("span_from", "span_to")).alias("__x"))
-        .distinct()
-        .withColumn("__y", F.lead("__x").over(Window.partitionBy(*key).orderBy("__x")))
-        .filter(F.col("__y").isNotNull())
-    )
-    pieces = edges.join(hits, list(key)).filter(
-        (F.col("span_from") <= F.col("__x")) & (F.col("__y") <= F.col("span_to"))
-    )
-    return (
-        pieces.groupBy(*key, "__x", "__y")
-        .agg(F.min_by(F.struct("pos", "value"), "pos").alias("__e"))
-        .select(
-            *key,
-            F.col("__e.pos").alias("pos"),
-            F.col("__e.value").alias("value"),
-            F.col("__x").alias("span_from"),
-            F.col("__y").alias("span_to"),
-        )
-    )
+    edges = materialize(edges, "edges")
+    asked = edges.select(*by, "range_from", F.explode(probes).alias("__q")).select(*by, "range_from", "__q.*")
+    key = [*by, "prefix", "network", "text"]
+    # networks of short prefixes hold in very many ranges, but there are few of them
+    short = F.col("prefix").between(0, 8)
+    few, many = covered.where(short), covered.where(~short)
+    found = asked.where(short).join(maybe_broadcast(few), key).unionByName(asked.where(~short).join(many, key))
+    entry = F.struct("pos", "value", "span_from", "span_to")
+    held = found.groupBy(*by, "range_from").agg(F.collect_list(entry).alias("entries"))
+    return edges.select(*by, "range_from").join(held, [*by, "range_from"], "left")
+
+
+def _match_ranges(requests: DataFrame, ranges: DataFrame, ip: str, at: Column, by: list[str], hot_rows: int | None) -> DataFrame:
+    text = F.when(~F.col(ip).isin("", "unknown"), F.col(ip))
+    placed = requests.withColumns({"__when": at, "__key": _address_key(ipv4_to_long(text), text)})
+    found = as_of(placed, ranges, by, ("__key", "range_from"), ["entries"], hot_rows)
+    active = F.filter("entries", lambda e: (e["span_from"] <= F.col("__when")) & (F.col("__when") < e["span_to"]))
+    # structs compare by pos first
+    best = found.withColumn("__best", F.array_min(F.transform(active, lambda e: F.struct(e["pos"], e["value"]))))
+    return best.select(*requests.columns, F.col("__best.pos").alias("matched_pos"), F.col("__best.value").alias("matched_value"))
 
 
 def firewall_verdict(df: DataFrame, mode: str | Column = "mode", unknown_enforces: bool = False) -> DataFrame:
@@ -347,118 +329,31 @@ def allowed(verdicts: DataFrame) -> DataFrame:
     return verdicts.filter(F.col("action") == "pass")
 
 
-def snapshot_spans(snapshots: DataFrame, at: str = "fetched_at", by: Sequence[str] = ()) -> DataFrame:
-    """Validity of each snapshot: from its fetch to the next one of the same key."""
-    times = snapshots.select(*by, F.col(at).cast("timestamp_ntz").alias("valid_from")).distinct()
-    if by:
-        nxt = F.lead("valid_from").over(Window.partitionBy(*by).orderBy("valid_from"))
-        return times.withColumn("valid_to", nxt)
-    # one key: number the (few, distinct) fetch times slice by slice
-    back = times.select(
-        F.lit(0).alias("__k"), "valid_from", (F.lit(0) - _micros("valid_from")).alias("__rev")
-    )
-    out = with_previous(back, "__k", ["__rev"], {"valid_from": "valid_to"}, F.floor(F.col("__rev") / 86_400_000_000))
-    return out.select("valid_from", "valid_to")
-
-
-def _micros(ts: str | Column) -> Column:
-    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
-
-
-def as_of_snapshot(
-    requests: DataFrame,
-    spans: DataFrame,
-    ts: str = "ts",
-    by: Sequence[str] = (),
-    bucket: str = "hour",
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-) -> DataFrame:
-    """The as-of step of F11: adds ``valid_from`` of the snapshot in force (null before the first).
-
-    Closed spans are spread over the time buckets they touch and joined on the
-    bucket with the span as a residual, so this is a hash join and not a
-    comparison of every request with every snapshot.  The open span of a key
-    is a second join on the key alone.
-    """
-    by = list(by)
-    at = F.col(ts).cast("timestamp_ntz")
-    step = F.expr(f"INTERVAL 1 {bucket}")
-    closed = spans.filter(F.col("valid_to").isNotNull()).select(
-        *[F.col(b).alias(f"__b_{b}") for b in by],
-        F.explode(F.sequence(_trunc(bucket, "valid_from"), _trunc(bucket, "valid_to"), step)).alias("__bucket"),
-        F.col("valid_from").alias("__closed"),
-        F.col("valid_to").alias("__until"),
-    )
-    same = [F.col(b) == F.col(f"__b_{b}") for b in by]
-    cond = reduce(
-        lambda a, b: a & b,
-        [
-            F.col("__rb") == F.col("__bucket"),
-            F.col("__at") >= F.col("__closed"),
-            F.col("__at") < F.col("__until"),
-            *same,
-        ],
-    )
-    out = requests.select("*", at.alias("__at"), _trunc(bucket, at).alias("__rb"))
-    if fits_broadcast(closed, max_broadcast_rows):
-        closed = F.broadcast(closed)
-    out = out.join(closed, cond, "left").drop("__bucket", "__until", *[f"__b_{b}" for b in by])
-    last = spans.filter(F.col("valid_to").isNull())
-    if by:
-        side = last.select(*[F.col(b).alias(f"__b_{b}") for b in by], F.col("valid_from").alias("__open"))
-        if fits_broadcast(side, max_broadcast_rows):
-            side = F.broadcast(side)
-        out = out.join(side, reduce(lambda a, b: a & b, same), "left").drop(*[f"__b_{b}" for b in by])
-    else:
-        row = last.select(F.col("valid_from").cast("string").alias("v")).first()  # one row at most
-        out = out.withColumn("__open", F.lit(row["v"] if row else None).cast("timestamp_ntz"))
-    in_open = F.when(F.col("__at") >= F.col("__open"), F.col("__open"))
-    return out.withColumn("valid_from", F.coalesce(F.col("__closed"), in_open)).drop(
-        "__at", "__rb", "__closed", "__open"
-    )
-
-
-def _trunc(bucket: str, c: str | Column) -> Column:
-    return F.date_trunc(bucket, c).cast("timestamp_ntz")
-
-
 def match_point_in_time(
     requests: DataFrame,
     snapshots: DataFrame,
     ip: str = "ip",
     ts: str = "ts",
     by: Sequence[str] = (),
-    bucket: str = "hour",
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """each request against the list last fetched before it.
 
     ``snapshots`` holds one row per fetch: ``fetched_at, mode, entries`` with
     ``entries`` an array of ``struct<type, value, expires_at>`` in list order
-    (and the columns ``by``); of several with one time any is taken.  Adds ``valid_from``, ``mode`` and the match.
+    (and the columns ``by``); of several with one time any is taken.  Adds
+    ``valid_from``, ``mode`` and the match.  Lists are written once; requests are
+    merged with the times of the fetches (``as_of``), then with the list in force.
     """
     by = list(by)
-    # a fetch that was stored twice is one version
-    snapshots = snapshots.dropDuplicates([*by, "fetched_at"])
-    spans = materialize(snapshot_spans(snapshots, "fetched_at", by), "spans")
-    versioned = as_of_snapshot(requests, spans, ts, by, bucket, max_broadcast_rows)
-    heads = snapshots.select(
-        *[F.col(b).alias(f"__b_{b}") for b in by],
-        F.col("fetched_at").cast("timestamp_ntz").alias("__v"),
-        "mode",
-    )
-    if fits_broadcast(heads, max_broadcast_rows):
-        heads = F.broadcast(heads)
-    cond = F.col("valid_from") == F.col("__v")
-    for b in by:
-        cond = cond & (F.col(b) == F.col(f"__b_{b}"))
-    versioned = versioned.join(heads, cond, "left").drop("__v", *[f"__b_{b}" for b in by])
-    listed = snapshots.select(
-        *by,
-        F.col("fetched_at").cast("timestamp_ntz").alias("valid_from"),
-        F.posexplode("entries").alias("pos", "__e"),
-    ).select(*by, "valid_from", "pos", "__e.type", "__e.value", "__e.expires_at")
-    return match_blocklist(versioned, listed, ip, ts, [*by, "valid_from"], max_broadcast_rows)
+    fetched = snapshots.withColumn("valid_from", F.col("fetched_at").cast("timestamp_ntz")).dropDuplicates([*by, "valid_from"])
+    lists = materialize(fetched.select(*by, "valid_from", "mode", "entries"), "lists")
+    timed = requests.withColumn("__ts", F.col(ts).cast("timestamp_ntz"))
+    versioned = as_of(timed, lists, by, ("__ts", "valid_from"), ["valid_from", "mode"], hot_rows).drop("__ts")
+    listed = lists.select(*by, "valid_from", F.posexplode("entries").alias("pos", "__e"))
+    listed = listed.select(*by, "valid_from", "pos", "__e.type", "__e.value", "__e.expires_at")
+    return match_blocklist(versioned, listed, ip, ts, [*by, "valid_from"], max_broadcast_rows, hot_rows)
 
 
 def fold_polls(

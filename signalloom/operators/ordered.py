@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from signalloom.operators.sizing import maybe_broadcast, row_salt
+from signalloom.operators.sizing import maybe_broadcast, row_hash, row_salt
 from signalloom.sources.scratch import materialize
 
 DEFAULT_SLICE = "hour"
@@ -304,6 +304,39 @@ def with_earlier_max(
     return running(df, by, order, {name: EarlierMax(value)}, hot_rows, slice_by)
 
 
+def as_of(
+    left: DataFrame,
+    right: DataFrame,
+    by: str | Sequence[str],
+    at: tuple[str, str],
+    take: Sequence[str],
+    hot_rows: int | None = None,
+) -> DataFrame:
+    """``left`` with the columns ``take`` of the last row of ``right`` that is not after it, null before the first.
+
+    ``at`` names the column to compare on each side, of one type; ``by`` columns
+    that both have and that must be equal.  Rows of both are merged in order and
+    filled forward, so ``left`` is shuffled once, however its rows are spread over
+    time and keys, and joined with nothing.  Of several right rows at one place
+    any is taken.  A null in ``by`` or ``at`` finds nothing.
+    """
+    keys = _keys(by)
+    usable = right.where(F.col(at[1]).isNotNull())
+    for k in keys:
+        usable = usable.where(F.col(k).isNotNull())
+    marks = usable.select(
+        *keys,
+        F.col(at[1]).alias("__at"),
+        F.lit(0).alias("__side"),
+        F.lit(0).cast("long").alias("__tie"),
+        F.struct(*take).alias("__mark"),
+    )
+    rows = left.withColumns({"__at": F.col(at[0]), "__side": F.lit(1), "__tie": row_hash(left)})
+    both = rows.unionByName(marks, allowMissingColumns=True)
+    filled = running(both, keys, ("__at", "__side", "__tie"), {"__found": LastKnown(F.col("__mark"))}, hot_rows)
+    return filled.where("__side = 1").select(*left.columns, *[F.col("__found")[c].alias(c) for c in take])
+
+
 def keep_first(
     df: DataFrame, n: int, by: Sequence[str], order: Sequence[Column], total: Sequence[str], salts: int = 32
 ) -> DataFrame:

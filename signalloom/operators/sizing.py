@@ -47,10 +47,15 @@ def maybe_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFr
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
-def row_salt(df: DataFrame, n: int) -> Column:
-    """A number in 0..n-1 that depends on the row only, so a recomputed task salts alike."""
+def row_hash(df: DataFrame) -> Column:
+    """A number that depends on the row only, so a recomputed task gives it again."""
     plain = [f.name for f in df.schema.fields if not _holds_map(f.dataType)]
-    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in plain]), F.lit(n)).cast("int")
+    return F.xxhash64(*[F.col(f"`{c}`") for c in plain])
+
+
+def row_salt(df: DataFrame, n: int) -> Column:
+    """``row_hash`` as a number in 0..n-1."""
+    return F.pmod(row_hash(df), F.lit(n)).cast("int")
 
 
 def _holds_map(t: T.DataType) -> bool:

@@ -69,6 +69,12 @@ def later_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return requests(spark, sf_dir).withColumn("ts", late)
 
 
+def requests_of_an_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All requests within one hour."""
+    at = F.expr("timestamp_ntz '2024-01-15 12:00:00' + interval 1 millisecond * (req_id * 997 % 3600000)")
+    return requests(spark, sf_dir).withColumn("ts", at)
+
+
 QUERIES = {
     "F1_client_ip": lambda s, d: view(s, d, "requests").select(
         "req_id", client_ip("xff", "x_real_ip", socket_addr="remote_addr").alias("client_ip")
@@ -94,6 +100,9 @@ QUERIES = {
     "F7_match_blocklist_shuffled": lambda s, d: B.match_blocklist(
         requests(s, d), view(s, d, "blocklist"), max_broadcast_rows=0
     ).select("req_id", "ip", "matched_pos", "matched_value"),
+    "F7_match_ranges": lambda s, d: B.match_blocklist(
+        requests(s, d), view(s, d, "long_list"), max_broadcast_rows=0
+    ).select("req_id", "ip", "matched_pos", "matched_value"),
     "F8_firewall_verdict": lambda s, d: verdicts(s, d).select("req_id", "mode", "action", "status", "report_type"),
     "F9_firewall_events": lambda s, d: B.firewall_events(verdicts(s, d)).select(
         "req_id", "event_kind", "report_type", "ip", "description", "metadata_json"
@@ -106,6 +115,9 @@ QUERIES = {
     "F11_match_point_in_time_all": lambda s, d: B.match_point_in_time(later_requests(s, d), versions(s, d)).select(
         "req_id", "valid_from", "mode", "matched_value"
     ),
+    "F11_match_one_hour": lambda s, d: B.match_point_in_time(
+        requests_of_an_hour(s, d), versions(s, d), max_broadcast_rows=0
+    ).select("req_id", "valid_from", "mode", "matched_value"),
     "F12_fold_polls": lambda s, d: B.fold_polls(view(s, d, "polls")).select(
         "poll_id", "state_mode", "state_etag", "fetched_at", "errors_in_row", "next_poll_ms"
     ),
@@ -164,6 +176,7 @@ ORACLE = {
         where expires_at > ts group by all""",
     "F7_match_blocklist": f"with {_MATCH} select req_id, ip, matched_pos, matched_value from matched",
     "F7_match_blocklist_shuffled": f"with {_MATCH} select req_id, ip, matched_pos, matched_value from matched",
+    "F7_match_ranges": f"with {_MATCH.replace('$blocklist', '$long_list')} select req_id, ip, matched_pos, matched_value from matched",
     "F8_firewall_verdict": f"with {_MATCH}, {_VERDICT} select req_id, mode, action, status, report_type from verdict",
     "F9_firewall_events": f"""with {_MATCH}, {_VERDICT} select req_id, 'security' as event_kind, report_type, ip,
         case when action = 'block' then 'Firewall: blocked ' else 'Firewall (monitor): would block ' end
@@ -191,6 +204,16 @@ ORACLE = {
             when ip = '9.9.9.9' then '9.9.9.9' end
           when (addr >> 9) = ({_long("'45.198.224.0'")} >> 9) then '45.198.224.0/23' end as matched_value
         from placed""",
+    "F11_match_one_hour": f"""with {_MATCH.split('lst as')[0].strip().rstrip(',')},
+        late as (select * replace (timestamp '2024-01-15 12:00:00' + to_milliseconds(req_id * 997 % 3600000) as ts) from req),
+        placed as (select r.*, v.fetched_at as valid_from, v.mode, v.version_id
+                   from late r asof left join $versions v on r.ts >= v.fetched_at)
+        select req_id, valid_from, mode, case
+          when version_id % 4 < 2 then case
+            when (addr >> 8) = ({_long("'45.198.224.0'")} >> 8) and ts < valid_from + interval 2 day then '45.198.224.0/24'
+            when ip = '9.9.9.9' then '9.9.9.9' end
+          when (addr >> 9) = ({_long("'45.198.224.0'")} >> 9) then '45.198.224.0/23' end as matched_value
+        from placed""",
     "F12_fold_polls": """with flagged as (select *, coalesce(status between 200 and 299, false) as ok,
           coalesce(status between 200 and 299 or status = 304, false) as good from $polls),
         grp as (select *, last_value(case when ok then mode end ignore nulls) over w as m0,

@@ -50,6 +50,17 @@ select * from (values
   (10,'IP','45.198.225.11',timestamp '2024-01-10 00:00:00')) as b(pos,type,value,expires_at)
 """
 
+# a list that grows with the customers: nested networks of all lengths, some that expire, a whole eighth and everything
+LONG_LIST = """
+select c_custkey as pos, case when c_custkey % 5 = 0 then 'IP' else 'CIDR' end as type,
+  concat('45.198.', cast(224 + c_custkey % 4 as string), '.', cast(c_custkey * 7 % 256 as string),
+    case when c_custkey % 5 = 0 then '' else concat('/', cast(16 + c_custkey % 17 as string)) end) as value,
+  case when c_custkey % 3 > 0 then timestamp '2024-01-01 00:00:00' + interval 1 hour * (c_custkey * 13 % 800) end as expires_at
+from customer where c_custkey > 2
+union all select 1000000000, 'CIDR', '0.0.0.0/0', timestamp '2024-01-20 00:00:00'
+union all select 1000000001, 'CIDR', '45.0.0.0/8', timestamp '2024-01-25 00:00:00'
+"""
+
 MARKS = """
 select event_id, user_id, ts,
   case when event_type in ('click','view') then 'start' else 'stop' end as kind,
@@ -154,6 +165,7 @@ VIEWS = {
     "telemetry": TELEMETRY,
     "requests": REQUESTS,
     "blocklist": BLOCKLIST,
+    "long_list": LONG_LIST,
     "marks": MARKS,
     "all_marks": ALL_MARKS,
     "arrivals": ARRIVALS,
@@ -178,8 +190,9 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name == "blocklist":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         return spark.sql(sql)
-    escaped = sql.replace("{", "{{").replace("}", "}}").replace("from events", "from {events}")
-    return spark.sql(escaped, events=table(spark, sf_dir, "events"))
+    source = "customer" if "from customer" in sql else "events"
+    escaped = sql.replace("{", "{{").replace("}", "}}").replace(f"from {source}", f"from {{{source}}}")
+    return spark.sql(escaped, **{source: table(spark, sf_dir, source)})
 
 
 def with_views(sql: str) -> str:

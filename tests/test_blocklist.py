@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from signalloom.functions.net import client_ip, ipv4_to_long, normalize_ip
 from signalloom.operators import blocklist as B
+from signalloom.operators.ordered import as_of
 
 ENTRY = "pos int, type string, value string, expires_at timestamp_ntz"
 T0 = dt.datetime(2024, 1, 1)
@@ -88,10 +89,40 @@ def test_random_lists_against_the_definition(spark, limit):
     assert got == {i: first(ip, ts) for i, ip, ts in reqs}
 
 
-def test_large_path_salted_join(spark, monkeypatch):
-    monkeypatch.setattr(B, "fits_broadcast", lambda *a, **k: False)
-    entries = [(1, "CIDR", "10.0.0.0/8", None), (2, "IP", "1.2.3.4", T0)]
-    assert _match(spark, ["10.9.9.9"] * 50 + ["1.2.3.4", "8.8.8.8"], entries) == [1] * 50 + [None, None]
+@pytest.mark.parametrize("hot_rows", [None, 5])
+def test_ranges_with_wide_networks_and_hot_addresses(spark, hot_rows):
+    entries = [(1, "CIDR", "10.0.0.0/8", T0), (2, "IP", "1.2.3.4", T0), (3, "IP", "10.0.0.7", None), (4, "CIDR", "0.0.0.0/0", T0 + dt.timedelta(days=1)),
+               (5, "CIDR", "255.255.255.0/24", None), (6, "IP", "zz", None), (7, "CIDR", "10.0.0.4/30", None), (8, "IP", "10.0.0.08", None)]
+    ips = ["10.9.9.9"] * 50 + ["1.2.3.4", "10.0.0.7", "10.0.0.07", "10.0.0.08", "10.0.0.5", "255.255.255.255", "zz", "zz2", "z", "8.8.8.8", "0.0.0.0"]
+    want = [4] * 50 + [4, 3, 4, 4, 4, 4, 6, None, None, 4, 4]
+    assert _match(spark, ips, entries, max_broadcast_rows=0, hot_rows=hot_rows) == want
+    late = [(p, k, v, None if p == 2 else (T0 if e and e > T0 else e)) for p, k, v, e in entries]
+    want = [None] * 50 + [2, 3, 7, 8, 7, 5, 6, None, None, None, None]
+    assert _match(spark, ips, late, max_broadcast_rows=0, hot_rows=hot_rows) == want
+    assert _match(spark, ips, late) == want
+
+
+def test_large_lists_are_merged_by_one_window(spark):
+    entries = spark.createDataFrame([(1, "CIDR", "10.0.0.0/8", None), (2, "IP", "1.1.1.1", None)], ENTRY)
+    reqs = spark.createDataFrame([("10.1.1.1", T0)], "ip string, ts timestamp_ntz")
+    plan = B.match_blocklist(reqs, entries, max_broadcast_rows=0)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("Window [") == 1
+
+
+@pytest.mark.parametrize("hot_rows", [0, 40, 10**6])
+def test_as_of_against_a_loop(spark, hot_rows):
+    """Most rows at a few moments of one key; nulls on both sides."""
+    rnd = random.Random(8)
+    at = lambda: T0 + dt.timedelta(minutes=rnd.choice([0, 1, 1, 1, 2, 7]))
+    left = [(i, rnd.choice(["a", "a", "a", "b", None]), at() if i % 17 else None) for i in range(300)]
+    right = [(rnd.choice(["a", "b", None]), T0 + dt.timedelta(seconds=20 * i), i) for i in range(12)] + [("a", None, 99)]
+    got = as_of(
+        spark.createDataFrame(left, "id int, k string, t timestamp_ntz"), spark.createDataFrame(right, "k string, f timestamp_ntz, v int"), "k", ("t", "f"), ["v"], hot_rows
+    )
+    found = {r["id"]: r["v"] for r in got.collect()}
+    for i, k, t in left:
+        fits = [v for rk, f, v in right if k is not None and rk == k and t is not None and f is not None and f <= t]
+        assert found[i] == (max(fits) if fits else None)
 
 
 def test_no_shuffle_and_no_nested_loop_for_small_lists(spark):
