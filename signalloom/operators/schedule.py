@@ -8,7 +8,8 @@ from pyspark.sql import types as T
 
 from signalloom.functions.hashing import jitter_minutes, key_fingerprint, valid_key
 from signalloom.limits import MIN_RETRY_MINUTES, WINDOW_MINUTES
-from signalloom.operators.ordered import HOT_ROWS, with_earlier_max
+from signalloom.operators.ordered import HOT_ROWS, as_of, with_earlier_max
+from signalloom.sources.scratch import materialize
 
 # Columns a decision needs, beside the key.
 POLICY_COLUMNS = ("enabled", "interval_hours", "preferred_hour_utc", "run_now_at")
@@ -136,3 +137,60 @@ def overlapping_runs(ledger: DataFrame, by: str = "project_id", hot_rows: int =
     started = ledger.filter(F.col("started_at").isNotNull())
     busy = with_earlier_max(started, by, ("started_at", "run_id"), end, "__busy_until", hot_rows=hot_rows)
     return busy.filter(F.col("started_at") < F.col("__busy_until")).drop("__busy_until")
+
+
+def _negated(at: str) -> Column:
+    return -F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(at))
+
+
+def admit_runs(
+    requests: DataFrame,
+    by: str = "project_id",
+    run: str = "run_id",
+    start: str = "requested_at",
+    until: str = "busy_until",
+    hot_rows: int | None = None,
+) -> DataFrame:
+    """Adds ``start_status`` (201, 409 or 400) and ``blocked_by`` to requests to start a run.
+
+    A project has one run at a time: a request is accepted if the run accepted
+    last before it has ended by then, so each answer depends on all before it.
+    The first request at or after the end of a run, if that were accepted, is its
+    successor; the accepted runs of a project are those reached from its first
+    request.  They are found by jumps whose length doubles each round, so a chain
+    of n runs takes log n rounds, each a join on (project, time), which is unique.
+
+    Of requests at one moment the smallest ``run`` goes first.  A run lasts a
+    microsecond at least; one without an end is never over.  A request that is
+    stored twice is one.  Requests without a project or time get 400.
+    """
+    forever = F.lit("9999-12-31 00:00:00").cast("timestamp_ntz")
+    begin = F.col(start).cast("timestamp_ntz")
+    least = F.timestamp_add("MICROSECOND", F.lit(1), begin)
+    end = F.greatest(F.coalesce(F.col(until).cast("timestamp_ntz"), forever), least)
+    timed = requests.where(F.col(by).isNotNull() & F.col(start).isNotNull()).select(F.col(by).alias("__k"), begin.alias("__t"), F.col(run).alias("__run"), end.alias("__end"))
+    # of one moment only the first can be accepted
+    first = timed.groupBy("__k", "__t").agg(F.min(F.struct("__run", "__end")).alias("__r"))
+    nodes = materialize(first.select("__k", "__t", "__r.__run", "__r.__end"), "requests")
+    # the successor is the last request at or before the end when time runs backwards
+    here = nodes.select("__k", "__t", _negated("__end").alias("__to"))
+    there = nodes.select("__k", F.col("__t").alias("__next"), _negated("__t").alias("__from"))
+    jumps = materialize(as_of(here, there, "__k", ("__to", "__from"), ["__next"], hot_rows).select("__k", "__t", "__next").where("__next is not null"), "jumps")
+    reached = materialize(nodes.groupBy("__k").agg(F.min("__t").alias("__t")), "reached")
+    while not jumps.isEmpty():
+        # all runs so far are the first ones of their chain; a jump from each gives as many more
+        further = reached.join(jumps, ["__k", "__t"]).select("__k", F.col("__next").alias("__t"))
+        reached = materialize(reached.unionByName(further), "reached")
+        onward = jumps.select("__k", F.col("__t").alias("__next"), F.col("__next").alias("__then"))
+        jumps = materialize(jumps.join(onward, ["__k", "__next"]).select("__k", "__t", F.col("__then").alias("__next")), "jumps")
+    accepted = materialize(nodes.join(reached, ["__k", "__t"]), "accepted")
+    asked = requests.withColumns({"__k": F.col(by), "__t": begin})
+    marks = accepted.select("__k", F.col("__t").alias("__since"), F.col("__run").alias("__holder"))
+    judged = as_of(asked, marks, "__k", ("__t", "__since"), ["__since", "__holder"], hot_rows)
+    own = F.col("__since").eqNullSafe(F.col("__t")) & F.col("__holder").eqNullSafe(F.col(run))
+    usable = F.col(by).isNotNull() & F.col(start).isNotNull()
+    return judged.select(
+        *requests.columns,
+        F.when(~usable, 400).when(own, 201).otherwise(409).alias("start_status"),
+        F.when(usable & ~own, F.col("__holder")).alias("blocked_by"),
+    )

@@ -17,18 +17,24 @@ import hashlib
 import io
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from signalloom.functions.hashing import KEY_PATTERN
 from signalloom.limits import ARTIFACT_MAGIC, HEADER_BYTES, TAG_BYTES
+from signalloom.operators.ordered import number_rows
+from signalloom.sources.scratch import materialize
 
 CHUNK_BYTES = 64 * 1024 * 1024
+TREE_WIDTH = 256
+#: Digest of a snapshot without chunks.
+NO_CHUNKS = hashlib.sha256(b"").hexdigest()
 GZIP_LEVEL = 6
 _KEY = re.compile(KEY_PATTERN.replace(r"\z", r"\Z"))
 _CHUNK = "snapshot_id string, key_id string, chunk_id string, n_rows long, raw_bytes long, gz binary"
@@ -130,31 +136,67 @@ def manifest_of(artifacts: DataFrame) -> DataFrame:
     )
 
 
-def artifact_size_gate(manifest: DataFrame, max_mb: int | Column) -> DataFrame:
+def hash_tree(manifest: DataFrame) -> DataFrame:
+    """(snapshot_id, level, no, hash): a tree of hashes over the chunks of each snapshot, in order of their names.
+
+    Level 0 has a hash per chunk, of its name, rows, size and checksum; each node
+    above hashes its ``TREE_WIDTH`` children in order, so that a repeated, missing
+    or exchanged chunk changes every node over it.  A node is made from few
+    rows, so no task holds all chunks.
+    """
+    leaf = F.sha2(F.concat_ws(":", *[F.col(c).cast("string") for c in ("chunk_id", "n_rows", "size_bytes", "checksum")]), 256)
+    named = manifest.select("snapshot_id", "chunk_id", "checksum", leaf.alias("hash"))
+    numbered = number_rows(named, "snapshot_id", ("chunk_id", "checksum"), name="__no")
+    level = materialize(numbered.select("snapshot_id", F.lit(0).alias("level"), (F.col("__no") - 1).alias("no"), "hash"), "leaves")
+    levels, above = [level], 0
+    while not level.where("no > 0").isEmpty():
+        above += 1
+        children = F.array_sort(F.collect_list(F.struct("no", "hash")))
+        groups = level.groupBy("snapshot_id", F.floor(F.col("no") / TREE_WIDTH).alias("no")).agg(children.alias("__c"))
+        node = F.sha2(F.array_join("__c.hash", ""), 256)
+        level = materialize(groups.select("snapshot_id", F.lit(above).alias("level"), "no", node.alias("hash")), "nodes")
+        levels.append(level)
+    return reduce(DataFrame.unionByName, levels)
+
+
+def tree_roots(manifest: DataFrame) -> DataFrame:
+    """(snapshot_id, digest): the root of each snapshot's tree."""
+    nodes = hash_tree(manifest)
+    tops = nodes.groupBy("snapshot_id").agg(F.max_by("hash", "level").alias("digest"))
+    return tops.select("snapshot_id", "digest")
+
+
+def verify_manifest(manifest: DataFrame, run: DataFrame) -> DataFrame:
+    """``run`` (snapshot_id, digest and more) with ``manifest_status``: ok, or root_mismatch if the manifest is another."""
+    found = tree_roots(manifest).withColumnRenamed("digest", "__found")
+    same = F.col("digest") == F.coalesce("__found", F.lit(NO_CHUNKS))
+    return run.join(found, "snapshot_id", "left").withColumn("manifest_status", F.when(same, "ok").otherwise("root_mismatch")).drop("__found")
+
+
+def artifact_size_gate(manifest: DataFrame, max_mb: int | Column, snapshots: DataFrame | None = None) -> DataFrame:
     """One row per snapshot; FAILED if its ciphertext is over the limit.
 
-    Headers and tags do not count.  ``digest`` combines the checksums of all
-    chunks independently of their order, so it needs no group of all chunks.
+    Headers and tags do not count.  ``digest`` is the root of the tree of hashes
+    over all chunks.  ``snapshots`` (snapshot_id) names those that were taken, so
+    that one without any chunk has its row too.
     """
     limit = F.greatest(F.lit(1), max_mb if isinstance(max_mb, Column) else F.lit(max_mb)).cast("long") * (1 << 20)
-    named = F.sha2(F.concat_ws(":", "chunk_id", "checksum"), 256)
-    words = [F.conv(F.substring(named, 1 + 8 * i, 8), 16, 10).cast("long") for i in range(8)]
     out = manifest.groupBy("snapshot_id").agg(
         F.count(F.lit(1)).alias("n_chunks"),
         F.sum("n_rows").alias("n_rows"),
         F.sum("size_bytes").alias("size_bytes"),
         F.sum(F.col("size_bytes") - (HEADER_BYTES + TAG_BYTES)).alias("ciphertext_bytes"),
-        *[F.bit_xor(w).alias(f"__w{i}") for i, w in enumerate(words)],
     )
+    out = out.join(tree_roots(manifest), "snapshot_id")
+    if snapshots is not None:
+        out = snapshots.select("snapshot_id").distinct().join(out, "snapshot_id", "left")
+    counts = ("n_chunks", "n_rows", "size_bytes", "ciphertext_bytes")
+    out = out.withColumns({c: F.coalesce(c, F.lit(0).cast("long")) for c in counts})
     over = F.col("ciphertext_bytes") > limit
-    digest = F.concat(*[F.lpad(F.lower(F.hex(F.col(f"__w{i}"))), 8, "0") for i in range(8)])
     return out.select(
         "snapshot_id",
-        "n_chunks",
-        "n_rows",
-        "size_bytes",
-        "ciphertext_bytes",
-        digest.alias("digest"),
+        *counts,
+        F.coalesce("digest", F.lit(NO_CHUNKS)).alias("digest"),
         F.when(over, "FAILED").otherwise("UPLOADED").alias("run_status"),
         F.when(over, F.concat(F.lit("artifact over the limit of "), limit.cast("string"), F.lit(" bytes"))).alias("error"),
     )
@@ -192,15 +234,20 @@ def artifact_status(artifact: Column | str, opened: Column) -> Column:
     )
 
 
-def _against_manifest(artifacts: DataFrame, manifest: DataFrame) -> DataFrame:
-    """``artifacts``, failing where a chunk of the manifest is missing or one is foreign to it."""
-    listed = manifest.select(F.col("chunk_id").alias("__listed")).distinct()
-    both = artifacts.join(listed, F.col("chunk_id") == F.col("__listed"), "full")
-    wrong = F.when(F.col("chunk_id").isNull(), F.concat(F.lit("missing chunk "), "__listed")).when(
-        F.col("__listed").isNull(), F.concat(F.lit("foreign chunk "), "chunk_id")
-    )
-    checked = F.when(wrong.isNotNull(), F.raise_error(wrong)).otherwise(F.col("artifact"))
-    return both.withColumn("artifact", checked).drop("__listed")
+def check_against_manifest(artifacts: DataFrame, manifest: DataFrame) -> None:
+    """Raises unless the artifacts are exactly those of the manifest, each once, byte for byte.
+
+    Only names and checksums are compared, before anything is opened.
+    """
+    key = ["snapshot_id", "chunk_id", "checksum"]
+    stored = artifacts.select("snapshot_id", "chunk_id", F.sha2("artifact", 256).alias("checksum"))
+    stored = stored.groupBy(*key).agg(F.count(F.lit(1)).alias("__stored"))
+    listed = manifest.groupBy(*key).agg(F.count(F.lit(1)).alias("__listed"))
+    both = stored.join(listed, key, "full")
+    fault = F.when(F.col("__listed").isNull(), "foreign").when(F.col("__stored").isNull(), "missing").when(F.col("__stored") > 1, "repeated")
+    first = both.select(fault.alias("fault"), "snapshot_id", "chunk_id").where("fault is not null").orderBy(F.desc("fault"), "chunk_id").first()
+    if first is not None:
+        raise SnapshotError(f"{first['fault']} chunk {first['chunk_id']} of {first['snapshot_id']}")
 
 
 def restore_artifacts(
@@ -208,11 +255,11 @@ def restore_artifacts(
 ) -> DataFrame:
     """The rows of a snapshot.  One artifact that cannot be restored fails the job.
 
-    With its manifest a missing or foreign chunk does, too, so that a restore
-    is never partial.
+    With its manifest a missing, repeated, changed or foreign chunk is refused
+    before anything is opened, so that a restore is never partial.
     """
     if manifest is not None:
-        artifacts = _against_manifest(artifacts, manifest)
+        check_against_manifest(artifacts, manifest)
     reason = F.concat(F.lit("artifact "), F.coalesce("chunk_id", F.lit("?")), F.lit(": "), F.col("artifact_status"))
     checked = open_artifacts(artifacts, key_hex).select(
         F.when(F.col("artifact_status") == "ok", F.col("opened")).otherwise(F.raise_error(reason)).alias("gz")
@@ -243,8 +290,9 @@ def _plain_bytes(gz: pd.Series) -> pd.Series:
 def verify_artifacts(artifacts: DataFrame, key_hex: str, manifest: DataFrame | None = None) -> DataFrame:
     """Restore without writing; one row per artifact, also for broken ones.
 
-    With a manifest, a checksum that differs is an error, and chunks that the
-    manifest lists but that are not there come out as ``missing``.
+    With a manifest, a checksum that differs is an error, chunks that it does not
+    list, or lists under another snapshot, are ``not_in_manifest``, further copies
+    of a chunk ``repeated``, and chunks that are not there come out as ``missing``.
     """
     done = open_artifacts(artifacts, key_hex).select(
         "snapshot_id",
@@ -262,15 +310,20 @@ def verify_artifacts(artifacts: DataFrame, key_hex: str, manifest: DataFrame | N
         return done
     want = manifest.select(
         F.col("snapshot_id").alias("__s"), F.col("chunk_id").alias("__c"), F.col("checksum").alias("__sum")
-    )
+    ).distinct()
     joined = done.join(want, (F.col("snapshot_id") == F.col("__s")) & (F.col("chunk_id") == F.col("__c")), "full")
-    return joined.select(
+    # the copy that is as listed counts, of equal ones the first
+    good = (F.col("artifact_status") == "ok") & (F.col("__sum") == F.col("checksum"))
+    copies = Window.partitionBy("__s", "__c").orderBy(F.coalesce(good, F.lit(False)).desc(), "checksum")
+    numbered = joined.withColumn("__copy", F.when(F.col("__c").isNotNull(), F.row_number().over(copies)))
+    return numbered.select(
         F.coalesce("snapshot_id", "__s").alias("snapshot_id"),
         F.coalesce("chunk_id", "__c").alias("chunk_id"),
         "checksum",
         "size_bytes",
         "plaintext_bytes",
         F.when(F.col("artifact_status").isNull(), "missing")
+        .when(F.col("__copy") > 1, "repeated")
         .when((F.col("artifact_status") == "ok") & F.col("__sum").isNull(), "not_in_manifest")
         .when((F.col("artifact_status") == "ok") & (F.col("__sum") != F.col("checksum")), "checksum_mismatch")
         .otherwise(F.col("artifact_status"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from signalloom.functions.redact import scrub_string
 from signalloom.functions.text import truncate_text
+from signalloom.operators.nested import scrub_column
 from signalloom.operators.ordered import HOT_ROWS, with_previous
 
 
@@ -69,31 +70,44 @@ def timer_events(pairs: DataFrame, metadata: str | None = None) -> DataFrame:
     )
 
 
-def measure_outcomes(calls: DataFrame) -> DataFrame:
-    """Measured calls ``name, start_ts, end_ts, duration_ms, error_message``.
+def measure_outcomes(calls: DataFrame, metadata: str | None = None) -> DataFrame:
+    """Measured calls ``name, start_ts, end_ts, duration_ms, error_message``, and ``stack`` if there is one.
 
-    A call that failed gives an error event and no timer event.
+    A call that failed gives an error event and no timer event.  Its message and
+    stack are redacted; the raw ones do not leave.  ``metadata`` names a
+    ``map<string,string>`` column: its entries, redacted, come into the metadata
+    of an error (where ``duration`` is the measured one) and the data of a timer event.
     """
+    kept = [c for c in calls.columns if c not in ("error_message", "stack", metadata)]
+    if metadata:
+        calls = calls.withColumn(metadata, scrub_column(F.col(metadata), calls.schema[metadata].dataType))
     failed = calls.filter(F.col("error_message").isNotNull())
     message = F.concat(
         F.lit('Performance measurement "'), F.col("name"), F.lit('" failed: '), F.col("error_message")
     )
+    about = F.to_json(F.struct(F.col("duration_ms").alias("duration")))
+    if metadata:
+        given = F.map_filter(F.coalesce(F.col(metadata), F.create_map().cast("map<string,string>")), lambda k, _v: k != "duration")
+        about = F.to_json(F.map_concat(given, F.create_map(F.lit("duration"), F.col("duration_ms").cast("string"))))
+    stack = truncate_text(scrub_string("stack")) if "stack" in calls.columns else F.lit(None).cast("string")
     errors = failed.select(
-        *calls.columns,
+        *kept,
         F.lit("error").alias("type"),
         F.lit("RUNTIME").alias("event_type"),
         F.lit("MEDIUM").alias("severity"),
         truncate_text(scrub_string(message)).alias("message"),
-        F.to_json(F.struct(F.col("duration_ms").alias("duration"))).alias("metadata"),
+        stack.alias("stack"),
+        about.alias("metadata"),
         F.lit(None).cast("string").alias("data"),
         F.lit(None).cast("double").alias("duration"),
     )
-    timed = timer_events(calls.filter(F.col("error_message").isNull())).select(
-        *calls.columns,
+    timed = timer_events(calls.filter(F.col("error_message").isNull()), metadata).select(
+        *kept,
         "type",
         F.col("debug_type").alias("event_type"),
         F.lit(None).cast("string").alias("severity"),
         F.lit(None).cast("string").alias("message"),
+        F.lit(None).cast("string").alias("stack"),
         F.lit(None).cast("string").alias("metadata"),
         "data",
         F.col("performance.duration").alias("duration"),

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import gzip
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from signalloom.functions.hashing import jitter_minutes
 from signalloom.functions.net import connection_properties
@@ -74,6 +78,41 @@ def verified(s: SparkSession, d: str) -> DataFrame:
     )
 
 
+@F.pandas_udf(T.BinaryType())
+def _gzip(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: gzip.compress(t.encode(), 1))
+
+
+def damaged_chunks(s: SparkSession, d: str) -> DataFrame:
+    """A snapshot with a chunk per document: damaged, repeated, missing, foreign and replaced ones, by their number."""
+    texts = table(s, d, "documents").select(
+        F.lit("docs").alias("snapshot_id"), F.col("doc_id").cast("string").alias("chunk_id"), F.lit(1).cast("long").alias("n_rows"),
+        _gzip(F.coalesce("text", F.lit(""))).alias("gz"),
+    )
+    sealed, other = materialize(A.seal(texts, KEY), "sealed"), materialize(A.seal(texts, KEY), "sealed")
+    manifest = materialize(A.manifest_of(sealed), "manifest")
+    kind, a = F.col("chunk_id").cast("long") % 7, F.col("artifact")
+    flipped = F.concat(F.substring(a, 1, 24), F.unhex(F.md5(a)), F.expr("substring(artifact, 41)"))
+    stored = sealed.where(~kind.isin(3, 5)).withColumn("artifact", F.when(kind == 1, flipped).otherwise(a))
+    stored = stored.unionByName(sealed.where(kind == 2)).unionByName(other.where(kind == 5))
+    stored = stored.unionByName(sealed.where(kind == 4).withColumn("chunk_id", F.concat(F.lit("x"), "chunk_id")))
+    stored = stored.unionByName(sealed.where(kind == 6).withColumn("snapshot_id", F.lit("another")))
+    return A.verify_artifacts(stored, KEY, manifest).select("snapshot_id", "chunk_id", "artifact_status")
+
+
+def empty_and_full(s: SparkSession, d: str) -> DataFrame:
+    """Runs of a table and of none of its rows: both upload, with the root of their tree."""
+    path = scratch_path(s, "snapshots")
+    orders = table(s, d, "orders")
+    runs = [write_encrypted_snapshot(df, path, KEY, 512, name, CHUNK) for name, df in (("full", orders), ("empty", orders.limit(0)))]
+    trusted = []
+    for name, run in zip(("full", "empty"), runs):
+        _artifacts, manifest = read_snapshot(s, path, name)
+        trusted.append(A.verify_manifest(manifest, run).select("snapshot_id", "manifest_status"))
+    both = runs[0].unionByName(runs[1]).join(trusted[0].unionByName(trusted[1]), "snapshot_id")
+    return both.select("snapshot_id", "n_rows", "run_status", "manifest_status", (F.col("n_chunks") > 0).alias("has_chunks"))
+
+
 def statuses(s: SparkSession, d: str) -> DataFrame:
     """An artifact per document, damaged in a way that depends on its number.
 
@@ -112,10 +151,13 @@ QUERIES = {
     "B5_artifact_size_gate": gated,
     "B6_restore_artifacts": restored,
     "B7_verify_artifacts": verified,
+    "B5_empty_snapshot": empty_and_full,
+    "B7_verify_damaged": damaged_chunks,
     "B8_artifact_status": statuses,
     "B9_run_ledger": ledger,
     "B9_state_from_ledger": lambda s, d: B.state_from_ledger(ledger(s, d)),
     "B9_overlapping_runs": lambda s, d: B.overlapping_runs(ledger(s, d)).select("project_id", "run_id", "started_at"),
+    "B9_admit_runs": lambda s, d: B.admit_runs(view(s, d, "starts")).select("project_id", "run_id", "start_status", "blocked_by"),
     "B10_connection_properties": lambda s, d: table(s, d, "events").selectExpr("event_id", f"{_URL} as url").select(
         "event_id", connection_properties("url").alias("p")
     ).select("event_id", "p.*"),
@@ -166,6 +208,14 @@ ORACLE = {
         union all select 'too_large', count(*), 'FAILED' from lineitem""",
     "B6_restore_artifacts": "select * from lineitem",
     "B7_verify_artifacts": "select 'ok' as artifact_status, count(*) > 0 as has_content from orders",
+    "B5_empty_snapshot": """select 'full' as snapshot_id, count(*) as n_rows, 'UPLOADED' as run_status, 'ok' as manifest_status, true as has_chunks from orders
+        union all select 'empty', 0, 'UPLOADED', 'ok', false""",
+    "B7_verify_damaged": """with d as (select cast(doc_id as varchar) as chunk_id, doc_id % 7 as kind from documents)
+        select 'docs' as snapshot_id, chunk_id, case kind when 1 then 'authentication_failed' when 3 then 'missing'
+          when 5 then 'checksum_mismatch' else 'ok' end as artifact_status from d
+        union all select 'docs', chunk_id, 'repeated' from d where kind = 2
+        union all select 'docs', 'x' || chunk_id, 'not_in_manifest' from d where kind = 4
+        union all select 'another', chunk_id, 'not_in_manifest' from d where kind = 6""",
     "B8_artifact_status": """select doc_id, case doc_id % 6 when 0 then 'ok' when 1 then 'foreign_magic' when 2 then 'short_header'
           when 3 then 'missing_tag' else 'authentication_failed' end as artifact_status from documents""",
     "B9_run_ledger": f"with {_LEDGER_SQL} select * from ledger",
@@ -175,6 +225,16 @@ ORACLE = {
           (partition by project_id order by started_at, run_id rows between unbounded preceding and 1 preceding) as busy
           from ledger where started_at is not null)
         select project_id, run_id, started_at from b where started_at < busy""",
+    "B9_admit_runs": """with recursive firsts as (select project_id, requested_at as t, min(run_id) as run_id, arg_min(busy_until, run_id) as ends
+            from $starts group by project_id, requested_at),
+        moments as (select project_id, t, run_id, greatest(ends, t + interval 1 microsecond) as busy from firsts),
+        nexts as (select m.project_id, m.t, min(n.t) as next_t from moments m join firsts n on m.project_id = n.project_id and m.busy <= n.t group by all),
+        chain as (select project_id, min(t) as t from moments group by project_id
+          union all select n.project_id, n.next_t from chain c join nexts n on c.project_id = n.project_id and c.t = n.t),
+        held as (select m.* from moments m join chain using (project_id, t)),
+        judged as (select r.*, h.run_id as holder, h.t = r.requested_at and h.run_id = r.run_id as own
+          from $starts r asof join held h on r.project_id = h.project_id and r.requested_at >= h.t)
+        select project_id, run_id, case when own then 201 else 409 end as start_status, case when not own then holder end as blocked_by from judged""",
     "B10_connection_properties": """select event_id, case when ok then 'db' || user_id % 7 || '.example.com' end as host,
           case when ok and event_id % 3 = 0 then 6543 end as port, case when ok then 'us@er' || user_id end as "user",
           case when ok then 'p/w+' || event_id end as password, case when ok then 'my db' || user_id % 3 end as database,

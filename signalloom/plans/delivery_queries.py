@@ -78,6 +78,27 @@ def measured(s: SparkSession, d: str, name: str = "marks") -> DataFrame:
     return T.measure_outcomes(calls).select("mark_id", "type", "event_type", "severity", "message", "duration")
 
 
+def measured_with_secrets(s: SparkSession, d: str) -> DataFrame:
+    """Failed calls whose text, stack and metadata hold secrets."""
+    n = F.col("mark_id").cast("string")
+    failed = F.col("mark_id") % 2 == 0
+    calls = T.pair_timers(marks(s, d, "all_marks")).withColumns(
+        {
+            "error_message": F.when(failed, F.concat(F.lit("password=hunter"), n)),
+            "stack": F.when(failed, F.concat(F.lit("at f token=abc"), n, F.lit(" \n at g by user"), n, F.lit("@mail.example.com"))),
+            "about": F.create_map(F.lit("client"), F.col("client"), F.lit("apiKey"), n),
+        }
+    )
+    out = T.measure_outcomes(calls, "about")
+    given = F.coalesce("metadata", "data")
+    return out.select(
+        "mark_id", "type", "message", "stack",
+        F.get_json_object(given, "$.client").alias("client"),
+        F.get_json_object(given, "$.apiKey").alias("api_key"),
+        F.lit(bool({"error_message", "about"} & set(out.columns))).alias("raw_left"),
+    )
+
+
 # --- signatures: a secret per user, made from the user's number ----------------
 
 _SECRET = "repeat(concat('k', cast(user_id as string)), cast(user_id % 40 + 1 as int))"
@@ -158,6 +179,7 @@ QUERIES = {
     "T1_pair_timers": lambda s, d: T.pair_timers(marks(s, d)),
     "T1_pair_timers_all": lambda s, d: T.pair_timers(marks(s, d, "all_marks")),
     "T2_timer_events_all": lambda s, d: timers(s, d, "all_marks"),
+    "T3_measure_secrets": measured_with_secrets,
     "T3_measure_outcomes_all": lambda s, d: measured(s, d, "all_marks"),
     "T2_timer_events": timers,
     "T3_measure_outcomes": measured,
@@ -247,6 +269,10 @@ ORACLE = {
     "T2_timer_events": f"""with {_PAIRS_SQL} select mark_id, 'debug' as type, 'performance' as debug_type,
           '{{"name":"' || name || '","client":"' || client || '"}}' as data,
           floor(duration_ms * 100 + 0.5) / 100 as duration, start_ts as "startTime", end_ts as "endTime" from pairs""",
+    "T3_measure_secrets": f"""with {_PAIRS_SQL.replace('$marks', '$all_marks')} select mark_id, case when mark_id % 2 = 0 then 'error' else 'debug' end as type,
+          case when mark_id % 2 = 0 then 'Performance measurement "' || name || '" failed: password=[REDACTED]' end as message,
+          case when mark_id % 2 = 0 then 'at f token=[REDACTED] ' || chr(10) || ' at g by *@mail.example.com' end as stack,
+          client, '[REDACTED]' as api_key, false as raw_left from pairs""",
     "T3_measure_outcomes": f"""with {_PAIRS_SQL} select mark_id, case when mark_id % 3 = 0 then 'error' else 'debug' end as type,
           case when mark_id % 3 = 0 then 'RUNTIME' else 'performance' end as event_type,
           case when mark_id % 3 = 0 then 'MEDIUM' end as severity,

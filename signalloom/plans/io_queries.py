@@ -172,6 +172,16 @@ def artifact_files(s: SparkSession, d: str) -> DataFrame:
     return files.agg((F.count(F.lit(1)) > 0).alias("found"), (F.sum(F.octet_length("artifact")) > 1000).alias("has_bytes"))
 
 
+def restored_files(s: SparkSession, d: str) -> DataFrame:
+    """Artifacts of all line items stored one to a file, found in the folder, opened and restored."""
+    path, _run = snapshot(s, d, "lineitem")
+    artifacts, manifest = art.read_snapshot(s, path, "lineitem")
+    folder = scratch_path(s, "artifact-files")
+    art.write_artifact_files(artifacts, folder)
+    files = art.read_artifacts(s, folder, "lineitem")
+    return restore_artifacts(files, KEY, table(s, d, "lineitem").schema, manifest)
+
+
 def encrypted_copy(s: SparkSession, d: str) -> DataFrame:
     """Snapshot of all orders, written, read back and decrypted."""
     path, _run = snapshot(s, d)
@@ -263,9 +273,10 @@ def flushed_batches(s: SparkSession, d: str) -> DataFrame:
 
 
 def streamed_expiry(s: SparkSession, d: str) -> DataFrame:
-    """All test events are older than two hours by now; a longer time to live keeps them."""
+    """Items created up to four hours ago, by how far the event lies back; half of them live on."""
     out = scratch_path(s, "fresh")
-    rows = drop_expired_stream(_stream_table(s, d, "events").select("event_id", "ts"), "ts", ttl_hours=24 * 365 * 200)
+    created = F.current_timestamp().cast("timestamp_ntz") - F.make_dt_interval(mins=(F.col("event_id") % 8 * 30 + 15).cast("int"))
+    rows = drop_expired_stream(_stream_table(s, d, "events").withColumn("created_at", created)).select("event_id", "ts")
     _run(micro_batches(rows).format("parquet").option("path", out), s)
     return s.read.parquet(out)
 
@@ -282,6 +293,7 @@ QUERIES = {
     "S7_database_table": dumped,
     "S8_encrypted_snapshot": encrypted_copy,
     "S9_read_artifacts": artifact_files,
+    "S9_restore_files": restored_files,
     "S10_spool": spooled,
     "F13_stream_match": streamed_verdicts,
     "Q4_drop_expired_stream": streamed_expiry,
@@ -337,6 +349,7 @@ ORACLE = {
     "S7_database_table": "select o_orderkey, o_totalprice from orders",
     "S8_encrypted_snapshot": "select * from orders",
     "S9_read_artifacts": "select count(*) > 0 as found, true as has_bytes from lineitem",
+    "S9_restore_files": "select * from lineitem",
     "S10_spool": f"""with items as (select event_id, ts, user_id % 3 as shard, {sql_emails(sql_key_values('message'))} as message,
             event_id % 9000 as pad from $telemetry),
         sized as (select *, length('{{"event_id":' || event_id || ',"message":"' || message || '","pad":"' || repeat('x', cast(pad as int)) || '"}}') as n from items),
@@ -344,7 +357,7 @@ ORACLE = {
         select event_id, message from run where total <= 1048576 and ts > timestamp '{QUEUE_NOW}' - interval 720 hour""",
     "F13_stream_match": f"""with {_MATCH} select req_id, ip, matched_value,
           case when matched_pos is not null then 'block' else 'pass' end as action from matched""",
-    "Q4_drop_expired_stream": "select event_id, ts from events",
+    "Q4_drop_expired_stream": "select event_id, ts from events where event_id % 8 < 4",
     "Q14_micro_batches": f"""{_FLUSHES_SQL}
         select client, batch_no, reason, flushed_at, count(*) as n from flushes group by all""",
     "Q14_flush_stream": f"""{_FLUSHES_SQL}

@@ -147,6 +147,13 @@ select ts as fetched_at,
 from events
 """
 
+# requests to start a run, many while another of the project is going on
+STARTS = """
+select user_id % 20 as project_id, concat('run-', cast(event_id as string)) as run_id, ts as requested_at,
+  ts + interval 1 minute * (event_id * 37 % 400) as busy_until
+from events
+"""
+
 # two runs at a time per project and 3,000 events: start, heartbeats, final reports
 RUNS = """
 select event_id, ts, user_id as project_id,
@@ -176,6 +183,7 @@ VIEWS = {
     "polls": POLLS,
     "snapshots": SNAPSHOTS,
     "versions": VERSIONS,
+    "starts": STARTS,
     "runs": RUNS,
 }
 
@@ -202,6 +210,7 @@ def with_views(sql: str) -> str:
         sql = sql.replace(f"${v}", f"v_{v}")
     ctes = [f"v_{v} as ({VIEWS[v]})" for v in used]
     body = sql.strip()
-    if body.lower().startswith("with "):
-        return "with " + ", ".join(ctes + [body[5:]]) if ctes else body
+    for start in ("with recursive ", "with "):
+        if body.lower().startswith(start):
+            return start + ", ".join(ctes + [body[len(start) :]]) if ctes else body
     return "with " + ", ".join(ctes) + " " + body if ctes else body

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 import gzip
 
 import pytest
@@ -76,6 +77,33 @@ def test_ledger(spark):
         assert [r["run_id"] for r in B.overlapping_runs(led, hot_rows=hot).collect()] == ["r3"]
 
 
+@pytest.mark.parametrize("hot_rows", [0, 10**6])
+def test_admission_against_a_loop(spark, hot_rows):
+    """Ties, runs of no length and without an end, repeats, missing keys."""
+    rnd = random.Random(4)
+    t = lambda m: NOW + dt.timedelta(minutes=m)
+    rows = []
+    for i in range(260):
+        start = rnd.randint(0, 300)
+        end = None if i == 250 else t(start + rnd.choice([-1, 0, 0, 1, 7, 30]))
+        rows.append((rnd.choice("aab"), f"r{rnd.randint(0, 999):03}{i}", t(start), end))
+    rows += rows[:20] + [("solo", "x", t(5), None), ("solo", "y", t(900), t(901)), (None, "n", t(1), t(2)), ("a", "m", None, t(2))]
+    df = spark.createDataFrame(rows, "project_id string, run_id string, requested_at timestamp_ntz, busy_until timestamp_ntz")
+    want, busy = {}, {}
+    for project, run, start, end in sorted({r for r in rows if r[0] and r[2]}, key=lambda r: (r[2], r[1])):
+        holder, until = busy.get(project, (None, start))
+        if start >= until:
+            busy[project] = (run, max(end or dt.datetime(9999, 1, 1), start + dt.timedelta(microseconds=1)))
+            want[project, run] = (201, None)
+        else:
+            want[project, run] = (409, holder)
+    want |= {(None, "n"): (400, None), ("a", "m"): (400, None)}
+    got = B.admit_runs(df, hot_rows=hot_rows).collect()
+    assert len(got) == len(rows)
+    assert {(r["project_id"], r["run_id"]): (r["start_status"], r["blocked_by"]) for r in got} == want
+    assert B.admit_runs(df.limit(0)).count() == 0
+
+
 @pytest.fixture(scope="module")
 def rows(spark):
     return spark.range(5000).select(
