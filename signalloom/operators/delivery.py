@@ -19,8 +19,8 @@ from signalloom.limits import (
     SPOOL_TTL_HOURS,
 )
 from signalloom.operators.events import classify_status
-from signalloom.operators.ordered import HOT_ROWS, Previous, SinceReset, Sum, keep_first, number_rows, running
-from signalloom.operators.sizing import maybe_broadcast, row_salt
+from signalloom.operators.ordered import HOT_ROWS, Previous, SinceReset, Sum, keep_first, keep_within, number_rows, running
+from signalloom.operators.sizing import maybe_broadcast
 from signalloom.sources.scratch import materialize
 
 ORDER = ("ts", "event_id")
@@ -34,16 +34,14 @@ def keep_latest(
     df: DataFrame, n: int = QUEUE_CAPACITY, by: str | Sequence[str] | None = None, order: Sequence[str] = ORDER
 ) -> DataFrame:
     """Q1: a bounded FIFO that was full drops its oldest rows; the newest ``n`` remain."""
-    newest = [F.col(c).desc() for c in order]
-    return keep_first(df, n, _list(by), newest, order)
+    return keep_first(df, n, _list(by), order, latest=True)
 
 
 def take_front(
     df: DataFrame, n: int, by: str | Sequence[str] | None = None, order: Sequence[str] = ORDER
 ) -> DataFrame:
     """Q2: the first ``n`` rows in queue order."""
-    oldest = [F.col(c).asc() for c in order]
-    return keep_first(df, n, _list(by), oldest, order)
+    return keep_first(df, n, _list(by), order)
 
 
 def requeue_front(
@@ -80,44 +78,18 @@ def persist_budget(
     order: Sequence[str] = ORDER,
     item_limit: int = SPOOL_ITEM_CHARS,
     total_limit: int = SPOOL_TOTAL_CHARS,
-    salts: int = 256,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Q5: skip items over the item limit, then stop where the total would pass the budget.
 
-    Sizes are positive, so "stop at the first that does not fit" keeps the
-    rows of a key up to one cut-off, and only keys, order and sizes are
-    shuffled to find it.  Two windows do: a row whose running sum over only a
-    salted part of its key is over the budget is over it for the whole key
-    too, so the second window sees at most the budget of each part.  The cut-offs
-    are then joined to the items, broadcast if they are few.
+    Sizes are not negative, so "stop at the first that does not fit" keeps the
+    rows of a key up to one place, which ``keep_within`` finds from sums per
+    piece of the order; rows are sorted only in the piece where the budget ends.
 
-    Items are read twice; materialise them if they are costly to compute.
+    Items are read several times; materialise them if they are costly to compute.
     """
-    keys = _list(by)
     size = F.char_length(F.col(item) if isinstance(item, str) else item).cast("long")
-    at = F.struct(*order)
-    running = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    fitting = df.withColumn("__size", size).filter(F.col("__size") <= item_limit)
-    narrow = fitting.select(*keys, *[c for c in order if c not in keys], "__size")
-    narrow = narrow.withColumn("__salt", row_salt(df.select(*order), salts))
-    part = running.partitionBy(*keys, "__salt")
-    narrow = narrow.withColumn("__sum", F.sum("__size").over(part)).filter(F.col("__sum") <= total_limit)
-    whole = running.partitionBy(*keys)
-    narrow = narrow.withColumn("__sum", F.sum("__size").over(whole)).filter(F.col("__sum") <= total_limit)
-    cuts = narrow.groupBy(*[F.col(k).alias(f"__k_{k}") for k in keys]).agg(F.max(at).alias("__cut"))
-    if not keys:
-        row = cuts.first()["__cut"]  # a single value
-        if row is None:
-            return df.limit(0)
-        types = df.select(at.alias("s")).schema["s"].dataType
-        literal = F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, types)])
-        return fitting.filter(at <= literal).drop("__size")
-    cuts = materialize(cuts, "cuts")  # one row per key
-    cond = at <= F.col("__cut")
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
-    kept = fitting.join(maybe_broadcast(cuts), cond)
-    return kept.drop("__size", "__cut", *[f"__k_{k}" for k in keys])
+    return keep_within(df.filter(size <= item_limit), _list(by), order, size, total_limit, hot_rows=hot_rows)
 
 
 def assign_batches(

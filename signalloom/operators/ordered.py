@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from signalloom.operators.sizing import maybe_broadcast, row_hash, row_salt
 from signalloom.sources.scratch import materialize
@@ -337,20 +338,86 @@ def as_of(
     return filled.where("__side = 1").select(*left.columns, *[F.col("__found")[c].alias(c) for c in take])
 
 
-def keep_first(
-    df: DataFrame, n: int, by: Sequence[str], order: Sequence[Column], total: Sequence[str], salts: int = 32
+#: Pieces of the order whose sums are taken first.
+GRID = 1024
+#: Up to so many rows per key Spark cuts every task down to them before it shuffles.
+GROUP_LIMIT = 1000
+
+
+def _place(df: DataFrame, column: str) -> Column | None:
+    """An order column as a number that does not decrease with it; None if it has no distances."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.NumericType):
+        return F.col(column).cast("double")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(column).cast("timestamp_ntz")).cast("double")
+    return None
+
+
+def keep_within(
+    df: DataFrame,
+    by: str | Sequence[str],
+    order: Sequence[str],
+    weight: Column,
+    limit: int,
+    from_end: bool = False,
+    hot_rows: int | None = None,
 ) -> DataFrame:
-    """First ``n`` rows per key (of the whole table without ``by``); ``total`` names the order's columns.
+    """Rows of each key, in order, as long as the sum of their weights is at most ``limit``.
+
+    Weights are not negative.  ``from_end`` begins with the last row.  Sums are
+    taken in two levels: per key and piece of the first order column, which
+    combines before it shuffles, and then, row by row, only in the one piece
+    where the limit is reached.  All other rows are kept or dropped by the piece
+    they lie in and are not shuffled.
+    """
+    keys, piece = _keys(by), F.lit(0)
+    place = _place(df, order[0])
+    if place is not None:
+        span = df.agg(F.min(place).alias("low"), F.max(place).alias("high")).first()
+        if span["low"] is not None and span["low"] < span["high"]:
+            share = (place - span["low"]) / (span["high"] - span["low"])
+            # nulls are first in the order
+            piece = F.when(place.isNull(), -1).otherwise(F.least(F.floor(share * GRID), F.lit(GRID - 1))).cast("int")
+        else:
+            piece = F.when(place.isNull(), -1).otherwise(0)
+    weighed = df.withColumns({"__w": weight.cast("long"), "__piece": piece})
+    sums = weighed.groupBy(*keys, "__piece").agg(F.sum("__w").alias("__of_piece"))
+    onward = F.desc("__piece") if from_end else F.asc("__piece")
+    upto = F.sum("__of_piece").over(Window.partitionBy(*keys).orderBy(onward).rowsBetween(Window.unboundedPreceding, 0))
+    before = F.col("__upto") - F.col("__of_piece")
+    ends = sums.withColumn("__upto", upto).where((F.col("__upto") > limit) & (before <= limit))
+    ends = ends.select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.col("__piece").alias("__end"), "__of_piece", (F.lit(limit) - before).alias("__rest"))
+    ends = materialize(ends, "ends")
+    if keys:
+        cond = F.lit(True)
+        for k in keys:
+            cond = cond & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
+        marked = weighed.join(maybe_broadcast(ends), cond, "left").drop(*[f"__k_{k}" for k in keys])
+    else:
+        row = ends.first() or {"__end": None, "__of_piece": None, "__rest": None}  # one row at most
+        marked = weighed.withColumns({c: F.lit(row[c]).cast("long") for c in ("__end", "__of_piece", "__rest")})
+    kept = F.col("__piece") > F.col("__end") if from_end else F.col("__piece") < F.col("__end")
+    whole = marked.where(F.col("__end").isNull() | kept)
+    summed = running(marked.where(F.col("__piece") == F.col("__end")), keys, order, {"__sum": Sum(F.col("__w"))}, hot_rows)
+    used = F.col("__of_piece") - F.col("__sum") + F.col("__w") if from_end else F.col("__sum")
+    return whole.select(*df.columns).unionByName(summed.where(used <= F.col("__rest")).select(*df.columns))
+
+
+def keep_first(df: DataFrame, n: int, by: Sequence[str], order: Sequence[str], latest: bool = False, salts: int = 32) -> DataFrame:
+    """First ``n`` rows in ``order`` per key (of the whole table without ``by``), or the last ones.
 
-    Rows are cut to ``n`` inside (key, salt) first, so the last step sees at
-    most ``salts * n`` rows of a key however many there are.  Where ``n`` is
-    within the session's window group limit, Spark cuts every map task down to
-    ``n`` rows per group before each of the two shuffles as well.
+    Up to ``GROUP_LIMIT`` rows are cut inside (key, salt) first, so that the last
+    step sees at most ``salts * n`` rows of a key however many there are; Spark cuts
+    every map task down as well.  More are selected by counts (``keep_within``).
     """
-    if salts > 1:
-        salted = df.withColumn("__salt", row_salt(df.select(*total), salts))
-        df = _first_of_group(salted, n, [*by, "__salt"], order).drop("__salt")
-    return _first_of_group(df, n, by, order) if by else df.orderBy(*order).limit(n)
+    if n > GROUP_LIMIT:
+        return keep_within(df, by, order, F.lit(1), n, latest)
+    sorting = [F.col(c).desc() if latest else F.col(c).asc() for c in order]
+    if not by:
+        return df.orderBy(*sorting).limit(n)
+    salted = df.withColumn("__salt", row_salt(df.select(*order), salts))
+    return _first_of_group(_first_of_group(salted, n, [*by, "__salt"], sorting).drop("__salt"), n, by, sorting)
 
 
 def _first_of_group(df: DataFrame, n: int, by: Sequence[str], order: Sequence[Column]) -> DataFrame:

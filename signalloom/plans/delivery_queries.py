@@ -154,6 +154,8 @@ def verified_embedded(s: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "Q1_keep_latest": lambda s, d: Q.keep_latest(_queue(s, d), 25, "user_id").select("event_id", "user_id"),
     "Q1_keep_latest_whole_queue": lambda s, d: Q.keep_latest(_queue(s, d)).select("event_id", "user_id"),
+    "Q1_keep_most_of_queue": lambda s, d: Q.keep_latest(_queue(s, d), 5000).select("event_id", "user_id"),
+    "Q2_take_many_per_key": lambda s, d: Q.take_front(_queue(s, d).withColumn("shard", F.col("user_id") % 2), 2500, "shard").select("event_id", "user_id"),
     "Q2_take_front": lambda s, d: Q.take_front(_queue(s, d), 10, "user_id").select("event_id", "user_id"),
     "Q3_requeue_front": requeued,
     "Q4_drop_expired": lambda s, d: Q.drop_expired(_queue(s, d), _now(), created="ts").select("event_id", "ts"),
@@ -226,6 +228,8 @@ ORACLE = {
     "Q1_keep_latest": """select event_id, user_id from (select *, row_number() over
         (partition by user_id order by ts desc, event_id desc) as rn from $queue) where rn <= 25""",
     "Q1_keep_latest_whole_queue": "select event_id, user_id from $queue order by ts desc, event_id desc limit 1000",
+    "Q1_keep_most_of_queue": "select event_id, user_id from $queue qualify row_number() over (order by ts desc, event_id desc) <= 5000",
+    "Q2_take_many_per_key": "select event_id, user_id from $queue qualify row_number() over (partition by user_id % 2 order by ts, event_id) <= 2500",
     "Q2_take_front": """select event_id, user_id from (select *, row_number() over
         (partition by user_id order by ts, event_id) as rn from $queue) where rn <= 10""",
     "Q3_requeue_front": f"""with u as (select event_id, user_id, ts, cast(case when event_id % 6 = 0 then retries + 1 else retries end as integer) as retries,

@@ -67,11 +67,12 @@ def test_ttl_is_strict(spark):
     assert [r["id"] for r in Q.drop_expired(df, F.lit(T0).cast("timestamp_ntz")).collect()] == [2]
 
 
-def test_budget_against_a_loop(spark):
+@pytest.mark.parametrize("hot_rows", [0, None])
+def test_budget_against_a_loop(spark, hot_rows):
     rnd = random.Random(11)
     rows = [(i, "hot" if i % 3 else "b", T0 + dt.timedelta(seconds=rnd.randint(0, 50)), "x" * rnd.choice([1, 40, 90, 120])) for i in range(800)]
     df = spark.createDataFrame(rows, "event_id int, key string, ts timestamp_ntz, item string")
-    got = {r["event_id"] for r in Q.persist_budget(df, "item", "key", item_limit=100, total_limit=5000, salts=4).collect()}
+    got = {r["event_id"] for r in Q.persist_budget(df, "item", "key", item_limit=100, total_limit=5000, hot_rows=hot_rows).collect()}
     want = set()
     for key in ("hot", "b"):
         total = 0
@@ -87,6 +88,29 @@ def test_budget_against_a_loop(spark):
     assert whole.agg(F.sum(F.length("item"))).first()[0] <= 300
 
 
+@pytest.mark.parametrize("latest", [False, True])
+@pytest.mark.parametrize("n", [1001, 1700, 5000])
+def test_selection_of_many_rows(spark, n, latest):
+    """Ties, a burst, rows without a time and repeated rows; counts are exact."""
+    rnd = random.Random(n)
+    rows = [(i // 2, rnd.choice(["k", "k", None]), None if i % 11 == 0 else T0 + dt.timedelta(seconds=rnd.choice([0, 7, 7, 7, rnd.randint(0, 999)]))) for i in range(3000)]
+    df = spark.createDataFrame(rows, "event_id int, key string, ts timestamp_ntz")
+    take = Q.keep_latest if latest else Q.take_front
+    place = lambda r: (r[2] is not None, r[2] or T0, r[0])
+    whole = sorted(rows, key=place, reverse=latest)
+    assert sorted(map(place, take(df, n).collect())) == sorted(map(place, whole[:n]))
+    got = take(df, n, "key").collect()
+    for key in ("k", None):
+        want = [r for r in whole if r[1] == key][:n]
+        assert sorted(place(r) for r in got if r["key"] == key) == sorted(map(place, want))
+
+
+def test_a_whole_queue_is_not_shuffled(spark):
+    df, _ = _queue(spark)
+    plan = Q.keep_latest(df, 900)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan and "hashpartitioning" not in plan
+
+
 @pytest.mark.parametrize("hot_rows", [0, 100, 10**6])
 def test_batches(spark, hot_rows):
     df, rows = _queue(spark)
