@@ -152,36 +152,39 @@ RULES = (
 )
 
 
-def running_starts(lengths: Column) -> Column:
-    """For each length the sum of those before it.
+def running(values: Column, step: Callable[[Column, Column], Column], first: Column) -> Column:
+    """For each whole number ``step`` over ``first`` and all numbers before it.
 
-    Sums run inside chunks and over chunks, so that the arrays that grow stay
+    It runs inside chunks and over chunks, so that the arrays that grow stay
     short for texts with very many matches.
     """
     none = F.expr("cast(array() as array<int>)")
 
-    def scan(values: Column, first: Column) -> Column:
+    def scan(numbers: Column, start: Column) -> Column:
         state = F.aggregate(
-            values,
-            F.struct(first.alias("at"), none.alias("seen")),
-            lambda s, n: F.struct((s["at"] + n).alias("at"), F.concat(s["seen"], F.array(s["at"])).alias("seen")),
+            numbers,
+            F.struct(start.alias("at"), none.alias("seen")),
+            lambda s, n: F.struct(step(s["at"], n).alias("at"), F.concat(s["seen"], F.array(s["at"])).alias("seen")),
         )
         return state["seen"]
 
-    def by_chunk(ls: Column) -> Column:
+    def by_chunk(ns: Column) -> Column:
         chunks = F.transform(
-            F.sequence(F.lit(0), F.floor((F.size(ls) - 1) / _CHUNK).cast("int")),
-            lambda c: F.slice(ls, c * _CHUNK + 1, F.lit(_CHUNK)),
+            F.sequence(F.lit(0), F.floor((F.size(ns) - 1) / _CHUNK).cast("int")),
+            lambda c: F.slice(ns, c * _CHUNK + 1, F.lit(_CHUNK)),
         )
-        sums = lambda cs: F.transform(cs, lambda c: F.aggregate(c, F.lit(0), lambda a, n: a + n))
+        folded = lambda cs: F.transform(cs, lambda c: F.aggregate(c, first, step))
         return let(
             chunks,
-            lambda cs: let(
-                scan(sums(cs), F.lit(0)), lambda firsts: F.flatten(F.zip_with(cs, firsts, lambda c, f: scan(c, f)))
-            ),
+            lambda cs: let(scan(folded(cs), first), lambda firsts: F.flatten(F.zip_with(cs, firsts, lambda c, f: scan(c, f)))),
         )
 
-    return let(lengths, by_chunk)
+    return let(values, by_chunk)
+
+
+def running_starts(lengths: Column) -> Column:
+    """For each length the sum of those before it."""
+    return running(lengths, lambda a, n: a + n, F.lit(0))
 
 
 _SPAN = "struct<start: int, kind_no: int, end: int, kind: string, score: double>"
@@ -261,29 +264,55 @@ def mask_personal(docs: DataFrame, least_score: float = 0.0) -> DataFrame:
     """``docs`` with every confirmed span of ``text`` replaced by its kind in brackets.
 
     Spans that overlap are replaced together, under the kind of the first.  A
-    null text stays null; all other columns stay as they are.
+    null text stays null; all other columns stay as they are, but for one named
+    ``_spans`` or ``_hits``.  Repeated rows stay.
     """
     spans = F.filter("_spans", lambda s: s["score"] >= least_score)
-    none = F.expr("cast(array() as array<struct<start: int, end: int, kind: string>>)")
-
-    def widen(acc: Column, s: Column) -> Column:
-        last = F.element_at(acc, -1)
-        apart = F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))
-        grown = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"), last["kind"].alias("kind"))
-        touches = (F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1))["end"] > s["start"])
-        return F.when(touches, F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(grown))).otherwise(
-            F.concat(acc, F.array(apart))
-        )
 
-    def cut(text: Column, areas: Column) -> Column:
-        def piece(area: Column, i: Column) -> Column:
-            begin = F.when(i > 0, F.get(areas, i - 1)["end"]).otherwise(F.lit(0))
-            kept = F.substring(text, begin + 1, area["start"] - begin)
+    def areas(found: Column) -> Column:
+        """Spans that overlap as one, from the first start to the last end."""
+
+        def joined(before: Column) -> Column:
+            def upto(i: Column) -> Column:
+                return F.greatest(F.get(before, i), F.get(found, i)["end"])
+
+            firsts = F.filter(F.sequence(F.lit(0), F.size(found) - 1), lambda i: F.get(found, i)["start"] >= F.get(before, i))
+
+            def area(i: Column, no: Column, starts: Column) -> Column:
+                last = F.coalesce(F.get(starts, no + 1), F.size(found)) - 1
+                span = F.get(found, i)
+                return F.struct(span["start"].alias("start"), upto(last).alias("end"), span["kind"].alias("kind"))
+
+            return let(firsts, lambda starts: F.transform(starts, lambda i, no: area(i, no, starts)))
+
+        return let(running(F.transform(found, lambda s: s["end"]), lambda a, e: F.greatest(a, e), F.lit(0)), joined)
+
+    def end_before(found: Column, i: Column) -> Column:
+        return F.when(i > 0, F.get(found, i - 1)["end"]).otherwise(F.lit(0))
+
+    def masked_block(part: Column, found: Column, first: Column) -> Column:
+        """Areas from ``first`` on, whose text is ``part``; it begins where the area before them ends."""
+        base = end_before(found, first)
+
+        def piece(i: Column) -> Column:
+            area, begin = F.get(found, i), end_before(found, i)
+            kept = F.substring(part, begin - base + 1, area["start"] - begin)
             return F.concat(kept, F.lit("["), F.upper(area["kind"]), F.lit("]"))
 
-        last = F.element_at(areas, -1)["end"]
-        return F.concat(F.array_join(F.transform(areas, piece), ""), F.substring(text, last + 1, F.length(text)))
+        last = F.least(first + _CHUNK, F.size(found)) - 1
+        return F.array_join(F.transform(F.sequence(first, last), piece), "")
+
+    def cut(text: Column, found: Column) -> Column:
+        """Blocks of areas are cut out of the text first, and areas out of their block, as a cut reads all before it."""
+
+        def block(first: Column) -> Column:
+            begin, end = end_before(found, first), F.get(found, F.least(first + _CHUNK, F.size(found)) - 1)["end"]
+            return let(F.substring(text, begin + 1, end - begin), lambda part: masked_block(part, found, first))
+
+        blocks = F.transform(F.sequence(F.lit(0), F.size(found) - 1, F.lit(_CHUNK)), block)
+        last = F.element_at(found, -1)["end"]
+        return F.concat(F.array_join(blocks, ""), F.substring(text, last + 1, F.length(text)))
 
-    found = find_personal(docs).withColumn("_areas", F.aggregate(spans, none, widen))
-    masked = F.when(F.size("_areas") > 0, let(F.col("_areas"), lambda a: cut(F.col("text"), a))).otherwise(F.col("text"))
+    found = find_personal(docs).withColumn("_hits", spans)
+    masked = F.when(F.size("_hits") > 0, let(areas(F.col("_hits")), lambda a: cut(F.col("text"), a))).otherwise(F.col("text"))
     return found.withColumn("text", masked).select(*[F.col(f"`{c}`") for c in docs.columns])

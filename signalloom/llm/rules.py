@@ -220,10 +220,11 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
         .limit(max_labelled)
     )
     rows = statistics(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"))
-    collected = rows.select("doc_id", "_label", *[f"_s_{s}" for s in STATISTICS]).limit(2 * max_labelled).collect()
-    unique = {r[0]: r[1:] for r in sorted(collected)}
-    y = np.array([r[0] for r in unique.values()], int)
-    x = np.array([r[1:] for r in unique.values()], float).reshape(len(y), len(STATISTICS))
+    # one row per label, so no more than there are labels
+    one = rows.groupBy("doc_id").agg(F.min(F.struct("_label", *[f"_s_{s}" for s in STATISTICS])).alias("_row"))
+    collected = sorted((r[0], tuple(r[1])) for r in one.collect())
+    y = np.array([r[1][0] for r in collected], int)
+    x = np.array([r[1][1:] for r in collected], float).reshape(len(y), len(STATISTICS))
     return fit_rules(x, y)
 
 

@@ -127,20 +127,62 @@ def is_pem_key(headers: str, body: str) -> bool:
     return is_key(data)
 
 
-def wrapped_end(text: str, start: int, end: int) -> int | None:
-    """Where a key ends that begins with the line of base64 from ``start`` to ``end`` and goes on in further lines.
+def der_size(head: bytes | None) -> int | None:
+    """Bytes of the whole structure that begins with ``head``, as it says itself."""
+    if not head or head[0] != 0x30 or len(head) < 5:
+        return None
+    if head[1] < 0x80:
+        return 2 + head[1]
+    n = head[1] & 0x7F
+    return 2 + n + int.from_bytes(head[2 : 2 + n], "big") if n <= 3 else None
+
+
+class WrappedKeys:
+    """Keys in lines of base64, all as long as the first, but for the last.
 
-    Lines are as long as the first, but for the last.
+    The lines of a block are found once, and a start is decoded only where the
+    size that it states is that of the rest of the block, so that a long block
+    without a key costs one pass.
     """
-    if not text.startswith(("M", "b3Bl"), start):
+
+    def __init__(self, text: str):
+        self.text = text
+        self.lines: list[tuple[int, int]] = []
+        self.places: dict[int, int] = {}
+        self.failed_until = 0
+
+    def _block(self, start: int, end: int) -> int:
+        """The place of the line in its block."""
+        if self.places.get(start) is not None and self.lines[self.places[start]] == (start, end):
+            return self.places[start]
+        self.lines, width = [(start, end)], end - start
+        while len(self.lines) == 1 or self.lines[-1][1] - self.lines[-1][0] == width:
+            more = _MORE64.match(self.text, self.lines[-1][1])
+            if not more or len(more[1]) > width:
+                break
+            self.lines.append((more.start(1), more.end()))
+        self.places = {line[0]: i for i, line in enumerate(self.lines)}
+        return 0
+
+    def end_of(self, start: int, end: int) -> int | None:
+        """Where a key ends that begins with the line from ``start`` to ``end`` and goes on in further lines."""
+        openssh = self.text.startswith("b3Bl", start)
+        if not openssh and not self.text.startswith("M", start):
+            return None
+        place = self._block(start, end)
+        rest, width = self.lines[place + 1 :][-2:], end - start
+        if openssh and start < self.failed_until:
+            return None
+        stated = der_size(from_base64(self.text[start : start + 8]))
+        for line in reversed(rest):
+            # lines before it are whole
+            size = (self.places[line[0]] - place) * width + line[1] - line[0]
+            size = size * 3 // 4 - self.text.count("=", line[1] - 2, line[1])
+            if (openssh or stated == size) and is_key(from_base64(self.text[start : line[1]])):
+                return line[1]
+        if openssh:
+            self.failed_until = self.lines[-1][1]
         return None
-    ends, width = [], end - start
-    while not ends or ends[-1][1] == width:
-        more = _MORE64.match(text, ends[-1][0] if ends else end)
-        if not more or len(more[1]) > width:
-            break
-        ends.append((more.end(), len(more[1])))
-    return next((e for e, _ in reversed(ends[-2:]) if is_key(from_base64(text[start:e]))), None)
 
 
 def is_signed_token(text: str) -> bool:
@@ -168,13 +210,13 @@ def find_spans(text: str) -> list[tuple[int, int, int]]:
         found += [(m.start(), 3, m.end()) for m in _SIGNED.finditer(text) if is_signed_token(m[0])]
     if "PRIVATE KEY-----" in text:
         found += [(m.start(), 4, m.end()) for m in _PEM.finditer(text) if is_pem_key(m[2], m[3])]
-    blocks, after = [(a, b) for a, k, b in found if k == 4], 0
+    blocks, after, wrapped = [(a, b) for a, k, b in found if k == 4], 0, WrappedKeys(text)
     for m in _RUN64.finditer(text):
         if m.start() < after:
             continue
         if is_key(from_base64(m[0])):
             found.append((m.start(), 5, m.end()))
-        elif not any(a <= m.start() < b for a, b in blocks) and (end := wrapped_end(text, *m.span())):
+        elif not any(a <= m.start() < b for a, b in blocks) and (end := wrapped.end_of(*m.span())):
             found.append((m.start(), 5, end))
             after = end
     found += [(m.start(), 6, m.end()) for m in _RUNHEX.finditer(text) if len(m[0]) % 2 == 0 and is_key(bytes.fromhex(m[0]))]

@@ -263,3 +263,46 @@ def test_common_shingles_are_counted(spark, rng):
     for node, mine in sets.items():
         others = set().union(*(s for k, s in sets.items() if k != node))
         assert got[node] == len(mine & others)
+
+
+def test_exact_dedup_has_sql():
+    import __spark_entry__ as driver
+
+    assert "op7_exact_dedup" in driver.oracle_sql()
+
+
+def test_near_tells_words_apart_that_a_power_of_two_confuses(spark):
+    """The two halves of a doubling sequence and its complement, 1,024 letters each."""
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate(str.maketrans("ab", "ba"))
+    docs = spark.createDataFrame([(1, word), (2, word.translate(str.maketrans("ab", "ba"))), (3, "x " * 3), (4, None)], "doc_id long, text string")
+    assert [tuple(r) for r in minhash.near_duplicates(docs).select("doc_id", "component_id").orderBy("doc_id").collect()] == [(1, 1), (2, 2), (3, 3), (4, 4)]
+
+
+def test_words_across_pieces_have_their_hash(rng, monkeypatch):
+    texts = ["", " ", "a" * 500, *[" ".join("abc"[: rng.randint(1, 3)] * rng.randint(1, 30) for _ in range(rng.randint(0, 40))) for _ in range(30)]]
+    texts = [t.encode() for t in texts]
+    whole = minhash._Hasher().words(texts)
+    monkeypatch.setattr(minhash, "_PIECE", 64)
+    for a, b, t in zip(whole, minhash._Hasher().words(texts), texts, strict=True):
+        assert len(a) == len(t.split()) and (a == b).all()
+    hashes = {}
+    for t, found in zip(texts, whole):
+        for w, h in zip(t.split(), found):
+            assert hashes.setdefault(w, h) == h
+    assert len(set(hashes.values())) == len(hashes)
+
+
+def test_drop_near_leaves_one_row_of_each(spark):
+    """Near copies under one doc_id, without doc_id, rows that are equal; texts without words stay."""
+    long = " ".join(f"w{i}" for i in range(40))
+    rows = [(9, "a b c", 1), (9, "A b  c", 2), (7, long, 3), (None, long + " more", 4), (None, "x y", 5), (None, "X y", 6),
+            (5, "q r s", 7), (5, "q r s", 8), (None, "", 9), (None, "", 10), (3, None, 11), (3, None, 12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, node int").repartition(4)
+    left = minhash.drop_near_duplicates(docs)
+    assert left.columns == docs.columns
+    got = [r["node"] for r in left.collect()]
+    assert len(got) == len(set(got)) == 8
+    assert {3, 9, 10, 11, 12} <= set(got) and len({1, 2} & set(got)) == len({5, 6} & set(got)) == len({7, 8} & set(got)) == 1
+    assert 4 not in got

@@ -3,6 +3,7 @@
 from collections import defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from signalloom.llm import queries
@@ -65,6 +66,20 @@ def test_stages_on_odd_documents(spark, odd_docs, empty_docs, pairs):
         assert bool(expect) == (docs.count() > 0)
 
 
+def test_all_stages_keep_columns_of_any_name(spark, odd_docs, documents):
+    """Good documents among odd ones, with columns named as those that stages make."""
+    names = ["score", "predicted", "_t", "_w", "_l", "_spans", "_hits", "_key", "_digest", "node", "tie", "other_columns", "n_chars"]
+    docs = odd_docs.select("doc_id", "text").union(documents.select(F.col("doc_id") + 10_000, "text"))
+    docs = docs.select("doc_id", *[F.lit(42.5 + i).alias(n) for i, n in enumerate(names)], "text")
+    for name, stage in corpus_pipeline.STAGES:
+        before, docs = docs, materialize(stage(spark, docs, SF_DIR), "stage")
+        if name != "packing":
+            assert docs.columns == before.columns and docs.count() > 0
+            kept = names if name != "personal data" else names[:-1]
+            assert docs.where(" or ".join(f"`{n}` <> {42.5 + i}" for i, n in enumerate(names) if n in kept)).isEmpty()
+    assert docs.count() > 0
+
+
 def test_repeated_rows_leave_one(spark):
     docs = spark.createDataFrame([(1, "a"), (1, "a"), (1, "B"), (None, "b"), (None, "c")], "doc_id long, text string")
     got = corpus_pipeline.drop_copies(spark, docs, SF_DIR).collect()

@@ -192,3 +192,21 @@ def test_fingerprints_of_odd_input(spark, empty_docs):
     rows = [(2, "bb"), (2, "bb"), (2, "ccc"), (None, "n"), (1, None)]
     assert fingerprint.edited_likeness(spark.createDataFrame(rows, "doc_id long, text string")).count() == 5
     assert fingerprint.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).count() == 5
+
+
+def test_very_many_lines_and_addresses_end_in_seconds(spark):
+    """5 MB of base64 lines, 100,000 e-mail addresses; a key at the end of a block of lines is still found."""
+    import base64
+    import time
+
+    from signalloom.llm import secret_scan as scan
+
+    began = time.time()
+    lines = "\n".join("M" + "Qx7A" * 15 + "abc" for _ in range(75_000))
+    assert not [s for s in scan.find_spans(lines) if s[1] == 5]
+    key = base64.b64encode(b"\x30\x82\x02\x58\x02\x01\x00" + b"\x02\x82\x02\x51" + bytes(range(1, 200)) * 3)[:804].decode()
+    assert scan.der_size(base64.b64decode(key[:8])) == 604
+    mail = spark.createDataFrame([(1, "a@b.cd, " * 100_000), (2, "é 4111111111111111 x@y.zz"), (3, None)], "doc_id long, text string")
+    got = {r[0]: r[1] for r in pii.mask_personal(mail).collect()}
+    assert got == {1: "[EMAIL], " * 100_000, 2: "é [CARD] [EMAIL]", 3: None}
+    assert time.time() - began < 90
