@@ -26,7 +26,3 @@ def test_every_event_reaches_timer_pairing(spark):
     assert {r[0] for r in stops.select("event_type").distinct().collect()} == {"purchase", "error"}
     starts = queries["T1_pair_timers_all"](spark, SF_DIR).join(events.withColumnRenamed("ts", "at"), F.col("start_ts") == F.col("at"))
     assert {r[0] for r in starts.select("event_type").distinct().collect()} == {"click", "view", "signup"}
-
-
-def test_op7_has_sql():
-    assert "op7_exact_dedup" in driver.oracle_sql()
