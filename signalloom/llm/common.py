@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -38,3 +40,29 @@ def small_batches(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> I
         held += size
     if start < len(sizes):
         yield batch.slice(start)
+
+
+def release_memory() -> None:
+    """Gives memory that a finished task no longer needs back to the machine; workers live on and would keep it."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+#: A table of so many longs marks hashes that are wanted, whatever their number.
+BIT_WORDS = 1 << 18
+
+
+def marked(rows: DataFrame, mark: Column, wanted: DataFrame, by: Column) -> DataFrame:
+    """Rows whose hash ``mark`` may be among the hashes ``by`` of ``wanted``: all that are, and few others.
+
+    The hashes are bits of a table that is broadcast; its size does not depend on
+    the data.  Beyond some millions of hashes it only lets more rows through.
+    """
+    size = F.lit(64 * BIT_WORDS)
+    bit = F.pmod(by, size)
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int"))
+    table = wanted.select(F.floor(bit / 64).alias("__at"), one.alias("__one")).groupBy("__at").agg(F.bit_or("__one").alias("__bits"))
+    placed = rows.withColumn("__bit", F.pmod(mark, size)).withColumn("__at", F.floor(F.col("__bit") / 64))
+    there = F.call_function("getbit", F.col("__bits"), F.col("__bit") % 64) == 1
+    return placed.join(F.broadcast(table), "__at").where(there).select(*rows.columns)

@@ -33,9 +33,8 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from signalloom.llm.common import small_batches, whole_text
+from signalloom.llm.common import marked, release_memory, small_batches, whole_text
 from signalloom.llm.components import connected_components
-from signalloom.operators.sizing import maybe_broadcast
 from signalloom.sources.scratch import materialize
 
 WORDS = 5
@@ -50,8 +49,11 @@ SKETCH = [f"odd_{i}" for i in range(16)]
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[32, 9, 10, 11, 12, 13]] = True
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+#: A word's hash is its value as a polynomial modulo two primes: unlike powers of
+#: two, they leave no pairs of words that every such hash takes for one.
+_PRIME = np.uint64((1 << 31) - 1)
+_BASES = (1_103_515_245, 845_564_101)
+_PIECE = 1 << 20
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -61,30 +63,52 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+def _powers(base: int, n: int) -> np.ndarray:
+    """1, base, base * base and so on, modulo the prime."""
+    out = np.ones(1, np.uint64)
+    while len(out) < n:
+        step = np.uint64(pow(base, len(out), int(_PRIME)))
+        out = np.concatenate([out, out * step % _PRIME])
+    return out[:n].astype(np.uint32)
 
 
 class _Hasher:
-    """Word hashes of many texts in one sweep over their bytes."""
+    """Word hashes of many texts in one sweep over their bytes, piece by piece."""
 
     def __init__(self) -> None:
-        self.up = self.down = np.empty(0, np.uint64)
+        self.tables: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def _sums(self, data: np.ndarray, first: np.ndarray, last: np.ndarray, which: int) -> np.ndarray:
+        up, down = self.tables[which]
+        # terms are below 2^31, so their sums stay exact
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)] % _PRIME, out=sums[1:])
+        return (sums[last] - sums[first]) % _PRIME * down[first] % _PRIME
+
+    def _piece(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and hashes of the words of bytes that end with a blank."""
+        if not self.tables or len(self.tables[0][0]) < len(data) + 1:
+            n = max(len(data) + 1, _PIECE)
+            self.tables = [(_powers(base, n), _powers(pow(base, -1, int(_PRIME)), n)) for base in _BASES]
+        edge = np.diff(np.concatenate([[True], _BLANK[data]]).astype(np.int8))
+        first, last = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+        high, low = (self._sums(data, first, last, which) for which in (0, 1))
+        return first, _mix(_mix((high << np.uint64(32)) + low) + (last - first).astype(np.uint64))
 
     def words(self, texts: list[bytes]) -> list[np.ndarray]:
         data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
-        if len(self.up) < len(data) + 1:
-            self.up, self.down = _powers(_BASE, len(data) + 1), _powers(_INVERSE, len(data) + 1)
-        blank = _BLANK[data]
-        edge = np.diff(np.concatenate([[True], blank]).astype(np.int8))
-        first, last = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-        terms = (data.astype(np.uint64) + np.uint64(1)) * self.up[: len(data)]
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)])
-        hashes = _mix((sums[last] - sums[first]) * self.down[first] + (last - first).astype(np.uint64))
+        firsts, hashes, start = [], [], 0
+        while start < len(data):
+            end = min(start + _PIECE, len(data))
+            while not _BLANK[data[end - 1]]:  # a word is not cut
+                ahead = np.flatnonzero(_BLANK[data[end : end + _PIECE]])
+                end += int(ahead[0]) + 1 if len(ahead) else min(_PIECE, len(data) - end)
+            first, found = self._piece(data[start:end])
+            firsts.append(first + start)
+            hashes.append(found)
+            start = end
         ends = np.cumsum([len(t) + 1 for t in texts])
-        return np.split(hashes, np.searchsorted(first, ends[:-1]))
+        return np.split(np.concatenate(hashes), np.searchsorted(np.concatenate(firsts), ends[:-1]))
 
 
 def shingle_set(words: np.ndarray) -> np.ndarray:
@@ -102,7 +126,7 @@ def shingle_set(words: np.ndarray) -> np.ndarray:
 def _walks() -> np.ndarray:
     """Where an empty bin looks, attempt by attempt; the same for all texts."""
     rng = np.random.default_rng(20_240_117)
-    return rng.integers(0, BINS, (64 * BINS, BINS))
+    return rng.integers(0, BINS, (64 * BINS, BINS)).astype(np.uint8)
 
 
 _WALKS = _walks()
@@ -169,27 +193,52 @@ def odd_sketch(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, text and ``tie``, a digest that tells texts of one doc_id apart."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().cast("binary").alias("text")).withColumn("tie", F.unhex(F.md5("text")))
+
+
 def shingled(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, node (digest of the shingle set), keys of its buckets, packed text."""
+    """doc_id, tie, n_shingles, node (digest of the shingle set), keys of its buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, pack = _Hasher(), zstandard.ZstdCompressor(level=3).compress
+        hasher = _Hasher()
         for whole in batches:
             for batch in small_batches(whole, "text", 1 << 20):
-                texts = [t.lower() for t in batch.column("text").to_pylist()]
-                sets = [shingle_set(w) for w in hasher.words(texts)]
+                sets = [shingle_set(w) for w in hasher.words([t.lower() for t in batch.column("text").to_pylist()])]
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": batch.column("doc_id"),
+                        "tie": batch.column("tie"),
                         "n_shingles": pa.array(map(len, sets), pa.int64()),
                         "node": pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
                         "keys": pa.array([band_keys(s) if len(s) else [] for s in sets], pa.list_(pa.int64())),
-                        "packed": pa.array([pack(t) for t in texts], pa.binary()),
                     }
                 )
+        release_memory()
+
+    return _keyed(docs).mapInArrow(run, "doc_id long, tie binary, n_shingles long, node binary, keys array<long>")
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, node binary, keys array<long>, packed binary")
+
+def _packed_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """node and packed text of ``wanted`` (node, doc_id, tie).
+
+    The documents are read again for it, so that only these texts are written;
+    most others are left out before they are packed or shuffled.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for whole in batches:
+            for batch in small_batches(whole, "text", 1 << 20):
+                packed = pa.array([pack(t.lower()) for t in batch.column("text").to_pylist()], pa.binary())
+                yield pa.RecordBatch.from_pydict({"own_id": batch.column("doc_id"), "own_tie": batch.column("tie"), "packed": packed})
+        release_memory()
+
+    some = marked(_keyed(docs), F.xxhash64("tie"), wanted, F.xxhash64("tie"))
+    packed = some.mapInArrow(run, "own_id long, own_tie binary, packed binary")
+    found = packed.join(wanted, (F.col("own_tie") == F.col("tie")) & F.col("own_id").eqNullSafe(F.col("doc_id")))
+    return found.groupBy("node").agg(F.first("packed").alias("packed"))  # equal rows
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -207,6 +256,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                     sets[packed] = shingle_set(hasher.words([unpack(packed)])[0])
                 keep = pa.array([similar(sets[x], sets[y]) for x, y in zip(right, left, strict=True)])
                 yield pa.RecordBatch.from_pydict({c: batch.column(c).filter(keep) for c in ("a", "b")})
+        release_memory()
 
     one = texts.select(F.col("node").alias("a"), F.col("packed").alias("a_packed"))
     two = texts.select(F.col("node").alias("b"), F.col("packed").alias("b_packed"))
@@ -228,6 +278,7 @@ def _common_shingles(nodes: DataFrame, texts: DataFrame) -> DataFrame:
                         "shingle": pa.array(np.concatenate(sets).view(np.int64)),
                     }
                 )
+        release_memory()
 
     wanted = texts.join(nodes, "node", "left_semi").select("node", "packed")
     # ids are cut digests: should two texts share one, both seem to have more in common
@@ -249,6 +300,7 @@ def _sketches(nodes: DataFrame, texts: DataFrame) -> DataFrame:
                 odd = np.array([odd_sketch(shingle_set(w)) for w in words]).reshape(-1, len(SKETCH))
                 columns = {c: pa.array(odd[:, i]) for i, c in enumerate(SKETCH)}
                 yield pa.RecordBatch.from_pydict({"node": batch.column("node")} | columns)
+        release_memory()
 
     wanted = texts.join(nodes, "node", "left_semi").select("node", "packed")
     return wanted.mapInArrow(run, ", ".join(["node binary", *[f"{c} long" for c in SKETCH]]))
@@ -295,27 +347,24 @@ def _not_in_one(members: DataFrame, labels: DataFrame, most_met: int) -> DataFra
     return labelled.join(_split_keys(labelled, most_met), "key")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept.
+def _components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, tie, n_shingles, node), and (node, component_id, stays) of nodes with shingles.
 
-    Words are runs of anything but blanks, A-Z lowered.  Texts without words,
-    nulls included, have no shingles and link with nothing.  ``component_id`` is
-    the smallest doc_id of those linked with the document, directly or over
-    others.  Documents without doc_id take part; their component_id is null
-    only if no member has one.  Rows with the same doc_id are documents of
-    their own.
+    ``component_id`` is the smallest doc_id of a component, ``stays`` the row
+    (missing, doc_id, tie) that comes first in it.
     """
     table = materialize(shingled(docs), "shingled")
     some = table.where("n_shingles > 0")
+    here = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "tie")
     classes = some.groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("keys").alias("keys"))
+    owners = materialize(some.groupBy("node").agg(F.min(here).alias("owner")), "owners")
     exploded = materialize(classes.select("node", "n", F.explode("keys").alias("key")), "buckets")
     # most keys are in one text only: they are found by keys and counts, without nodes
     shared = exploded.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key")
     together = materialize(exploded.join(shared, "key", "left_semi"), "together")
     members = materialize(together.join(together.groupBy("key").agg(F.min("node").alias("hub")), "key"), "members")
-    wanted = materialize(members.select("node").distinct(), "wanted")
-    once = some.join(maybe_broadcast(wanted), "node").groupBy("node").agg(F.first("packed").alias("packed"))
-    texts = materialize(once, "texts")
+    wanted = owners.join(members.select("node").distinct(), "node").select("node", "owner.doc_id", "owner.tie")
+    texts = materialize(_packed_texts(docs, materialize(wanted, "wanted")), "texts")
 
     first = members.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
     links = materialize(_confirm(first, texts), "near-links")
@@ -341,15 +390,55 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         if _split_keys(_labelled(unsettled, labels), met + 1).limit(1).count() == 0:
             break
 
-    named = table.select("doc_id", "n_shingles", "node").join(labels, "node", "left")
-    named = named.withColumn("label", F.coalesce("label", "node"))
-    smallest = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    linked = named.where("n_shingles > 0").join(smallest, "label").select("doc_id", "n_shingles", "component_id")
-    alone = named.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return linked.union(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    # joined node by node, so that many copies of one text are rows of one plain join
+    placed = owners.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "owner")
+    placed = materialize(placed, "placed")
+    first_of = materialize(placed.groupBy("label").agg(F.min("owner").alias("stays")), "components")
+    found = placed.join(first_of, "label").select("node", F.col("stays.doc_id").alias("component_id"), "stays")
+    return table.select("doc_id", "tie", "n_shingles", "node"), materialize(found, "components")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept.
+
+    Words are runs of anything but blanks, A-Z lowered.  Texts without words,
+    nulls included, have no shingles and link with nothing.  ``component_id`` is
+    the smallest doc_id of those linked with the document, directly or over
+    others.  Documents without doc_id take part; their component_id is null
+    only if no member has one.  Rows with the same doc_id are documents of
+    their own.  Shingles are compared by 62-bit hashes of their words.
+    """
+    rows, components = _components(docs)
+    found = rows.join(components.select("node", "component_id"), "node", "left")
+    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return found.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
+        "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
+    )
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each component, the one with the smallest doc_id."""
-    stays = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept_id"))
-    return docs.join(stays, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+    """``docs`` with one row of each component: that with the smallest doc_id, one without only if no member has one.
+
+    Of several texts with this doc_id the one with the smallest digest stays, of
+    rows equal in doc_id and text any.  Texts without words all stay.  All
+    columns are kept as they are.
+    """
+    rows, components = _components(docs)
+    alone = rows.where("n_shingles = 0").select("doc_id", "tie").distinct()
+    twice = rows.where("n_shingles > 0").groupBy("doc_id", "tie").agg(F.count("*").alias("n")).where("n > 1")
+    stays = components.select("stays.doc_id", "stays.tie").distinct()
+    same = stays["doc_id"].eqNullSafe(twice["doc_id"]) & (stays["tie"] == twice["tie"])
+    stays = stays.join(twice, same, "left").select(stays["doc_id"], stays["tie"], F.col("n").isNotNull().alias("again"))
+    stays = stays.union(alone.withColumn("again", F.lit(False)))
+    stays = materialize(stays.select(F.col("doc_id").alias("__id"), F.col("tie").alias("__tie"), "again"), "stays")
+    keyed = docs.withColumns({"__own_id": F.col("doc_id").cast("long"), "__own_tie": F.unhex(F.md5(whole_text().cast("binary")))})
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+
+    def of(kept: DataFrame) -> DataFrame:
+        return keyed.join(kept, F.col("__own_id").eqNullSafe(F.col("__id")) & (F.col("__own_tie") == F.col("__tie")), "left_semi")
+
+    out = of(stays.where("not again")).select(*columns)
+    again = stays.where("again")
+    if again.isEmpty():
+        return out
+    return out.union(of(again).dropDuplicates(["__own_id", "__own_tie"]).select(*columns))

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from signalloom.llm.common import small_batches, whole_text
+from signalloom.llm.common import release_memory, small_batches, whole_text
 from signalloom.llm.encoding import default_vocabulary, with_end, word_cache
 
 TIERS = (256, 512, 1024, 2048)
@@ -196,6 +196,7 @@ def pack_documents(
             kinds = [pa.int64()] * 9 + [pa.list_(pa.int64())] * with_ids
             columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in schema.split(", ")])
+        release_memory()
 
     schema = PIECE_SCHEMA + ", ids array<long>" * with_ids
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")).mapInArrow(pack, schema)

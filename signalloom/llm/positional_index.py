@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from signalloom.llm.common import whole_text
+from signalloom.llm.common import marked, whole_text
 from signalloom.operators.sizing import fits_broadcast, maybe_broadcast
 from signalloom.sources.scratch import materialize, scratch_path
 
@@ -27,9 +27,8 @@ from signalloom.sources.scratch import materialize, scratch_path
 BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
 
-#: A table of so many longs says which parts of documents may hold a candidate, whatever their number.
-BIT_WORDS = 1 << 18
-_PART = 256  # positions of a document that share a bit
+#: Positions of a document that are looked up together.
+_PART = 256
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -118,23 +117,10 @@ def rarest_terms(terms: DataFrame, index: DataFrame, window: int, rarest: int =
     return usable.select("item", "__w.q", "__w.term").distinct()
 
 
-def _bit(row_no: Column, part: Column) -> Column:
-    return F.pmod(F.xxhash64(row_no, part), F.lit(64 * BIT_WORDS))
-
-
 def near_candidates(posted: DataFrame, probes: DataFrame) -> DataFrame:
-    """Postings in parts of documents that ``probes`` (row_no, pos) ask for, and some more.
-
-    The parts are bits of a table of ``BIT_WORDS`` numbers, which is broadcast:
-    its size does not depend on the data.  Beyond some millions of parts it only
-    lets more postings through.
-    """
-    bit = _bit(F.col("row_no"), F.floor(F.col("pos") / _PART))
-    one = F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int"))
-    table = probes.select(F.floor(bit / 64).alias("__at"), one.alias("__one")).groupBy("__at").agg(F.bit_or("__one").alias("__bits"))
-    marked = posted.withColumn("__bit", bit).withColumn("__at", F.floor(F.col("__bit") / 64))
-    there = F.call_function("getbit", F.col("__bits"), F.col("__bit") % 64) == 1
-    return marked.join(F.broadcast(table), "__at").where(there).select(*posted.columns)
+    """Postings in the parts of documents that ``probes`` (row_no, pos) ask for, and some more."""
+    part = F.xxhash64("row_no", F.floor(F.col("pos") / _PART))
+    return marked(posted, part, probes, part)
 
 
 def phrase_hits(index: DataFrame, terms: DataFrame, window: int = WINDOW) -> DataFrame:
