@@ -53,16 +53,33 @@ def release_memory() -> None:
 BIT_WORDS = 1 << 18
 
 
+def _placed(rows: DataFrame, mark: Column) -> DataFrame:
+    """``rows`` with the place of a hash in a table of bits."""
+    placed = rows.withColumn("__bit", F.pmod(mark, F.lit(64 * BIT_WORDS)))
+    return placed.withColumn("__at", F.floor(F.col("__bit") / 64))
+
+
+def _bits(wanted: DataFrame, by: Column) -> DataFrame:
+    """The hashes ``by`` of all rows as bits of a table whose size does not depend on the data."""
+    bit = F.pmod(by, F.lit(64 * BIT_WORDS))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int"))
+    return wanted.select(F.floor(bit / 64).alias("__at"), one.alias("__one")).groupBy("__at").agg(F.bit_or("__one").alias("__bits"))
+
+
+def _there() -> Column:
+    return F.call_function("getbit", F.col("__bits"), F.col("__bit") % 64) == 1
+
+
 def marked(rows: DataFrame, mark: Column, wanted: DataFrame, by: Column) -> DataFrame:
     """Rows whose hash ``mark`` may be among the hashes ``by`` of ``wanted``: all that are, and few others.
 
-    The hashes are bits of a table that is broadcast; its size does not depend on
-    the data.  Beyond some millions of hashes it only lets more rows through.
+    The table of bits is broadcast.  Beyond some millions of hashes it only lets
+    more rows through.
     """
-    size = F.lit(64 * BIT_WORDS)
-    bit = F.pmod(by, size)
-    one = F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int"))
-    table = wanted.select(F.floor(bit / 64).alias("__at"), one.alias("__one")).groupBy("__at").agg(F.bit_or("__one").alias("__bits"))
-    placed = rows.withColumn("__bit", F.pmod(mark, size)).withColumn("__at", F.floor(F.col("__bit") / 64))
-    there = F.call_function("getbit", F.col("__bits"), F.col("__bit") % 64) == 1
-    return placed.join(F.broadcast(table), "__at").where(there).select(*rows.columns)
+    return _placed(rows, mark).join(F.broadcast(_bits(wanted, by)), "__at").where(_there()).select(*rows.columns)
+
+
+def with_mark(rows: DataFrame, mark: Column, wanted: DataFrame, by: Column, name: str) -> DataFrame:
+    """All ``rows``, with a flag ``name`` on those that ``marked`` would let through."""
+    found = _placed(rows, mark).join(F.broadcast(_bits(wanted, by)), "__at", "left")
+    return found.select(*rows.columns, F.coalesce(_there(), F.lit(False)).alias(name))

@@ -38,7 +38,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from signalloom.llm.common import small_batches, whole_text
+from signalloom.llm.common import small_batches, whole_text, with_mark
 
 LENGTH = 100
 GRAM = 32
@@ -338,13 +338,12 @@ def _scan_slice(docs: list[tuple[int, int, bytes]]) -> dict[str, np.ndarray]:
 
 
 def _batch(columns: dict[str, np.ndarray], **more: pa.Array) -> pa.RecordBatch:
-    kinds = {"tie": pa.int32()}
-    return pa.RecordBatch.from_pydict({k: pa.array(v, kinds.get(k, pa.int64())) for k, v in columns.items()} | more)
+    return pa.RecordBatch.from_pydict({k: pa.array(v, pa.int64()) for k, v in columns.items()} | more)
 
 
 _NAMES = ("hash", "check", "d", "tie", "at")
-_ROW = "hash long, check long, d long, tie int, at long"
-_MET = "hash long, d long, tie int, at long"
+_ROW = "hash long, check long, d long, tie long, at long"
+_MET = "hash long, d long, tie long, at long"
 
 
 def _numbers(batch: pa.RecordBatch, *names: str) -> dict[str, np.ndarray]:
@@ -568,18 +567,30 @@ def merge_areas(areas: list[int] | None) -> list[tuple[int, int]]:
     return out
 
 
+def _with_ties(docs: DataFrame) -> DataFrame:
+    """d, tie, text: a document is found again by (d, tie).
+
+    The tie is a 64-bit hash of the text where the doc_id may be repeated, else
+    0, which takes no room in a shuffle.  Repeated doc_ids are marked in a bit
+    table of fixed size; other doc_ids that share a bit get a tie in vain.
+    """
+    doc_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("d")
+    repeated = docs.select(doc_id).groupBy("d").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    rows = with_mark(docs.select(doc_id, whole_text().alias("text")), F.xxhash64("d"), repeated, F.xxhash64("d"), "again")
+    tie = F.when(F.col("again"), F.xxhash64("text")).otherwise(F.lit(0).cast("long"))
+    return rows.select("d", F.col("text").cast("binary").alias("text"), tie.alias("tie"))
+
+
 def remove_repeats(docs: DataFrame, with_text: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, one row per document.
 
     Bytes are those of the UTF-8 text, a null text is empty.  Earlier is the
     smaller doc_id, then the earlier place; a null doc_id comes first.  Texts
-    with the same doc_id are ordered by a hash; rows equal in doc_id and text
-    count as one document, reported for each row.  ``with_text`` adds the
+    with the same doc_id are told apart and ordered by a 64-bit hash; rows equal
+    in doc_id and text count as one document, reported for each row.  ``with_text`` adds the
     areas removed and the bytes kept.  Results do not depend on ``hot_rows``.
     """
-    text = whole_text()
-    doc_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID))
-    rows = docs.select(doc_id.alias("d"), text.cast("binary").alias("text"), F.hash(text).alias("tie"))
+    rows = _with_ties(docs)
 
     def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3).compress
@@ -607,11 +618,11 @@ def remove_repeats(docs: DataFrame, with_text: bool = False, hot_rows: int = HOT
     met = met.mapInArrow(lambda b: _met(b, hot_rows), _MET)
     by_text = met.groupBy("d", "tie").agg(F.collect_list(F.struct("hash", "at")).alias("rows"))
     by_text = by_text.select("d", "tie", F.col("rows.hash").alias("hashes"), F.col("rows.at").alias("places"))
-    packed = rows.mapInArrow(shrink, "d long, tie int, packed binary")
+    packed = rows.mapInArrow(shrink, "d long, tie long, packed binary")
     around = packed.join(by_text, ["d", "tie"]).mapInArrow(_cut, _MET + ", around binary")
     string = F.col("at") >= _HOT
     in_order = (F.when(string, F.col("hash")).otherwise(F.col("d")), F.when(string, F.col("around")), "d", "tie", "at")
-    areas = around.repartition("hash").sortWithinPartitions(*in_order).mapInArrow(_match, "d long, tie int, at long")
+    areas = around.repartition("hash").sortWithinPartitions(*in_order).mapInArrow(_match, "d long, tie long, at long")
     areas = areas.groupBy("d", "tie").agg(F.collect_list("at").alias("areas"))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     if with_text:

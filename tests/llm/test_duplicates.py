@@ -183,6 +183,17 @@ def test_repeats_over_many_batches(spark, rng, monkeypatch, batch_rows, slice_by
         assert (sum(e - b for b, e in spans), len(spans)) == want[d][1:3], d
 
 
+@pytest.mark.parametrize("doc_id", [5, None])
+def test_repeats_of_texts_with_one_id_and_like_hashes(spark, doc_id):
+    """Two texts under one doc_id, or none, whose 32-bit hashes agree, are two documents."""
+    text = F.concat(*[F.md5(F.concat(F.col("id").cast("string"), F.lit(f"/{i}"))) for i in range(5)])
+    hashed = spark.range(400_000).select("id", F.hash(text).alias("h"), text.alias("text"))
+    pair = hashed.groupBy("h").agg(F.min_by("text", "id").alias("a"), F.max_by("text", "id").alias("b")).where("a <> b").first()
+    rows = [(doc_id, pair["a"]), (doc_id, pair["b"]), (9, "x" + pair["b"]), (10, pair["a"] + "y")]
+    got = suffix_levels.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"] or 5, r["n_removed"]) for r in got) == [(5, 0), (5, 0), (9, 160), (10, 160)]
+
+
 @pytest.mark.parametrize("hot_rows", [2, 40])
 def test_repeats_through_hot_anchors(spark, case, rng, hot_rows):
     """A passage inside different texts, with every anchor or only its edges hot."""
