@@ -58,21 +58,21 @@ def backoff(s: SparkSession, d: str) -> DataFrame:
     )
 
 
-def marks(s: SparkSession, d: str, name: str = "marks") -> DataFrame:
-    return view(s, d, name).select(
+def marks(s: SparkSession, d: str) -> DataFrame:
+    return view(s, d, "marks").select(
         F.col("user_id").cast("string").alias("client"), "name", F.col("event_id").alias("mark_id"), "ts", "kind"
     )
 
 
-def timers(s: SparkSession, d: str, name: str = "marks") -> DataFrame:
+def timers(s: SparkSession, d: str) -> DataFrame:
     events = T.timer_events(
-        T.pair_timers(marks(s, d, name)).withColumn("extra", F.create_map(F.lit("client"), F.col("client"))), "extra"
+        T.pair_timers(marks(s, d)).withColumn("extra", F.create_map(F.lit("client"), F.col("client"))), "extra"
     )
     return events.select("mark_id", "type", "debug_type", "data", "performance.duration", "performance.startTime", "performance.endTime")
 
 
-def measured(s: SparkSession, d: str, name: str = "marks") -> DataFrame:
-    calls = T.pair_timers(marks(s, d, name)).withColumn(
+def measured(s: SparkSession, d: str) -> DataFrame:
+    calls = T.pair_timers(marks(s, d)).withColumn(
         "error_message", F.when(F.col("mark_id") % 3 == 0, F.concat(F.lit("token: t"), F.col("mark_id").cast("string")))
     )
     return T.measure_outcomes(calls).select("mark_id", "type", "event_type", "severity", "message", "duration")
@@ -82,7 +82,7 @@ def measured_with_secrets(s: SparkSession, d: str) -> DataFrame:
     """Failed calls whose text, stack and metadata hold secrets."""
     n = F.col("mark_id").cast("string")
     failed = F.col("mark_id") % 2 == 0
-    calls = T.pair_timers(marks(s, d, "all_marks")).withColumns(
+    calls = T.pair_timers(marks(s, d)).withColumns(
         {
             "error_message": F.when(failed, F.concat(F.lit("password=hunter"), n)),
             "stack": F.when(failed, F.concat(F.lit("at f token=abc"), n, F.lit(" \n at g by user"), n, F.lit("@mail.example.com"))),
@@ -179,10 +179,10 @@ QUERIES = {
     "Q12_queue_inspection": queue_inspection,
     "Q13_delivery_stats": lambda s, d: Q.delivery_stats(delivered(s, d)),
     "T1_pair_timers": lambda s, d: T.pair_timers(marks(s, d)),
-    "T1_pair_timers_all": lambda s, d: T.pair_timers(marks(s, d, "all_marks")),
-    "T2_timer_events_all": lambda s, d: timers(s, d, "all_marks"),
+    "T1_pair_timers_all": lambda s, d: T.pair_timers(marks(s, d)),
+    "T2_timer_events_all": timers,
     "T3_measure_secrets": measured_with_secrets,
-    "T3_measure_outcomes_all": lambda s, d: measured(s, d, "all_marks"),
+    "T3_measure_outcomes_all": measured,
     "T2_timer_events": timers,
     "T3_measure_outcomes": measured,
     "H1_hmac_sha256": lambda s, d: table(s, d, "customer").select(
@@ -273,7 +273,7 @@ ORACLE = {
     "T2_timer_events": f"""with {_PAIRS_SQL} select mark_id, 'debug' as type, 'performance' as debug_type,
           '{{"name":"' || name || '","client":"' || client || '"}}' as data,
           floor(duration_ms * 100 + 0.5) / 100 as duration, start_ts as "startTime", end_ts as "endTime" from pairs""",
-    "T3_measure_secrets": f"""with {_PAIRS_SQL.replace('$marks', '$all_marks')} select mark_id, case when mark_id % 2 = 0 then 'error' else 'debug' end as type,
+    "T3_measure_secrets": f"""with {_PAIRS_SQL} select mark_id, case when mark_id % 2 = 0 then 'error' else 'debug' end as type,
           case when mark_id % 2 = 0 then 'Performance measurement "' || name || '" failed: password=[REDACTED]' end as message,
           case when mark_id % 2 = 0 then 'at f token=[REDACTED] ' || chr(10) || ' at g by *@mail.example.com' end as stack,
           client, '[REDACTED]' as api_key, false as raw_left from pairs""",
@@ -290,7 +290,8 @@ ORACLE = {
     "H4_verify_embedded": """select event_id, case when event_id % 11 = 0 then 'unsigned' when event_id % 5 = 0 then 'bad_signature'
           when abs(400 - event_id) > 300 then 'stale' else 'ok' end as signature_status from events""",
 }
+#: The same queries by earlier names.
 ORACLE |= {
-    f"{name}_all": ORACLE[name].replace("$marks", "$all_marks")
+    f"{name}_all": ORACLE[name]
     for name in ("T1_pair_timers", "T2_timer_events", "T3_measure_outcomes")
 }

@@ -36,20 +36,6 @@ def enforced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.firewall_verdict(matched(spark, sf_dir), F.lit("ENFORCE"))
 
 
-def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """List versions: the entry array depends on the version."""
-    entry = "array<struct<type:string,value:string,expires_at:timestamp_ntz>>"
-    v = F.col("version_id")
-    entries = F.when(
-        v % 1000 == 250,
-        F.expr("array(named_struct('type','CIDR','value','45.198.224.0/24','expires_at',fetched_at + interval 2 days),"
-               "named_struct('type','IP','value','9.9.9.9','expires_at',cast(null as timestamp_ntz)))"),
-    ).otherwise(
-        F.expr("array(named_struct('type','CIDR','value','45.198.224.0/23','expires_at',cast(null as timestamp_ntz)))")
-    )
-    return view(spark, sf_dir, "snapshots").select("fetched_at", "mode", entries.cast(entry).alias("entries"))
-
-
 def versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A list version for every event."""
     entry = "array<struct<type:string,value:string,expires_at:timestamp_ntz>>"
@@ -109,7 +95,7 @@ QUERIES = {
     ),
     "F10_blocked": lambda s, d: B.blocked(enforced(s, d)).select("req_id", "ip"),
     "F10_allowed": lambda s, d: B.allowed(enforced(s, d)).select("req_id", "ip"),
-    "F11_match_point_in_time": lambda s, d: B.match_point_in_time(requests(s, d), snapshots(s, d)).select(
+    "F11_match_point_in_time": lambda s, d: B.match_point_in_time(requests(s, d), versions(s, d)).select(
         "req_id", "valid_from", "mode", "matched_value"
     ),
     "F11_match_point_in_time_all": lambda s, d: B.match_point_in_time(later_requests(s, d), versions(s, d)).select(
@@ -187,9 +173,9 @@ ORACLE = {
     "F10_allowed": f"with {_MATCH} select req_id, ip from matched where matched_pos is null",
     "F11_match_point_in_time": f"""with {_MATCH.split('lst as')[0].strip().rstrip(',')},
         placed as (select r.*, v.fetched_at as valid_from, v.mode, v.version_id
-                   from req r asof left join $snapshots v on r.ts >= v.fetched_at)
+                   from req r asof left join $versions v on r.ts >= v.fetched_at)
         select req_id, valid_from, mode, case
-          when version_id % 1000 = 250 then case
+          when version_id % 4 < 2 then case
             when (addr >> 8) = ({_long("'45.198.224.0'")} >> 8) and ts < valid_from + interval 2 day then '45.198.224.0/24'
             when ip = '9.9.9.9' then '9.9.9.9' end
           when (addr >> 9) = ({_long("'45.198.224.0'")} >> 9) then '45.198.224.0/23' end as matched_value

@@ -56,20 +56,13 @@ select c_custkey as pos, case when c_custkey % 5 = 0 then 'IP' else 'CIDR' end a
   concat('45.198.', cast(224 + c_custkey % 4 as string), '.', cast(c_custkey * 7 % 256 as string),
     case when c_custkey % 5 = 0 then '' else concat('/', cast(16 + c_custkey % 17 as string)) end) as value,
   case when c_custkey % 3 > 0 then timestamp '2024-01-01 00:00:00' + interval 1 hour * (c_custkey * 13 % 800) end as expires_at
-from customer where c_custkey > 2
+from customer
 union all select 1000000000, 'CIDR', '0.0.0.0/0', timestamp '2024-01-20 00:00:00'
 union all select 1000000001, 'CIDR', '45.0.0.0/8', timestamp '2024-01-25 00:00:00'
 """
 
+# every event starts or stops a timer
 MARKS = """
-select event_id, user_id, ts,
-  case when event_type in ('click','view') then 'start' else 'stop' end as kind,
-  cast(user_id % 3 as string) as name
-from events where event_type in ('click','view','purchase')
-"""
-
-# every event is a mark
-ALL_MARKS = """
 select event_id, user_id, ts,
   case when event_type in ('click','view','signup') then 'start' else 'stop' end as kind,
   cast(user_id % 3 as string) as name
@@ -131,14 +124,6 @@ select event_id as poll_id, cast(user_id % 10 as bigint) as client, ts,
 from events
 """
 
-# a list version for every 500th event; the list grows and shrinks with the id
-SNAPSHOTS = """
-select ts as fetched_at,
-  case when event_id % 1500 = 0 then 'MONITOR' when event_id % 3500 = 0 then 'OFF' else 'ENFORCE' end as mode,
-  event_id as version_id
-from events where event_id % 500 = 250 or event_id % 1500 = 0
-"""
-
 # a list version for every event
 VERSIONS = """
 select ts as fetched_at,
@@ -174,14 +159,12 @@ VIEWS = {
     "blocklist": BLOCKLIST,
     "long_list": LONG_LIST,
     "marks": MARKS,
-    "all_marks": ALL_MARKS,
     "arrivals": ARRIVALS,
     "policy": POLICY,
     "queue": QUEUE,
     "sent": SENT,
     "acks": ACKS,
     "polls": POLLS,
-    "snapshots": SNAPSHOTS,
     "versions": VERSIONS,
     "starts": STARTS,
     "runs": RUNS,
