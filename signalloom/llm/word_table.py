@@ -11,9 +11,10 @@ whole, where it ends up.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,17 +40,40 @@ class _Numbers(dict):
         return -1
 
 
+class _Head:
+    """The head of the word table, as it is broadcast: Arrow columns, unfolded once in each worker."""
+
+    def __init__(self, table: pa.Table):
+        self.table = table
+
+    @functools.cached_property
+    def number(self) -> Callable[[str], int]:
+        """Gives a word's number, -1 for words outside the head."""
+        words = self.table.column("word").to_pylist()
+        return _Numbers(zip(words, range(len(words)), strict=True)).__getitem__
+
+    @functools.cached_property
+    def ids(self) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in a row, and where those of each word start."""
+        column = self.table.column("ids")
+        sizes = pa.compute.list_value_length(column).to_numpy()
+        starts = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).astype(np.int64)
+        return pa.compute.list_flatten(column).to_numpy().astype(np.uint32), starts
+
+
 def _rows(docs: DataFrame) -> DataFrame:
     """Documents with the key (d, tie) that finds their words again; equal rows share it."""
     doc_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID))
     return docs.select(doc_id.alias("d"), whole_text().alias("text")).withColumn("tie", F.xxhash64("text"))
 
 
-def head_of_table(docs: DataFrame, vocabulary: str, most: int = HEAD_WORDS, chars: int = HEAD_CHARS) -> list:
-    """(word, ids) of the most frequent words, counted over all documents.
+def head_of_table(docs: DataFrame, vocabulary: str, most: int = HEAD_WORDS, chars: int = HEAD_CHARS) -> pa.Table:
+    """Columns word and ids of the most frequent words, counted over all documents.
 
     A task leaves out words it has seen once only: they are not frequent, and
-    which words are in the head changes no result.
+    which words are in the head changes no result.  The table ends before its
+    words hold more than ``chars`` characters, so its size is bounded where it
+    is made.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,24 +95,22 @@ def head_of_table(docs: DataFrame, vocabulary: str, most: int = HEAD_WORDS, char
         yield sealed()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = 0
         for batch in batches:
-            ids = encode_words(batch.column("word").to_pylist(), vocabulary)
-            yield pa.RecordBatch.from_pydict(
-                {"word": batch.column("word"), "n": batch.column("n"), "ids": pa.array(ids, pa.list_(pa.int32()))}
-            )
+            ends = held + np.cumsum(pa.compute.utf8_length(batch.column("word")).to_numpy(), dtype=np.int64)
+            fit = int(np.searchsorted(ends, chars, side="right"))
+            words = batch.column("word").slice(0, fit)
+            ids = encode_words(words.to_pylist(), vocabulary)
+            yield pa.RecordBatch.from_pydict({"word": words, "ids": pa.array(ids, pa.list_(pa.int32()))})
+            if fit < len(ends):
+                return
+            held = int(ends[-1]) if len(ends) else held
 
     texts = docs.select(whole_text().alias("text"))
     counts = texts.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     short = counts.where(F.length("word") <= chars // 64)
     top = short.orderBy(F.desc("n"), "word").limit(most)
-    encoded = top.mapInArrow(encode, "word string, n long, ids array<int>").collect()
-    head, held = [], 0
-    for word, _, ids in sorted(encoded, key=lambda r: (-r[1], r[0])):
-        held += len(word)
-        if held > chars:
-            break
-        head.append((word, ids))
-    return head
+    return top.select("word").mapInArrow(encode, "word string, ids array<int>").toArrow()
 
 
 def encode_documents(
@@ -112,15 +134,11 @@ def encode_digests(
 def _encoded(docs: DataFrame, vocabulary: str | None, head_words: int, head_chars: int, digests: bool) -> DataFrame:
     vocabulary = vocabulary or default_vocabulary()
     spark = docs.sparkSession
-    head = head_of_table(docs, vocabulary, head_words, head_chars)
-    numbers = _Numbers((word, k) for k, (word, _) in enumerate(head))
-    flat = np.fromiter((i for _, ids in head for i in ids), np.uint32)
-    starts = np.concatenate([[0], np.cumsum(np.fromiter((len(ids) for _, ids in head), np.int64, len(head)))])
-    table = spark.sparkContext.broadcast((numbers, flat, starts.astype(np.int64)))
+    table = spark.sparkContext.broadcast(_Head(head_of_table(docs, vocabulary, head_words, head_chars)))
     rows = _rows(docs)
 
     def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = table.value[0].__getitem__
+        number = table.value.number
         for whole in batches:
             for batch in small_batches(whole, "text"):
                 found, places, which = [], [], []
@@ -155,31 +173,38 @@ def _encoded(docs: DataFrame, vocabulary: str | None, head_words: int, head_char
                 {c: batch.column(c) for c in ("d", "tie", "place")} | {"ids": pa.array(out, pa.binary())}
             )
 
-    def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=3).compress
+    def number_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, pack = table.value.number, zstandard.ZstdCompressor(level=3).compress
         for whole in batches:
             for batch in small_batches(whole, "text"):
-                packed = [pack(t) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+                split, packed = [], []
+                for text in batch.column("text").to_pylist():
+                    words = split_parts(text)
+                    split.append(words is not None)
+                    if words is None:
+                        packed.append(pack(text.encode()))
+                    else:
+                        packed.append(pack(_planes(np.fromiter(map(number, words), np.int32, len(words)))))
                 yield pa.RecordBatch.from_pydict(
-                    {c: batch.column(c) for c in ("d", "tie")} | {"packed": pa.array(packed, pa.binary())}
+                    {c: batch.column(c) for c in ("d", "tie")}
+                    | {"split": pa.array(split, pa.bool_()), "packed": pa.array(packed, pa.binary())}
                 )
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, flat, starts = table.value
-        number, unpack, piece = numbers.__getitem__, zstandard.ZstdDecompressor().decompress, pieces(vocabulary)
+        flat, starts = table.value.ids
+        unpack, piece = zstandard.ZstdDecompressor().decompress, pieces(vocabulary)
         for whole in batches:
             for batch in small_batches(whole, "packed", 1 << 20):
                 doc_ids = pa.array([None if d == _NO_ID else d for d in batch.column("d").to_pylist()], pa.int64())
-                ids_of = []
-                columns = [batch.column(c).to_pylist() for c in ("packed", "places", "ids")]
-                for packed, places, fills in zip(*columns, strict=True):
-                    text = unpack(packed).decode()
-                    words = split_parts(text)
-                    if words is None:
-                        ids_of.append(np.asarray(library(vocabulary).encode(text, add_special_tokens=False).ids, np.uint32))
-                        continue
-                    which = np.fromiter(map(number, words), np.int64, len(words))
-                    ids_of.append(_put_together(which, places or [], fills or [], flat, starts))
+                which, odd = [], {}
+                columns = [batch.column(c).to_pylist() for c in ("split", "packed")]
+                for k, (split, packed) in enumerate(zip(*columns, strict=True)):
+                    which.append(_numbers_of(unpack(packed)) if split else np.empty(0, np.int32))
+                    if not split:
+                        found = library(vocabulary).encode(unpack(packed).decode(), add_special_tokens=False).ids
+                        odd[k] = np.asarray(found, np.uint32)
+                ids_of = _put_together(which, batch.column("places"), batch.column("ids"), flat, starts)
+                ids_of = [odd.get(k, ids) for k, ids in enumerate(ids_of)]
                 texts = [" ".join(map(piece.__getitem__, ids.tolist())) for ids in ids_of]
                 if digests:
                     result = {
@@ -194,31 +219,48 @@ def _encoded(docs: DataFrame, vocabulary: str | None, head_words: int, head_char
     occurrences = rows.mapInArrow(others, "word string, d long, tie long, place int")
     encoded = occurrences.repartition("word").sortWithinPartitions("word")
     encoded = encoded.mapInArrow(once_each, "d long, tie long, place int, ids binary")
-    fills = encoded.groupBy("d", "tie").agg(F.collect_list(F.struct("place", "ids")).alias("fills"))
+    # A set: copies of a row bring each place once, however many they are.
+    fills = encoded.groupBy("d", "tie").agg(F.collect_set(F.struct("place", "ids")).alias("fills"))
     fills = fills.select("d", "tie", F.col("fills.place").alias("places"), "fills.ids")
-    packed = rows.mapInArrow(shrink, "d long, tie long, packed binary")
+    packed = rows.mapInArrow(number_words, "d long, tie long, split boolean, packed binary")
     joined = packed.join(fills, ["d", "tie"], "left")
     if digests:
         schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     else:
         schema = "doc_id long, ids array<long>, decoded string"
-    return joined.select("d", "packed", "places", "ids").mapInArrow(finish, schema)
+    return joined.select("d", "split", "packed", "places", "ids").mapInArrow(finish, schema)
+
+
+def _planes(numbers: np.ndarray) -> bytes:
+    """Numbers by bytes of equal rank, which packs better than one number after the other."""
+    return numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _numbers_of(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<i4").ravel()
 
 
 def _put_together(
-    which: np.ndarray, places: list[int], fills: list[bytes], flat: np.ndarray, starts: np.ndarray
-) -> np.ndarray:
-    """Ids of a text: head words by their number, the others as ``fills`` at ``places``."""
-    first, size = starts[which], starts[which + 1] - starts[which]
-    extra = {p: np.frombuffer(f, "<u4") for p, f in zip(places, fills, strict=True)}
-    if extra:
-        at = np.fromiter(extra, np.int64, len(extra))
-        sizes = np.fromiter(map(len, extra.values()), np.int64, len(extra))
+    which: list[np.ndarray], places: pa.ListArray, fills: pa.ListArray, flat: np.ndarray, starts: np.ndarray
+) -> list[np.ndarray]:
+    """Ids of a batch of texts: head words by their number, the others as ``fills`` at ``places``."""
+    edges = np.concatenate([[0], np.cumsum(np.fromiter(map(len, which), np.int64, len(which)))])
+    number = np.concatenate(which)
+    gaps = number < 0
+    number = np.where(gaps, 0, number)
+    first, size = (starts[number], starts[number + 1] - starts[number]) if len(starts) > 1 else np.zeros((2, len(number)), np.int64)
+    texts = pa.compute.list_parent_indices(places).to_numpy()
+    if len(texts):
+        at = edges[texts] + pa.compute.list_flatten(places).to_numpy()
+        words = pa.compute.list_flatten(fills)
+        sizes = pa.compute.binary_length(words).to_numpy().astype(np.int64) // 4
         size[at] = sizes
         first[at] = len(flat) + np.cumsum(sizes) - sizes
-        flat = np.concatenate([flat, *extra.values()])
-    if (np.flatnonzero(which < 0).size) != len(extra):
+        flat = np.concatenate([flat, np.frombuffer(b"".join(words.to_pylist()), "<u4")])
+        gaps[at] = False
+    if gaps.any():
         raise ValueError("a word came back without its ids")
     ends = np.cumsum(size)
     total = int(ends[-1]) if len(ends) else 0
-    return flat[np.repeat(first - (ends - size), size) + np.arange(total)]
+    found = flat[np.repeat(first - (ends - size), size) + np.arange(total)]
+    return np.split(found, np.concatenate([[0], ends])[edges[1:-1]])

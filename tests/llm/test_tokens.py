@@ -142,3 +142,17 @@ def test_word_table_of_odd_rows(spark, empty_docs):
         ((d, brute.ids_of(t)) for d, t in rows), key=str
     )
     assert all(r["decoded"] == brute.decoded(list(r["ids"])) for r in got)
+
+
+def test_word_table_of_many_copies_of_a_row(spark):
+    """Copies share one set of filled places; texts for the library alone and empty ones lie between."""
+    rows = [(7, "raretext of copiedwords")] * 150 + [(8, "ﬁ ligature"), (9, ""), (10, "raretext")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = word_table.encode_documents(docs, head_words=0).collect()
+    assert sorted((r["doc_id"], list(r["ids"])) for r in got) == sorted((d, brute.ids_of(t)) for d, t in rows)
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.integers(-1, 2**31 - 1), max_size=50))
+def test_word_numbers_come_back(numbers):
+    assert word_table._numbers_of(word_table._planes(np.array(numbers, np.int32))).tolist() == numbers
