@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from signalloom.llm.common import small_batches, whole_text
+from signalloom.llm.common import release_memory, small_batches, whole_text
 
 TRIE_BYTES = 24 << 20
 
@@ -149,6 +149,8 @@ def exact_groups(docs: DataFrame, keep_largest: bool = True, trie_bytes: int = T
                 out, held = [], 0
         if out:
             yield sealed()
+            out = []
+        release_memory()
 
     def collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, tuple[int | None, int]]]:
         trie = RadixTrie(keep_largest)
