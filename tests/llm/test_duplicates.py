@@ -268,8 +268,9 @@ def test_repeats_of_odd_ids(spark, empty_docs):
 def test_common_shingles_are_counted(spark, rng):
     texts = [" ".join(f"w{rng.randrange(30)}" for _ in range(40)) for _ in range(30)] + ["only of its own kind here now"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    table = minhash.shingled(docs).select("doc_id", "node", F.col("n_shingles").alias("n"), "packed").cache()
-    got = {r["node"]: r["common"] for r in minhash._common_shingles(table.select("node", "n"), table).collect()}
+    table = minhash.shingled(docs).select("doc_id", "tie", "node", F.col("n_shingles").alias("n")).cache()
+    packed = minhash._packed_texts(docs, table.select("node", "doc_id", "tie"))
+    got = {r["node"]: r["common"] for r in minhash._common_shingles(table.select("node", "n"), packed).collect()}
     sets = {r["node"]: brute.shingles(texts[r["doc_id"]]) for r in table.collect()}
     for node, mine in sets.items():
         others = set().union(*(s for k, s in sets.items() if k != node))
