@@ -69,7 +69,8 @@ def prepare(rows: DataFrame) -> DataFrame:
     """Rows that take part, relabelled, in whole numbers, with their summaries: a written table.
 
     Rows without id, label or vector, or with a component that is null or not
-    finite, take no part.  Of rows with one id the one with the smallest label,
+    finite, take no part.  A label below zero is shifted with SQL's remainder,
+    which keeps its sign.  Of rows with one id the one with the smallest label,
     then vector, counts.  Scores exist between vectors of one length only.
     """
     x = F.col("embedding")

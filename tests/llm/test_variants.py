@@ -2,6 +2,7 @@
 
 import re
 import zlib
+import math
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -114,7 +115,7 @@ def hard(rows, every=50, n_pos=5, n_neg=3):
     for i, v, label in rows:
         if i is None or label is None or v is None or any(x is None or not np.isfinite(x) for x in v):
             continue
-        label = (label + 1) % 10 if i % 7 == 0 else label
+        label = int(math.fmod(label + 1, 10)) if i % 7 == 0 else label  # as SQL does, below zero too
         row = (label, [int(np.floor(256 * float(np.float32(x)))) for x in v])
         usable[i] = min(usable.get(i, row), row)
     out = set()
@@ -149,7 +150,7 @@ def test_negatives(spark, rng, chunk_bytes):
         rows.append((i * 5 - 300, v, rng.choice([0, 1, 1, 1, 2, -3])))
     rows += [(0, [0.5] * 8, 1), (0, [0.5] * 8, 1), (50, [0.1] * 8, 0), (None, [0.5] * 8, 1), (7, None, 1), (9, [0.5] * 8, None)]
     rows += [(1001, [float("nan")] * 8, 1), (1003, [float("inf")] + [0.0] * 7, 1), (1007, [None] + [0.5] * 7, 2)]
-    rows += [(1100 + i, [0.5] * 8, i % 3) for i in range(60)]
+    rows += [(1100 + i, [0.5] * 8, i % 3) for i in range(60)] + [(2100, [0.5] * 8, 1), (2100, [0.75] * 8, -3)]
     schema = "vec_id long, embedding array<float>, label int"
     df = spark.createDataFrame(rows, schema).withColumns({"rank": F.lit("x"), "v": F.lit(1), "dim": F.lit("y")}).repartition(5)
     got = mined(hard_negatives.mine_hard_negatives(df, chunk_bytes=chunk_bytes))
