@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from signalloom.functions.redact import bind
 from signalloom.limits import (
     MAX_BODY_BYTES,
     MAX_ERROR_TEXT_CHARS,
@@ -29,17 +30,20 @@ def filled(c: Column | str, default: Column | str) -> Column:
 
 def truncate_text(c: Column | str, limit: int = MAX_ERROR_TEXT_CHARS) -> Column:
     """Cut to ``limit`` characters and state the total length."""
-    c = _col(c)
-    n = F.char_length(c)
-    return F.when(
-        n > limit,
-        F.concat(
-            F.substring(c, 1, limit),
-            F.lit("... [truncated, total "),
-            n.cast("string"),
-            F.lit(" chars]"),
-        ),
-    ).otherwise(c)
+
+    def cut(text: Column) -> Column:
+        n = F.char_length(text)
+        return F.when(
+            n > limit,
+            F.concat(
+                F.substring(text, 1, limit),
+                F.lit("... [truncated, total "),
+                n.cast("string"),
+                F.lit(" chars]"),
+            ),
+        ).otherwise(text)
+
+    return bind(_col(c), cut)
 
 
 def parse_json(c: Column | str, schema: T.StructType | str, fallback: Column | None = None) -> Column:

@@ -8,6 +8,9 @@ from pyspark.sql import types as T
 
 MAX_BROADCAST_ROWS = 100_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+#: Tables from this size on have their rows counted, and rows that a task may get of them.
+COUNTED_BYTES = 4 << 20
+TASK_ROWS = 200_000
 
 
 def fits_broadcast(
@@ -66,16 +69,21 @@ def _holds_map(t: T.DataType) -> bool:
     return isinstance(t, (T.MapType, T.VariantType))
 
 
-def spread(df: DataFrame, min_bytes: int = 1 << 20) -> DataFrame:
+def spread(df: DataFrame, min_bytes: int = 1 << 20, max_rows: int | None = None) -> DataFrame:
     """Give CPU-heavy work on a few unsplittable files more tasks than files.
 
-    A scan that already has a partition per core passes unchanged, so this
-    does nothing for tables of any size; otherwise the raw rows are dealt out
-    once.
+    A scan that already has a partition per core passes unchanged.  With
+    ``max_rows`` tasks of a larger table get no more rows than about that: Spark
+    cuts files by bytes but reads row groups whole, so that compressed rows can
+    lie by the million in a few tasks.  Rows are counted without reading a column.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     plan = df._jdf.queryExecution()
-    if plan.toRdd().getNumPartitions() >= cores:
-        return df
     size = int(str(plan.optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size >= min_bytes else df
+    few = plan.toRdd().getNumPartitions() < cores
+    if max_rows is not None and size >= COUNTED_BYTES:
+        held = df.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n"))
+        rows = held.agg(F.max("n").alias("most"), F.sum("n").alias("all")).first()
+        if (rows["most"] or 0) > max_rows:
+            return df.repartition(max(cores, -(-rows["all"] // max_rows)))
+    return df.repartition(cores) if few and size >= min_bytes else df

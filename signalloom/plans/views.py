@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from signalloom.operators.sizing import spread
+from signalloom.operators.sizing import TASK_ROWS, spread
 
 TELEMETRY = """
 select event_id, ts, user_id,
@@ -172,8 +172,9 @@ VIEWS = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table.  Queries make texts of many times their size from events, so tasks get a bounded number of them."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"), max_rows=TASK_ROWS if name == "events" else None)
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
