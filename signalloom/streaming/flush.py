@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from signalloom.limits import CLIENT_BATCH, FLUSH_MS
-from signalloom.streaming.state import AT, from_micros, milliseconds, with_clock
+from signalloom.streaming.state import AT, CLOCK, from_micros, in_order, milliseconds, with_clock
 
 FULL, URGENT, TIMER = "full", "urgent", "timer"
 _URGENT = "__urgent"
@@ -34,17 +34,17 @@ class FlushBuffer(StatefulProcessor):
         held = [tuple(r) for r in self._held.get()] if self._held.exists() else []
         if held:
             self._handle.deleteTimer(self._end(tick))
-        for row in sorted(rows, key=lambda r: tuple(r[c] for c in (AT, *self._order))):
-            now = row[AT] // self._interval
+        for at, urgent, *values in in_order(rows, self._order, (_URGENT, *self._schema.names)):
+            now = at // self._interval
             if held and now > tick:
                 batches += 1
                 yield from self._send(key, held, batches, TIMER, (tick + 1) * self._interval)
                 held = []
             tick = now if tick is None else max(tick, now)
-            held.append(tuple(row[f] for f in self._schema.names))
-            if len(held) >= self._size or row[_URGENT]:
+            held.append(tuple(values))
+            if len(held) >= self._size or urgent:
                 batches += 1
-                yield from self._send(key, held, batches, FULL if len(held) >= self._size else URGENT, row[AT])
+                yield from self._send(key, held, batches, FULL if len(held) >= self._size else URGENT, at)
                 held = []
         self._count.update((batches, tick))
         if held:
@@ -87,7 +87,7 @@ def stream_flushes(
     ``flushed_at`` to the columns ``by``, the rest of ``order`` and ``columns``.
 
     The state of a key is its waiting events, fewer than ``size``, two numbers
-    and a timer.  Order, lateness and null keys are as in ``stream_pairs``; an
+    and a timer; the events of a batch are sorted on disk where they are many.  Order, lateness and null keys are as in ``stream_pairs``; an
     event that is late but in time joins the batch that waits.
     """
     ts, rest = order[0], list(order[1:])
@@ -95,6 +95,7 @@ def stream_flushes(
     timed = with_clock(events, ts, delay).withColumn(_URGENT, flag)
     names = list(dict.fromkeys([*rest, *columns]))
     held = T.StructType([timed.schema[c] for c in names])
+    timed = timed.select(*dict.fromkeys([*by, *rest, *names, _URGENT, AT, CLOCK]))  # rows are taken apart value by value
     out = T.StructType([*[timed.schema[c] for c in (*by, *names)]])
     out = out.add("batch_no", T.LongType()).add("pos", T.IntegerType()).add("reason", T.StringType()).add("flushed_micros", T.LongType())
     buffer = FlushBuffer(by, rest, held, size, interval_ms * 1000)

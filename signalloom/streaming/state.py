@@ -7,7 +7,10 @@ they move with the watermark and give the same rows in a replay.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Iterator, Sequence
+
+from pyspark.shuffle import ExternalSorter
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -16,6 +19,8 @@ _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvid
 #: Column that holds event time in microseconds since 1970, and the one with the watermark.
 AT = "__at"
 CLOCK = "__clock"
+#: Memory of a Python worker, in MB, from which on the rows of a key and batch are sorted on disk.
+SORT_MB = 512
 
 
 def use_state_store(spark: SparkSession) -> None:
@@ -43,3 +48,11 @@ def with_clock(df: DataFrame, ts: str, delay: str) -> DataFrame:
 def milliseconds(at: int) -> int:
     """The first millisecond after a time in microseconds."""
     return at // 1000 + 1
+
+
+def in_order(rows: Iterator[Row], order: Sequence[str], columns: Sequence[str], memory_mb: int = SORT_MB) -> Iterator[tuple]:
+    """``(time, *columns)`` of the rows of one key, by time and then ``order``, with bounded memory."""
+    by = (AT, *order)
+    picked = ((tuple([row[c] for c in by]), *[row[c] for c in columns]) for row in rows)
+    for at, *values in ExternalSorter(memory_mb).sorted(picked, key=lambda r: r[0]):
+        yield (at[0], *values)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from signalloom.streaming.state import AT, from_micros, milliseconds, with_clock
+from signalloom.streaming.state import AT, CLOCK, from_micros, in_order, milliseconds, with_clock
 
 
 class OpenMarks(StatefulProcessor):
@@ -23,15 +23,16 @@ class OpenMarks(StatefulProcessor):
         self._open = handle.getValueState("open", "at long")
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:  # noqa: N802, N803
-        stored = self._open.get()[0] if self._open.exists() else None
+        held = self._open.get()
+        stored = held[0] if held is not None else None
         start = stored
-        for row in sorted(rows, key=lambda r: tuple(r[c] for c in (AT, *self._order))):
-            if row["kind"] == "start":
-                start = row[AT]
+        for at, kind, *rest in in_order(rows, self._order, ("kind", *self._order)):
+            if kind == "start":
+                start = at
                 continue
-            if row["kind"] == "stop" and start is not None and not self._is_over(start, row[AT]):
-                values = dict(zip(self._keys, key)) | {c: row[c] for c in self._order}
-                yield Row(**values, start_at=start, end_at=row[AT])
+            if kind == "stop" and start is not None and not self._is_over(start, at):
+                values = dict(zip(self._keys, key)) | dict(zip(self._order, rest))
+                yield Row(**values, start_at=start, end_at=at)
             start = None
         if start != stored:
             self._keep(stored, start)
@@ -70,15 +71,15 @@ def stream_pairs(
     until they are closed.
 
     Marks of a key must arrive in order from batch to batch; inside a batch they
-    are sorted, which holds the marks of one key and batch in one task, as many as
-    the source's limit per batch lets in.  Marks without a time, and those later
-    than ``delay``, are left out.  The key's columns must not be null.
+    are sorted, those of one key and batch in one task, on disk where they are
+    many.  Marks without a time, and those later than ``delay``, are left out.  The key's columns must not be null.
     """
     ts, rest = order[0], list(order[1:])
     timed = with_clock(marks, ts, delay)
     fields = {f.name: f.dataType.simpleString() for f in timed.schema.fields}
     out = ", ".join(f"`{c}` {fields[c]}" for c in (*by, *rest)) + ", start_at long, end_at long"
     lifetime = None if lifetime_ms is None else lifetime_ms * 1000
+    timed = timed.select(*dict.fromkeys([*by, *rest, "kind", AT, CLOCK]))  # rows are taken apart value by value
     paired = timed.groupBy(*by).transformWithState(OpenMarks(by, rest, lifetime), out, "Append", "EventTime")
     return paired.select(
         *by,

@@ -1,8 +1,10 @@
 import datetime as dt
 import random
 import time
+import tracemalloc
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from signalloom.operators.delivery import flush_batches
@@ -10,6 +12,7 @@ from signalloom.operators.timers import pair_timers
 from signalloom.sources.scratch import materialize, scratch_root
 from signalloom.streaming.enforcement import stream_match
 from signalloom.streaming.flush import stream_flushes
+from signalloom.streaming.state import AT, in_order
 from signalloom.streaming.timers import stream_pairs
 from signalloom.streaming.triggers import FlushListener, available_now, drop_expired_stream, micro_batches
 from tests.test_delivery import MARK, T0, random_marks
@@ -159,3 +162,19 @@ def test_no_local_folder_on_a_cluster():
 
     with pytest.raises(ValueError):
         scratch_root(Remote)
+
+
+def test_rows_of_a_key_are_sorted_in_bounded_memory():
+    n = 300_000
+    rows = (Row(**{AT: i * 7919 % n, "id": i, "pad": f"{i:0200d}"}) for i in range(n))
+    tracemalloc.start()
+    try:
+        last, count = -1, 0
+        for at, number, _pad in in_order(rows, ("id",), ("id", "pad"), memory_mb=1):
+            assert at > last and at == number * 7919 % n
+            last, count = at, count + 1
+        _now, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    # all of them as sorted() holds them take more than 150 MB
+    assert count == n and peak < 80e6
