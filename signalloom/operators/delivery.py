@@ -89,7 +89,7 @@ def persist_budget(
     Items are read several times; materialise them if they are costly to compute.
     """
     size = F.char_length(F.col(item) if isinstance(item, str) else item).cast("long")
-    return keep_within(df.filter(size <= item_limit), _list(by), order, size, total_limit, hot_rows=hot_rows)
+    return keep_within(df, _list(by), order, F.when(size <= item_limit, size), total_limit, hot_rows=hot_rows)
 
 
 def assign_batches(

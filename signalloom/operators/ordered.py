@@ -365,13 +365,15 @@ def keep_within(
 ) -> DataFrame:
     """Rows of each key, in order, as long as the sum of their weights is at most ``limit``.
 
-    Weights are not negative.  ``from_end`` begins with the last row.  Sums are
+    Weights are not negative; rows without one (null) are left out and take no
+    room.  ``from_end`` begins with the last row.  Sums are
     taken in two levels: per key and piece of the first order column, which
     combines before it shuffles, and then, row by row, only in the one piece
     where the limit is reached.  All other rows are kept or dropped by the piece
-    they lie in and are not shuffled.
+    they lie in and are not shuffled.  A weight may be costly: beside the sums it
+    is computed only for rows whose piece is not dropped.
     """
-    keys, piece = _keys(by), F.lit(0)
+    keys, piece, weight = _keys(by), F.lit(0), weight.cast("long")
     place = _place(df, order[0])
     if place is not None:
         span = df.agg(F.min(place).alias("low"), F.max(place).alias("high")).first()
@@ -381,8 +383,8 @@ def keep_within(
             piece = F.when(place.isNull(), -1).otherwise(F.least(F.floor(share * GRID), F.lit(GRID - 1))).cast("int")
         else:
             piece = F.when(place.isNull(), -1).otherwise(0)
-    weighed = df.withColumns({"__w": weight.cast("long"), "__piece": piece})
-    sums = weighed.groupBy(*keys, "__piece").agg(F.sum("__w").alias("__of_piece"))
+    placed = df.withColumn("__piece", piece)
+    sums = placed.groupBy(*keys, "__piece").agg(F.coalesce(F.sum(weight), F.lit(0)).alias("__of_piece"))
     onward = F.desc("__piece") if from_end else F.asc("__piece")
     upto = F.sum("__of_piece").over(Window.partitionBy(*keys).orderBy(onward).rowsBetween(Window.unboundedPreceding, 0))
     before = F.col("__upto") - F.col("__of_piece")
@@ -393,13 +395,15 @@ def keep_within(
         cond = F.lit(True)
         for k in keys:
             cond = cond & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
-        marked = weighed.join(maybe_broadcast(ends), cond, "left").drop(*[f"__k_{k}" for k in keys])
+        marked = placed.join(maybe_broadcast(ends), cond, "left").drop(*[f"__k_{k}" for k in keys])
     else:
         row = ends.first() or {"__end": None, "__of_piece": None, "__rest": None}  # one row at most
-        marked = weighed.withColumns({c: F.lit(row[c]).cast("long") for c in ("__end", "__of_piece", "__rest")})
+        marked = placed.withColumns({c: F.lit(row[c]).cast("long") for c in ("__end", "__of_piece", "__rest")})
     kept = F.col("__piece") > F.col("__end") if from_end else F.col("__piece") < F.col("__end")
-    whole = marked.where(F.col("__end").isNull() | kept)
-    summed = running(marked.where(F.col("__piece") == F.col("__end")), keys, order, {"__sum": Sum(F.col("__w"))}, hot_rows)
+    # (one condition, so that the weight is not asked for before the piece)
+    whole = marked.where(F.when(F.col("__end").isNull() | kept, weight.isNotNull()))
+    last = marked.where(F.col("__piece") == F.col("__end")).withColumn("__w", weight)
+    summed = running(last, keys, order, {"__sum": Sum(F.coalesce("__w", F.lit(0)))}, hot_rows).where("__w is not null")
     used = F.col("__of_piece") - F.col("__sum") + F.col("__w") if from_end else F.col("__sum")
     return whole.select(*df.columns).unionByName(summed.where(used <= F.col("__rest")).select(*df.columns))
 

@@ -339,3 +339,15 @@ def test_schema_is_exported():
     from signalloom import schemas
 
     assert isinstance(schemas.EVENT, T.StructType) and schemas.EVENT["_meta"].dataType["context"].dataType["pid"].dataType == T.LongType()
+
+
+@pytest.mark.parametrize("by", [["k"], []])
+@pytest.mark.parametrize("from_end", [False, True])
+def test_rows_without_a_weight_are_left_out_and_take_no_room(spark, by, from_end):
+    rows = spark.range(400).select("id", (F.col("id") % 2).alias("k"), F.when(F.col("id") % 3 > 0, F.lit(5).cast("long")).alias("w"))
+    kept = O.keep_within(rows, by, ["id"], F.col("w"), 100, from_end)
+    want = set()
+    for key in (0, 1) if by else (None,):
+        ids = [i for i in range(400) if i % 3 and (key is None or i % 2 == key)]
+        want |= set(ids[-20:] if from_end else ids[:20])
+    assert {r["id"] for r in kept.collect()} == want
