@@ -19,7 +19,6 @@ import re
 from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
@@ -274,8 +273,10 @@ def restore_artifacts(
     return checked.mapInArrow(unpack, schema)
 
 
-@F.pandas_udf(T.LongType())
-def _plain_bytes(gz: pd.Series) -> pd.Series:
+@F.arrow_udf(T.LongType())
+def _plain_bytes(gz: pa.Array) -> pa.Array:
+    """Sizes one by one, so that a batch is held in memory once."""
+
     def size(data: bytes | None) -> int | None:
         if data is None:
             return None
@@ -284,7 +285,7 @@ def _plain_bytes(gz: pd.Series) -> pd.Series:
         except (OSError, EOFError):
             return None
 
-    return gz.map(size).astype("Int64")
+    return pa.array((size(data.as_py()) for data in gz), pa.int64())
 
 
 def verify_artifacts(artifacts: DataFrame, key_hex: str, manifest: DataFrame | None = None) -> DataFrame:

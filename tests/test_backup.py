@@ -2,6 +2,7 @@ import datetime as dt
 import random
 import gzip
 
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -309,3 +310,8 @@ def test_a_document_without_text_has_an_artifact(spark, tmp_path):
     assert [found[i] for i in range(6, 12)] == ["ok", "foreign_magic", "short_header", "missing_tag", *["authentication_failed"] * 2]
     assert [found[i] for i in range(5)] == [found[i] for i in range(6, 11)]
     assert found[5] == "missing_tag"  # of an empty text not even the tag is whole
+
+
+def test_contents_are_measured_one_by_one():
+    held = pa.array([gzip.compress(b"x" * 1000), b"broken", None, gzip.compress(b"")], pa.binary())
+    assert A._plain_bytes.func(held).to_pylist() == [1000, None, None, 0]
