@@ -269,6 +269,9 @@ def address_ranges(covered: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def _match_ranges(requests: DataFrame, ranges: DataFrame, ip: str, at: Column, by: list[str], hot_rows: int | None) -> DataFrame:
     text = F.when(~F.col(ip).isin("", "unknown"), F.col(ip))
     placed = requests.withColumns({"__when": at, "__key": _address_key(ipv4_to_long(text), text)})
+    if "void" not in placed.schema.simpleString():
+        # as_of reads them several times: to count, to sample and to merge
+        placed = materialize(placed, "placed")
     found = as_of(placed, ranges, by, ("__key", "range_from"), ["entries"], hot_rows)
     active = F.filter("entries", lambda e: (e["span_from"] <= F.col("__when")) & (F.col("__when") < e["span_to"]))
     # structs compare by pos first

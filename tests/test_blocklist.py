@@ -207,3 +207,19 @@ def test_polls(spark, hot_rows):
     assert [r["errors_in_row"] for r in rows] == [1, 0, 1, 2, 0, 1, 0]
     assert [r["state_mode"] for r in rows] == [None, *["ENFORCE"] * 5, "OFF"]
     assert [r["next_poll_ms"] for r in rows] == [90000.0, 45000.0, 90000.0, 180000.0, 45000.0, 90000.0, 45000.0]
+
+
+def test_requests_are_computed_once_for_a_long_list(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def told(ip):
+        seen.add(1)
+        return ip
+
+    entries = spark.createDataFrame([(1, "CIDR", "10.0.0.0/28", None)], "pos int, type string, value string, expires_at timestamp_ntz")
+    address = F.concat(F.lit("10.0.0."), (F.col("id") % 200).cast("string"))
+    asked = spark.range(2000).select("id", told(address).alias("ip"), F.lit("2024-01-01").cast("timestamp_ntz").alias("ts"))
+    found = B.match_blocklist(asked, entries, max_broadcast_rows=0, hot_rows=100)
+    assert sum(r["matched_pos"] is not None for r in found.collect()) == 160
+    assert seen.value == 2000
