@@ -12,7 +12,7 @@ from signalloom.operators.timers import pair_timers
 from signalloom.sources.scratch import materialize, scratch_root
 from signalloom.streaming.enforcement import stream_match
 from signalloom.streaming.flush import stream_flushes
-from signalloom.streaming.state import AT, in_order
+from signalloom.streaming.state import AT, CLOCK, Packing, in_order, with_time
 from signalloom.streaming.timers import stream_pairs
 from signalloom.streaming.triggers import FlushListener, available_now, drop_expired_stream, micro_batches
 from tests.test_delivery import MARK, T0, random_marks
@@ -178,3 +178,37 @@ def test_rows_of_a_key_are_sorted_in_bounded_memory():
         tracemalloc.stop()
     # all of them as sorted() holds them take more than 150 MB
     assert count == n and peak < 80e6
+
+
+def test_rows_of_a_key_and_batch_travel_as_lists(spark):
+    marks = random_marks(4, 3000)
+    keys = {m[:2] for m in marks}
+    packing = Packing(("client", "name"), ("mark_id",), ("kind",))
+    timed = with_time(spark.createDataFrame(marks, MARK), "ts")
+    want = {k: sorted((round((m[3] - EPOCH) / dt.timedelta(microseconds=1)), m[2], m[4]) for m in marks if m[:2] == k) for k in keys}
+    assert packing.pack(timed, "1 minute").count() == len(keys) < 100
+    for size, piece in ((1 << 26, 1 << 16), (1 << 26, 7)):
+        packed = packing.pack(timed, "1 minute", size, piece).collect()
+        assert all(len(r[3]) <= piece and round(r[CLOCK].timestamp() * 1e6) >= r[3][-1] for r in packed)
+        got = {k: list(packing.unpacked((r for r in packed if r[:2] == k), 0)) for k in keys}
+        assert got == want
+    first = want[min(keys)]
+    late = first[len(first) // 2][0] // 1000
+    got = packing.unpacked((r for r in packed if r[:2] == min(keys)), late)
+    assert list(got) == [m for m in first if m[0] > late * 1000] != first
+
+
+def test_ties_without_ids_and_late_marks(spark, tmp_path):
+    """Marks of one time are ordered although one has no id; a late one does not close what is open."""
+    at = [T0 + dt.timedelta(minutes=m) for m in range(60)]
+    parts = [
+        [("a", "x", 1, at[0], "start"), ("a", "x", None, at[0], "stop"), ("b", "x", 2, at[30], "start")],
+        [("b", "x", 3, at[10], "stop"), ("b", "x", 4, at[40], "stop"), ("c", "x", 5, at[5], "start"), ("c", "x", 6, at[41], "stop")],
+    ]
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for part in parts:
+        spark.createDataFrame(part, MARK).write.mode("append").parquet(src)
+        paired = stream_pairs(spark.readStream.schema(MARK).parquet(src))
+        _run(micro_batches(paired).format("parquet").option("path", out), tmp_path / "cp")
+    got = {(r["client"], r["mark_id"], r["start_ts"], r["end_ts"]) for r in spark.read.schema(paired.schema).parquet(out).collect()}
+    assert got == {("a", None, at[0], at[0]), ("b", 4, at[30], at[40])}
