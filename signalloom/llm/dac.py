@@ -37,8 +37,8 @@ SHARD_SCHEMA = "part int, part_tokens long, n_docs long, n_tokens long, data bin
 
 
 def _pack(values: np.ndarray, width: int) -> np.ndarray:
-    bits = (values[:, None] >> np.arange(width, dtype=np.uint32)) & 1
-    return np.packbits(bits.astype(np.uint8).reshape(-1), bitorder="little")
+    bits = np.unpackbits(values.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, count=width, bitorder="little")
+    return np.packbits(bits.reshape(-1), bitorder="little")
 
 
 def _unpack(data: np.ndarray, width: int, n: int) -> np.ndarray:

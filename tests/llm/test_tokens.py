@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from signalloom.llm import dac, packing, word_table
+from signalloom.llm import dac, encoding, packing, word_table
 from signalloom.llm.encoding import WordCache, default_vocabulary, with_end
 from signalloom.sources.scratch import scratch_path
 from tests.llm import brute
@@ -26,6 +26,34 @@ def test_cache_forgets_and_stays_right():
         assert cache.encode([text])[0].tolist() == brute.ids_of(text)
 
 
+@pytest.mark.parametrize("marks", ["'", "',", ",'", "''", ",''", "'',", "'%'", ".'.", "'s,'", "' '", "7'", "'7,"])
+def test_marks_and_apostrophes(marks):
+    texts = [f"{a}{marks}{b}" for a in ("", "o", "it's", " ") for b in ("", "s", "x", "'s", "ll'll", ",'re")]
+    flat, sizes = WordCache(default_vocabulary()).encode(texts)
+    assert [p.tolist() for p in np.split(flat, np.cumsum(sizes)[:-1])] == [brute.ids_of(t) for t in texts]
+
+
+@pytest.fixture
+def asked(monkeypatch):
+    """Words that went through the library's model."""
+    words, real = [], encoding.encode_words
+    monkeypatch.setattr(encoding, "encode_words", lambda new, path: (words.extend(new), real(new, path))[1])
+    return words
+
+
+def test_model_sees_each_part_once(asked):
+    text = "Word word, word. (word) word%%% word's 7word word,word"
+    assert WordCache(default_vocabulary()).encode([text, text])[0].tolist() == 2 * brute.ids_of(text)
+    assert sorted(asked) == sorted(["word", ",", ".", "(", ")", "%%%", "'s", "7"])
+
+
+def test_cache_keeps_the_words_used_most(asked):
+    cache = WordCache(default_vocabulary(), max_words=4)
+    for text in ("often " * 9 + "a b c d e", "f g h i j", "often k"):
+        assert cache.encode([text])[0].tolist() == brute.ids_of(text)
+    assert asked.count("often") == 1 and len(cache.numbers) <= 4 + 5
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(0, 2**32 - 1), max_size=1500), st.sampled_from([(12, 4, 16), (8, 8, 8, 8), (3, 29), (32,)]))
 def test_shard_gives_every_token(ids, widths):
