@@ -13,6 +13,7 @@ by block, so memory is bounded by a block and no key can be hot.
 from __future__ import annotations
 
 import bisect
+import itertools
 import zlib
 from collections.abc import Iterator
 
@@ -29,6 +30,8 @@ TIERS = (256, 512, 1024, 2048)
 END_ID = 1
 STEP_TOKENS = 1 << 16
 BLOCK_CHARS = 16 << 20
+#: So much text is encoded at once: the encoder's own tables take many times its size.
+ENCODE_CHARS = 1 << 20
 # ids of sequences and groups: the task in the high bits
 _TASK_SHIFT = 40
 
@@ -127,6 +130,32 @@ def _tail(window: list[Piece], total: int) -> list[list[Piece]]:
     return out
 
 
+def encoded_blocks(
+    batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int = END_ID, block_chars: int = BLOCK_CHARS
+) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+    """doc_ids, all ids in a row and the number of ids of each document, block by block."""
+    names, ids, sizes, held = [], [], [], 0
+
+    def sealed() -> tuple[list, np.ndarray, np.ndarray]:
+        """The block; what it was put together from is let go."""
+        nonlocal names, ids, sizes, held
+        block = names, np.concatenate(ids), np.concatenate(sizes)
+        names, ids, sizes, held = [], [], [], 0
+        return block
+
+    for whole in batches:
+        for batch in small_batches(whole, "text", min(ENCODE_CHARS, block_chars // 4)):
+            flat, lengths = with_end(*word_cache(vocabulary).encode(batch.column("text").to_pylist()), end_id)
+            names += batch.column("doc_id").to_pylist()
+            ids.append(flat)
+            sizes.append(lengths)
+            held += batch.column("text").nbytes
+            if held >= block_chars:
+                yield sealed()
+    if names:
+        yield sealed()
+
+
 PIECE_SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
     "sequence_id long, offset long, tier long, step_group long"
@@ -155,28 +184,15 @@ def pack_documents(
     if any(t & (t - 1) for t in tiers) or sorted(tiers) != list(tiers):
         raise ValueError("tiers must be ascending powers of two")
 
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
-        names, ids, sizes, held = [], [], [], 0
-        for whole in batches:
-            for batch in small_batches(whole, "text", block_chars // 4):
-                flat, lengths = with_end(*word_cache(vocabulary).encode(batch.column("text").to_pylist()), end_id)
-                names += batch.column("doc_id").to_pylist()
-                ids.append(flat)
-                sizes.append(lengths)
-                held += batch.column("text").nbytes
-                if held >= block_chars:
-                    yield names, np.concatenate(ids), np.concatenate(sizes)
-                    names, ids, sizes, held = [], [], [], 0
-        if names:
-            yield names, np.concatenate(ids), np.concatenate(sizes)
-
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId() << _TASK_SHIFT
         sequence_id, group_id = task, task
         open_groups: dict[int, tuple[int, int]] = {}  # tier: group, tokens so far
-        for names, flat, sizes in blocks(batches):
+
+        def packed(names: list, flat: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
+            nonlocal sequence_id, group_id
             starts = np.cumsum(sizes) - sizes
-            data = memoryview(flat.astype("<u4").tobytes())
+            data = memoryview(flat.astype("<u4", copy=False)).cast("B")
             rows = []
             for sequence in pack_lengths(sizes.tolist(), tiers):
                 tier = sum(p[2] for p in sequence)
@@ -195,7 +211,10 @@ def pack_documents(
                 sequence_id += 1
             kinds = [pa.int64()] * 9 + [pa.list_(pa.int64())] * with_ids
             columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in schema.split(", ")])
+            return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in schema.split(", ")])
+
+        # no block outlives its call
+        yield from itertools.starmap(packed, encoded_blocks(batches, vocabulary, end_id, block_chars))
         release_memory()
 
     schema = PIECE_SCHEMA + ", ids array<long>" * with_ids

@@ -220,9 +220,13 @@ def drop_duplicates(docs: DataFrame, keep_largest: bool = True) -> DataFrame:
     Rows that are equal in doc_id and text, too, leave one; which of them is open.
     """
 
-    @F.pandas_udf("string")
-    def digest(text):
-        return text.map(lambda t: hashlib.sha256(t.lower()).hexdigest())
+    @F.arrow_udf("string")
+    def digest(text: pa.Array) -> pa.Array:
+        return pa.array([hashlib.sha256(t.as_py().lower()).hexdigest() for t in text], pa.string())
+
+    # of a deterministic key a join also wants to know that it is not null, and works it out for that
+    # alone: in each task a second worker, which lives on, would see every text
+    digest = digest.asNondeterministic()
 
     def key(c: str):
         return F.coalesce(F.col(c).cast("long"), F.lit(-(1 << 63)))

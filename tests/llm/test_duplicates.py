@@ -37,6 +37,11 @@ def test_exact_of_odd_ids(spark, empty_docs):
     assert first == 3
 
 
+def test_digest_of_a_row_is_computed_once(documents, capsys):
+    radix_dedup.drop_duplicates(documents).explain()
+    assert capsys.readouterr().out.count("ArrowEvalPython") == 1
+
+
 def test_trie_splits_and_spills():
     trie = radix_dedup.RadixTrie(keep_largest=False)
     words = [b"romane", b"romanus", b"rom", b"", b"ruber", b"rom", b"romane", b"x"]

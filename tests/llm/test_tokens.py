@@ -3,6 +3,7 @@
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -141,6 +142,23 @@ def test_packing(case, block_chars):
     assert all(len(tiers) == 1 for tiers in groups.values())
 
 
+def test_packing_encodes_little_at_once(monkeypatch):
+    """Whatever the size of a block: what the encoder needs for a piece of text is many times its size."""
+    seen = []
+
+    class Encoder:
+        def encode(self, texts):
+            seen.append(sum(map(len, texts)))
+            return np.zeros(seen[-1], np.uint32), np.array(list(map(len, texts)))
+
+    monkeypatch.setattr(packing, "word_cache", lambda vocabulary: Encoder())
+    batch = pa.RecordBatch.from_pydict({"doc_id": range(400), "text": ["x" * 50_000] * 400})
+    found = list(packing.encoded_blocks(iter([batch]), "any"))
+    assert max(seen) <= 1 << 20 and sum(seen) == 400 * 50_000
+    assert [len(names) for names, _, _ in found] == [340, 60]
+    assert sum(len(flat) for _, flat, _ in found) == 400 * 50_001
+
+
 def test_packing_of_nothing(empty_docs):
     assert packing.pack_documents(empty_docs).count() == 0
 
